@@ -124,41 +124,44 @@ def put_attributes(existing: DataFrame, incoming: DataFrame, few: bool = False)
     # Beside LONG, columns that follow from the item (its hash, its shard) are carried along.
     shared = [c for c in existing.columns if c in incoming.columns]
     incoming = incoming.where("value is not null")
-    put = incoming.select(*shared).distinct()
+    put = incoming.select(*shared)
     kept = existing.select(*shared)
     if "replace" in incoming.columns:
         replaced = incoming.where("replace").select(ITEM, "name").distinct()
         kept = kept.join(_hint(replaced, few), [ITEM, "name"], "left_anti")
     if not few:
         return kept.unionByName(put).distinct()
+    put = put.distinct()
     # Present rows among the incoming ones: a subset of `incoming`, hence small too.
     met = kept.join(F.broadcast(put), list(LONG), "left_semi")
     return kept.unionByName(put.join(F.broadcast(met), list(LONG), "left_anti"))
 
 
-def check_conditions(existing: DataFrame, conditions: DataFrame) -> DataFrame:
+def check_conditions(
+    existing: DataFrame, conditions: DataFrame, few: bool = False
+) -> DataFrame:
     """The conditions of K9 with a column ``holds``.
 
     A condition ``(item_name, cond_name, cond_value, must_exist)`` holds if the attribute
     has that value, or, with ``must_exist`` false, if the item has no such attribute.
-    Inner join, so a small condition list is broadcast and a large one shuffles on item
-    and name; matches are reduced before they are joined back.
+
+    Values are looked up by item, name *and* value, and presence among distinct (item,
+    name) pairs, so both joins are between unique keys and an attribute with very many
+    values makes no large partition. ``few`` (size checked by the caller) first reduces
+    the existing rows by a broadcast, without shuffling them.
     """
-    terms = [ITEM, "cond_name", "cond_value", "must_exist"]
-    asked = conditions.select(*terms).distinct()
+    asked = conditions.select(ITEM, "cond_name", "cond_value", "must_exist").distinct()
     state = existing.select(field(ITEM), F.col("name").alias("cond_name"), "value")
-    found = (
-        state.join(asked, [ITEM, "cond_name"])
-        .groupBy(*terms)
-        .agg(F.max(F.coalesce(F.col("value") == F.col("cond_value"), F.lit(False))).alias("equal"))
-    )
-    same = [field(c, "a").eqNullSafe(field(c, "f")) for c in terms]
-    equal = field("equal", "f")
-    return asked.alias("a").join(found.alias("f"), same, "left").select(
-        *[field(c, "a") for c in terms],
-        F.when(field("must_exist", "a"), F.coalesce(equal, F.lit(False)))
-        .otherwise(equal.isNull())
-        .alias("holds"),
+    if few:
+        pairs = asked.select(ITEM, "cond_name").distinct()
+        state = state.join(F.broadcast(pairs), [ITEM, "cond_name"], "left_semi")
+    values = state.withColumnRenamed("value", "cond_value").withColumn("__hit", F.lit(True))
+    names = state.select(ITEM, "cond_name").distinct().withColumn("__hit", F.lit(True))
+    hit = F.col("__hit").isNotNull()
+    with_value = asked.where("must_exist").join(values, [ITEM, "cond_name", "cond_value"], "left")
+    without = asked.where("not must_exist").join(names, [ITEM, "cond_name"], "left")
+    return with_value.withColumn("holds", hit).drop("__hit").unionByName(
+        without.withColumn("holds", ~hit).drop("__hit")
     )
 
 
@@ -169,7 +172,7 @@ def conditional_put(
 
     Rejected incoming rows carry an ``error`` column. Items without a condition are put.
     """
-    failed = check_conditions(existing, conditions).where("not holds").select(ITEM).distinct()
+    failed = check_conditions(existing, conditions, few).where("not holds").select(ITEM).distinct()
     accepted = incoming.join(failed, ITEM, "left_anti")
     rejected = incoming.join(failed, ITEM, "left_semi").withColumn(
         "error", F.lit(CONDITION_FAILED)
@@ -193,8 +196,11 @@ def delete_attributes(existing: DataFrame, deletions: DataFrame, few: bool = Fal
     """
     all_values = deletions.where("value is null").select(ITEM, "name").distinct()
     one_value = deletions.where("value is not null").select(*LONG).distinct()
-    return existing.join(_hint(all_values, few), [ITEM, "name"], "left_anti").join(
-        _hint(one_value, few), list(LONG), "left_anti"
+    # Rows are unique in item, name and value, so the first join has no large groups. The
+    # second may, and is last: nothing relies on its partitioning, so adaptive execution
+    # is free to split them.
+    return existing.join(_hint(one_value, few), list(LONG), "left_anti").join(
+        _hint(all_values, few), [ITEM, "name"], "left_anti"
     )
 
 

@@ -52,14 +52,15 @@ def shard_counts(catalog: DataFrame) -> DataFrame:
         .when(F.col("found") < F.col("low"), F.lit(MISSING))
     )
     state = seen.select("table_name", F.col("low").alias("total"), problem.alias("problem"))
-    # The first number n such that n + 1 .. is not there: smallest number whose successor
-    # is absent, over the numbers and 0; only asked for tables that miss one.
-    incomplete = state.where(F.col("problem") == MISSING).select("table_name", "total")
-    wanted = incomplete.select(
-        "table_name", F.explode(F.sequence(F.lit(1), F.col("total"))).alias("number")
+    # Smallest number that is absent: the least successor of 0 or of a present number that
+    # is not itself present. No more candidates than names, whatever totals they claim.
+    incomplete = state.where(F.col("problem") == MISSING).select("table_name")
+    present = parts.join(incomplete, "table_name").select("table_name", "number")
+    candidates = present.select("table_name", (F.col("number") + 1).alias("number")).unionByName(
+        incomplete.select("table_name", F.lit(1).alias("number"))
     )
     gaps = (
-        wanted.join(parts, ["table_name", "number"], "left_anti")
+        candidates.join(present, ["table_name", "number"], "left_anti")
         .groupBy("table_name")
         .agg(F.min("number").alias("first_missing"))
     )

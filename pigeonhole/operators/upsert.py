@@ -15,6 +15,7 @@ from pigeonhole.columns import field
 from pigeonhole.scheme import Scheme, route
 
 ROUTING = ("item_hash", "shard")
+SLICED = (*ROUTING, "slice")
 
 
 def latest_by_key(
@@ -94,6 +95,43 @@ def merge_few(
     )
 
 
+def merge_sliced(
+    existing: DataFrame, incoming: DataFrame, key: str, null_deletes: bool = False
+) -> DataFrame:
+    """K1 in one shuffle, for rows that are to be written by shard and slice.
+
+    Both sides carry a ``slice`` (see :func:`pigeonhole.operators.maintenance.hash_slices`).
+    Their union is partitioned by shard and slice; the group-by on shard, slice and key is
+    satisfied by that, and so is a write that wants slices together. A key has at most one
+    old and one new row, and keys are spread evenly over slices by their hash.
+    """
+    fields = [c for c in existing.columns if c not in SLICED]
+    fields += [c for c in incoming.columns if c not in fields and c not in SLICED]
+    both = existing.withColumn("__new", F.lit(False)).unionByName(
+        incoming.withColumn("__new", F.lit(True)), allowMissingColumns=True
+    )
+    written = set(incoming.columns)
+
+    def pick(name: str) -> Column:
+        old = F.max(F.when(~F.col("__new"), field(name)))
+        if name not in written:
+            return old.alias(name)
+        new = F.max(F.when(F.col("__new"), field(name)))
+        if null_deletes:
+            return F.when(F.max("__new"), new).otherwise(old).alias(name)
+        return F.coalesce(new, old).alias(name)
+
+    return (
+        both.repartition("shard", "slice")
+        .groupBy("shard", "slice", field(key).alias(key))
+        .agg(
+            *[pick(c) for c in fields if c != key],
+            F.max("item_hash").alias("item_hash"),
+        )
+        .select(*[field(c) for c in fields], *SLICED)
+    )
+
+
 def settle(
     df: DataFrame,
     scheme: Scheme,

@@ -223,22 +223,26 @@ class _ShardedTable:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).select(*[quoted(f.name) for f in schema.fields])
 
-    def _write_version(self, rows: DataFrame, num_shards: int, shuffled: bool) -> dict[str, str]:
+    def _sliced(self, rows: DataFrame, num_shards: int) -> DataFrame:
+        """Routed rows with a ``slice``: about one slice of one shard per shuffle partition."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return maintenance.hash_slices(rows, num_shards, max(1, -(-partitions // num_shards)))
+
+    def _write_version(self, rows: DataFrame, num_shards: int, gather: bool) -> dict[str, str]:
         """Write routed rows under a new version; returns the shards that have rows.
 
-        ``shuffled`` gathers each hash slice of a shard in one place first. Rebalancing
-        lets adaptive execution merge small slices and split large ones into files of the
-        advisory size, so neither the shard count nor a large shard bounds parallelism.
+        ``gather`` brings each hash slice of a shard together first. Rebalancing lets
+        adaptive execution merge small slices and split large ones into files of the
+        advisory size, so neither the shard count nor a large shard, nor an item with very
+        many attribute values, bounds parallelism. Without it rows stay in the tasks they
+        are in.
         """
-        out = rows
-        if shuffled:
-            partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            num_slices = max(1, -(-partitions // num_shards))
-            out = maintenance.hash_slices(rows, num_shards, num_slices)
-            out = out.hint("rebalance", F.col("shard"), F.col("slice")).drop("slice")
+        if gather:
+            rows = self._sliced(rows, num_shards).hint("rebalance", F.col("shard"), F.col("slice"))
         version = f"r{uuid.uuid4().hex}"
         (
-            out.sortWithinPartitions("shard", "item_hash")
+            rows.drop("slice")
+            .sortWithinPartitions("shard", "item_hash")
             .write.partitionBy("shard")
             .parquet(self._data_path(version))
         )
@@ -252,7 +256,7 @@ class _ShardedTable:
         touched: Sequence[int] | None,
         fields: Sequence[str] | None = None,
         num_shards: int | None = None,
-        shuffled: bool = True,
+        gather: bool = True,
         unique: bool = False,
     ) -> None:
         """New version of the touched shards (all if None), then the next manifest.
@@ -261,7 +265,7 @@ class _ShardedTable:
         visible; the check reads and shuffles nothing but the key column.
         """
         count = num_shards or before.num_shards
-        new = self._write_version(rows, count, shuffled)
+        new = self._write_version(rows, count, gather)
         if unique and new:
             version = next(iter(new.values()))
             key_only = T.StructType([T.StructField(before.key, T.StringType())])
@@ -448,8 +452,8 @@ class ItemTable(_ShardedTable):
         """Insert new keys, set the written attributes of present ones.
 
         Only shards that receive rows are read and written. Few incoming rows (checked
-        size) are broadcast and the table is not shuffled; otherwise both sides are
-        shuffled on the key once.
+        size) are broadcast and the table is not shuffled; otherwise one shuffle of both
+        sides serves the merge and the write.
         """
         before = self.manifest()
         scheme = scheme or self.scheme()
@@ -464,12 +468,14 @@ class ItemTable(_ShardedTable):
             if not order_by:
                 self._refuse_repeated(staged.rows, scheme.key)
             if staged.touched:
-                existing = self.rows(staged.touched)
-                combine = upsert.merge_few if staged.few else upsert.merge
-                merged = combine(existing, staged.rows, scheme.key, null_deletes)
-                self._publish_shards(
-                    before, merged, staged.touched, fields, shuffled=not staged.few
-                )
+                existing, incoming = self.rows(staged.touched), staged.rows
+                combine = upsert.merge_few
+                if not staged.few:
+                    existing = self._sliced(existing, before.num_shards)
+                    incoming = self._sliced(incoming, before.num_shards)
+                    combine = upsert.merge_sliced
+                merged = combine(existing, incoming, scheme.key, null_deletes)
+                self._publish_shards(before, merged, staged.touched, fields, gather=False)
 
     def delete_items(self, keys: DataFrame) -> None:
         """Remove the rows whose key is listed (one column)."""
@@ -482,7 +488,7 @@ class ItemTable(_ShardedTable):
                 F.broadcast(gone) if staged.few else gone, before.key, "left_anti"
             )
             if staged.touched:
-                self._publish_shards(before, left, staged.touched, shuffled=not staged.few)
+                self._publish_shards(before, left, staged.touched, gather=not staged.few)
 
     def reshard(self, num_shards: int) -> None:
         """The same rows over another number of shards."""
@@ -556,7 +562,9 @@ class AttributeTable(_ShardedTable):
         """
         failed_path = files.scratch_path(self.spark, "failed")
         with self._stage(self._routed(conditions)) as staged:
-            checked = attrs_ops.check_conditions(self.rows(staged.touched), staged.rows)
+            checked = attrs_ops.check_conditions(
+                self.rows(staged.touched), staged.rows, staged.few
+            )
             failed = checked.where("not holds").select(attrs_ops.ITEM).distinct()
             failed.write.parquet(failed_path)
         failed = self.spark.read.schema(f"{attrs_ops.ITEM} string").parquet(failed_path)
@@ -578,4 +586,4 @@ class AttributeTable(_ShardedTable):
         with self._stage(self._routed(change)) as staged:
             if staged.touched:
                 result = operation(self.rows(staged.touched), staged.rows, staged.few)
-                self._publish_shards(before, result, staged.touched, shuffled=not staged.few)
+                self._publish_shards(before, result, staged.touched, gather=not staged.few)
