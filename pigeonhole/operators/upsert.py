@@ -101,9 +101,10 @@ def merge_sliced(
     """K1 in one shuffle, for rows that are to be written by shard and slice.
 
     Both sides carry a ``slice`` (see :func:`pigeonhole.operators.maintenance.hash_slices`).
-    Their union is partitioned by shard and slice; the group-by on shard, slice and key is
-    satisfied by that, and so is a write that wants slices together. A key has at most one
-    old and one new row, and keys are spread evenly over slices by their hash.
+    Their union is partitioned by shard and slice; the group-by on shard, slice, hash and
+    key is satisfied by that, and so is a write that wants slices together, in the order
+    the group-by leaves them. A key has at most one old and one new row, and keys are
+    spread evenly over slices by their hash.
     """
     fields = [c for c in existing.columns if c not in SLICED]
     fields += [c for c in incoming.columns if c not in fields and c not in SLICED]
@@ -123,11 +124,8 @@ def merge_sliced(
 
     return (
         both.repartition("shard", "slice")
-        .groupBy("shard", "slice", field(key).alias(key))
-        .agg(
-            *[pick(c) for c in fields if c != key],
-            F.max("item_hash").alias("item_hash"),
-        )
+        .groupBy("shard", "slice", "item_hash", field(key).alias(key))
+        .agg(F.max("__new").alias("__touched"), *[pick(c) for c in fields if c != key])
         .select(*[field(c) for c in fields], *SLICED)
     )
 

@@ -19,7 +19,7 @@ from pigeonhole.functions import hashing
 
 NO_LIMIT = -1
 # Column names the storage layout uses itself.
-RESERVED = ("shard", "num_shards", "item_hash", "v")
+RESERVED = ("shard", "num_shards", "slice", "item_hash", "v")
 
 _QUOTED_OR_ITEM_NAME = re.compile(
     r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`|\bitemName\s*\(\s*\)""",

@@ -239,10 +239,11 @@ class _ShardedTable:
         """
         if gather:
             rows = self._sliced(rows, num_shards).hint("rebalance", F.col("shard"), F.col("slice"))
+        order = [c for c in ("shard", "slice", "item_hash") if c in rows.columns]
         version = f"r{uuid.uuid4().hex}"
         (
-            rows.drop("slice")
-            .sortWithinPartitions("shard", "item_hash")
+            rows.sortWithinPartitions(*order)
+            .drop("slice")
             .write.partitionBy("shard")
             .parquet(self._data_path(version))
         )
