@@ -29,12 +29,12 @@ _SALTS = 32
 
 
 def to_attributes(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Wide text rows to long form; null fields give no row."""
+    """Wide text rows to long form; null fields and null keys give no row."""
     return (
         df.unpivot(
             [field(key).alias(ITEM)], [field(f) for f in fields if f != key], "name", "value"
         )
-        .where("value is not null")
+        .where(f"value is not null and {ITEM} is not null")
         .select(*LONG)
     )
 
@@ -65,8 +65,11 @@ def item_form(
     Few items are that large (at most rows / ``max_values``), so their list stays small
     next to the data; it is joined under a salt so a huge item is spread already there.
     """
+    # Stated up front, the null check is the same on both sides of the join below, so
+    # Spark can reuse the exchange of the distinct.
+    attrs = attrs.select(*LONG).where(f"{ITEM} is not null")
     if not is_set:
-        attrs = attrs.select(*LONG).distinct()
+        attrs = attrs.distinct()
     large = (
         attrs.groupBy(ITEM)
         .agg(F.count("*").alias("__values"))

@@ -46,9 +46,14 @@ def single_by_key(df: DataFrame, key: str) -> DataFrame:
     grouped = df.groupBy(field(key).alias(key)).agg(
         F.count("*").alias("__rows"), *[F.first(field(c)).alias(c) for c in others]
     )
+    return grouped.select(_once(key), *[field(c) for c in others])
+
+
+def _once(key: str) -> Column:
+    """The key, or an error if ``__rows`` counts more than one row of it."""
     message = F.concat(F.lit("key occurs more than once in one write: "), field(key))
-    checked = F.when(F.col("__rows") == 1, field(key)).otherwise(F.raise_error(message))
-    return grouped.select(checked.alias(key), *[field(c) for c in others])
+    checked = F.when(F.col("__rows") <= 1, field(key)).otherwise(F.raise_error(message))
+    return checked.alias(key)
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -103,8 +108,9 @@ def merge_sliced(
     Both sides carry a ``slice`` (see :func:`pigeonhole.operators.maintenance.hash_slices`).
     Their union is partitioned by shard and slice; the group-by on shard, slice, hash and
     key is satisfied by that, and so is a write that wants slices together, in the order
-    the group-by leaves them. A key has at most one old and one new row, and keys are
-    spread evenly over slices by their hash.
+    the group-by leaves them. A key has at most one old and one new row (a second new one
+    fails the job), and keys are spread evenly over slices by their hash. Each side is
+    evaluated once.
     """
     fields = [c for c in existing.columns if c not in SLICED]
     fields += [c for c in incoming.columns if c not in fields and c not in SLICED]
@@ -125,8 +131,12 @@ def merge_sliced(
     return (
         both.repartition("shard", "slice")
         .groupBy("shard", "slice", "item_hash", field(key).alias(key))
-        .agg(F.max("__new").alias("__touched"), *[pick(c) for c in fields if c != key])
-        .select(*[field(c) for c in fields], *SLICED)
+        .agg(
+            F.count_if("__new").alias("__rows"), *[pick(c) for c in fields if c != key]
+        )
+        .select(
+            *[_once(key) if c == key else field(c) for c in fields], *SLICED
+        )
     )
 
 

@@ -261,6 +261,7 @@ ORACLES: dict[str, str] = {
             priority, props
           from {ORDERS} o full join {EVENTS} n on n.id = o.id)''', 'id')}""",
     "table_update": UPSERT,
+    "table_update_bulk": UPSERT,
     "table_update_ordered": f"select id, status, props from {EVENTS}",
     "replace_table": f"""
         select id, customer, status, priority, item_hash, shard from {routed(ORDERS, 'id')}""",

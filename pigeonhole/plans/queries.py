@@ -291,6 +291,14 @@ def table_update(spark, sf_dir):
     return store.write("orders", order_changes(spark, sf_dir), CHANGES, N).matching()
 
 
+def table_update_bulk(spark, sf_dir):
+    """The same in one pass over many changes, without staging them."""
+    store = fresh_store(spark)
+    store.write("orders", orders(spark, sf_dir), ORDERS, N)
+    changes = order_changes(spark, sf_dir)
+    return store.write("orders", changes, CHANGES, N, bulk=True).matching()
+
+
 def table_update_ordered(spark, sf_dir):
     """Upsert of repeated keys through files, into a new table and again into itself."""
     store = fresh_store(spark)
@@ -409,7 +417,7 @@ def to_item_map(spark, sf_dir):
 
 def item_parts(spark, sf_dir):
     """Items larger than the row bound come in parts; no value is lost or repeated."""
-    items = attrs_ops.item_form(order_attributes(spark, sf_dir), max_values=4, is_set=True)
+    items = attrs_ops.item_form(order_attributes(spark, sf_dir), max_values=12, is_set=True)
     return items.select("item_name", F.explode("attributes").alias("name", "values")).select(
         "item_name", "name", F.explode("values").alias("value")
     )
@@ -687,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "upsert_null_deletes": upsert_null_deletes,
     "upsert_dedup": upsert_dedup,
     "table_update": table_update,
+    "table_update_bulk": table_update_bulk,
     "table_update_ordered": table_update_ordered,
     "replace_table": replace_table,
     "keep_table": keep_table,

@@ -21,6 +21,9 @@ NO_LIMIT = -1
 # Column names the storage layout uses itself.
 RESERVED = ("shard", "num_shards", "slice", "item_hash", "v")
 
+# All text that a cast to an integer type accepts.
+INTEGER_TEXT = r"^[\s\p{Cntrl}]*[+-]?[0-9]+[\s\p{Cntrl}]*\z"
+
 _QUOTED_OR_ITEM_NAME = re.compile(
     r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`|\bitemName\s*\(\s*\)""",
     re.IGNORECASE | re.DOTALL,
@@ -132,12 +135,15 @@ def as_text(df: DataFrame, name: str) -> Column:
 
 def typed(df: DataFrame, schema: T.StructType, permissive: bool = False) -> DataFrame:
     """Text columns cast to the declared types; ``permissive`` turns bad text into null."""
-    cols = []
-    for f in schema.fields:
-        c = field(f.name)
-        c = c.try_cast(f.dataType) if permissive else c.cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    cast = _try_cast if permissive else Column.cast
+    return df.select(*[cast(field(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _try_cast(text: Column, data_type: T.DataType) -> Column:
+    """``try_cast``, which costs an exception per bad value: most of those are sorted out
+    by a pattern first where the target is an integer."""
+    value = text.try_cast(data_type)
+    return F.when(text.rlike(INTEGER_TEXT), value) if isinstance(data_type, T.IntegralType) else value
 
 
 def route(df: DataFrame, key: str, num_shards: int) -> DataFrame:

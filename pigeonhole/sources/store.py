@@ -155,6 +155,7 @@ class Store:
         mode: str = "update",
         order_by: Sequence[str] | None = None,
         null_deletes: bool = False,
+        bulk: bool = False,
     ) -> ItemTable:
         """The sink: ``update`` (default), ``replace`` or ``keep``; see :class:`ItemTable`."""
         if mode not in ("update", "replace", "keep"):
@@ -166,7 +167,7 @@ class Store:
         else:
             table = self.create(name, scheme, num_shards)
         if mode == "update":
-            table.update(df, scheme, order_by, null_deletes)
+            table.update(df, scheme, order_by, null_deletes, bulk)
         else:
             table.replace(df, scheme, num_shards, order_by)
         return table
@@ -449,12 +450,16 @@ class ItemTable(_ShardedTable):
         scheme: Scheme | None = None,
         order_by: Sequence[str] | None = None,
         null_deletes: bool = False,
+        bulk: bool = False,
     ) -> None:
         """Insert new keys, set the written attributes of present ones.
 
         Only shards that receive rows are read and written. Few incoming rows (checked
         size) are broadcast and the table is not shuffled; otherwise one shuffle of both
         sides serves the merge and the write.
+
+        ``bulk`` says the incoming rows are many and go to every shard: they are then not
+        staged to learn that, but evaluated once, inside that shuffle.
         """
         before = self.manifest()
         scheme = scheme or self.scheme()
@@ -465,6 +470,15 @@ class ItemTable(_ShardedTable):
         if not before.versions:
             self._publish_shards(before, incoming, None, fields, unique=not order_by)
             return
+        if bulk:
+            merged = upsert.merge_sliced(
+                self._sliced(self.rows(), before.num_shards),
+                self._sliced(incoming, before.num_shards),
+                scheme.key,
+                null_deletes,
+            )
+            self._publish_shards(before, merged, None, fields, gather=False)
+            return
         with self._stage(incoming) as staged:
             if not order_by:
                 self._refuse_repeated(staged.rows, scheme.key)
@@ -545,7 +559,12 @@ class AttributeTable(_ShardedTable):
 
     def put(self, puts: DataFrame) -> None:
         """See :func:`pigeonhole.operators.attributes.put_attributes`."""
-        self._apply(puts, attrs_ops.put_attributes)
+        before = self.manifest()
+        if before.versions:
+            self._apply(puts, attrs_ops.put_attributes)
+            return
+        rows = self._routed(puts.select(*attrs_ops.LONG).where("value is not null").distinct())
+        self._publish_shards(before, rows, None)
 
     def delete_items(self, items: DataFrame) -> None:
         """Remove the listed items (column ``item_name``)."""

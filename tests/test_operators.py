@@ -61,6 +61,17 @@ def test_typed_reading_of_bad_text(spark):
         typed(df, schema).collect()
 
 
+def test_permissive_integers_are_those_of_try_cast(spark):
+    from pyspark.sql import types as T
+
+    texts = ["1", " 2 ", "+3", "-4", "\t5\n", "\x1f6\x00", "", " ", "x", "1.5", "1e3", "--1", "+", "007",
+             "2147483648", "9" * 30, "1\n\n", "٣", "1 2", "2020-01-01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    schema = T.StructType([T.StructField("value", T.IntegerType())])
+    plain = [r[0] for r in df.select(F.col("value").try_cast("int")).collect()]
+    assert [r[0] for r in typed(df, schema, permissive=True).collect()] == plain
+
+
 # -- limits and counts -------------------------------------------------------------------
 
 

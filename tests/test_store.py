@@ -139,8 +139,8 @@ def test_repeated_keys_with_an_order(store, spark):
     assert table.read().where("key = 'a'").first()["p"] is None
 
 
-@pytest.mark.parametrize("few_bytes", [0, 1 << 30])
-def test_update_leaves_other_attributes_alone(store, spark, monkeypatch, few_bytes):
+@pytest.mark.parametrize("few_bytes,bulk", [(0, False), (1 << 30, False), (0, True)])
+def test_update_leaves_other_attributes_alone(store, spark, monkeypatch, few_bytes, bulk):
     monkeypatch.setattr(store_module, "FEW_BYTES", few_bytes)
     base = spark.range(200).select(
         F.concat(F.lit("k"), "id").alias("key"), F.lit("a").alias("p"), F.lit("b").alias("q")
@@ -151,7 +151,7 @@ def test_update_leaves_other_attributes_alone(store, spark, monkeypatch, few_byt
         F.when(F.col("id") % 2 == 0, "z").alias("p"),
         F.lit("n").alias("r"),
     )
-    table.update(new, Scheme(["key", "p", "r"], "key"))
+    table.update(new, Scheme(["key", "p", "r"], "key"), bulk=bulk)
     got = {r["key"]: (r["p"], r["q"], r["r"]) for r in table.read().collect()}
     assert len(got) == 250
     for i in range(250):
@@ -159,8 +159,12 @@ def test_update_leaves_other_attributes_alone(store, spark, monkeypatch, few_byt
         p = "z" if touched and i % 2 == 0 else ("a" if old else None)
         assert got[f"k{i}"] == (p, "b" if old else None, "n" if touched else None)
     assert table.rows().select("key").distinct().count() == 250
-    table.update(new, Scheme(["key", "p", "r"], "key"))
+    table.update(new, Scheme(["key", "p", "r"], "key"), bulk=bulk)
     assert table.read().count() == 250
+    number = table.manifest().number
+    with pytest.raises((ValueError, PySparkException), match="more than once"):
+        table.update(new.unionByName(new), Scheme(["key", "p", "r"], "key"), bulk=bulk)
+    assert table.manifest().number == number
 
 
 def test_update_rewrites_only_touched_shards(store, made, spark):
