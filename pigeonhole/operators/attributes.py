@@ -39,16 +39,19 @@ def to_attributes(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def to_wide(attrs: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+def to_wide(
+    attrs: DataFrame, key: str, fields: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
     """Long form to one row per item with the first value of every field.
 
     "First" is the smallest text. ``min`` combines before the shuffle, so neither a huge
-    item nor many copies of a value reach one task unreduced.
+    item nor many copies of a value reach one task unreduced. Columns in ``carry`` follow
+    from the item (its hash, its shard) and are kept.
     """
     names = [f for f in fields if f != key]
-    wide = attrs.groupBy(ITEM).pivot("name", names).agg(F.min("value"))
+    wide = attrs.groupBy(ITEM, *carry).pivot("name", names).agg(F.min("value"))
     return wide.select(
-        *[field(ITEM).alias(f) if f == key else field(f) for f in fields]
+        *[field(ITEM).alias(f) if f == key else field(f) for f in fields], *carry
     )
 
 

@@ -101,7 +101,11 @@ def merge_few(
 
 
 def merge_sliced(
-    existing: DataFrame, incoming: DataFrame, key: str, null_deletes: bool = False
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    null_deletes: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """K1 in one shuffle, for rows that are to be written by shard and slice.
 
@@ -110,7 +114,8 @@ def merge_sliced(
     key is satisfied by that, and so is a write that wants slices together, in the order
     the group-by leaves them. A key has at most one old and one new row (a second new one
     fails the job), and keys are spread evenly over slices by their hash. Each side is
-    evaluated once.
+    evaluated once. ``partitions`` is the number of shuffle partitions, if not the
+    session's.
     """
     fields = [c for c in existing.columns if c not in SLICED]
     fields += [c for c in incoming.columns if c not in fields and c not in SLICED]
@@ -128,8 +133,9 @@ def merge_sliced(
             return F.when(F.max("__new"), new).otherwise(old).alias(name)
         return F.coalesce(new, old).alias(name)
 
+    spread = ["shard", "slice"] if partitions is None else [partitions, "shard", "slice"]
     return (
-        both.repartition("shard", "slice")
+        both.repartition(*spread)
         .groupBy("shard", "slice", "item_hash", field(key).alias(key))
         .agg(
             F.count_if("__new").alias("__rows"), *[pick(c) for c in fields if c != key]

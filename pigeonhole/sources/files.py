@@ -35,6 +35,12 @@ def modified_millis(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(p).getModificationTime()
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, p = _open(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _open(spark, path)
     return fs.delete(p, True)

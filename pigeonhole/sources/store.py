@@ -41,6 +41,9 @@ FEW_BYTES = 64 * 1024 * 1024
 # Bytes assumed per row beside its text, when sizes are compared with FEW_BYTES.
 ROW_OVERHEAD = 200
 
+# Bytes on disk that one shuffle partition of a merge should hold.
+PARTITION_BYTES = 64 * 1024 * 1024
+
 ROUTING = T.StructType(
     [T.StructField("item_hash", T.StringType()), T.StructField("shard", T.IntegerType())]
 )
@@ -124,7 +127,8 @@ class Store:
     # -- M4, M7 ------------------------------------------------------------------------
 
     def tables(self) -> list[str]:
-        return [n for n in files.names(self.spark, self.root) if self.exists(n)]
+        found = files.names(self.spark, self.root)
+        return [n for n in found if n[0] not in "._" and self.exists(n)]
 
     def shards(self, limit: int | None = None) -> DataFrame:
         """M4: ``name`` of every shard of every table."""
@@ -224,11 +228,36 @@ class _ShardedTable:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).select(*[quoted(f.name) for f in schema.fields])
 
-    def _sliced(self, rows: DataFrame, num_shards: int) -> DataFrame:
-        """Routed rows with a ``slice``: about one slice of one shard per shuffle partition."""
-        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def _partitions(self, touched: Sequence[int] | None = None) -> int:
+        """Shuffle partitions for work on these shards: the session's number, or more where
+        that would give partitions of more than PARTITION_BYTES on disk."""
+        versions = self.manifest().versions.items()
+        size = sum(
+            files.size(self.spark, f"{self._data_path(v)}/shard={s}")
+            for s, v in versions
+            if touched is None or int(s) in touched
+        )
+        return max(
+            int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES)
+        )
+
+    @staticmethod
+    def _sliced(rows: DataFrame, num_shards: int, partitions: int) -> DataFrame:
+        """Routed rows with a ``slice``: about one slice of one shard per partition."""
         return maintenance.hash_slices(rows, num_shards, max(1, -(-partitions // num_shards)))
 
+    def _merged_slices(self, before, incoming, key, null_deletes, touched=None) -> DataFrame:
+        partitions = self._partitions(touched)
+        configured = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return upsert.merge_sliced(
+            self._sliced(self.rows(touched), before.num_shards, partitions),
+            self._sliced(incoming, before.num_shards, partitions),
+            key,
+            null_deletes,
+            # The session's own number stays open to adaptive coalescing.
+            partitions if partitions > configured else None,
+        )
+
     def _write_version(self, rows: DataFrame, num_shards: int, gather: bool) -> dict[str, str]:
         """Write routed rows under a new version; returns the shards that have rows.
 
@@ -239,7 +268,9 @@ class _ShardedTable:
         are in.
         """
         if gather:
-            rows = self._sliced(rows, num_shards).hint("rebalance", F.col("shard"), F.col("slice"))
+            partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            rows = self._sliced(rows, num_shards, partitions)
+            rows = rows.hint("rebalance", F.col("shard"), F.col("slice"))
         order = [c for c in ("shard", "slice", "item_hash") if c in rows.columns]
         version = f"r{uuid.uuid4().hex}"
         (
@@ -471,26 +502,22 @@ class ItemTable(_ShardedTable):
             self._publish_shards(before, incoming, None, fields, unique=not order_by)
             return
         if bulk:
-            merged = upsert.merge_sliced(
-                self._sliced(self.rows(), before.num_shards),
-                self._sliced(incoming, before.num_shards),
-                scheme.key,
-                null_deletes,
-            )
+            merged = self._merged_slices(before, incoming, scheme.key, null_deletes)
             self._publish_shards(before, merged, None, fields, gather=False)
             return
         with self._stage(incoming) as staged:
             if not order_by:
                 self._refuse_repeated(staged.rows, scheme.key)
-            if staged.touched:
-                existing, incoming = self.rows(staged.touched), staged.rows
-                combine = upsert.merge_few
-                if not staged.few:
-                    existing = self._sliced(existing, before.num_shards)
-                    incoming = self._sliced(incoming, before.num_shards)
-                    combine = upsert.merge_sliced
-                merged = combine(existing, incoming, scheme.key, null_deletes)
-                self._publish_shards(before, merged, staged.touched, fields, gather=False)
+            if not staged.touched:
+                return
+            if staged.few:
+                existing = self.rows(staged.touched)
+                merged = upsert.merge_few(existing, staged.rows, scheme.key, null_deletes)
+            else:
+                merged = self._merged_slices(
+                    before, staged.rows, scheme.key, null_deletes, staged.touched
+                )
+            self._publish_shards(before, merged, staged.touched, fields, gather=False)
 
     def delete_items(self, keys: DataFrame) -> None:
         """Remove the rows whose key is listed (one column)."""
@@ -541,9 +568,20 @@ class AttributeTable(_ShardedTable):
         """The values of one attribute of one item, one per row."""
         return attrs_ops.attribute_lookup(self._item_rows(item), item, name)
 
-    def wide(self, scheme: Scheme) -> DataFrame:
-        """One row per item, first value of each field of the scheme."""
-        return attrs_ops.to_wide(self.attributes(), scheme.key, scheme.fields)
+    def read(self, scheme: Scheme) -> DataFrame:
+        """One row per item, first value of each field of the scheme.
+
+        Only attributes of the scheme are read. Its query and limit apply to the wide rows.
+        """
+        rows = self.rows().where(F.col("name").isin(*scheme.attributes))
+        wide = attrs_ops.to_wide(
+            rows, scheme.key, scheme.fields, carry=[f.name for f in ROUTING.fields]
+        )
+        found = scheme.where(wide)
+        limited = scan.balanced_limit(
+            found, scheme.key, self.manifest().num_shards, scheme.limit
+        )
+        return scheme.project(limited)
 
     def stats(self) -> DataFrame:
         """M6 for every shard."""
@@ -566,6 +604,17 @@ class AttributeTable(_ShardedTable):
         rows = self._routed(puts.select(*attrs_ops.LONG).where("value is not null").distinct())
         self._publish_shards(before, rows, None)
 
+    def write(
+        self, df: DataFrame, scheme: Scheme, order_by: Sequence[str] | None = None
+    ) -> None:
+        """K1 for this layout: each written attribute of a row replaces its present values."""
+        if order_by:
+            rows = upsert.settle(df, scheme, self.manifest().num_shards, order_by)
+        else:
+            rows = upsert.single_by_key(scheme.encode(df), scheme.key)
+        puts = attrs_ops.to_attributes(rows, scheme.key, scheme.fields)
+        self.put(puts.withColumn("replace", F.lit(True)))
+
     def delete_items(self, items: DataFrame) -> None:
         """Remove the listed items (column ``item_name``)."""
         self._apply(items.select(attrs_ops.ITEM), attrs_ops.delete_items)

@@ -283,7 +283,7 @@ def test_attribute_table(store, spark, monkeypatch, few_bytes):
     assert rows_of(table) == sorted(
         [first[0], ("item1", "attr1", "w"), ("item1", "attr2", "v9"), ("item2", "a", "b")]
     )
-    wide = table.wide(Scheme(["id", "attr2", "other"], "id"))
+    wide = table.read(Scheme(["id", "attr2", "other"], "id"))
     assert as_set(wide.where("id = 'item1'")) == [("item1", "v9", None)]
     table.delete(spark.createDataFrame([("item1", "attr1", "w"), ("item2", "a", None)], LONG))
     assert rows_of(table) == sorted([first[0], ("item1", "attr2", "v9")])
@@ -294,6 +294,37 @@ def test_attribute_table(store, spark, monkeypatch, few_bytes):
         table.put(spark.createDataFrame([(None, "a", "b")], LONG))
 
 
+def test_rows_and_attributes_in_one_table(store, made, spark):
+    scheme = Scheme(["key", "rank", "value"], "key")
+    table = store.create_attributes("t", 5)
+    table.write(made(["key", "rank", "value", "extra"], 10), scheme)
+    assert total(table.stats(), "attribute_values_bytes") == 360
+    table.put(spark.createDataFrame([("key-value-1", "value", "a second")], LONG))
+    rows = {r["key"]: (r["rank"], r["value"]) for r in table.read(scheme).collect()}
+    assert len(rows) == 10 and rows["key-value-1"] == ("rank-value-1", "a second")
+    assert table.read(scheme.with_limit(10)).count() == 8
+    found = table.read(scheme.with_query("itemName() like '%-1' and rank like 'rank%'"))
+    assert [r["key"] for r in found.collect()] == ["key-value-1"]
+    late = spark.createDataFrame(
+        [("key-value-1", "x", 1), ("key-value-1", "y", 2)], "key string, value string, at int"
+    )
+    table.write(late, Scheme(["key", "value"], "key"), order_by=["at"])
+    assert [r["value"] for r in table.attribute("key-value-1", "value").collect()] == ["y"]
+    assert table.attribute("key-value-1", "rank").count() == 1
+    with pytest.raises(PySparkException, match="more than once"):
+        table.write(late, Scheme(["key", "value"], "key"))
+
+
+def test_partitions_grow_with_the_table(store, made, monkeypatch):
+    table = store.write("t", made(["key", "value"], 50), KV, 3)
+    assert table._partitions() == 8
+    monkeypatch.setattr(store_module, "PARTITION_BYTES", 100)
+    monkeypatch.setattr(store_module, "FEW_BYTES", 0)
+    assert table._partitions() > table._partitions([0]) > 8
+    table.update(made(["key", "value"], 60), KV)
+    assert as_set(table.read()) == as_set(made(["key", "value"], 60))
+
+
 def test_conditional_put(store, spark):
     table = store.create_attributes("attrs", 3)
     table.put(spark.createDataFrame([("item1", "attr1", "value1")], LONG))
