@@ -101,6 +101,12 @@ def item_form(
     )
 
 
+def of_items(attrs: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """The rows of those items that ``items`` lists once each in the column ``key``."""
+    wanted = items.select(field(key).alias(ITEM))
+    return attrs.join(wanted, ITEM, "left_semi")
+
+
 def attribute(attributes: Column, name: str) -> Column:
     """S4 on the item form: all values of one attribute, null if absent."""
     return F.try_element_at(attributes, F.lit(name))

@@ -293,6 +293,15 @@ ORACLES: dict[str, str] = {
         from (select item_name, name, name || '=' || string_agg(value, ',' order by value) as pair
           from {ATTRS} group by item_name, name)
         group by item_name""",
+    "select_items": f"""
+        with a as (select * from {ATTRS}),
+        f as (select item_name from a group by item_name
+          having min(value) filter (where name = 'flag') = 'A'
+            and min(value) filter (where name = 'state') <> 'F')
+        select item_name, 0::BIGINT as part, string_agg(pair, ';' order by name) as attributes
+        from (select item_name, name, name || '=' || string_agg(value, ',' order by value) as pair
+          from a where item_name in (select item_name from f) group by item_name, name)
+        group by item_name""",
     "item_parts": f"select * from {ATTRS}",
     "to_wide": f"""
         select item_name as id, min(value) filter (where name = 'flag') as flag,

@@ -415,6 +415,15 @@ def to_item_map(spark, sf_dir):
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 
+def select_items(spark, sf_dir):
+    """S2 with a predicate: whole bags of the items whose first flag and state match."""
+    attrs = order_attributes(spark, sf_dir)
+    scheme = Scheme(["id", "flag", "state"], "id", "flag = 'A' and state != 'F'")
+    found = scheme.where(attrs_ops.to_wide(attrs, scheme.key, scheme.fields))
+    items = attrs_ops.item_form(attrs_ops.of_items(attrs, found, scheme.key), is_set=True)
+    return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
+
+
 def item_parts(spark, sf_dir):
     """Items larger than the row bound come in parts; no value is lost or repeated."""
     items = attrs_ops.item_form(order_attributes(spark, sf_dir), max_values=12, is_set=True)
@@ -705,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "typed_permissive": typed_permissive,
     "to_long": to_long,
     "to_item_map": to_item_map,
+    "select_items": select_items,
     "item_parts": item_parts,
     "to_wide": to_wide,
     "first_value": first_value,

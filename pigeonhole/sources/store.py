@@ -321,9 +321,9 @@ class _ShardedTable:
 
     @staticmethod
     def _refuse_repeated(df: DataFrame, key: str) -> None:
-        repeated = upsert.repeated_keys(df, key).head(1)
-        if repeated:
-            raise ValueError(f"key occurs more than once in one write: {repeated[0][0]}")
+        repeated = upsert.repeated_keys(df, key).agg(F.min(field(key))).first()[0]
+        if repeated is not None:
+            raise ValueError(f"key occurs more than once in one write: {repeated}")
 
     @contextmanager
     def _stage(self, df: DataFrame) -> Iterator[_Staged]:
@@ -556,9 +556,12 @@ class AttributeTable(_ShardedTable):
         """All rows ``(item_name, name, value)``."""
         return self.rows().select(*attrs_ops.LONG)
 
-    def items(self) -> DataFrame:
-        """All items in item form."""
-        return attrs_ops.item_form(self.attributes(), is_set=True)
+    def items(self, scheme: Scheme | None = None) -> DataFrame:
+        """Items in item form; with a scheme, those matching its query and limit."""
+        rows = self.attributes()
+        if scheme is not None:
+            rows = attrs_ops.of_items(rows, self.read(scheme), scheme.key)
+        return attrs_ops.item_form(rows, is_set=True)
 
     def item(self, item: str) -> DataFrame:
         """S3: one item in item form, read from one shard."""

@@ -305,6 +305,8 @@ def test_rows_and_attributes_in_one_table(store, made, spark):
     assert table.read(scheme.with_limit(10)).count() == 8
     found = table.read(scheme.with_query("itemName() like '%-1' and rank like 'rank%'"))
     assert [r["key"] for r in found.collect()] == ["key-value-1"]
+    (item,) = table.items(scheme.with_query("itemName() like '%-1'")).collect()
+    assert item["attributes"]["value"] == ["a second", "value-value-1"]
     late = spark.createDataFrame(
         [("key-value-1", "x", 1), ("key-value-1", "y", 2)], "key string, value string, at int"
     )
