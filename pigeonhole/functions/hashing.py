@@ -77,10 +77,8 @@ def hash_position(unsigned: Column) -> Column:
 
 def text_position(item_hash: Column) -> Column:
     """:func:`hash_position` recovered from a stored item-hash text."""
-    magnitude = F.substring(item_hash, 2, HASH_DIGITS).cast("bigint")
-    return long_lit(SIGN_OFFSET) + F.when(
-        F.substring(item_hash, 1, 1) == "0", -magnitude
-    ).otherwise(magnitude)
+    sign = F.when(F.startswith(item_hash, F.lit("0")), long_lit(-1)).otherwise(long_lit(1))
+    return F.substring(item_hash, 2, HASH_DIGITS).cast("bigint") * sign + long_lit(SIGN_OFFSET)
 
 
 def shard_of_position(position: Column, num_shards: int) -> Column:
@@ -91,11 +89,13 @@ def shard_of_position(position: Column, num_shards: int) -> Column:
     ).cast("int")
 
 
-def slice_of_position(position: Column, num_shards: int, num_slices: int) -> Column:
+def slice_of_position(
+    position: Column, shard: Column, num_shards: int, num_slices: int
+) -> Column:
     """R2: which of ``num_slices`` equal hash ranges *inside its shard* a row falls into."""
     check_num_shards(num_shards)
     width = HASH_RANGE // num_shards
-    start = shard_of_position(position, num_shards).cast("bigint") * long_lit(width)
+    start = shard.cast("bigint") * long_lit(width)
     return F.least(
         int_div((position - start) * long_lit(num_slices), width), long_lit(num_slices - 1)
     ).cast("int")

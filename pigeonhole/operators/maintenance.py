@@ -29,7 +29,8 @@ def reshard(df: DataFrame, num_shards: int) -> DataFrame:
 def hash_slices(df: DataFrame, num_shards: int, num_slices: int) -> DataFrame:
     """R2: add ``slice``, one of ``num_slices`` equal hash ranges inside the row's shard."""
     position = hashing.text_position(F.col("item_hash"))
-    return df.withColumn("slice", hashing.slice_of_position(position, num_shards, num_slices))
+    index = hashing.slice_of_position(position, F.col("shard"), num_shards, num_slices)
+    return df.withColumn("slice", index)
 
 
 def by_slice(df: DataFrame, num_shards: int, num_slices: int) -> DataFrame:

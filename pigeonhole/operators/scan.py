@@ -126,9 +126,8 @@ def balanced_limit(df: DataFrame, key: str, num_shards: int, limit: int) -> Data
         return df
     num_slices = max(1, MAX_KEEP_ROWS // num_shards)
     position = hashing.text_position(F.col("item_hash"))
-    sliced = df.withColumn(
-        "__slice", hashing.slice_of_position(position, num_shards, num_slices)
-    )
+    index = hashing.slice_of_position(position, F.col("shard"), num_shards, num_slices)
+    sliced = df.withColumn("__slice", index)
     counts = sliced.groupBy("shard", "__slice").agg(F.count("*").alias("items"))
     totals = counts.groupBy("shard").agg(F.sum("items").alias("items"))
     quotas = shard_quotas(totals, num_shards, limit)

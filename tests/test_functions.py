@@ -46,7 +46,7 @@ def test_last_positions_are_clamped(spark):
     assert hashing.literal_shard("09531419", 100) == 99
     top = spark.range(2**32 - 200, 2**32).select(
         F.max(hashing.shard_of_position(F.col("id"), 100)),
-        F.max(hashing.slice_of_position(F.col("id"), 100, 7)),
+        F.max(hashing.slice_of_position(F.col("id"), F.lit(99), 100, 7)),
     )
     assert tuple(top.first()) == (99, 6)
 
