@@ -30,10 +30,14 @@ _SALTS = 32
 
 def to_attributes(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Wide text rows to long form; null fields and null keys give no row."""
+    names = [field(f) for f in fields if f != key]
+    if not names:
+        nothing = F.lit(None).cast("string")
+        return df.select(
+            field(key).alias(ITEM), nothing.alias("name"), nothing.alias("value")
+        ).where(F.lit(False))
     return (
-        df.unpivot(
-            [field(key).alias(ITEM)], [field(f) for f in fields if f != key], "name", "value"
-        )
+        df.unpivot([field(key).alias(ITEM)], names, "name", "value")
         .where(f"value is not null and {ITEM} is not null")
         .select(*LONG)
     )
@@ -49,14 +53,20 @@ def to_wide(
     from the item (its hash, its shard) and are kept.
     """
     names = [f for f in fields if f != key]
-    wide = attrs.groupBy(ITEM, *carry).pivot("name", names).agg(F.min("value"))
+    if names:
+        wide = attrs.groupBy(ITEM, *carry).pivot("name", names).agg(F.min("value"))
+    else:
+        wide = attrs.select(ITEM, *carry).distinct()
     return wide.select(
         *[field(ITEM).alias(f) if f == key else field(f) for f in fields], *carry
     )
 
 
 def item_form(
-    attrs: DataFrame, max_values: int = MAX_ROW_VALUES, is_set: bool = False
+    attrs: DataFrame,
+    max_values: int = MAX_ROW_VALUES,
+    is_set: bool = False,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """One row ``(item_name, part, attributes)`` per item, values sorted.
 
@@ -64,6 +74,9 @@ def item_form(
     0, 1, ..., each with about that many values; every other item is one row with part 0.
     Nothing is dropped, and no task has to hold more than ``max_values`` or so values of
     an item. ``is_set`` skips removing repeated rows, for input known to have none.
+    ``among`` (one column, items listed once) restricts the result to these items; item
+    sizes are counted before that join, so nothing relies on its partitioning and adaptive
+    execution may split a huge item in it.
 
     Few items are that large (at most rows / ``max_values``), so their list stays small
     next to the data; it is joined under a salt so a huge item is spread already there.
@@ -83,6 +96,8 @@ def item_form(
             F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("__salt"),
         )
     )
+    if among is not None:
+        attrs = attrs.join(among.toDF(ITEM), ITEM, "left_semi")
     spread = F.xxhash64("name", "value")
     placed = (
         attrs.withColumn("__salt", F.pmod(spread, F.lit(_SALTS)).cast("int"))
@@ -101,12 +116,6 @@ def item_form(
     )
 
 
-def of_items(attrs: DataFrame, items: DataFrame, key: str) -> DataFrame:
-    """The rows of those items that ``items`` lists once each in the column ``key``."""
-    wanted = items.select(field(key).alias(ITEM))
-    return attrs.join(wanted, ITEM, "left_semi")
-
-
 def attribute(attributes: Column, name: str) -> Column:
     """S4 on the item form: all values of one attribute, null if absent."""
     return F.try_element_at(attributes, F.lit(name))

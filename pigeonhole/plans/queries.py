@@ -419,8 +419,8 @@ def select_items(spark, sf_dir):
     """S2 with a predicate: whole bags of the items whose first flag and state match."""
     attrs = order_attributes(spark, sf_dir)
     scheme = Scheme(["id", "flag", "state"], "id", "flag = 'A' and state != 'F'")
-    found = scheme.where(attrs_ops.to_wide(attrs, scheme.key, scheme.fields))
-    items = attrs_ops.item_form(attrs_ops.of_items(attrs, found, scheme.key), is_set=True)
+    found = scheme.where(attrs_ops.to_wide(attrs, scheme.key, scheme.fields)).select("id")
+    items = attrs_ops.item_form(attrs, is_set=True, among=found)
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 

@@ -57,9 +57,11 @@ class Scheme:
             raise ValueError(f"a scheme has exactly one key field, got {list(keys)}")
         if keys[0] not in names:
             raise ValueError(f"key field {keys[0]!r} is not among the scheme fields")
-        if len(set(names)) != len(names):
-            raise ValueError("scheme fields must be distinct")
-        clash = sorted(set(names) & set(RESERVED))
+        # Spark resolves column names without regard to case.
+        lower = [n.lower() for n in names]
+        if len(set(lower)) != len(names):
+            raise ValueError("scheme fields must differ in more than case")
+        clash = sorted(set(lower) & set(RESERVED))
         if clash:
             raise ValueError(f"reserved field names: {clash}")
         object.__setattr__(self, "fields", names)

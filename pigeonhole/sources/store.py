@@ -438,6 +438,12 @@ class ItemTable(_ShardedTable):
         rows = scan.item_lookup(self.rows([shard]), manifest.key, value, manifest.num_shards)
         return self.scheme().project(rows)
 
+    def lookup_all(self, keys: DataFrame) -> DataFrame:
+        """S3 for a table of keys (one column): a few keys prune shards while running."""
+        manifest = self.manifest()
+        rows = scan.items_lookup(self.rows(), manifest.key, keys, manifest.num_shards)
+        return self.scheme().project(rows)
+
     def count(self, query: str | Column | None = None, limit: int = -1) -> DataFrame:
         """A1/A2: one row ``items``."""
         return scan.count_items(self.scheme().where(self.rows(), query), limit)
@@ -558,10 +564,8 @@ class AttributeTable(_ShardedTable):
 
     def items(self, scheme: Scheme | None = None) -> DataFrame:
         """Items in item form; with a scheme, those matching its query and limit."""
-        rows = self.attributes()
-        if scheme is not None:
-            rows = attrs_ops.of_items(rows, self.read(scheme), scheme.key)
-        return attrs_ops.item_form(rows, is_set=True)
+        among = None if scheme is None else self.read(scheme).select(field(scheme.key))
+        return attrs_ops.item_form(self.attributes(), is_set=True, among=among)
 
     def item(self, item: str) -> DataFrame:
         """S3: one item in item form, read from one shard."""
@@ -574,11 +578,11 @@ class AttributeTable(_ShardedTable):
     def read(self, scheme: Scheme) -> DataFrame:
         """One row per item, first value of each field of the scheme.
 
-        Only attributes of the scheme are read. Its query and limit apply to the wide rows.
+        Query and limit of the scheme apply to the wide rows. Items that have none of the
+        fields are rows of nulls.
         """
-        rows = self.rows().where(F.col("name").isin(*scheme.attributes))
         wide = attrs_ops.to_wide(
-            rows, scheme.key, scheme.fields, carry=[f.name for f in ROUTING.fields]
+            self.rows(), scheme.key, scheme.fields, carry=[f.name for f in ROUTING.fields]
         )
         found = scheme.where(wide)
         limited = scan.balanced_limit(

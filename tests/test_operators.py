@@ -30,6 +30,8 @@ def test_scheme_checks():
         Scheme(["a", "shard"], "a")
     with pytest.raises(ValueError):
         Scheme(["a", "a"], "a")
+    with pytest.raises(ValueError):
+        Scheme(["a", "A"], "a")
     with pytest.raises(ValueError):
         KV.with_query("  where key = 'a'")
     assert KV.with_query(" a = 'b' ").query == "a = 'b'"

@@ -175,6 +175,19 @@ def test_update_rewrites_only_touched_shards(store, made, spark):
     assert sum(before[s] != after[s] for s in before) == 1
     assert table.read().count() == 100
     assert as_set(table.lookup("key-value-5")) == [("key-value-5", "new")]
+    wanted = spark.createDataFrame([("key-value-5",), ("none",), ("key-value-7",)], "k string")
+    assert as_set(table.lookup_all(wanted)) == [
+        ("key-value-5", "new"),
+        ("key-value-7", "value-value-7"),
+    ]
+
+
+def test_a_table_of_keys_only(store, made):
+    scheme = Scheme(["key"], "key")
+    store.write("t", made(["key", "value"], 10), scheme, 3)
+    table = store.write("t", made(["key"], 12), scheme, 3)
+    assert table.read().count() == 12
+    assert total(table.stats(), "attribute_values") == 12
 
 
 def test_deleting_the_last_row_of_a_shard(store, made):
@@ -305,6 +318,10 @@ def test_rows_and_attributes_in_one_table(store, made, spark):
     assert table.read(scheme.with_limit(10)).count() == 8
     found = table.read(scheme.with_query("itemName() like '%-1' and rank like 'rank%'"))
     assert [r["key"] for r in found.collect()] == ["key-value-1"]
+    table.put(spark.createDataFrame([("lone", "other", "1")], LONG))
+    assert as_set(table.read(scheme).where("key = 'lone'")) == [("lone", None, None)]
+    assert table.read(Scheme(["key"], "key")).count() == 11
+    table.delete_items(spark.createDataFrame([("lone",)], "item_name string"))
     (item,) = table.items(scheme.with_query("itemName() like '%-1'")).collect()
     assert item["attributes"]["value"] == ["a second", "value-value-1"]
     late = spark.createDataFrame(
