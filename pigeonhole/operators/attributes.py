@@ -134,21 +134,29 @@ def attribute_lookup(attrs: DataFrame, item: str, name: str) -> DataFrame:
 # -- puts ------------------------------------------------------------------------------
 
 
-def put_attributes(existing: DataFrame, incoming: DataFrame, few: bool = False) -> DataFrame:
+def put_attributes(
+    existing: DataFrame,
+    incoming: DataFrame,
+    few: bool = False,
+    refused: DataFrame | None = None,
+) -> DataFrame:
     """Add attribute values of many items.
 
     A boolean column ``replace`` in ``incoming`` marks values that take the place of all
     present values of their item and name; unmarked ones (or all, without the column) are
     added to them. ``few`` says the caller has checked that ``incoming`` is small: it is
-    then broadcast and the existing rows are not shuffled.
+    then broadcast and the existing rows are not shuffled. Incoming rows of the items listed
+    in ``refused`` are left out; that join comes after the pairs to replace are made
+    distinct, so no aggregate relies on its partitioning.
     """
     # Beside LONG, columns that follow from the item (its hash, its shard) are carried along.
     shared = [c for c in existing.columns if c in incoming.columns]
     incoming = incoming.where("value is not null")
-    put = incoming.select(*shared)
+    put = _without(incoming.select(*shared), refused, few)
     kept = existing.select(*shared)
     if "replace" in incoming.columns:
         replaced = incoming.where("replace").select(ITEM, "name").distinct()
+        replaced = _without(replaced, refused, few)
         kept = kept.join(_hint(replaced, few), [ITEM, "name"], "left_anti")
     if not few:
         return kept.unionByName(put).distinct()
@@ -192,13 +200,13 @@ def conditional_put(
     """K9: put only items all of whose conditions hold; (new state, rejected rows).
 
     Rejected incoming rows carry an ``error`` column. Items without a condition are put.
+    ``few`` says the caller has checked that both ``incoming`` and ``conditions`` are small.
     """
     failed = check_conditions(existing, conditions, few).where("not holds").select(ITEM).distinct()
-    accepted = incoming.join(failed, ITEM, "left_anti")
-    rejected = incoming.join(failed, ITEM, "left_semi").withColumn(
+    rejected = incoming.join(_hint(failed, few), ITEM, "left_semi").withColumn(
         "error", F.lit(CONDITION_FAILED)
     )
-    return put_attributes(existing, accepted, few), rejected
+    return put_attributes(existing, incoming, few, failed), rejected
 
 
 # -- deletes ---------------------------------------------------------------------------
@@ -225,5 +233,9 @@ def delete_attributes(existing: DataFrame, deletions: DataFrame, few: bool = Fal
     )
 
 
+def _without(df: DataFrame, items: DataFrame | None, few: bool) -> DataFrame:
+    return df if items is None else df.join(_hint(items, few), ITEM, "left_anti")
+
+
 def _hint(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
