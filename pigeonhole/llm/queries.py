@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pigeonhole.llm import packing
+from pigeonhole.llm import packing, sentencepieces
 from pigeonhole.llm.tables import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_sentencepiece(spark, sf_dir):
+    path = tokenizer("piece_bpe_32k.model")
+    decoded = sentencepieces.decode(sentencepieces.encode(given(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(given(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -26,6 +38,7 @@ def op10_packing(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_sentencepiece,
         op10_packing,
     )
 }
