@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import packing, sentencepieces
-from pigeonhole.llm.tables import given
+from pigeonhole.llm import packing, quality, sentencepieces, toxicity
+from pigeonhole.llm.tables import given, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark, sf_dir):
+    docs, rest = given(spark, sf_dir, "documents"), remainder("doc_id", 3)
+    model = quality.fit(docs, given(spark, sf_dir, "labels"), rest != 1)
+    return quality.score(docs, model).select(
+        "doc_id",
+        (rest == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op2_sentencepiece(spark, sf_dir):
     path = tokenizer("piece_bpe_32k.model")
     decoded = sentencepieces.decode(sentencepieces.encode(given(spark, sf_dir, "documents"), path), path)
@@ -31,6 +42,17 @@ def op2_sentencepiece(spark, sf_dir):
     )
 
 
+def op5_toxicity(spark, sf_dir):
+    docs, rest = given(spark, sf_dir, "documents"), remainder("doc_id", 4)
+    model = toxicity.fit(docs, given(spark, sf_dir, "labels"), rest != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (rest == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(given(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -38,7 +60,9 @@ def op10_packing(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_quality,
         op2_sentencepiece,
+        op5_toxicity,
         op10_packing,
     )
 }

@@ -31,7 +31,7 @@ from pigeonhole.llm.text import flat, mix, pieces
 MARK = 0x2581
 _NONE = np.int32(2**31 - 1)
 #: Larger pieces of a batch repeat more units; the arrays take some forty times this.
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 4 << 20
 
 
 def _code_points(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

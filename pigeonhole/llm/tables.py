@@ -2,14 +2,39 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import pigeonhole
 from pigeonhole.sources import files
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this library to the Python workers, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or not os.path.isdir(os.path.dirname(pigeonhole.__file__)):
+        return
+    top = os.path.dirname(os.path.abspath(pigeonhole.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="pigeonhole-code-"), "pigeonhole_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -27,4 +52,5 @@ def remainder(key: str, by: int) -> Column:
 
 def texts(docs: DataFrame) -> DataFrame:
     """Only id and text, under those names, whatever else a table holds."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
