@@ -1,7 +1,7 @@
 """Toxicity: boosted trees over dense features, with isotonic calibration (operator 5).
 
 The lexicon is learned: from a bounded sample of labelled rows, words and four-character word
-beginnings that are far commoner in toxic texts. Entries fall into tiers by the share of toxic
+beginnings that are far commoner in toxic texts, beside a short list of common insults. Entries fall into tiers by the share of toxic
 texts that have them. Features of a text are the densities and counts of each tier, how near
 entries stand to second-person words, and rates of capitals, punctuation, symbols and masked
 letters. The sample is dealt into three parts; each part's features use the lexicon of the
@@ -28,9 +28,12 @@ from pigeonhole.llm import trees
 from pigeonhole.llm.features import SECOND, Terms, dense, hash_words, per_doc
 from pigeonhole.llm.samples import SAMPLE_ROWS, labelled
 from pigeonhole.llm.tables import texts, written
-from pigeonhole.llm.text import flat, pieces, signed
+from pigeonhole.llm.text import Words, flat, pieces, rolling, runs, signed, starts_within
 
 PARTS = 3
+#: Insults that are entries whatever the sample shows (fixed values).
+BASE = ("idiot", "idiots", "moron", "morons", "stupid", "dumb", "loser", "losers", "scum", "trash", "garbage", "pathetic", "worthless",
+        "disgusting", "clown", "fool", "imbecile", "jerk", "crap", "bastard", "bitch", "asshole", "shit", "fuck", "fucking")
 #: Entries of a lexicon at most; the strongest stay.
 ENTRIES = 4_000
 #: Share of toxic texts that have an entry, from which it is in the first, second, third tier.
@@ -64,24 +67,39 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, d = _tokens(Terms(*flat(piece.column("text"))))
         order = np.lexsort((h, d))
         h, d = h[order], d[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+        new = runs(h, d)
         h, d = h[new], d[new]
-        y, part = piece.column("y").to_numpy(), piece.column("part").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(part[d]), pa.array(y[d].astype(np.int64))], ["h", "part", "y"])
+        columns = [pa.array(signed(h)), *(piece.column(c).take(pa.array(d)) for c in ("kin", "part", "y"))]
+        yield pa.RecordBatch.from_arrays(columns, ["h", "kin", "part", "y"])
+
+
+def _kin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the least hash of a text's word triples, which near copies mostly share."""
+    for piece in pieces(batches):
+        words = Words(*flat(piece.column("text")))
+        at, doc = starts_within(words.of_doc, 3)
+        least = np.full(piece.num_rows, np.uint64(2**64 - 1))
+        np.minimum.at(least, doc, rolling(words.hashes(), 3)[at])
+        columns = [piece.column(c) for c in ("doc_id", "text", "y")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(signed(least))], ["doc_id", "text", "y", "kin"])
 
 
 def _lexicon(counts: DataFrame, toxic: int, clean: int) -> Lexicon:
     """The entries of summed counts (h, t, c) that stand for toxic texts."""
+    base = hash_words(BASE)
     if not toxic:
-        return Lexicon(np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0))
+        return Lexicon(np.sort(base), np.zeros(len(base), int), np.full(len(base), 3.0))
     weight = F.log((F.col("t") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(clean + 1.0))
     strong = counts.where("t >= 3").withColumn("w", weight).where("w > 2")
     rows = strong.orderBy(F.desc(F.col("t") * F.col("w")), "h").limit(ENTRIES).collect()
     keys = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
-    share, order = np.array([r["t"] / toxic for r in rows]), np.argsort(keys)
-    tier = sum((share < t).astype(int) for t in TIERS[:-1]) if len(rows) else np.zeros(0, int)
-    return Lexicon(keys[order], np.asarray(tier)[order], np.array([r["w"] for r in rows])[order])
+    share = np.array([r["t"] / toxic for r in rows])
+    fresh = ~np.isin(keys, base)
+    keys = np.concatenate([base, keys[fresh]])
+    tier = np.concatenate([np.zeros(len(base), int), sum((share < t).astype(int) for t in TIERS[:-1])[fresh]])
+    weight = np.concatenate([np.full(len(base), 3.0), np.array([r["w"] for r in rows])[fresh]])
+    order = np.argsort(keys)
+    return Lexicon(keys[order], tier[order], weight[order])
 
 
 _SECOND = np.sort(hash_words(SECOND))
@@ -130,10 +148,13 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> Model:
     """Learn from the labelled documents for which ``usable`` (over doc_id) holds."""
-    sample = labelled(docs, labels, "toxic", usable, rows).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int"))
-    sample = written(sample, "toxic-sample")
-    of = {(r["part"], r["y"]): r["n"] for r in sample.groupBy("part", "y").agg(F.count("*").alias("n")).collect()}
-    counts = sample.mapInArrow(_count, "h bigint, part int, y bigint").groupBy("h", "part")
+    sample = labelled(docs, labels, "toxic", usable, rows).select("doc_id", "text", "y")
+    sample = sample.mapInArrow(_kin, "doc_id bigint, text string, y int, kin bigint")
+    sample = written(sample.withColumn("part", F.pmod(F.xxhash64("kin"), F.lit(PARTS)).cast("int")), "toxic-sample")
+    kinds = sample.select("kin", "part", "y").distinct()
+    of = {(r["part"], r["y"]): r["n"] for r in kinds.groupBy("part", "y").agg(F.count("*").alias("n")).collect()}
+    # Near copies count once: an entry's support is the number of kinds of texts that have it.
+    counts = sample.mapInArrow(_count, "h bigint, kin bigint, part int, y int").distinct().groupBy("h", "part")
     counts = written(counts.agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")), "toxic-terms")
     lexicons = []
     for part in range(PARTS + 1):  # the last one is of all parts
