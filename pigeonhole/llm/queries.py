@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import packing, quality, sentencepieces, toxicity
+from pigeonhole.llm import language, packing, quality, sentencepieces, toxicity
 from pigeonhole.llm.tables import given, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op5_toxicity(spark, sf_dir):
     )
 
 
+def op7_language(spark, sf_dir):
+    docs, rest = given(spark, sf_dir, "documents"), remainder("doc_id", 5)
+    found = language.predict(docs, language.fit(docs, rest != 0))
+    return found.select("doc_id", (rest == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(given(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -63,6 +69,7 @@ QUERIES: dict[str, Query] = {
         op1_quality,
         op2_sentencepiece,
         op5_toxicity,
+        op7_language,
         op10_packing,
     )
 }

@@ -39,8 +39,10 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of batches in pieces whose texts have about ``limit`` bytes at most."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES, rows: int = 1 << 30
+) -> Iterator[pa.RecordBatch]:
+    """All rows of batches in pieces of up to ``rows``, whose texts have about ``limit`` bytes at most."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -48,7 +50,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(at, at[start] + limit, "right")) - 1
-            stop = min(max(stop, start + 1), batch.num_rows)
+            stop = min(max(stop, start + 1), start + rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
 
