@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import language, packing, quality, sentencepieces, toxicity
+from pigeonhole.llm import language, nearest, packing, quality, sentencepieces, topk, toxicity
 from pigeonhole.llm.tables import given, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op2_sentencepiece(spark, sf_dir):
     )
 
 
+def op4_top_k(spark, sf_dir):
+    return topk.top_k(given(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark, sf_dir):
     docs, rest = given(spark, sf_dir, "documents"), remainder("doc_id", 4)
     model = toxicity.fit(docs, given(spark, sf_dir, "labels"), rest != 2)
@@ -59,6 +63,10 @@ def op7_language(spark, sf_dir):
     return found.select("doc_id", (rest == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_nearest(spark, sf_dir):
+    return nearest.nearest(given(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(given(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -68,9 +76,28 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality,
         op2_sentencepiece,
+        op4_top_k,
         op5_toxicity,
         op7_language,
+        op8_nearest,
         op10_packing,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+            from embeddings
+            where embedding is not null
+              and list_aggregate(list_transform(embedding, lambda x: coalesce(isfinite(x), false)::int), 'min') = 1
+        )
+        select q.vec_id as query_id, r.rank::int as rank, r.vec_id, r.score::bigint as score
+        from (select * from v where vec_id % 100 = 0) q,
+        lateral (
+            select c.vec_id, s.score, row_number() over (order by s.score desc, c.vec_id) as rank
+            from v c, lateral (select list_inner_product(q.v, c.v) as score) s
+            where c.vec_id <> q.vec_id
+            qualify rank <= 10
+        ) r
+    """,
+}
