@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import language, nearest, packing, quality, sentencepieces, topk, toxicity
+from pigeonhole.llm import language, nearest, packing, quality, sentencepieces, topk, toxicity, windows
 from pigeonhole.llm.tables import given, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op2_sentencepiece(spark, sf_dir):
     )
 
 
+def op3_substring_dedup(spark, sf_dir):
+    return windows.dedup(given(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n").alias("n_words"), "n_removed", F.col("kept_sha").alias("kept_sha256")
+    )
+
+
 def op4_top_k(spark, sf_dir):
     return topk.top_k(given(spark, sf_dir, "embeddings"))
 
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality,
         op2_sentencepiece,
+        op3_substring_dedup,
         op4_top_k,
         op5_toxicity,
         op7_language,
