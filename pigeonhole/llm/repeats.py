@@ -182,33 +182,56 @@ class Repeats:
         #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, start, count, contents.
         self.open = matched.where("doc_id = first_id and contents is not null").drop("first_id")
 
-    def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], extra: str = "") -> DataFrame:
-        """doc_id, n, n_removed, the extra columns, kept and kept_sha of every document.
+    def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str) -> DataFrame:
+        """doc_id, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
 
         ``removed`` has row, start and count of the windows that repeat. ``cut`` maps batches
         of doc_id, sha, first, n, text and spans to the result columns, sha and first.
         ``kept`` is null where nothing was removed.
         """
         spans = removed.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
-        open_ = self.judged.where("text is not null").join(spans, "row", "left").drop("row")
-        schema = f"doc_id bigint, sha binary, first boolean, n bigint, n_removed bigint, {extra}kept string, kept_sha string"
+        spans = written(spans, "removed-spans")
+
+        def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+            for b in batches:
+                yield b.column("row").to_numpy().astype(np.uint64)
+
+        # Texts that surely keep everything need not travel to the join.
+        some = self.context.broadcast(sketch.build(spans.select("row"), changed, WHOLE_BITS, 1, (1,)))
+
+        schema = "doc_id bigint, sha binary, first boolean, n bigint, n_removed bigint, n_spans bigint, kept " + kind + ", kept_sha string"
+        kept_columns = ["doc_id", "sha", "first", "n", "text", "row"]
+
+        def those(maybe: bool):
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    mask = some.value.at_least(b.column("row").to_numpy().astype(np.uint64))
+                    if (mask == maybe).any():
+                        yield b.filter(pa.array(mask == maybe))
+
+            return run
+
+        full = self.judged.where("text is not null").select(kept_columns)
+        open_ = full.mapInArrow(those(True), full.schema).join(spans, "row", "left")
         done = open_.select("doc_id", "sha", "first", "n", "text", "spans").mapInArrow(cut, schema)
-        names = [f.name for f in done.schema]
-        untouched = {
-            "n_removed": F.lit(0).cast("bigint"), "n_spans": F.lit(0).cast("bigint"),
-            "kept": F.lit(None).cast("string"), "kept_sha": F.lower(F.hex("sha")),
-        }
-        shut = self.judged.where("text is null").withColumns({c: v for c, v in untouched.items() if c in names})
-        done = done.unionByName(shut.select(names))
-        done = written(done, "first-results")
+        narrow = self.judged.select("doc_id", "sha", "first", "n", "row", F.col("text").isNull().alias("shut"))
+        same = narrow.where("not shut").drop("shut")
+        shut = narrow.where("shut").drop("shut").unionByName(same.mapInArrow(those(False), same.schema))
+        shut = shut.drop("row").withColumns(
+            {
+                "n_removed": F.lit(0).cast("bigint"), "n_spans": F.lit(0).cast("bigint"),
+                "kept": F.lit(None).cast(kind), "kept_sha": F.lower(F.hex("sha")),
+            }
+        )
+        done = written(done.unionByName(shut), "first-results")
         alone = done.where("not first").drop("sha", "first")
         of_first = done.where("first").withColumnRenamed("doc_id", "first_id").drop("first")
         both = self.maybe.select("doc_id", "sha").join(of_first, "sha")
         copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n") >= WINDOW)
         # A copy's own windows all repeat; one that is too short for a window keeps everything.
         all_gone = {
-            "n_removed": F.col("n"), "n_spans": F.lit(1).cast("bigint"), "kept": F.lit(""),
+            "n_removed": F.col("n"), "n_spans": F.lit(1).cast("bigint"), "kept": F.lit("").cast(kind),
             "kept_sha": F.sha2(F.lit("").cast("binary"), 256),
         }
-        both = both.withColumns({c: F.when(copy, v).otherwise(F.col(c)) for c, v in all_gone.items() if c in names})
+        both = both.withColumns({c: F.when(copy, v).otherwise(F.col(c)) for c, v in all_gone.items()})
         return alone.unionByName(both.drop("sha", "first_id"))

@@ -28,6 +28,13 @@ class Sketch:
     def __init__(self, bits: int, rows: int, thresholds: tuple[int, ...], maps: dict[tuple[int, int], np.ndarray]):
         self.bits, self.rows, self.thresholds, self.maps = bits, rows, thresholds, maps
 
+    def __getstate__(self) -> dict:
+        # Most bits are unset: a broadcast, of which each executor holds a file, is packed.
+        return self.__dict__ | {"maps": {k: zlib.compress(m.tobytes(), 1) for k, m in self.maps.items()}}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state | {"maps": {k: np.frombuffer(zlib.decompress(m), np.uint8) for k, m in state["maps"].items()}}
+
     def at_least(self, hashes: np.ndarray, level: int = 0) -> np.ndarray:
         """Whether each hash is estimated to have ``thresholds[level]`` occurrences or more."""
         out = np.ones(len(hashes), bool)

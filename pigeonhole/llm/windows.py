@@ -69,12 +69,12 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         texts, spans = piece.column("text").to_pylist(), piece.column("spans")
-        removed, kept, shas = [], [], []
+        removed, spans_, kept, shas = [], [], [], []
         for k, text in enumerate(texts):
             words = text.encode().split()
             own = spans[k].values
             if own is None or len(own) == 0:
-                gone, left = 0, words
+                gone, cuts, left = 0, 0, words
             else:
                 start, count = own.field("start").to_numpy().astype(np.int64), own.field("count").to_numpy().astype(np.int64)
                 edge = np.zeros(len(words) + 1, np.int64)
@@ -82,17 +82,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(edge, start + count + WINDOW - 1, -1)
                 stays = np.cumsum(edge[:-1]) == 0
                 left = [words[i] for i in np.flatnonzero(stays)]
-                gone = len(words) - len(left)
+                gone, cuts = len(words) - len(left), int((np.diff(stays.astype(np.int8), prepend=1) == -1).sum())
             whole = b" ".join(left)
             removed.append(gone)
+            spans_.append(cuts)
             kept.append(whole.decode() if gone else None)
             shas.append(hashlib.sha256(whole).hexdigest())
-        columns = [*(piece.column(c) for c in ("doc_id", "sha", "first", "n")), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(shas, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "first", "n", "n_removed", "kept", "kept_sha"])
+        made = [pa.array(removed, pa.int64()), pa.array(spans_, pa.int64()), pa.array(kept, pa.string()), pa.array(shas, pa.string())]
+        columns = [*(piece.column(c) for c in ("doc_id", "sha", "first", "n")), *made]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "first", "n", "n_removed", "n_spans", "kept", "kept_sha"])
 
 
 def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) -> DataFrame:
-    """doc_id, n, n_removed, kept and kept_sha of every document.
+    """doc_id, n, n_removed, n_spans, kept and kept_sha of every document.
 
     ``kept`` has the kept words joined by one space, and is null where nothing was removed.
     """
@@ -104,4 +106,4 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) ->
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
     seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
     single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "start", F.lit(1).alias("count"))
-    return r.finished(r.later.unionByName(single), _cut)
+    return r.finished(r.later.unionByName(single), _cut, "string")
