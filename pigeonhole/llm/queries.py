@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import language, nearest, packing, quality, sentencepieces, topk, toxicity, windows
+from pigeonhole.llm import language, nearest, packing, quality, sentencepieces, suffixes, topk, toxicity, windows
 from pigeonhole.llm.tables import given, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,12 @@ def op8_nearest(spark, sf_dir):
     return nearest.nearest(given(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffixes.dedup(given(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.col("kept_sha").alias("kept_sha256")
+    )
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(given(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op5_toxicity,
         op7_language,
         op8_nearest,
+        op9_suffix_dedup,
         op10_packing,
     )
 }
