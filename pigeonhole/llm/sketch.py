@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pigeonhole.llm.text import mix
 
 SLICES = 64
+#: Tasks that merge; each holds its share of the cells.
+MERGERS = 32
 FLUSH = 4_000_000
 
 
@@ -107,9 +109,9 @@ def build(df: DataFrame, hashes_of: Callable[[Iterator[pa.RecordBatch]], Iterato
             yield pa.RecordBatch.from_arrays(arrays, ["slot", "level", "bits"])
 
     parts = df.mapInArrow(count, "slot int, low binary, high binary, n binary")
-    merged = parts.repartition(SLICES * rows, "slot").mapInArrow(merge, "slot int, level int, bits binary")
+    merged = parts.repartition(MERGERS, "slot").mapInArrow(merge, "slot int, level int, bits binary")
     maps = {(row, level): np.zeros((1 << bits) // 8, np.uint8) for row in range(rows) for level in range(len(thresholds))}
-    for r in merged.toLocalIterator():  # a fixed number of bytes in all, one slice after the other
+    for r in merged.collect():  # a bounded number of bytes, whatever the data
         row, k = divmod(r["slot"], SLICES)
         own = np.frombuffer(zlib.decompress(bytes(r["bits"])), np.uint8)
         maps[row, r["level"]][k * size // 8 : k * size // 8 + len(own)] = own
