@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import language, nearest, packing, quality, sentencepieces, suffixes, topk, toxicity, windows
+from pigeonhole.llm import jaccard, language, nearest, packing, quality, sentencepieces, suffixes, topk, toxicity, windows
 from pigeonhole.llm.tables import given, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op5_toxicity(spark, sf_dir):
     )
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard.join(given(spark, sf_dir, "documents"))
+
+
 def op7_language(spark, sf_dir):
     docs, rest = given(spark, sf_dir, "documents"), remainder("doc_id", 5)
     found = language.predict(docs, language.fit(docs, rest != 0))
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op3_substring_dedup,
         op4_top_k,
         op5_toxicity,
+        op6_jaccard_join,
         op7_language,
         op8_nearest,
         op9_suffix_dedup,

@@ -89,6 +89,43 @@ class Runs:
         return a[runs(a, d)]
 
 
+def distinct_texts(docs: DataFrame, normal: Normal, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts and the documents that may be copies of some.
+
+    ``docs`` has doc_id and text. The first table has doc_id, text, sha and first, a row for each
+    document that surely has no copy (first is false) and one for each content of the others,
+    that of its smallest id. The second has doc_id, text and sha of those others, all of them.
+    Documents without id count as having no copy.
+    """
+
+    def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for piece in pieces(batches, limit=limit):
+            yield whole_hashes(piece.column("text"), normal)[0]
+
+    twice = docs.sparkSession.sparkContext.broadcast(sketch.build(docs, wholes, WHOLE_BITS, 1))
+
+    def classes(copied: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for piece in pieces(batches, limit=limit):
+                hashes, digests = whole_hashes(piece.column("text"), normal)
+                ids = piece.column("doc_id")
+                maybe = twice.value.at_least(hashes) & ids.is_valid().to_numpy(zero_copy_only=False)
+                if not (maybe == copied).any():
+                    continue
+                mask = pa.array(maybe == copied)
+                digest = pa.array(digests, pa.binary()).filter(mask)
+                yield pa.RecordBatch.from_arrays([ids.filter(mask), piece.column("text").filter(mask), digest], ["doc_id", "text", "sha"])
+
+        return run
+
+    schema = "doc_id bigint, text string, sha binary"
+    maybe = written(docs.mapInArrow(classes(True), schema), "maybe-copied")
+    single = docs.mapInArrow(classes(False), schema)
+    firsts = maybe.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"))
+    firsts = written(firsts.select("doc_id", "text", "sha"), "first-texts")
+    return single.withColumn("first", F.lit(False)).unionByName(firsts.withColumn("first", F.lit(True))), maybe
+
+
 class Repeats:
     """The steps above over one table of documents."""
 
@@ -101,33 +138,7 @@ class Repeats:
     def prepare(self) -> None:
         split, normal, limit = self.split, self.normal, self.piece_bytes
 
-        def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-            for piece in pieces(batches, limit=limit):
-                yield whole_hashes(piece.column("text"), normal)[0]
-
-        twice = self.context.broadcast(sketch.build(self.docs, wholes, WHOLE_BITS, 1))
-
-        def classes(copied: bool):
-            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for piece in pieces(batches, limit=limit):
-                    hashes, digests = whole_hashes(piece.column("text"), normal)
-                    ids = piece.column("doc_id")
-                    maybe = twice.value.at_least(hashes) & ids.is_valid().to_numpy(zero_copy_only=False)
-                    if not (maybe == copied).any():
-                        continue
-                    mask = pa.array(maybe == copied)
-                    digest = pa.array(digests, pa.binary()).filter(mask)
-                    yield pa.RecordBatch.from_arrays([ids.filter(mask), piece.column("text").filter(mask), digest], ["doc_id", "text", "sha"])
-
-            return run
-
-        schema = "doc_id bigint, text string, sha binary"
-        #: Documents that may have copies.
-        self.maybe = written(self.docs.mapInArrow(classes(True), schema), "maybe-copied")
-        single = self.docs.mapInArrow(classes(False), schema)
-        firsts = self.maybe.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"))
-        firsts = written(firsts.select("doc_id", "text", "sha"), "first-texts")
-        self.distinct = single.withColumn("first", F.lit(False)).unionByName(firsts.withColumn("first", F.lit(True)))
+        self.distinct, self.maybe = distinct_texts(self.docs, normal, limit)
 
         def anchors_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for piece in pieces(batches, limit=limit):
