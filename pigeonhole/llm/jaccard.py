@@ -38,7 +38,7 @@ from pigeonhole.llm import sketch
 from pigeonhole.llm.graphs import components
 from pigeonhole.llm.repeats import distinct_texts
 from pigeonhole.llm.tables import texts, written
-from pigeonhole.llm.text import LOWER, Words, binary, flat, pieces, rolling, runs, signed, spanning, starts_within
+from pigeonhole.llm.text import LOWER, PIECE_BYTES, Words, binary, flat, pieces, rolling, runs, signed, spanning, starts_within
 
 WORDS = 5
 #: Cells of the sketch, as a power of two; counts from which a token is of a commoner level.
@@ -152,7 +152,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def join(docs: DataFrame, bits: int = SKETCH_BITS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    distinct, maybe = distinct_texts(texts(docs), _plain, 4 << 20)
+    distinct, maybe = distinct_texts(texts(docs), _plain, PIECE_BYTES)
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for piece in pieces(batches):

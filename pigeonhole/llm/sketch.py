@@ -21,7 +21,7 @@ from pigeonhole.llm.text import mix
 SLICES = 64
 #: Tasks that merge; each holds its share of the cells.
 MERGERS = 32
-FLUSH = 4_000_000
+FLUSH = 1_000_000
 
 
 class Sketch:

@@ -33,7 +33,7 @@ from pigeonhole.llm.tables import written
 from pigeonhole.llm.text import binary, flat, mix, pieces, rolling, runs, signed
 
 SKETCH_BITS, SKETCH_ROWS = 28, 2
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Bytes of a bucket, on average, and contents of an anchor up to which it goes into one.
 BUCKET_BYTES, MOST_CONTENTS = 3 << 20, 10_000
 

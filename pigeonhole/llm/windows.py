@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from pigeonhole.llm.repeats import WINDOW, Items, Repeats
 from pigeonhole.llm.tables import written
-from pigeonhole.llm.text import Words, flat, pieces, rolling, signed
+from pigeonhole.llm.text import PIECE_BYTES, Words, flat, pieces, rolling, signed
 
 #: Cells of each row of the sketch, as a power of two, and its rows.
-SKETCH_BITS, SKETCH_ROWS = 28, 2
+SKETCH_BITS, SKETCH_ROWS = 27, 2
 
 
 class WordItems(Items):
@@ -98,7 +98,7 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) ->
 
     ``kept`` has the kept words joined by one space, and is null where nothing was removed.
     """
-    r = Repeats(docs, WordItems, one_space, 4 << 20, bits, rows)
+    r = Repeats(docs, WordItems, one_space, PIECE_BYTES, bits, rows)
     r.prepare()
     spans = r.open.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
     rows_ = r.touched.join(spans, "row").select("row", "doc_id", "text", "spans")
