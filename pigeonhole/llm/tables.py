@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import pigeonhole
+from pigeonhole.llm.text import flat, pieces
 from pigeonhole.sources import files
 
 _SHIPPED: set[str] = set()
@@ -54,3 +58,14 @@ def texts(docs: DataFrame) -> DataFrame:
     """Only id and text, under those names, whatever else a table holds."""
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def kept(docs: DataFrame, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, for whose texts a test of flat texts holds."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            yield piece.filter(pa.array(test(*flat(piece.column("text")))))
+
+    return docs.mapInArrow(run, docs.schema)
