@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pigeonhole.llm.text import mix
 
 SLICES = 64
+#: For thresholds after the first, cells are taken together in this power of two: fewer bits, still never too low.
+FOLD = 3
 #: Tasks that merge; each holds its share of the cells.
 MERGERS = 32
 FLUSH = 1_000_000
@@ -41,7 +43,7 @@ class Sketch:
         """Whether each hash is estimated to have ``thresholds[level]`` occurrences or more."""
         out = np.ones(len(hashes), bool)
         for row in range(self.rows):
-            cell = cells(hashes, row, self.bits)
+            cell = cells(hashes, row, self.bits) >> (FOLD if level else 0)
             out &= (self.maps[row, level][cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0
         return out
 
@@ -104,15 +106,19 @@ def build(df: DataFrame, hashes_of: Callable[[Iterator[pa.RecordBatch]], Iterato
                 cell, add = _unpack(low, high), np.frombuffer(zlib.decompress(n), np.uint8)
                 sums[slot][cell] = np.minimum(sums[slot][cell].astype(np.int32) + add, 255)
         for slot, total in sums.items():
-            made = [zlib.compress(np.packbits(total >= t).tobytes(), 1) for t in thresholds]
+            folded = total.reshape(-1, 1 << FOLD).max(1)
+            made = [zlib.compress(np.packbits((folded if k else total) >= t).tobytes(), 1) for k, t in enumerate(thresholds)]
             arrays = [pa.array([slot] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()), pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["slot", "level", "bits"])
 
     parts = df.mapInArrow(count, "slot int, low binary, high binary, n binary")
     merged = parts.repartition(MERGERS, "slot").mapInArrow(merge, "slot int, level int, bits binary")
-    maps = {(row, level): np.zeros((1 << bits) // 8, np.uint8) for row in range(rows) for level in range(len(thresholds))}
+    maps = {}
+    for row in range(rows):
+        for level in range(len(thresholds)):
+            maps[row, level] = np.zeros((1 << bits) // 8 >> (FOLD if level else 0), np.uint8)
     for r in merged.collect():  # a bounded number of bytes, whatever the data
         row, k = divmod(r["slot"], SLICES)
         own = np.frombuffer(zlib.decompress(bytes(r["bits"])), np.uint8)
-        maps[row, r["level"]][k * size // 8 : k * size // 8 + len(own)] = own
+        maps[row, r["level"]][k * len(own) : (k + 1) * len(own)] = own
     return Sketch(bits, rows, thresholds, maps)

@@ -53,6 +53,7 @@ def pieces(
             stop = min(max(stop, start + 1), start + rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 #: Word bytes are all but blank and 0x09 to 0x0D.
@@ -103,8 +104,10 @@ def span_hashes(data: np.ndarray, lengths: np.ndarray, lane: int = 0) -> np.ndar
     if len(lengths) == 0:
         return np.zeros(0, U64)
     begin = np.cumsum(lengths) - lengths
-    place = np.arange(len(data), dtype=np.int64) - np.repeat(begin, lengths)
-    key = place * 256 + data
+    small = np.int32 if len(data) < 1 << 22 else np.int64
+    place = np.arange(len(data), dtype=small)
+    place -= np.repeat(begin.astype(small), lengths)
+    key = place * small(256) + data
     far = np.flatnonzero(place >= _PLACES)
     if len(far):
         rest = mix(key[far].astype(U64) + U64((lane + 1) << 40))
