@@ -1,8 +1,8 @@
 """Passages that also start in a document with a smaller id: what word and byte dedup share.
 
 Items are the words or the bytes of a text; a window is ``WINDOW`` consecutive items of one
-document. Each window has an anchor, its least hashed run of half as many items, which depends
-on the window's content alone; consecutive windows with one anchor form a run. Equal windows
+document. Each window has an anchor, its least hashed run of ``GRAM`` items, which depends on the
+window's content alone; consecutive windows with one anchor form a run. Equal windows
 have equal anchors, so only runs whose anchor comes more than once need a closer look.
 
 1. Texts are hashed as wholes. A sketch of these hashes parts the documents that surely have
@@ -34,7 +34,8 @@ from pigeonhole.llm import sketch
 from pigeonhole.llm.tables import texts, written
 from pigeonhole.llm.text import anchors, flat, mix, pieces, rolling, runs, signed, spanning, starts_within
 
-WINDOW = 50
+#: Items of a window and of an anchor.
+WINDOW, GRAM = 50, 20
 WHOLE_BITS = 26
 
 
@@ -63,7 +64,7 @@ class Runs:
     """Runs of windows with one anchor, in all texts of a piece."""
 
     def __init__(self, items: Items):
-        gram = WINDOW // 2
+        gram = GRAM
         first = items.lane(0)
         at, doc = starts_within(items.of_doc, WINDOW)
         if len(at):
@@ -182,7 +183,10 @@ class Repeats:
         found = self.touched.mapInArrow(list_runs, schema)
         groups = found.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
         groups = written(groups, "run-contents")
-        several = groups.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
+        several = groups.groupBy("anchor").agg(
+            F.count("*").alias("contents"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+        )
+        several = several.where("contents > 1 and low < high").select("anchor", "contents")
         several = written(several, "shared-anchors")
         known = groups.join(several, "anchor", "left").where("last > doc_id or contents is not null")
         known = written(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
@@ -197,7 +201,7 @@ class Repeats:
         """doc_id, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
 
         ``removed`` has row, start and count of the windows that repeat. ``cut`` maps batches
-        of doc_id, sha, first, n, text and spans to the result columns, sha and first.
+        of doc_id, sha, n, text and spans to the result columns and sha.
         ``kept`` is null where nothing was removed.
         """
         spans = removed.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
@@ -210,8 +214,7 @@ class Repeats:
         # Texts that surely keep everything need not travel to the join.
         some = self.context.broadcast(sketch.build(spans.select("row"), changed, WHOLE_BITS, 1, (1,)))
 
-        schema = "doc_id bigint, sha binary, first boolean, n bigint, n_removed bigint, n_spans bigint, kept " + kind + ", kept_sha string"
-        kept_columns = ["doc_id", "sha", "first", "n", "text", "row"]
+        schema = f"doc_id bigint, sha binary, n bigint, n_removed bigint, n_spans bigint, kept {kind}, kept_sha string"
 
         def those(maybe: bool):
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,21 +225,22 @@ class Repeats:
 
             return run
 
-        full = self.judged.where("text is not null").select(kept_columns)
-        open_ = full.mapInArrow(those(True), full.schema).join(spans, "row", "left")
-        done = open_.select("doc_id", "sha", "first", "n", "text", "spans").mapInArrow(cut, schema)
-        narrow = self.judged.select("doc_id", "sha", "first", "n", "row", F.col("text").isNull().alias("shut"))
-        same = narrow.where("not shut").drop("shut")
-        shut = narrow.where("shut").drop("shut").unionByName(same.mapInArrow(those(False), same.schema))
-        shut = shut.drop("row").withColumns(
-            {
+        def results(judged: DataFrame) -> DataFrame:
+            full = judged.where("text is not null").select("doc_id", "sha", "n", "text", "row")
+            open_ = full.mapInArrow(those(True), full.schema).join(spans, "row", "left")
+            done = open_.select("doc_id", "sha", "n", "text", "spans").mapInArrow(cut, schema)
+            narrow = judged.select("doc_id", "sha", "n", "row", F.col("text").isNull().alias("shut"))
+            same = narrow.where("not shut").drop("shut")
+            shut = narrow.where("shut").drop("shut").unionByName(same.mapInArrow(those(False), same.schema))
+            unchanged = {
                 "n_removed": F.lit(0).cast("bigint"), "n_spans": F.lit(0).cast("bigint"),
                 "kept": F.lit(None).cast(kind), "kept_sha": F.lower(F.hex("sha")),
             }
-        )
-        done = written(done.unionByName(shut), "first-results")
-        alone = done.where("not first").drop("sha", "first")
-        of_first = done.where("first").withColumnRenamed("doc_id", "first_id").drop("first")
+            return done.unionByName(shut.drop("row").withColumns(unchanged))
+
+        alone = results(self.judged.where("not first")).drop("sha")
+        of_first = written(results(self.judged.where("first")), "first-results")
+        of_first = of_first.withColumnRenamed("doc_id", "first_id")
         both = self.maybe.select("doc_id", "sha").join(of_first, "sha")
         copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n") >= WINDOW)
         # A copy's own windows all repeat; one that is too short for a window keeps everything.

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pigeonhole.llm.text import mix
+from pigeonhole.llm.text import give_back, mix
 
 SLICES = 64
 #: For thresholds after the first, cells are taken together in this power of two: fewer bits, still never too low.
@@ -110,6 +110,7 @@ def build(df: DataFrame, hashes_of: Callable[[Iterator[pa.RecordBatch]], Iterato
             made = [zlib.compress(np.packbits((folded if k else total) >= t).tobytes(), 1) for k, t in enumerate(thresholds)]
             arrays = [pa.array([slot] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()), pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["slot", "level", "bits"])
+        give_back()
 
     parts = df.mapInArrow(count, "slot int, low binary, high binary, n binary")
     merged = parts.repartition(MERGERS, "slot").mapInArrow(merge, "slot int, level int, bits binary")

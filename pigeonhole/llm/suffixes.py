@@ -48,28 +48,50 @@ class ByteItems(Items):
         return _VALUES[k][self.data]
 
 
-def _sorted_suffixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of a text that ends in its only least symbol, and ranks by the first 28 symbols."""
+def _sorted_suffixes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Suffix array of a text that ends in its only least symbol, and ranks by the first ``depth`` symbols.
+
+    Prefix doubling from as many symbols as fit into 63 bits. ``depth`` is at most ``WINDOW`` and
+    at least half of it. Later rounds sort only suffixes that are still equal.
+    """
     n = len(text)
-    padded = np.concatenate([text, np.zeros(7, text.dtype)]).astype(np.int64)
+    values = np.unique(text)
+    dense = np.zeros(int(values[-1]) + 1, np.int64)
+    dense[values] = np.arange(len(values))
+    bits = max(int(len(values) - 1).bit_length(), 1)
+    depth = min(63 // bits, WINDOW)
+    padded = np.concatenate([dense[text], np.zeros(depth, np.int64)])
     key = np.zeros(n, np.int64)
-    for k in range(7):
-        key = (key << 9) | padded[k : n + k]
-    depth, at_28 = 7, None
+    for k in range(depth):
+        key = (key << bits) | padded[k : n + k]
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(n, bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    place = np.arange(n)
+    # A suffix's rank is the first place of its group.
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
+    kept = None
     while True:
-        order = np.argsort(key, kind="stable")
-        sorted_ = key[order]
-        rank = np.empty(n, np.int64)
-        new = np.concatenate([[0], (sorted_[1:] != sorted_[:-1]).astype(np.int64)])
-        rank[order] = np.cumsum(new)
-        if depth == 28:
-            at_28 = rank
-        if depth >= 28 and rank[order[-1]] == n - 1:
-            return order, at_28
-        behind = np.zeros(n, np.int64)
-        behind[: max(n - depth, 0)] = rank[depth:] + 1
-        key = rank * (n + 1) + behind
+        if depth <= WINDOW <= 2 * depth:
+            kept, kept_depth = rank.copy(), depth
+        at = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(at):
+            break
+        suffix = order[at]
+        behind = suffix + depth
+        behind = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+        key = rank[suffix] * (n + 1) + behind
+        local = np.argsort(key)
+        key = key[local]
+        order[at] = suffix[local]
+        new[at[0]] = True
+        new[at[1:]] = key[1:] != key[:-1]
+        rank[order[at]] = np.maximum.accumulate(np.where(new, place, 0))[at]
         depth *= 2
+    # With all suffixes apart early, ranks tell any number of symbols apart.
+    return (order, rank, WINDOW) if kept is None else (order, kept, kept_depth)
 
 
 class RunIndex:
@@ -84,23 +106,23 @@ class RunIndex:
         text[inside] = data.astype(np.int16) + 2
         text[-1] = 0
         n = len(text)
-        order, rank = _sorted_suffixes(text)
+        order, rank, depth = _sorted_suffixes(text)
         last = text[order - 1]
-        self.run_starts = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]]))
+        self.run_starts = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]])).astype(np.int32)
         heads = last[self.run_starts]
         sizes = np.diff(np.append(self.run_starts, n))
         # Where a run's first row maps to: symbols below, and the same symbol in runs before.
         by_symbol = np.argsort(heads, kind="stable")
-        self.maps_to = np.empty(len(heads), np.int64)
+        self.maps_to = np.empty(len(heads), np.int32)
         self.maps_to[by_symbol] = np.cumsum(sizes[by_symbol]) - sizes[by_symbol]
-        inverse = np.empty(n, np.int64)
+        inverse = np.empty(n, np.int32)
         inverse[order] = np.arange(n)
         self.end_rows = inverse[ends]
         # Rows of strings of WINDOW bytes within a segment, in blocks of equal ones.
         owner = np.repeat(np.arange(segments + 1), np.append(lengths + 1, 1))
         room = np.append(ends, n)[owner] - np.arange(n)
         usable = room[order] >= WINDOW
-        tail = np.minimum(np.arange(n) + WINDOW - 28, n - 1)
+        tail = np.minimum(np.arange(n) + WINDOW - depth, n - 1)
         same = (rank[order][1:] == rank[order][:-1]) & (rank[tail[order]][1:] == rank[tail[order]][:-1]) & usable[1:] & usable[:-1]
         starts = np.flatnonzero(np.concatenate([[True], ~same]))
         least = np.minimum.reduceat(np.append(docs, np.iinfo(np.int64).max)[owner[order]], starts)
@@ -203,8 +225,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(raw if removed[-1] else None)
             shas.append(hashlib.sha256(raw).hexdigest())
         made = [pa.array(removed, pa.int64()), pa.array(cuts, pa.int64()), pa.array(kept, pa.binary()), pa.array(shas, pa.string())]
-        columns = [*(piece.column(c) for c in ("doc_id", "sha", "first", "n")), *made]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "first", "n", "n_removed", "n_spans", "kept", "kept_sha"])
+        columns = [*(piece.column(c) for c in ("doc_id", "sha", "n")), *made]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "n_removed", "n_spans", "kept", "kept_sha"])
 
 
 def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, most_contents: int = MOST_CONTENTS) -> DataFrame:

@@ -7,6 +7,7 @@ larger than that forms a piece of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,14 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as Python workers wait for their next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES, rows: int = 1 << 30
 ) -> Iterator[pa.RecordBatch]:
@@ -53,7 +62,7 @@ def pieces(
             stop = min(max(stop, start + 1), start + rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 #: Word bytes are all but blank and 0x09 to 0x0D.

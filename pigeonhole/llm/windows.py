@@ -89,8 +89,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(whole.decode() if gone else None)
             shas.append(hashlib.sha256(whole).hexdigest())
         made = [pa.array(removed, pa.int64()), pa.array(spans_, pa.int64()), pa.array(kept, pa.string()), pa.array(shas, pa.string())]
-        columns = [*(piece.column(c) for c in ("doc_id", "sha", "first", "n")), *made]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "first", "n", "n_removed", "n_spans", "kept", "kept_sha"])
+        columns = [*(piece.column(c) for c in ("doc_id", "sha", "n")), *made]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "n_removed", "n_spans", "kept", "kept_sha"])
 
 
 def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) -> DataFrame:
