@@ -9,13 +9,14 @@ connected component of each document.
    cannot be shared, so a text with over a quarter of such tokens links with none and is done.
    The others order their tokens from rare to common (estimated level, then hash) and keep
    as prefix the part of which linked texts must share one.
-3. Each prefix token has three leaders among its texts (smallest, largest and one by hash);
-   every text is compared with the leaders it meets. That takes a number of comparisons
+3. Each prefix token has two leaders among its texts, the one of smallest id and the one whose
+   tokens are commonest; every text is compared with the leaders it meets. That takes a number of comparisons
    proportional to the prefixes and links nearly all near copies.
-4. Texts linked so far are parted into groups of bounded size; a group has the union of its
-   tokens. Where texts of different components share a prefix token, each text of the smaller
-   component is bounded against the groups of the larger: it can only link if the union holds
-   three quarters of its tokens. Only groups that qualify are opened and compared one by one.
+4. Texts with the same commonest leader are similar and form a group, in parts of bounded
+   size. A part is a sparse matrix of its token union and its members. Where texts of different
+   components share a prefix token, one side asks the other's group: it can only link if the
+   union holds three quarters of its tokens. Only groups that qualify are opened, and one count
+   over the matrix compares the text with all members.
 
 Comparisons within a component are never needed, so copies and near copies are not expanded
 into all pairs; no candidate between components is dropped.
@@ -34,16 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import sketch
 from pigeonhole.llm.graphs import components
-from pigeonhole.llm.repeats import distinct_texts
+from pigeonhole.llm.repeats import DistinctTexts
 from pigeonhole.llm.tables import texts, written
 from pigeonhole.llm.text import LOWER, PIECE_BYTES, Words, binary, flat, pieces, rolling, runs, signed, spanning, starts_within
 
 WORDS = 5
 #: Cells of the sketch, as a power of two; counts from which a token is of a commoner level.
 SKETCH_BITS, LEVELS = 28, (2, 8, 64)
-GROUP_ROWS = 64
+#: Members of a group, and texts that ask it in one task, on average at most.
+GROUP_ROWS, ASKING_ROWS = 256, 1_024
 _LOWER_TABLE = bytes(LOWER)
 
 
@@ -87,8 +88,10 @@ def _sets(seen):
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(prefix)))
             whole = binary(tokens[live[doc]].view(np.uint8), np.where(live, n, 0) * 8)
             whole = whole.take(pa.array(np.arange(docs), mask=~live))
-            columns = [*(piece.column(c) for c in ("doc_id", "sha", "first")), pa.array(n.astype(np.int64)), whole, lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "first", "n", "tokens", "prefix"])
+            # How common a text's tokens are: largest for the text that its near copies were made from.
+            centre = np.bincount(doc, level, minlength=docs) / np.maximum(n, 1)
+            columns = [*(piece.column(c) for c in ("doc_id", "sha")), pa.array(n.astype(np.int64)), pa.array(centre), whole, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "centre", "tokens", "prefix"])
 
     return run
 
@@ -125,85 +128,102 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _union(table: pa.Table) -> pa.Table:
-    """A group's members, their least size, and the union of their tokens."""
-    tokens = np.unique(np.concatenate([*_numbers(table.column("tokens").combine_chunks())]))
-    members = table.column("doc_id").combine_chunks().to_pylist()
-    least = int(min(table.column("n").to_pylist()))
-    columns = [
-        table.column("component").combine_chunks().slice(0, 1), table.column("salt").combine_chunks().slice(0, 1),
-        pa.array([members], pa.list_(pa.int64())), pa.array([least], pa.int64()), pa.array([tokens.tobytes()], pa.binary()),
-    ]
-    return pa.Table.from_arrays(columns, ["component", "salt", "members", "least", "tokens"])
-
-
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a text and a member of a group whose union may hold enough of the text's tokens."""
-    for batch in batches:
-        a, b = [], []
-        rows = zip(_numbers(batch.column("x")), _numbers(batch.column("y")), batch.column("least").to_pylist(), strict=True)
-        for k, (x, y, least) in enumerate(rows):
-            if 100 * _common(x, y) >= 75 * max(len(x), least):
-                members = batch.column("members")[k].as_py()
-                a += [batch.column("doc_id")[k].as_py()] * len(members)
-                b += members
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _opened(members: pa.Table, asking: pa.Table) -> pa.Table:
+    """Links between a group and the texts that ask it.
+
+    The group is a sparse matrix: its token union, and for each token the members that have it.
+    A text opens the group only if the union holds enough of its tokens for a link; then one
+    count over the matrix gives its overlap with every member.
+    """
+    a, b = [], []
+    if members.num_rows and asking.num_rows:
+        sets = list(_numbers(members.column("tokens").combine_chunks()))
+        sizes = np.array([len(x) for x in sets])
+        ids = members.column("doc_id").combine_chunks().to_numpy()
+        part = members.column("component").combine_chunks().to_numpy()
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        begin = runs(tokens)
+        union, per = tokens[begin], np.diff(np.append(begin, len(tokens)))
+        own_ids, own_part = asking.column("doc_id").combine_chunks().to_numpy(), asking.column("component").combine_chunks().to_numpy()
+        for k, x in enumerate(_numbers(asking.column("tokens").combine_chunks())):
+            at = np.minimum(np.searchsorted(union, x), len(union) - 1)
+            at = at[union[at] == x]
+            if 100 * len(at) < 75 * max(len(x), sizes.min()):
+                continue
+            take = np.arange(per[at].sum()) - np.repeat(np.cumsum(per[at]) - per[at], per[at]) + np.repeat(begin[at], per[at])
+            both = np.bincount(owner[take], minlength=len(sets))
+            hit = (100 * both >= 75 * (len(x) + sizes - both)) & (part != own_part[k])
+            b += ids[hit].tolist()
+            a += [own_ids[k]] * int(hit.sum())
+    return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def join(docs: DataFrame, bits: int = SKETCH_BITS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    distinct, maybe = distinct_texts(texts(docs), _plain, PIECE_BYTES)
+    distinct = DistinctTexts(texts(docs), _plain, PIECE_BYTES)
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for piece in pieces(batches):
             yield token_sets(*flat(piece.column("text")))[0]
 
-    seen = docs.sparkSession.sparkContext.broadcast(sketch.build(distinct, tokens_of, bits, 1, LEVELS))
-    schema = "doc_id bigint, sha binary, first boolean, n bigint, tokens binary, prefix array<bigint>"
-    every = written(distinct.mapInArrow(_sets(seen), schema), "token-sets")
+    seen = docs.sparkSession.sparkContext.broadcast(distinct.sketch(tokens_of, bits, 1, LEVELS))
+    schema = "doc_id bigint, sha binary, n bigint, centre double, tokens binary, prefix array<bigint>"
+    every = written(distinct.map(_sets(seen), schema), "token-sets")
     sets = every.where("tokens is not null").select("doc_id", "n", "tokens")
-    prefix = written(every.where("tokens is not null").select("doc_id", F.explode("prefix").alias("token")), "prefixes")
+    prefix = every.where("tokens is not null").select("doc_id", "n", "centre", F.explode("prefix").alias("token"))
+    prefix = written(prefix, "prefixes")
 
     # Every text against the leaders of its prefix tokens.
-    by_hash = F.min_by("doc_id", F.xxhash64("doc_id"))
-    leaders = prefix.groupBy("token").agg(F.min("doc_id").alias("l1"), F.max("doc_id").alias("l2"), by_hash.alias("l3"))
-    leaders = written(leaders.where("l1 < l2"), "leaders")
-    met = prefix.join(leaders, "token").select("doc_id", F.explode(F.array("l1", "l2", "l3")).alias("leader")).where("doc_id <> leader")
-    pairs = met.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
+    text = F.struct("doc_id", "n", "centre")
+    central = F.max_by(text, F.struct("centre", "doc_id"))
+    leaders = prefix.groupBy("token").agg(F.min(text).alias("l1"), central.alias("l2"), F.max("doc_id").alias("last"))
+    leaders = written(leaders.where("l1.doc_id < last").select("token", F.array("l1", "l2").alias("leaders")), "leaders")
+    met = prefix.join(leaders, "token").select("doc_id", "n", F.explode("leaders").alias("leader"))
+    near = F.least("n", "leader.n") * 100 >= F.greatest("n", "leader.n") * 75
+    met = met.where(near & (F.col("doc_id") != F.col("leader.doc_id")))
+    pairs = met.select(F.least("doc_id", "leader.doc_id").alias("a"), F.greatest("doc_id", "leader.doc_id").alias("b")).distinct()
     links = written(linked(written(pairs, "leader-pairs"), sets), "leader-links")
     part = components(links)
 
-    # Groups of what is linked so far, and texts against groups of other components.
-    placed = sets.select("doc_id").distinct().join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = placed.select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = written(placed.groupBy("component").agg(F.count("*").alias("size")), "component-sizes")
-    salt = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / group_rows)).cast("int")
-    placed = written(placed.join(sizes, "component").select("doc_id", "component", "size", salt.alias("salt")), "placed")
-    tokens = written(prefix.join(placed, "doc_id").select("token", "doc_id", "component", "size", "salt"), "placed-prefixes")
-    # Of the components that meet at a token, the largest is only searched and never searches.
+    # Groups of similar texts: those whose commonest leader is the same, in bounded parts.
+    home = F.max_by("leader.doc_id", F.struct("leader.centre", "leader.doc_id")).alias("home")
+    kin = prefix.join(leaders, "token").select("doc_id", F.element_at("leaders", 2).alias("leader")).groupBy("doc_id").agg(home)
+    kin = kin.join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    kin = written(kin.select("doc_id", "home", F.coalesce("component", "doc_id").alias("component")), "homes")
+    sizes = kin.groupBy("component").agg(F.count("*").alias("size"))
+    tokens = prefix.select("token", "doc_id").join(leaders.select("token"), "token").join(kin, "doc_id").join(sizes, "component")
+    tokens = written(tokens, "placed-prefixes")
+    # Only where components meet at a token. The texts of the largest one there need not ask.
     largest = F.max_by("component", F.struct("size", "component"))
     open_ = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), largest.alias("largest"))
     open_ = written(open_.where("low < high").select("token", "largest"), "open-tokens")
     near = tokens.join(open_, "token")
-    asking = near.where("component <> largest").select("token", "doc_id", F.col("component").alias("own"), F.col("size").alias("own_size"))
-    asked = near.select("token", "component", "salt", "size").distinct()
-    smaller = F.struct("own_size", "own") < F.struct("size", "component")
-    meets = asking.join(asked, "token").where(smaller).select("doc_id", "component", "salt").distinct()
-    meets = written(meets, "text-groups")
-    wanted = meets.select("component", "salt").distinct()
-    grouped = placed.join(wanted, ["component", "salt"], "left_semi").select("doc_id", "component", "salt").join(sets, "doc_id")
-    schema = "component bigint, salt int, members array<bigint>, least bigint, tokens binary"
-    groups = written(grouped.groupBy("component", "salt").applyInArrow(_union, schema), "token-groups")
-    own = sets.select("doc_id", F.col("tokens").alias("x"))
-    bound = meets.join(groups.withColumnRenamed("tokens", "y"), ["component", "salt"]).join(own, "doc_id")
-    bound = bound.select("doc_id", "x", "y", "least", "members").mapInArrow(_bounded, "a bigint, b bigint")
-    more = linked(written(bound.distinct(), "group-pairs"), sets)
+    asking = near.where("component <> largest").select("token", "doc_id", F.col("home").alias("own"))
+    asked = near.groupBy("token", "home").agg(F.bool_or(F.col("component") == F.col("largest")).alias("silent"))
+    # Of two groups the one of smaller id asks, unless its texts are among the silent ones.
+    asks = asking.join(asked, "token").where("silent or home >= own").select("doc_id", "home").distinct()
+    asks = written(asks, "asked-groups")
+    parts = kin.groupBy("home").agg(F.ceil(F.count("*") / group_rows).cast("int").alias("salts"))
+    turns = asks.groupBy("home").agg(F.ceil(F.count("*") / ASKING_ROWS).cast("int").alias("turns"))
+    parts = written(parts.join(turns, "home"), "group-parts")
+    mine, turn = (F.pmod(F.xxhash64("doc_id"), F.col(c)).cast("int") for c in ("salts", "turns"))
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    whole = kin.select("doc_id", "home", "component").join(parts, "home").withColumn("salt", mine).withColumn("turn", each("turns"))
+    whole = whole.select("doc_id", "component", "home", "salt", "turn").join(sets.select("doc_id", "tokens"), "doc_id")
+    texts_ = asks.join(parts, "home").withColumn("turn", turn).withColumn("salt", each("salts")).join(kin.select("doc_id", "component"), "doc_id")
+    texts_ = texts_.select("doc_id", "component", "home", "salt", "turn").join(sets.select("doc_id", "tokens"), "doc_id")
+    texts_ = texts_.select([F.col(c).alias(c) for c in texts_.columns])  # columns of its own, as both sides come from one table
+    by = ["home", "salt", "turn"]
+    more = whole.groupBy(by).cogroup(texts_.groupBy(by)).applyInArrow(_opened, "a bigint, b bigint")
+    more = written(more, "group-links")
     part = written(components(links.unionByName(more)), "components")
 
-    result = every.drop("tokens", "prefix").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    result = every.drop("tokens", "prefix", "centre").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     result = result.select("doc_id", "sha", "first", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     alone = result.where("not first").drop("sha", "first")
     of_first = written(result.where("first").select("sha", "n_shingles", "component_id"), "first-components")
-    copies = maybe.select("doc_id", "sha").join(of_first, "sha").select("doc_id", "n_shingles", "component_id")
+    copies = distinct.maybe.select("doc_id", "sha").join(of_first, "sha").select("doc_id", "n_shingles", "component_id")
     itself = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return alone.unionByName(copies.withColumn("component_id", itself))

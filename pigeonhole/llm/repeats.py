@@ -90,41 +90,53 @@ class Runs:
         return a[runs(a, d)]
 
 
-def distinct_texts(docs: DataFrame, normal: Normal, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts and the documents that may be copies of some.
+Mapped = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    ``docs`` has doc_id and text. The first table has doc_id, text, sha and first, a row for each
-    document that surely has no copy (first is false) and one for each content of the others,
-    that of its smallest id. The second has doc_id, text and sha of those others, all of them.
-    Documents without id count as having no copy.
-    """
 
-    def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for piece in pieces(batches, limit=limit):
-            yield whole_hashes(piece.column("text"), normal)[0]
+class DistinctTexts:
+    """The distinct texts of a table of doc_id and text, and the documents that may be copies.
 
-    twice = docs.sparkSession.sparkContext.broadcast(sketch.build(docs, wholes, WHOLE_BITS, 1))
+    Texts are distinct by their normal form. ``firsts`` has doc_id, text and sha, for each content
+    that may occur more than once, of its smallest id; ``maybe`` all documents of such contents.
+    All other documents surely have no copy (those without id count as such); they are not
+    written, but found again in each pass, in the task that works on them.
+    """
 
-    def classes(copied: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, docs: DataFrame, normal: Normal, limit: int):
+        def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for piece in pieces(batches, limit=limit):
-                hashes, digests = whole_hashes(piece.column("text"), normal)
-                ids = piece.column("doc_id")
-                maybe = twice.value.at_least(hashes) & ids.is_valid().to_numpy(zero_copy_only=False)
-                if not (maybe == copied).any():
-                    continue
-                mask = pa.array(maybe == copied)
-                digest = pa.array(digests, pa.binary()).filter(mask)
-                yield pa.RecordBatch.from_arrays([ids.filter(mask), piece.column("text").filter(mask), digest], ["doc_id", "text", "sha"])
+                yield whole_hashes(piece.column("text"), normal)[0]
+
+        twice = docs.sparkSession.sparkContext.broadcast(sketch.build(docs, wholes, WHOLE_BITS, 1))
+
+        def classes(copied: bool) -> Mapped:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for piece in pieces(batches, limit=limit):
+                    hashes, digests = whole_hashes(piece.column("text"), normal)
+                    ids = piece.column("doc_id")
+                    maybe = twice.value.at_least(hashes) & ids.is_valid().to_numpy(zero_copy_only=False)
+                    if (maybe == copied).any():
+                        mask = pa.array(maybe == copied)
+                        digest = pa.array(digests, pa.binary()).filter(mask)
+                        yield pa.RecordBatch.from_arrays([ids.filter(mask), piece.column("text").filter(mask), digest], ["doc_id", "text", "sha"])
+
+            return run
+
+        self.docs, self._single = docs, classes(False)
+        self.maybe = written(docs.mapInArrow(classes(True), "doc_id bigint, text string, sha binary"), "maybe-copied")
+        firsts = self.maybe.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"))
+        self.firsts = written(firsts.select("doc_id", "text", "sha"), "first-texts")
 
-        return run
+    def map(self, work: Mapped, schema: str) -> DataFrame:
+        """``work`` on batches of doc_id, text and sha of all distinct texts; ``first`` says which kind."""
+        single, inner = self._single, work
+        alone = self.docs.mapInArrow(lambda batches: inner(single(batches)), schema)
+        return alone.withColumn("first", F.lit(False)).unionByName(self.firsts.mapInArrow(work, schema).withColumn("first", F.lit(True)))
 
-    schema = "doc_id bigint, text string, sha binary"
-    maybe = written(docs.mapInArrow(classes(True), schema), "maybe-copied")
-    single = docs.mapInArrow(classes(False), schema)
-    firsts = maybe.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"))
-    firsts = written(firsts.select("doc_id", "text", "sha"), "first-texts")
-    return single.withColumn("first", F.lit(False)).unionByName(firsts.withColumn("first", F.lit(True))), maybe
+    def sketch(self, hashes_of: sketch.Hashes, bits: int, rows: int, thresholds: tuple[int, ...] = (2,)) -> sketch.Sketch:
+        single, inner = self._single, hashes_of
+        sources = [(self.docs, lambda batches: inner(single(batches))), (self.firsts, hashes_of)]
+        return sketch.merged(sources, bits, rows, thresholds)
 
 
 class Repeats:
@@ -139,7 +151,8 @@ class Repeats:
     def prepare(self) -> None:
         split, normal, limit = self.split, self.normal, self.piece_bytes
 
-        self.distinct, self.maybe = distinct_texts(self.docs, normal, limit)
+        distinct = DistinctTexts(self.docs, normal, limit)
+        self.maybe = distinct.maybe
 
         def anchors_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for piece in pieces(batches, limit=limit):
@@ -147,7 +160,7 @@ class Repeats:
                 if piece.num_rows:
                     yield Runs(split(*flat(piece.column("text")))).per_document()
 
-        self.seen = seen = self.context.broadcast(sketch.build(self.distinct, anchors_of, self.bits, self.rows))
+        self.seen = seen = self.context.broadcast(distinct.sketch(anchors_of, self.bits, self.rows))
 
         def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece in pieces(batches, limit=limit):
@@ -157,10 +170,10 @@ class Repeats:
                 hit[r.doc[seen.value.at_least(r.anchor)]] = True
                 hit &= piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 text = piece.column("text").take(pa.array(np.arange(piece.num_rows), mask=~hit))
-                columns = [*(piece.column(c) for c in ("doc_id", "sha", "first")), pa.array(np.diff(items.of_doc)), text]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "first", "n", "text"])
+                columns = [piece.column("doc_id"), piece.column("sha"), pa.array(np.diff(items.of_doc)), text]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "text"])
 
-        judged = self.distinct.mapInArrow(judge, "doc_id bigint, sha binary, first boolean, n bigint, text string")
+        judged = distinct.map(judge, "doc_id bigint, sha binary, n bigint, text string")
         #: All first documents of their content; text only where windows may repeat.
         self.judged = written(judged.withColumn("row", F.xxhash64("doc_id", "sha")), "judged")
         self.touched = self.judged.where("text is not null").select("row", "doc_id", "text")
@@ -197,41 +210,49 @@ class Repeats:
         #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, start, count, contents.
         self.open = matched.where("doc_id = first_id and contents is not null").drop("first_id")
 
-    def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str) -> DataFrame:
-        """doc_id, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
+    def filtered(self, rows: DataFrame) -> Callable[[DataFrame, bool], DataFrame]:
+        """Parts tables with a column row by whether it may be (true) or surely is not (false) in ``rows``.
 
-        ``removed`` has row, start and count of the windows that repeat. ``cut`` maps batches
-        of doc_id, sha, n, text and spans to the result columns and sha.
-        ``kept`` is null where nothing was removed.
+        It spares texts the way to a join that they would not take part in.
         """
-        spans = removed.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
-        spans = written(spans, "removed-spans")
 
-        def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for b in batches:
                 yield b.column("row").to_numpy().astype(np.uint64)
 
-        # Texts that surely keep everything need not travel to the join.
-        some = self.context.broadcast(sketch.build(spans.select("row"), changed, WHOLE_BITS, 1, (1,)))
+        some = self.context.broadcast(sketch.build(rows.select("row"), listed, WHOLE_BITS, 1, (1,)))
 
-        schema = f"doc_id bigint, sha binary, n bigint, n_removed bigint, n_spans bigint, kept {kind}, kept_sha string"
-
-        def those(maybe: bool):
+        def part(df: DataFrame, inside: bool) -> DataFrame:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for b in batches:
                     mask = some.value.at_least(b.column("row").to_numpy().astype(np.uint64))
-                    if (mask == maybe).any():
-                        yield b.filter(pa.array(mask == maybe))
+                    if (mask == inside).any():
+                        yield b.filter(pa.array(mask == inside))
 
-            return run
+            return df.mapInArrow(run, df.schema)
+
+        return part
+
+    def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str) -> DataFrame:
+        """doc_id, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
+
+        ``removed`` has row, start and count of the windows that repeat. ``cut`` maps batches
+        of doc_id, sha, n, text and spans to the result columns and sha.
+        ``kept`` is null where nothing was removed.
+        """
+        spans = removed.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
+        spans = written(spans, "removed-spans")
+
+        rest = self.filtered(spans)
+        schema = f"doc_id bigint, sha binary, n bigint, n_removed bigint, n_spans bigint, kept {kind}, kept_sha string"
 
         def results(judged: DataFrame) -> DataFrame:
             full = judged.where("text is not null").select("doc_id", "sha", "n", "text", "row")
-            open_ = full.mapInArrow(those(True), full.schema).join(spans, "row", "left")
+            open_ = rest(full, True).join(spans, "row", "left")
             done = open_.select("doc_id", "sha", "n", "text", "spans").mapInArrow(cut, schema)
             narrow = judged.select("doc_id", "sha", "n", "row", F.col("text").isNull().alias("shut"))
             same = narrow.where("not shut").drop("shut")
-            shut = narrow.where("shut").drop("shut").unionByName(same.mapInArrow(those(False), same.schema))
+            shut = narrow.where("shut").drop("shut").unionByName(rest(same, False))
             unchanged = {
                 "n_removed": F.lit(0).cast("bigint"), "n_spans": F.lit(0).cast("bigint"),
                 "kept": F.lit(None).cast(kind), "kept_sha": F.lower(F.hex("sha")),

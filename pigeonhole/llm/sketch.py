@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -64,12 +65,22 @@ def _unpack(low: bytes, high: bytes) -> np.ndarray:
     return np.cumsum(step)
 
 
-def build(df: DataFrame, hashes_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, rows: int,
-          thresholds: tuple[int, ...] = (2,)) -> Sketch:
+Hashes = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
+
+
+def build(df: DataFrame, hashes_of: Hashes, bits: int, rows: int, thresholds: tuple[int, ...] = (2,)) -> Sketch:
     """The sketch of all hashes that ``hashes_of`` yields for the batches of ``df``."""
+    return merged([(df, hashes_of)], bits, rows, thresholds)
+
+
+def merged(sources: list[tuple[DataFrame, Hashes]], bits: int, rows: int, thresholds: tuple[int, ...] = (2,)) -> Sketch:
+    """The sketch of the hashes of several tables, each with its own way to get them."""
     size = (1 << bits) // SLICES
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counter(hashes_of: Hashes):
+        return lambda batches: count(hashes_of(batches))
+
+    def count(hashes: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
         def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
             h, out = np.concatenate(parts), []
             for row in range(rows):
@@ -87,7 +98,7 @@ def build(df: DataFrame, hashes_of: Callable[[Iterator[pa.RecordBatch]], Iterato
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         held, total = [], 0
-        for h in hashes_of(batches):
+        for h in hashes:
             if len(h):
                 held.append(h)
                 total += len(h)
@@ -112,13 +123,13 @@ def build(df: DataFrame, hashes_of: Callable[[Iterator[pa.RecordBatch]], Iterato
             yield pa.RecordBatch.from_arrays(arrays, ["slot", "level", "bits"])
         give_back()
 
-    parts = df.mapInArrow(count, "slot int, low binary, high binary, n binary")
-    merged = parts.repartition(MERGERS, "slot").mapInArrow(merge, "slot int, level int, bits binary")
+    parts = [df.mapInArrow(counter(h), "slot int, low binary, high binary, n binary") for df, h in sources]
+    sums = reduce(DataFrame.unionByName, parts).repartition(MERGERS, "slot").mapInArrow(merge, "slot int, level int, bits binary")
     maps = {}
     for row in range(rows):
         for level in range(len(thresholds)):
             maps[row, level] = np.zeros((1 << bits) // 8 >> (FOLD if level else 0), np.uint8)
-    for r in merged.collect():  # a bounded number of bytes, whatever the data
+    for r in sums.collect():  # a bounded number of bytes, whatever the data
         row, k = divmod(r["slot"], SLICES)
         own = np.frombuffer(zlib.decompress(bytes(r["bits"])), np.uint8)
         maps[row, r["level"]][k * len(own) : (k + 1) * len(own)] = own

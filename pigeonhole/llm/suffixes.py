@@ -237,7 +237,8 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, mos
     r = Repeats(docs, ByteItems, bytes, PIECE_BYTES, bits, rows)
     r.prepare()
     spans = r.open.groupBy("row").agg(F.collect_list(F.struct("start", "count", "anchor", "contents")).alias("spans"))
-    texts = r.touched.join(spans, "row").select("row", "doc_id", "text", "spans")
+    spans = written(spans, "open-spans")
+    texts = r.filtered(spans)(r.touched, True).join(spans, "row").select("row", "doc_id", "text", "spans")
     schema = "row bigint, doc_id bigint, anchor bigint, contents bigint, start int, bytes binary"
     segments = written(texts.mapInArrow(_segments, schema), "segments")
     small, large = segments.where(F.col("contents") <= most_contents), segments.where(F.col("contents") > most_contents)
