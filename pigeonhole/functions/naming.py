@@ -33,8 +33,8 @@ def _part(name: Column, group: int, table: Column | None) -> Column:
     ok = name.rlike(SHARD_NAME_PATTERN)
     if table is not None:
         ok = ok & (F.regexp_extract(name, SHARD_NAME_PATTERN, 1) == table)
-    number = F.regexp_extract(name, SHARD_NAME_PATTERN, group).cast("int")
-    return F.when(ok, number).otherwise(F.lit(-1))
+    number = F.regexp_extract(name, SHARD_NAME_PATTERN, group).try_cast("int")
+    return F.when(ok, F.coalesce(number, F.lit(-1))).otherwise(F.lit(-1))
 
 
 def shard_number(name: Column, table: Column | None = None) -> Column:

@@ -8,7 +8,7 @@ the *wide* form (one column per field, first value only) are derived from it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +17,9 @@ from pigeonhole.columns import field
 
 ITEM = "item_name"
 LONG = (ITEM, "name", "value")
-# Values of one item that are put in one row of the item form; larger items get several rows.
-MAX_ROW_VALUES = 10_000
 # Fixed value: error code of a put whose condition does not hold.
 CONDITION_FAILED = "ConditionalCheckFailed"
 
-_SALTS = 32
-
 
 # -- shapes ----------------------------------------------------------------------------
 
@@ -64,48 +60,29 @@ def to_wide(
 
 def item_form(
     attrs: DataFrame,
-    max_values: int = MAX_ROW_VALUES,
+    parts: int = 1,
     is_set: bool = False,
     among: DataFrame | None = None,
 ) -> DataFrame:
-    """One row ``(item_name, part, attributes)`` per item, values sorted.
-
-    An item with more than ``max_values`` values is returned in several rows, ``part``
-    0, 1, ..., each with about that many values; every other item is one row with part 0.
-    Nothing is dropped, and no task has to hold more than ``max_values`` or so values of
-    an item. ``is_set`` skips removing repeated rows, for input known to have none.
-    ``among`` (one column, items listed once) restricts the result to these items; item
-    sizes are counted before that join, so nothing relies on its partitioning and adaptive
-    execution may split a huge item in it.
-
-    Few items are that large (at most rows / ``max_values``), so their list stays small
-    next to the data; it is joined under a salt so a huge item is spread already there.
+    """Rows ``(item_name, part, attributes)``, values sorted.
+
+    With ``parts`` of 1 every item is one row with part 0. A row holds its values in one
+    task, so a caller whose items may have too many for that asks for more parts: the values
+    of every item, whatever its size, are then dealt over up to ``parts`` rows by their
+    hash. Use :func:`values_of` and :func:`first_values`, or the long form, for answers that
+    do not depend on the number of parts.
+
+    ``is_set`` skips removing repeated rows, for input known to have none. ``among`` (one
+    column, items listed once) restricts the result to these items.
     """
-    # Stated up front, the null check is the same on both sides of the join below, so
-    # Spark can reuse the exchange of the distinct.
     attrs = attrs.select(*LONG).where(f"{ITEM} is not null")
-    if not is_set:
-        attrs = attrs.distinct()
-    large = (
-        attrs.groupBy(ITEM)
-        .agg(F.count("*").alias("__values"))
-        .where(F.col("__values") > max_values)
-        .select(
-            ITEM,
-            F.ceil(F.col("__values") / max_values).alias("__parts"),
-            F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("__salt"),
-        )
-    )
     if among is not None:
         attrs = attrs.join(among.toDF(ITEM), ITEM, "left_semi")
-    spread = F.xxhash64("name", "value")
-    placed = (
-        attrs.withColumn("__salt", F.pmod(spread, F.lit(_SALTS)).cast("int"))
-        .join(large, [ITEM, "__salt"], "left")
-        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("value", "name"), "__parts"), F.lit(0)))
-        # One shuffle serves both aggregates below.
-        .repartition(ITEM, "part")
-    )
+    if not is_set:
+        attrs = attrs.distinct()
+    part = F.pmod(F.xxhash64("name", "value"), F.lit(parts)) if parts > 1 else F.lit(0)
+    # One shuffle serves both aggregates below.
+    placed = attrs.withColumn("part", part.cast("bigint")).repartition(ITEM, "part")
     by_name = placed.groupBy(ITEM, "part", "name").agg(
         F.array_sort(F.collect_set("value")).alias("values")
     )
@@ -117,13 +94,38 @@ def item_form(
 
 
 def attribute(attributes: Column, name: str) -> Column:
-    """S4 on the item form: all values of one attribute, null if absent."""
+    """S4 on a row of the item form: its values of one attribute, null if absent."""
     return F.try_element_at(attributes, F.lit(name))
 
 
-def first_value(attributes: Column, name: str) -> Column:
-    """P2 on the item form: the first value of one attribute, null if absent."""
-    return F.get(attribute(attributes, name), F.lit(0))
+def values_of(items: DataFrame, name: str) -> DataFrame:
+    """S4 on the item form, whatever its parts: ``(item_name, value)``, a row per value."""
+    return items.select(ITEM, F.explode(attribute(F.col("attributes"), name)).alias("value"))
+
+
+def first_values(attrs: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per item with the first (smallest) value of each name, null if absent."""
+    return attrs.where(f"{ITEM} is not null").groupBy(ITEM).agg(
+        *[F.min(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
+    )
+
+
+def matching_items(
+    attrs: DataFrame, conditions: Mapping[str, tuple[str, str | Column]], query: str | Column
+) -> DataFrame:
+    """E1 on bags: items (one column) for which ``query`` holds.
+
+    ``conditions`` gives names to tests of single values: ``{"late": ("state", "value > 'D'")}``,
+    a Spark SQL expression or a boolean column over ``value``. A test holds for an item if *any* value of the
+    attribute passes it. ``query`` combines the names with and, or and not. The tests are
+    aggregated per item with partial sums, so an item of any size is one small row.
+    """
+    seen = [
+        F.coalesce(F.bool_or((F.col("name") == name) & (F.expr(test) if isinstance(test, str) else test)), F.lit(False)).alias(label)
+        for label, (name, test) in conditions.items()
+    ]
+    found = attrs.where(f"{ITEM} is not null").groupBy(ITEM).agg(*seen)
+    return found.where(query).select(ITEM)
 
 
 def attribute_lookup(attrs: DataFrame, item: str, name: str) -> DataFrame:
@@ -160,10 +162,9 @@ def put_attributes(
         kept = kept.join(_hint(replaced, few), [ITEM, "name"], "left_anti")
     if not few:
         return kept.unionByName(put).distinct()
+    # Present rows equal to a put one give way to it: one pass over the table.
     put = put.distinct()
-    # Present rows among the incoming ones: a subset of `incoming`, hence small too.
-    met = kept.join(F.broadcast(put), list(LONG), "left_semi")
-    return kept.unionByName(put.join(F.broadcast(met), list(LONG), "left_anti"))
+    return kept.join(F.broadcast(put.select(*LONG)), list(LONG), "left_anti").unionByName(put)
 
 
 def check_conditions(
@@ -174,35 +175,58 @@ def check_conditions(
     A condition ``(item_name, cond_name, cond_value, must_exist)`` holds if the attribute
     has that value, or, with ``must_exist`` false, if the item has no such attribute.
 
-    Values are looked up by item, name *and* value, and presence among distinct (item,
-    name) pairs, so both joins are between unique keys and an attribute with very many
-    values makes no large partition. ``few`` (size checked by the caller) first reduces
-    the existing rows by a broadcast, without shuffling them.
+    The existing rows are read once. A row counts for its attribute's presence and, if some
+    condition asks for its value, for that value; both are partial sums per item and
+    attribute, so an attribute with very many values makes no large partition. ``few`` (size
+    checked by the caller) first reduces the existing rows by a broadcast.
     """
     asked = conditions.select(ITEM, "cond_name", "cond_value", "must_exist").distinct()
     state = existing.select(field(ITEM), F.col("name").alias("cond_name"), "value")
     if few:
         pairs = asked.select(ITEM, "cond_name").distinct()
         state = state.join(F.broadcast(pairs), [ITEM, "cond_name"], "left_semi")
-    values = state.withColumnRenamed("value", "cond_value").withColumn("__hit", F.lit(True))
-    names = state.select(ITEM, "cond_name").distinct().withColumn("__hit", F.lit(True))
-    hit = F.col("__hit").isNotNull()
-    with_value = asked.where("must_exist").join(values, [ITEM, "cond_name", "cond_value"], "left")
-    without = asked.where("not must_exist").join(names, [ITEM, "cond_name"], "left")
-    return with_value.withColumn("holds", hit).drop("__hit").unionByName(
-        without.withColumn("holds", ~hit).drop("__hit")
+    by = [ITEM, "cond_name", "cond_value"]
+    # Rows of the table by value, once more as "any value", and the conditions beside them.
+    keys = F.explode(F.array("value", F.lit(None).cast("string"))).alias("cond_value")
+    present = state.select(ITEM, "cond_name", keys, F.lit(True).alias("__have")).distinct()
+    wanted = asked.select(
+        ITEM, "cond_name", F.when(F.col("must_exist"), F.col("cond_value")).alias("cond_value"),
+        F.col("cond_value").alias("__value"), "must_exist", F.lit(False).alias("__have"),
+    )
+    both = wanted.unionByName(present, allowMissingColumns=True)
+    grouped = both.groupBy(*by).agg(
+        F.bool_or("__have").alias("__hit"),
+        F.collect_set(
+            F.when(
+                F.col("must_exist").isNotNull(),
+                F.struct(F.col("__value").alias("v"), F.col("must_exist").alias("m")),
+            )
+        ).alias("__asked"),
+    )
+    one = grouped.select(ITEM, "cond_name", "__hit", F.explode("__asked").alias("c"))
+    must = F.col("c.m")
+    # A required null value matches nothing.
+    holds = F.when(must, F.col("__hit") & F.col("c.v").isNotNull()).otherwise(~F.col("__hit"))
+    return one.select(
+        ITEM, "cond_name", F.col("c.v").alias("cond_value"), must.alias("must_exist"),
+        holds.alias("holds"),
     )
 
 
+def failed_items(existing: DataFrame, conditions: DataFrame, few: bool = False) -> DataFrame:
+    """Items of K9 with a condition that does not hold, each once."""
+    return check_conditions(existing, conditions, few).where("not holds").select(ITEM).distinct()
+
+
 def conditional_put(
-    existing: DataFrame, incoming: DataFrame, conditions: DataFrame, few: bool = False
+    existing: DataFrame, incoming: DataFrame, failed: DataFrame, few: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """K9: put only items all of whose conditions hold; (new state, rejected rows).
 
-    Rejected incoming rows carry an ``error`` column. Items without a condition are put.
-    ``few`` says the caller has checked that both ``incoming`` and ``conditions`` are small.
+    ``failed`` are the items from :func:`failed_items`, which the caller has written down, so
+    that they are decided once. Rejected incoming rows carry an ``error`` column. Items without
+    a condition are put. ``few`` says ``incoming`` and ``failed`` are small (checked).
     """
-    failed = check_conditions(existing, conditions, few).where("not holds").select(ITEM).distinct()
     rejected = incoming.join(_hint(failed, few), ITEM, "left_semi").withColumn(
         "error", F.lit(CONDITION_FAILED)
     )

@@ -118,8 +118,8 @@ def balanced_limit(df: DataFrame, key: str, num_shards: int, limit: int) -> Data
 
     Within a shard rows are ordered by hash position, then key. Counting rows per hash
     slice shows which slices lie wholly inside the quota and which one is cut, so no
-    shard is ever sorted as a whole: only rows of kept slices are shuffled, spread over
-    shard and slice. The result is exact for any limit. The broadcast side has at most
+    shard is ever sorted as a whole: whole slices are filtered, and only the rows of cut ones
+    are shuffled, spread over shards. The result is exact for any limit. The broadcast side has at most
     ``max(num_shards, MAX_KEEP_ROWS)`` rows of three numbers, whatever the data size.
     """
     if limit == NO_LIMIT:
@@ -139,13 +139,19 @@ def balanced_limit(df: DataFrame, key: str, num_shards: int, limit: int) -> Data
             "shard",
             "__slice",
             F.least("items", F.col("quota") - F.col("__before")).alias("__take"),
+            (F.col("quota") - F.col("__before") >= F.col("items")).alias("__whole"),
         )
         .where("__take > 0")
     )
+    names = [field(c) for c in df.columns]
+    whole = keep.where("__whole").select("shard", "__slice")
+    taken = sliced.join(F.broadcast(whole), ["shard", "__slice"], "left_semi").select(*names)
+    # At most one slice of a shard is cut; only its rows are shuffled and ranked.
     in_slice = W.partitionBy("shard", "__slice").orderBy(position, field(key))
-    return (
-        sliced.join(F.broadcast(keep), ["shard", "__slice"])
+    cut = (
+        sliced.join(F.broadcast(keep.where("not __whole")), ["shard", "__slice"])
         .withColumn("__rank", F.row_number().over(in_slice))
         .where("__rank <= __take")
-        .select(*[field(c) for c in df.columns])
+        .select(*names)
     )
+    return taken.unionByName(cut)

@@ -7,6 +7,7 @@ A catalog is any DataFrame with a column ``name`` of shard names, as listed by
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pigeonhole.functions import naming
@@ -20,7 +21,7 @@ MISSING = "missing shard"
 def list_shards(catalog: DataFrame, limit: int | None = None) -> DataFrame:
     """M4: shard names in name order, at most ``limit`` of them."""
     names = catalog.select("name").distinct()
-    return names.orderBy("name").limit(limit) if limit else names
+    return names if limit is None else names.orderBy("name").limit(limit)
 
 
 def shard_counts(catalog: DataFrame) -> DataFrame:
@@ -38,37 +39,31 @@ def shard_counts(catalog: DataFrame) -> DataFrame:
         .where("table_name is not null")
         .distinct()
     )
-    seen = parts.groupBy("table_name").agg(
+    # A number is absent after one whose successor in order is neither it nor the next. Window
+    # and aggregate use one partitioning; a table has no more rows than shard names.
+    in_order = W.partitionBy("table_name").orderBy("number", "total")
+    after = F.lead("number").over(in_order)
+    stepped = parts.withColumn("after", after)
+    gap = F.col("after").isNull() | (F.col("after") > F.col("number") + 1)
+    seen = stepped.groupBy("table_name").agg(
         F.min("total").alias("low"),
         F.max("total").alias("high"),
         F.min("number").alias("first"),
-        F.max("number").alias("last"),
         F.count("*").alias("found"),
         F.max(F.expr("number > total")).alias("beyond"),
+        F.min(F.when(gap, F.col("number") + 1)).alias("gap"),
     )
     problem = (
         F.when((F.col("first") < 1) | F.col("beyond"), F.lit(NO_SUCH_NUMBER))
         .when(F.col("low") != F.col("high"), F.lit(DIFFERENT_COUNTS))
         .when(F.col("found") < F.col("low"), F.lit(MISSING))
     )
-    state = seen.select("table_name", F.col("low").alias("total"), problem.alias("problem"))
-    # Smallest number that is absent: the least successor of 0 or of a present number that
-    # is not itself present. No more candidates than names, whatever totals they claim.
-    incomplete = state.where(F.col("problem") == MISSING).select("table_name")
-    present = parts.join(incomplete, "table_name").select("table_name", "number")
-    candidates = present.select("table_name", (F.col("number") + 1).alias("number")).unionByName(
-        incomplete.select("table_name", F.lit(1).alias("number"))
-    )
-    gaps = (
-        candidates.join(present, ["table_name", "number"], "left_anti")
-        .groupBy("table_name")
-        .agg(F.min("number").alias("first_missing"))
-    )
-    return state.join(gaps, "table_name", "left").select(
+    missing = F.when(F.col("first") > 1, F.lit(1)).otherwise(F.col("gap"))
+    return seen.withColumn("problem", problem).select(
         "table_name",
-        F.when(F.col("problem").isNull(), F.col("total")).alias("num_shards"),
+        F.when(F.col("problem").isNull(), F.col("low")).alias("num_shards"),
         "problem",
-        "first_missing",
+        F.when(F.col("problem") == MISSING, missing).alias("first_missing"),
     )
 
 

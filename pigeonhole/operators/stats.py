@@ -1,4 +1,4 @@
-"""Per-shard statistics (M6): the six counters of a shard's metadata.
+"""Per-shard statistics (M6): the counters of a shard's metadata and its last change.
 
 The hidden item hash counts as an attribute of every item, as it does in the store.
 """
@@ -29,9 +29,17 @@ COUNTERS = (
 
 
 def shard_stats(
-    df: DataFrame, key: str, attributes: Sequence[str], count_hash: bool = True
+    df: DataFrame,
+    key: str,
+    attributes: Sequence[str],
+    count_hash: bool = True,
+    modified: str | None = None,
 ) -> DataFrame:
-    """M6 over routed wide rows: one aggregate, one row per shard and task shuffled."""
+    """M6 over routed wide rows: one aggregate, one row per shard and task shuffled.
+
+    ``modified`` names a column with the time of a row's last change; the latest one of the
+    shard is then the seventh figure. Tables take it from their files instead.
+    """
     items = F.count("*")
     hidden = 1 if count_hash else 0
 
@@ -56,6 +64,7 @@ def shard_stats(
             "attribute_values_bytes"
         ),
         name_bytes.alias("attribute_names_bytes"),
+        *([] if modified is None else [F.max(field(modified)).alias("modified")]),
     )
 
 

@@ -302,6 +302,70 @@ ORACLES: dict[str, str] = {
         from (select item_name, name, name || '=' || string_agg(value, ',' order by value) as pair
           from a where item_name in (select item_name from f) group by item_name, name)
         group by item_name""",
+    "select_any_value": f"""
+        with a as (select * from {ATTRS}),
+        f as (select item_name from a group by item_name
+          having (bool_or(name = 'flag' and value = 'R') and bool_or(name = 'state' and value = 'O'))
+            or bool_or(name = 'supplier' and value >= '9'))
+        select item_name, 0::BIGINT as part, string_agg(pair, ';' order by name) as attributes
+        from (select item_name, name, name || '=' || string_agg(value, ',' order by value) as pair
+          from a where item_name in (select item_name from f) group by item_name, name)
+        group by item_name""",
+    "table_items": f"""
+        with a as (select * from {ATTRS}),
+        f as (select item_name from a group by item_name
+          having bool_or(name = 'flag' and value = 'R') and bool_or(name = 'state' and value = 'O'))
+        select item_name, 0::BIGINT as part, string_agg(pair, ';' order by name) as attributes
+        from (select item_name, name, name || '=' || string_agg(value, ',' order by value) as pair
+          from a where item_name in (select item_name from f) group by item_name, name)
+        group by item_name""",
+    "table_conditional_put": f"""
+        with {CONDITIONS},
+        ok as (select * from p where item_name not in (select item_name from failed))
+        select *, null::varchar as error from (
+          select * from a where not exists (
+            select 1 from ok where ok.item_name = a.item_name and ok.name = a.name)
+          union select * from ok)
+        union all
+        select *, 'ConditionalCheckFailed' as error from p
+        where item_name in (select item_name from failed)""",
+    "table_delete": f"""
+        select * from {ATTRS} where item_name not in (
+          select o_orderkey::varchar from orders where o_orderstatus = 'F')
+        and not (name = 'flag' and value = 'R'
+          and item_name in (select o_orderkey::varchar from orders))
+        and not (name = 'state' and item_name in (
+          select o_orderkey::varchar from orders where o_orderpriority = '1-URGENT'))""",
+    "table_attribute": f"""
+        with a as (select * from {ATTRS} where item_name = '7')
+        select item_name, name, value, (select min(value) from a where name = 'flag') as flag
+        from a where name = 'supplier'""",
+    "table_stats": f"""
+        select shard, count(*) as items, 3 * count(*) as attribute_values,
+          3::BIGINT as attribute_names, sum(octet_length(encode(name)))::BIGINT as item_names_bytes,
+          (11 * count(*) + sum(octet_length(encode(nation)))
+            + sum(octet_length(encode(segment))))::BIGINT as attribute_values_bytes,
+          22::BIGINT as attribute_names_bytes, true as modified
+        from {routed(PEOPLE, 'name')} group by shard""",
+    "table_lookup_all": f"select * from {ORDERS} where priority = '1-URGENT' and status <> 'F'",
+    "table_plan": balanced(
+        PENDING,
+        "id",
+        500,
+        f"""select c.shard, 'orders-' || (c.shard + 1) || '-of-20' as name, cnt as items, quota,
+              (select count(*) from {routed(ORDERS, 'id')} s where s.shard = c.shard) as stored
+            from c join r on r.i = c.shard where quota > 0""",
+    ),
+    "shard_stats_modified": f"""
+        select shard, count(*) as items, 2 * count(*) as attribute_values,
+          2::BIGINT as attribute_names, sum(octet_length(encode(id)))::BIGINT as item_names_bytes,
+          (11 * count(*) + sum(octet_length(encode(status))))::BIGINT as attribute_values_bytes,
+          15::BIGINT as attribute_names_bytes, max(changed) as modified
+        from {routed("(select o_orderkey::varchar as id, o_orderstatus as status, o_orderdate as changed from orders)", 'id')}
+        group by shard""",
+    "shard_count_check": """
+        select p_partkey::varchar as table_name, (3 * p_size)::BIGINT as num_shards, 100 as allowed
+        from part where 3 * p_size > 100""",
     "item_parts": f"select * from {ATTRS}",
     "to_wide": f"""
         select item_name as id, min(value) filter (where name = 'flag') as flag,

@@ -424,9 +424,24 @@ def select_items(spark, sf_dir):
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 
+_ANY_VALUE = {
+    "returned": ("flag", "value = 'R'"),
+    "open": ("state", "value = 'O'"),
+    "far": ("supplier", "value >= '9'"),
+}
+
+
+def select_any_value(spark, sf_dir):
+    """Items any of whose flags is R and any of whose states is O, or with a supplier from 9 on."""
+    attrs = order_attributes(spark, sf_dir)
+    found = attrs_ops.matching_items(attrs, _ANY_VALUE, "(returned and open) or far")
+    items = attrs_ops.item_form(attrs, is_set=True, among=found)
+    return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
+
+
 def item_parts(spark, sf_dir):
-    """Items larger than the row bound come in parts; no value is lost or repeated."""
-    items = attrs_ops.item_form(order_attributes(spark, sf_dir), max_values=12, is_set=True)
+    """Items dealt over parts; no value is lost or repeated."""
+    items = attrs_ops.item_form(order_attributes(spark, sf_dir), parts=3, is_set=True)
     return items.select("item_name", F.explode("attributes").alias("name", "values")).select(
         "item_name", "name", F.explode("values").alias("value")
     )
@@ -439,12 +454,15 @@ def to_wide(spark, sf_dir):
 
 
 def first_value(spark, sf_dir):
-    bag = F.col("attributes")
-    return attrs_ops.item_form(order_attributes(spark, sf_dir), is_set=True).select(
-        F.col("item_name").alias("id"),
-        attrs_ops.first_value(bag, "flag").alias("flag"),
-        F.array_join(attrs_ops.attribute(bag, "supplier"), ",").alias("suppliers"),
-        attrs_ops.first_value(bag, "none").alias("none"),
+    """First flag, all suppliers and an attribute that no item has."""
+    attrs = order_attributes(spark, sf_dir)
+    first = attrs_ops.first_values(attrs, ["flag", "none"])
+    items = attrs_ops.item_form(attrs.where("name = 'supplier'"), parts=2, is_set=True)
+    suppliers = attrs_ops.values_of(items, "supplier").groupBy("item_name").agg(
+        F.array_join(F.array_sort(F.collect_list("value")), ",").alias("suppliers")
+    )
+    return first.join(suppliers, "item_name", "left").select(
+        F.col("item_name").alias("id"), "flag", "suppliers", "none"
     )
 
 
@@ -469,18 +487,24 @@ def batch_put(spark, sf_dir):
     return attrs_ops.put_attributes(order_attributes(spark, sf_dir), puts)
 
 
-def _conditional(spark, sf_dir):
-    """Put if the order has a returned line (even orders) or no R flag at all (odd)."""
-    attrs = order_attributes(spark, sf_dir)
-    puts = order_puts(spark, sf_dir).withColumn("replace", F.lit(True))
+def _order_conditions(spark, sf_dir):
+    """The order has a returned line (even orders) or no state at all (odd)."""
     even = F.col("id") % 2 == 0
-    conditions = orders(spark, sf_dir).select(
+    return orders(spark, sf_dir).select(
         F.col("id").cast("string").alias("item_name"),
         F.when(even, "flag").otherwise("state").alias("cond_name"),
         F.when(even, "R").alias("cond_value"),
         even.alias("must_exist"),
     )
-    return attrs_ops.conditional_put(attrs, puts, conditions)
+
+
+def _conditional(spark, sf_dir):
+    attrs = order_attributes(spark, sf_dir)
+    puts = order_puts(spark, sf_dir).withColumn("replace", F.lit(True))
+    path = files.scratch_path(spark, "failed")
+    attrs_ops.failed_items(attrs, _order_conditions(spark, sf_dir)).write.parquet(path)
+    failed = spark.read.schema("item_name string").parquet(path)
+    return attrs_ops.conditional_put(attrs, puts, failed)
 
 
 def conditional_put(spark, sf_dir):
@@ -531,6 +555,72 @@ def table_put(spark, sf_dir):
     return table.attributes()
 
 
+def _written_attributes(spark, sf_dir):
+    table = fresh_store(spark).create_attributes("attrs", N)
+    table.put(order_attributes(spark, sf_dir))
+    return table
+
+
+def table_conditional_put(spark, sf_dir):
+    """K9 through files: the rejected rows and, without an error, those of the new state."""
+    table = _written_attributes(spark, sf_dir)
+    puts = order_puts(spark, sf_dir).withColumn("replace", F.lit(True))
+    rejected = table.conditional_put(puts, _order_conditions(spark, sf_dir)).drop("replace")
+    state = table.attributes().withColumn("error", F.lit(None).cast("string"))
+    return state.unionByName(rejected.select(*state.columns))
+
+
+def table_delete(spark, sf_dir):
+    """K11, K12 through files: items of filled orders, flag R, all states of urgent orders."""
+    table = _written_attributes(spark, sf_dir)
+    o = orders(spark, sf_dir).select(
+        F.col("id").cast("string").alias("item_name"), "status", "priority"
+    )
+    table.delete_items(o.where("status = 'F'").select("item_name"))
+    flags = o.select("item_name", F.lit("flag").alias("name"), F.lit("R").alias("value"))
+    states = o.where("priority = '1-URGENT'").select(
+        "item_name", F.lit("state").alias("name"), F.lit(None).cast("string").alias("value")
+    )
+    table.delete(flags.unionByName(states))
+    return table.attributes()
+
+
+def table_items(spark, sf_dir):
+    """S2 through files: bags of items with an R flag and an O state among their values."""
+    table = _written_attributes(spark, sf_dir)
+    items = table.select(_ANY_VALUE, "returned and open")
+    return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
+
+
+def table_attribute(spark, sf_dir):
+    """S4 through files, and S3: one item's suppliers beside its first flag."""
+    table = _written_attributes(spark, sf_dir)
+    first = table.read(Scheme(["id", "flag"], "id", "itemName() = '7'")).select("flag")
+    return table.attribute("7", "supplier").crossJoin(F.broadcast(first.limit(1)))
+
+
+def table_stats(spark, sf_dir):
+    """M6 of a written table; that a shard's time is there, as the time itself is the run's."""
+    table = fresh_store(spark).write("people", people(spark, sf_dir), PEOPLE, N)
+    found = table.stats()
+    return found.withColumn("modified", F.col("modified").isNotNull())
+
+
+def table_lookup_all(spark, sf_dir):
+    """S3 for many keys and K11 on a wide table: urgent orders after filled ones are deleted."""
+    table = fresh_store(spark).write("orders", orders(spark, sf_dir), ORDERS, 4)
+    table.delete_items(orders(spark, sf_dir).where("status = 'F'").select("id"))
+    urgent = orders(spark, sf_dir).where("priority = '1-URGENT'").select("id")
+    return table.lookup_all(urgent)
+
+
+def table_plan(spark, sf_dir):
+    """S5 and A1 of a written table."""
+    table = fresh_store(spark).write("orders", orders(spark, sf_dir), ORDERS, N)
+    plan = table.plan(ORDERS.with_query("status = 'P'").with_limit(500))
+    return plan.join(table.count_by_shard().withColumnRenamed("items", "stored"), "shard")
+
+
 # -- M1-M6 ---------------------------------------------------------------------------------
 
 
@@ -602,6 +692,16 @@ def shard_stats(spark, sf_dir):
     return stats.shard_stats(routed(rows, PEOPLE), "name", PEOPLE.attributes)
 
 
+def shard_stats_modified(spark, sf_dir):
+    """M6 with the time of the last change: orders by shard, the newest order of each."""
+    rows = given(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").alias("changed"),
+    )
+    return stats.shard_stats(route(rows, "id", N), "id", ["status"], modified="changed")
+
+
 def attribute_stats(spark, sf_dir):
     placed = route(order_attributes(spark, sf_dir), "item_name", N)
     return stats.attribute_stats(placed)
@@ -667,6 +767,15 @@ def attribute_capacity_check(spark, sf_dir):
     return maintenance.attribute_capacity_violations(attrs, max_item_bytes=20000)
 
 
+def shard_count_check(spark, sf_dir):
+    """R4, the shard count: as if every part were a table with three shards per unit of size."""
+    tables = given(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("table_name"),
+        (F.col("p_size") * 3).cast("bigint").alias("num_shards"),
+    )
+    return maintenance.shard_count_violations(tables)
+
+
 # -- the whole flow ----------------------------------------------------------------------------
 
 
@@ -715,6 +824,7 @@ QUERIES: dict[str, Query] = {
     "to_long": to_long,
     "to_item_map": to_item_map,
     "select_items": select_items,
+    "select_any_value": select_any_value,
     "item_parts": item_parts,
     "to_wide": to_wide,
     "first_value": first_value,
@@ -728,6 +838,13 @@ QUERIES: dict[str, Query] = {
     "delete_attribute": delete_attribute,
     "delete_value": delete_value,
     "table_put": table_put,
+    "table_conditional_put": table_conditional_put,
+    "table_delete": table_delete,
+    "table_items": table_items,
+    "table_attribute": table_attribute,
+    "table_stats": table_stats,
+    "table_lookup_all": table_lookup_all,
+    "table_plan": table_plan,
     "create_table": create_table,
     "table_exists": table_exists,
     "missing_shards": missing_shards,
@@ -736,6 +853,7 @@ QUERIES: dict[str, Query] = {
     "list_tables_max": list_tables_max,
     "last_modified": last_modified,
     "shard_stats": shard_stats,
+    "shard_stats_modified": shard_stats_modified,
     "attribute_stats": attribute_stats,
     "reshard": reshard,
     "table_reshard": table_reshard,
@@ -744,5 +862,6 @@ QUERIES: dict[str, Query] = {
     "sortable_encode": sortable_encode,
     "capacity_check": capacity_check,
     "attribute_capacity_check": attribute_capacity_check,
+    "shard_count_check": shard_count_check,
     "contact_flow": contact_flow,
 }

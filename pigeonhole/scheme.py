@@ -162,7 +162,7 @@ def route(df: DataFrame, key: str, num_shards: int) -> DataFrame:
 
 def clean_query(query: str | None) -> str:
     text = (query or "").strip()
-    if text.lower().startswith("where "):
+    if text.lower().split(None, 1)[:1] == ["where"]:
         raise ValueError(f"a query must not start with 'where': {text}")
     return text
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -17,11 +18,6 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _open(spark, path)
-    return fs.exists(p)
-
-
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a directory, empty if there is no such directory."""
     fs, p = _open(spark, path)
@@ -46,14 +42,45 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+class AlreadyThere(RuntimeError):
+    """A file that may not be replaced exists."""
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it already exists."""
+    """Create a small file that readers see whole or not at all; an error if it exists.
+
+    The text is written under a hidden name first. On a local file system a link to it makes
+    the file appear, elsewhere a rename that may not overwrite. Both are atomic where the file
+    system's are (local disks, HDFS); object stores check first and rename then, so tables
+    there need a single writer at a time.
+    """
     fs, p = _open(spark, path)
-    out = fs.create(p, False)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            paths = spark._jvm.java.nio.file.Paths
+            none = spark.sparkContext._gateway.new_array(spark._jvm.String, 0)
+            at = [paths.get(x.toUri().getPath(), none) for x in (p, hidden)]
+            spark._jvm.java.nio.file.Files.createLink(*at)
+        else:
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), spark._jsc.hadoopConfiguration()
+            )
+            option = spark._jvm.org.apache.hadoop.fs.Options.Rename
+            kinds = spark.sparkContext._gateway.new_array(option, 1)
+            kinds[0] = option.NONE
+            context.rename(hidden, p, kinds)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            raise AlreadyThere(path) from e
+        raise
+    finally:
+        fs.delete(hidden, False)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -7,9 +7,10 @@ Layout of a table below the root of a :class:`Store`::
 
 A write puts the new rows of the shards it touches under a new version, then creates the
 next manifest, which says for every shard in which version its rows are. Readers take the
-newest manifest, so an unfinished or failed write is never seen, a running reader keeps
-its files, and shards that are not touched are not rewritten. Manifests are created
-without overwriting: of two racing writers one fails.
+newest manifest once per operation, so an unfinished or failed write is never seen, no
+operation mixes two states, a running reader keeps its files, and shards that are not
+touched are not rewritten. A manifest appears whole or not at all and never replaces
+another: of two racing writers one fails with ``files.AlreadyThere``.
 
 Inside a shard, files are ranges of the item hash and are sorted by it, so a key lookup or
 a hash slice reads few row groups.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from functools import reduce
@@ -44,6 +45,9 @@ ROW_OVERHEAD = 200
 # Bytes on disk that one shuffle partition of a merge should hold.
 PARTITION_BYTES = 64 * 1024 * 1024
 
+# Manifests that stay beside the newest one; older ones are deleted by later writes.
+KEEP_MANIFESTS = 16
+
 ROUTING = T.StructType(
     [T.StructField("item_hash", T.StringType()), T.StructField("shard", T.IntegerType())]
 )
@@ -90,7 +94,7 @@ class Store:
         hashing.check_num_shards(num_shards)
         path = self._path(name)
         table = kind(self, name, path)
-        if self.exists(name):
+        if self._known(name):
             have = table.manifest()
             if (have.layout, have.num_shards, have.key) != (kind.layout, num_shards, key):
                 raise ValueError(
@@ -114,29 +118,44 @@ class Store:
         return table
 
     def exists(self, name: str, num_shards: int | None = None) -> bool:
-        """M2: all shards exist; with ``num_shards``, exactly those of that many."""
-        path = self._path(name)
-        if not files.names(self.spark, f"{path}/_manifests"):
+        """M2: all shards are stored; with ``num_shards``, exactly those of that many."""
+        if not self._known(name):
             return False
-        return num_shards in (None, ItemTable(self, name, path).manifest().num_shards)
+        table = ItemTable(self, name, self._path(name))
+        at = table.manifest()
+        return num_shards in (None, at.num_shards) and not table.lost_shards(at)
+
+    def _known(self, name: str) -> bool:
+        """Whether there is a table of this name, complete or not."""
+        return bool(ItemTable(self, name, self._path(name)).manifest_names())
 
     def drop(self, name: str) -> bool:
         """M3: delete this table and no other; false if it does not exist."""
-        return files.delete(self.spark, self._path(name)) if self.exists(name) else False
+        return files.delete(self.spark, self._path(name)) if self._known(name) else False
 
     # -- M4, M7 ------------------------------------------------------------------------
 
     def tables(self) -> list[str]:
         found = files.names(self.spark, self.root)
-        return [n for n in found if n[0] not in "._" and self.exists(n)]
+        return [n for n in found if n[0] not in "._" and self._known(n)]
 
     def shards(self, limit: int | None = None) -> DataFrame:
-        """M4: ``name`` of every shard of every table."""
-        known = [
-            (n, ItemTable(self, n, self._path(n)).manifest().num_shards) for n in self.tables()
-        ]
-        listed = self.spark.createDataFrame(known, "table_name string, num_shards int")
-        numbers = F.explode(F.sequence(F.lit(0), F.col("num_shards") - 1)).alias("shard")
+        """M4: ``name`` of every shard that is stored, of every table.
+
+        A shard without rows has no files and is stored by being in the manifest; one whose
+        files are gone is not listed.
+        """
+        known = []
+        for n in self.tables():
+            table = ItemTable(self, n, self._path(n))
+            at = table.manifest()
+            known.append((n, at.num_shards, table.lost_shards(at)))
+        listed = self.spark.createDataFrame(
+            known, "table_name string, num_shards int, lost array<int>"
+        )
+        numbers = F.explode(
+            F.array_except(F.sequence(F.lit(0), F.col("num_shards") - 1), F.col("lost"))
+        ).alias("shard")
         catalog = listed.select("table_name", "num_shards", numbers).select(
             naming.shard_name(F.col("table_name"), F.col("shard"), F.col("num_shards")).alias(
                 "name"
@@ -164,16 +183,21 @@ class Store:
         """The sink: ``update`` (default), ``replace`` or ``keep``; see :class:`ItemTable`."""
         if mode not in ("update", "replace", "keep"):
             raise ValueError(f"unknown mode {mode!r}")
-        if mode == "keep" and self.exists(name):
+        known = self._known(name)
+        if mode == "keep" and known:
             raise TableExists(f"table {name} already exists")
-        if mode == "replace" and self.exists(name):
-            table = ItemTable(self, name, self._path(name))
-        else:
+        table = ItemTable(self, name, self._path(name))
+        at = None
+        if not known:
+            # Not published: the table appears together with its first rows.
+            hashing.check_num_shards(num_shards)
+            at = Manifest(0, table.layout, num_shards, scheme.key, list(scheme.fields), {})
+        elif mode == "update":
             table = self.create(name, scheme, num_shards)
         if mode == "update":
-            table.update(df, scheme, order_by, null_deletes, bulk)
+            table.update(df, scheme, order_by, null_deletes, bulk, at)
         else:
-            table.replace(df, scheme, num_shards, order_by)
+            table.replace(df, scheme, num_shards, order_by, at)
         return table
 
     def _path(self, name: str) -> str:
@@ -193,14 +217,31 @@ class _ShardedTable:
 
     def manifest(self) -> Manifest:
         """The newest manifest. A table that is not there is an error."""
-        found = files.names(self.spark, f"{self.path}/_manifests")
+        found = self.manifest_names()
         if not found:
             raise NoSuchTable(self.name)
         return Manifest(**json.loads(files.read_text(self.spark, self._manifest_path(found[-1]))))
 
+    def manifest_names(self) -> list[str]:
+        found = files.names(self.spark, f"{self.path}/_manifests")
+        return [n for n in found if n.endswith(".json") and n[0] not in "._"]
+
     def publish(self, manifest: Manifest) -> None:
         text = json.dumps(asdict(manifest))
         files.create_text(self.spark, self._manifest_path(f"{manifest.number:012d}.json"), text)
+        old = manifest.number - 1 - KEEP_MANIFESTS
+        if old > 0:
+            files.delete(self.spark, self._manifest_path(f"{old:012d}.json"))
+
+    def lost_shards(self, at: Manifest) -> list[int]:
+        """Shards whose rows the manifest places in a directory that is not there.
+
+        One listing per version, however many shards it has.
+        """
+        found = {
+            v: set(files.names(self.spark, self._data_path(v))) for v in set(at.versions.values())
+        }
+        return sorted(int(s) for s, v in at.versions.items() if f"shard={s}" not in found[v])
 
     def _manifest_path(self, file_name: str) -> str:
         return f"{self.path}/_manifests/{file_name}"
@@ -208,13 +249,15 @@ class _ShardedTable:
     def _data_path(self, version: str) -> str:
         return f"{self.path}/data/v={version}"
 
-    def rows(self, touched: Sequence[int] | None = None) -> DataFrame:
-        """Routed rows of the table, or of some of its shards.
+    def rows(
+        self, touched: Sequence[int] | None = None, at: Manifest | None = None
+    ) -> DataFrame:
+        """Routed rows of the table, or of some of its shards, in its state ``at``.
 
         The schema is given, never inferred; ``shard`` is a partition column, so filters
         on it prune directories.
         """
-        manifest = self.manifest()
+        manifest = at or self.manifest()
         schema = T.StructType(
             [T.StructField(f, T.StringType()) for f in manifest.fields] + ROUTING.fields
         )
@@ -228,13 +271,12 @@ class _ShardedTable:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).select(*[quoted(f.name) for f in schema.fields])
 
-    def _partitions(self, touched: Sequence[int] | None = None) -> int:
+    def _partitions(self, at: Manifest, touched: Sequence[int] | None = None) -> int:
         """Shuffle partitions for work on these shards: the session's number, or more where
         that would give partitions of more than PARTITION_BYTES on disk."""
-        versions = self.manifest().versions.items()
         size = sum(
             files.size(self.spark, f"{self._data_path(v)}/shard={s}")
-            for s, v in versions
+            for s, v in at.versions.items()
             if touched is None or int(s) in touched
         )
         return max(
@@ -247,10 +289,10 @@ class _ShardedTable:
         return maintenance.hash_slices(rows, num_shards, max(1, -(-partitions // num_shards)))
 
     def _merged_slices(self, before, incoming, key, null_deletes, touched=None) -> DataFrame:
-        partitions = self._partitions(touched)
+        partitions = self._partitions(before, touched)
         configured = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return upsert.merge_sliced(
-            self._sliced(self.rows(touched), before.num_shards, partitions),
+            self._sliced(self.rows(touched, before), before.num_shards, partitions),
             self._sliced(incoming, before.num_shards, partitions),
             key,
             null_deletes,
@@ -258,6 +300,14 @@ class _ShardedTable:
             partitions if partitions > configured else None,
         )
 
+    def _checked_slices(self, incoming: DataFrame, at: Manifest) -> DataFrame:
+        """Incoming rows by shard and slice, for a first write; a repeated key is an error.
+
+        The check is part of the exchange that the write needs anyway.
+        """
+        nothing = Manifest(0, at.layout, at.num_shards, at.key, at.fields, {})
+        return self._merged_slices(nothing, incoming, at.key, False)
+
     def _write_version(self, rows: DataFrame, num_shards: int, gather: bool) -> dict[str, str]:
         """Write routed rows under a new version; returns the shards that have rows.
 
@@ -290,20 +340,10 @@ class _ShardedTable:
         fields: Sequence[str] | None = None,
         num_shards: int | None = None,
         gather: bool = True,
-        unique: bool = False,
     ) -> None:
-        """New version of the touched shards (all if None), then the next manifest.
-
-        With ``unique`` the written rows are checked for repeated keys before they become
-        visible; the check reads and shuffles nothing but the key column.
-        """
+        """New version of the touched shards (all if None), then the next manifest."""
         count = num_shards or before.num_shards
         new = self._write_version(rows, count, gather)
-        if unique and new:
-            version = next(iter(new.values()))
-            key_only = T.StructType([T.StructField(before.key, T.StringType())])
-            written = self.spark.read.schema(key_only).parquet(self._data_path(version))
-            self._refuse_repeated(written.select(field(before.key)), before.key)
         kept = {}
         if touched is not None:
             gone = {str(s) for s in touched}
@@ -348,9 +388,9 @@ class _ShardedTable:
         finally:
             files.delete(self.spark, path)
 
-    def files(self) -> DataFrame:
+    def files(self, at: Manifest | None = None) -> DataFrame:
         """``(shard, file_name, bytes, modified)`` of every data file, from listings only."""
-        manifest = self.manifest()
+        manifest = at or self.manifest()
         schema = "shard int, file_name string, bytes bigint, modified timestamp"
         paths = [f"{self._data_path(v)}/shard={s}" for s, v in manifest.versions.items()]
         if not paths:
@@ -367,10 +407,11 @@ class _ShardedTable:
 
     def last_modified(self) -> DataFrame:
         """M5: one row ``(table_name, modified)``: the latest change of any shard."""
+        at = self.manifest()
         created = files.modified_millis(
-            self.spark, self._manifest_path(f"{self.manifest().number:012d}.json")
+            self.spark, self._manifest_path(f"{at.number:012d}.json")
         )
-        changes = self.files().select(F.lit(self.name).alias("table_name"), "modified")
+        changes = self.files(at).select(F.lit(self.name).alias("table_name"), "modified")
         published = self.spark.range(1).select(
             F.lit(self.name).alias("table_name"),
             F.timestamp_millis(F.lit(created)).alias("modified"),
@@ -380,9 +421,10 @@ class _ShardedTable:
     def prune(self, keep: int = 1) -> list[str]:
         """Delete data that none of the ``keep`` newest manifests uses, and older manifests.
 
-        Not while a reader of an older state or a writer is running.
+        Also deletes what conditional puts noted down for their callers. Not while a reader of
+        an older state or a writer is running.
         """
-        found = files.names(self.spark, f"{self.path}/_manifests")
+        found = self.manifest_names()
         used = set()
         for n in found[-keep:]:
             used.update(
@@ -399,8 +441,14 @@ class _ShardedTable:
         ]
         for n in stale:
             files.delete(self.spark, f"{self.path}/data/{n}")
+        files.delete(self.spark, f"{self.path}/_failed")
         return stale
 
+    def _with_modified(self, counters: DataFrame, at: Manifest) -> DataFrame:
+        """M6: the counters with the time of the last change of each shard's files."""
+        changed = self.files(at).groupBy("shard").agg(F.max("modified").alias("modified"))
+        return counters.join(changed, "shard", "left")
+
 
 @dataclass(frozen=True)
 class _Staged:
@@ -418,49 +466,55 @@ class ItemTable(_ShardedTable):
 
     def read(self, scheme: Scheme | None = None) -> DataFrame:
         """The scheme's fields of the rows matching its query and limit."""
-        scheme = scheme or self.scheme()
-        return scheme.project(self.matching(scheme))
+        found = self.matching(scheme)
+        return found.drop(*ROUTING.names) if scheme is None else scheme.project(found)
 
     def matching(self, scheme: Scheme | None = None) -> DataFrame:
         """Like :meth:`read`, but all table columns with ``item_hash`` and ``shard``."""
-        scheme = scheme or self.scheme()
-        found = scheme.where(self.rows())
-        return scan.balanced_limit(found, scheme.key, self.manifest().num_shards, scheme.limit)
+        at = self.manifest()
+        scheme = scheme or self.scheme(at)
+        found = scheme.where(self.rows(at=at))
+        return scan.balanced_limit(found, scheme.key, at.num_shards, scheme.limit)
 
-    def scheme(self) -> Scheme:
-        manifest = self.manifest()
+    def scheme(self, at: Manifest | None = None) -> Scheme:
+        manifest = at or self.manifest()
         return Scheme(manifest.fields, manifest.key)
 
     def lookup(self, value: str) -> DataFrame:
         """S3: the row of one key, read from one shard."""
         manifest = self.manifest()
         shard = hashing.literal_shard(value, manifest.num_shards)
-        rows = scan.item_lookup(self.rows([shard]), manifest.key, value, manifest.num_shards)
-        return self.scheme().project(rows)
+        found = self.rows([shard], manifest)
+        rows = scan.item_lookup(found, manifest.key, value, manifest.num_shards)
+        return self.scheme(manifest).project(rows)
 
     def lookup_all(self, keys: DataFrame) -> DataFrame:
         """S3 for a table of keys (one column): a few keys prune shards while running."""
         manifest = self.manifest()
-        rows = scan.items_lookup(self.rows(), manifest.key, keys, manifest.num_shards)
-        return self.scheme().project(rows)
+        rows = scan.items_lookup(self.rows(at=manifest), manifest.key, keys, manifest.num_shards)
+        return self.scheme(manifest).project(rows)
 
     def count(self, query: str | Column | None = None, limit: int = -1) -> DataFrame:
         """A1/A2: one row ``items``."""
-        return scan.count_items(self.scheme().where(self.rows(), query), limit)
+        at = self.manifest()
+        return scan.count_items(self.scheme(at).where(self.rows(at=at), query), limit)
 
     def count_by_shard(self, query: str | Column | None = None) -> DataFrame:
-        return scan.count_by_shard(self.scheme().where(self.rows(), query))
+        at = self.manifest()
+        return scan.count_by_shard(self.scheme(at).where(self.rows(at=at), query))
 
     def plan(self, scheme: Scheme) -> DataFrame:
         """Shards with matches, and what a read with this scheme takes from each."""
-        found = scheme.where(self.rows())
-        return scan.shard_plan(found, self.manifest().num_shards, scheme.limit, self.name)
+        at = self.manifest()
+        found = scheme.where(self.rows(at=at))
+        return scan.shard_plan(found, at.num_shards, scheme.limit, self.name)
 
     def stats(self) -> DataFrame:
-        """M6: counters of every shard, empty ones included."""
-        scheme, count = self.scheme(), self.manifest().num_shards
-        found = stats.shard_stats(self.rows(), scheme.key, scheme.attributes)
-        return stats.every_shard(found, count)
+        """M6: counters and last change of every shard, empty ones included."""
+        at = self.manifest()
+        scheme = self.scheme(at)
+        found = stats.shard_stats(self.rows(at=at), scheme.key, scheme.attributes)
+        return self._with_modified(stats.every_shard(found, at.num_shards), at)
 
     # -- sink --------------------------------------------------------------------------
 
@@ -470,16 +524,18 @@ class ItemTable(_ShardedTable):
         scheme: Scheme,
         num_shards: int | None = None,
         order_by: Sequence[str] | None = None,
+        at: Manifest | None = None,
     ) -> None:
         """K2: the rows become the whole table, with new fields and shard count if given."""
-        before = self.manifest()
+        before = at or self.manifest()
         count = num_shards or before.num_shards
         hashing.check_num_shards(count)
-        before = Manifest(**{**asdict(before), "key": scheme.key})
+        state = asdict(before) | {"key": scheme.key, "fields": list(scheme.fields)}
+        before = Manifest(**state | {"num_shards": count})
         rows = self._incoming(df, scheme, count, order_by, False)
-        self._publish_shards(
-            before, rows, None, scheme.fields, count, unique=not order_by
-        )
+        if not order_by:
+            rows = self._checked_slices(rows, before)
+        self._publish_shards(before, rows, None, gather=bool(order_by))
 
     def update(
         self,
@@ -488,6 +544,7 @@ class ItemTable(_ShardedTable):
         order_by: Sequence[str] | None = None,
         null_deletes: bool = False,
         bulk: bool = False,
+        at: Manifest | None = None,
     ) -> None:
         """Insert new keys, set the written attributes of present ones.
 
@@ -498,32 +555,35 @@ class ItemTable(_ShardedTable):
         ``bulk`` says the incoming rows are many and go to every shard: they are then not
         staged to learn that, but evaluated once, inside that shuffle.
         """
-        before = self.manifest()
-        scheme = scheme or self.scheme()
+        before = at or self.manifest()
+        scheme = scheme or self.scheme(before)
         if scheme.key != before.key:
             raise ValueError(f"table {self.name} has key {before.key}, not {scheme.key}")
         fields = before.fields + [f for f in scheme.fields if f not in before.fields]
         incoming = self._incoming(df, scheme, before.num_shards, order_by, null_deletes)
         if not before.versions:
-            self._publish_shards(before, incoming, None, fields, unique=not order_by)
+            if not order_by:
+                incoming = self._checked_slices(incoming, before)
+            self._publish_shards(before, incoming, None, fields, gather=bool(order_by))
             return
         if bulk:
             merged = self._merged_slices(before, incoming, scheme.key, null_deletes)
             self._publish_shards(before, merged, None, fields, gather=False)
             return
         with self._stage(incoming) as staged:
-            if not order_by:
-                self._refuse_repeated(staged.rows, scheme.key)
             if not staged.touched:
                 return
             if staged.few:
-                existing = self.rows(staged.touched)
+                if not order_by:
+                    self._refuse_repeated(staged.rows, scheme.key)
+                existing = self.rows(staged.touched, before)
                 merged = upsert.merge_few(existing, staged.rows, scheme.key, null_deletes)
             else:
                 merged = self._merged_slices(
                     before, staged.rows, scheme.key, null_deletes, staged.touched
                 )
-            self._publish_shards(before, merged, staged.touched, fields, gather=False)
+            # Merged slices are where they belong; few rows leave theirs in other tasks.
+            self._publish_shards(before, merged, staged.touched, fields, gather=staged.few)
 
     def delete_items(self, keys: DataFrame) -> None:
         """Remove the rows whose key is listed (one column)."""
@@ -532,17 +592,18 @@ class ItemTable(_ShardedTable):
         wanted = keys.select(field(name).cast("string").alias(before.key)).distinct()
         with self._stage(route(wanted, before.key, before.num_shards)) as staged:
             gone = staged.rows.select(field(before.key))
-            left = self.rows(staged.touched).join(
+            left = self.rows(staged.touched, before).join(
                 F.broadcast(gone) if staged.few else gone, before.key, "left_anti"
             )
             if staged.touched:
-                self._publish_shards(before, left, staged.touched, gather=not staged.few)
+                self._publish_shards(before, left, staged.touched)
 
     def reshard(self, num_shards: int) -> None:
         """The same rows over another number of shards."""
         hashing.check_num_shards(num_shards)
-        rows = maintenance.reshard(self.rows(), num_shards)
-        self._publish_shards(self.manifest(), rows, None, num_shards=num_shards)
+        before = self.manifest()
+        rows = maintenance.reshard(self.rows(at=before), num_shards)
+        self._publish_shards(before, rows, None, num_shards=num_shards)
 
     @staticmethod
     def _incoming(df, scheme, num_shards, order_by, null_deletes) -> DataFrame:
@@ -558,18 +619,37 @@ class AttributeTable(_ShardedTable):
 
     # -- reading -----------------------------------------------------------------------
 
-    def attributes(self) -> DataFrame:
+    def attributes(self, at: Manifest | None = None) -> DataFrame:
         """All rows ``(item_name, name, value)``."""
-        return self.rows().select(*attrs_ops.LONG)
+        return self.rows(at=at).select(*attrs_ops.LONG)
 
-    def items(self, scheme: Scheme | None = None) -> DataFrame:
-        """Items in item form; with a scheme, those matching its query and limit."""
-        among = None if scheme is None else self.read(scheme).select(field(scheme.key))
-        return attrs_ops.item_form(self.attributes(), is_set=True, among=among)
+    def items(self, scheme: Scheme | None = None, parts: int = 1) -> DataFrame:
+        """Items in item form; with a scheme, those matching its query and limit.
+
+        ``parts`` as in :func:`pigeonhole.operators.attributes.item_form`.
+        """
+        at = self.manifest()
+        among = None if scheme is None else self._wide(scheme, at).select(field(scheme.key))
+        return attrs_ops.item_form(self.attributes(at), parts, is_set=True, among=among)
 
-    def item(self, item: str) -> DataFrame:
+    def select(
+        self,
+        conditions: Mapping[str, tuple[str, str | Column]],
+        query: str | Column,
+        parts: int = 1,
+    ) -> DataFrame:
+        """Whole items for which a query over their bags holds.
+
+        A test of an attribute holds if any of its values passes; see
+        :func:`pigeonhole.operators.attributes.matching_items`.
+        """
+        attrs = self.attributes()
+        found = attrs_ops.matching_items(attrs, conditions, query)
+        return attrs_ops.item_form(attrs, parts, is_set=True, among=found)
+
+    def item(self, item: str, parts: int = 1) -> DataFrame:
         """S3: one item in item form, read from one shard."""
-        return attrs_ops.item_form(self._item_rows(item), is_set=True)
+        return attrs_ops.item_form(self._item_rows(item), parts, is_set=True)
 
     def attribute(self, item: str, name: str) -> DataFrame:
         """The values of one attribute of one item, one per row."""
@@ -578,49 +658,52 @@ class AttributeTable(_ShardedTable):
     def read(self, scheme: Scheme) -> DataFrame:
         """One row per item, first value of each field of the scheme.
 
-        Query and limit of the scheme apply to the wide rows. Items that have none of the
-        fields are rows of nulls.
+        Query and limit of the scheme apply to the wide rows, so to first values; use
+        :meth:`select` for tests of any value. Items that have none of the fields are rows
+        of nulls.
         """
+        return scheme.project(self._wide(scheme, self.manifest()))
+
+    def _wide(self, scheme: Scheme, at: Manifest) -> DataFrame:
         wide = attrs_ops.to_wide(
-            self.rows(), scheme.key, scheme.fields, carry=[f.name for f in ROUTING.fields]
-        )
-        found = scheme.where(wide)
-        limited = scan.balanced_limit(
-            found, scheme.key, self.manifest().num_shards, scheme.limit
+            self.rows(at=at), scheme.key, scheme.fields, carry=[f.name for f in ROUTING.fields]
         )
-        return scheme.project(limited)
+        return scan.balanced_limit(scheme.where(wide), scheme.key, at.num_shards, scheme.limit)
 
     def stats(self) -> DataFrame:
         """M6 for every shard."""
-        return stats.every_shard(stats.attribute_stats(self.rows()), self.manifest().num_shards)
+        at = self.manifest()
+        found = stats.every_shard(stats.attribute_stats(self.rows(at=at)), at.num_shards)
+        return self._with_modified(found, at)
 
     def _item_rows(self, item: str) -> DataFrame:
-        count = self.manifest().num_shards
-        rows = self.rows([hashing.literal_shard(item, count)])
-        found = scan.item_lookup(rows, attrs_ops.ITEM, item, count)
+        at = self.manifest()
+        rows = self.rows([hashing.literal_shard(item, at.num_shards)], at)
+        found = scan.item_lookup(rows, attrs_ops.ITEM, item, at.num_shards)
         return found.select(*attrs_ops.LONG)
 
     # -- writing -----------------------------------------------------------------------
 
-    def put(self, puts: DataFrame) -> None:
+    def put(self, puts: DataFrame, at: Manifest | None = None) -> None:
         """See :func:`pigeonhole.operators.attributes.put_attributes`."""
-        before = self.manifest()
+        before = at or self.manifest()
         if before.versions:
-            self._apply(puts, attrs_ops.put_attributes)
+            self._apply(puts, attrs_ops.put_attributes, before)
             return
-        rows = self._routed(puts.select(*attrs_ops.LONG).where("value is not null").distinct())
-        self._publish_shards(before, rows, None)
+        distinct = puts.select(*attrs_ops.LONG).where("value is not null").distinct()
+        self._publish_shards(before, self._routed(distinct, before), None)
 
     def write(
         self, df: DataFrame, scheme: Scheme, order_by: Sequence[str] | None = None
     ) -> None:
         """K1 for this layout: each written attribute of a row replaces its present values."""
+        at = self.manifest()
         if order_by:
-            rows = upsert.settle(df, scheme, self.manifest().num_shards, order_by)
+            rows = upsert.settle(df, scheme, at.num_shards, order_by)
         else:
             rows = upsert.single_by_key(scheme.encode(df), scheme.key)
         puts = attrs_ops.to_attributes(rows, scheme.key, scheme.fields)
-        self.put(puts.withColumn("replace", F.lit(True)))
+        self.put(puts.withColumn("replace", F.lit(True)), at)
 
     def delete_items(self, items: DataFrame) -> None:
         """Remove the listed items (column ``item_name``)."""
@@ -633,33 +716,34 @@ class AttributeTable(_ShardedTable):
     def conditional_put(self, puts: DataFrame, conditions: DataFrame) -> DataFrame:
         """K9: put the items whose conditions hold; returns the rejected rows.
 
-        The rejected rows are kept in the shared folder, as they depend on the state
-        before the put.
+        Check and put work on one state and publish the one after it, so a writer that comes
+        in between makes this fail and nothing is put. The failed items are noted below the
+        table, as the rejected rows depend on the state before the put; :meth:`prune` deletes
+        them.
         """
-        failed_path = files.scratch_path(self.spark, "failed")
-        with self._stage(self._routed(conditions)) as staged:
-            checked = attrs_ops.check_conditions(
-                self.rows(staged.touched), staged.rows, staged.few
+        before = self.manifest()
+        failed_path = f"{self.path}/_failed/{uuid.uuid4().hex}"
+        with self._stage(self._routed(conditions, before)) as staged:
+            failed = attrs_ops.failed_items(
+                self.rows(staged.touched, before), staged.rows, staged.few
             )
-            failed = checked.where("not holds").select(attrs_ops.ITEM).distinct()
             failed.write.parquet(failed_path)
         failed = self.spark.read.schema(f"{attrs_ops.ITEM} string").parquet(failed_path)
-        self.put(puts.join(failed, attrs_ops.ITEM, "left_anti"))
+        self.put(puts.join(failed, attrs_ops.ITEM, "left_anti"), before)
         rejected = puts.join(failed, attrs_ops.ITEM, "left_semi")
         return rejected.withColumn("error", F.lit(attrs_ops.CONDITION_FAILED))
 
-    def _routed(self, df: DataFrame) -> DataFrame:
+    @staticmethod
+    def _routed(df: DataFrame, at: Manifest) -> DataFrame:
         item = field(attrs_ops.ITEM)
         message = F.lit("row without an item name")
         checked = F.when(bad_key(item), F.raise_error(message)).otherwise(item)
-        return route(
-            df.withColumn(attrs_ops.ITEM, checked), attrs_ops.ITEM, self.manifest().num_shards
-        )
+        return route(df.withColumn(attrs_ops.ITEM, checked), attrs_ops.ITEM, at.num_shards)
 
-    def _apply(self, change: DataFrame, operation) -> None:
+    def _apply(self, change: DataFrame, operation, at: Manifest | None = None) -> None:
         """Stage the change, run the operation on the shards it touches, publish them."""
-        before = self.manifest()
-        with self._stage(self._routed(change)) as staged:
+        before = at or self.manifest()
+        with self._stage(self._routed(change, before)) as staged:
             if staged.touched:
-                result = operation(self.rows(staged.touched), staged.rows, staged.few)
-                self._publish_shards(before, result, staged.touched, gather=not staged.few)
+                result = operation(self.rows(staged.touched, before), staged.rows, staged.few)
+                self._publish_shards(before, result, staged.touched)

@@ -200,20 +200,42 @@ def skewed(spark):
     )
 
 
-def test_a_huge_item_comes_in_parts(skewed):
+def test_parts_are_for_every_item_alike(skewed):
     copies = skewed.unionByName(skewed)
-    items = ops.item_form(copies, max_values=100)
+    items = ops.item_form(copies, parts=30)
     sizes = items.select(
         "item_name", "part", F.expr("aggregate(map_values(attributes), 0, (s, v) -> s + size(v))").alias("n")
     ).collect()
     hot = [r for r in sizes if r["item_name"] == "hot"]
     assert len(hot) == 30 and sum(r["n"] for r in hot) == 3000 and max(r["n"] for r in hot) < 200
-    assert all(r["part"] == 0 for r in sizes if r["item_name"] != "hot")
+    assert len([r for r in sizes if r["item_name"] != "hot"]) == 6000
     back = items.select("item_name", F.explode("attributes").alias("name", "values")).select(
         "item_name", "name", F.explode("values").alias("value")
     )
     assert bag(back) == bag(skewed)
     assert ops.item_form(copies).where("item_name = 'hot'").count() == 1
+    assert bag(ops.values_of(items, "b")) == bag(skewed.where("name = 'b'").select("item_name", "value"))
+
+
+def test_a_large_item_has_one_first_value(spark):
+    """What an item of 20,000 values answers does not depend on its size or its parts."""
+    large = spark.range(20_000).select(
+        F.lit("i").alias("item_name"), F.lit("s").alias("name"), F.format_string("%05d", "id").alias("value")
+    )
+    attrs = large.unionByName(spark.createDataFrame([("i", "flag", "A"), ("j", "flag", "B")], LONG))
+    want = [("i", "A", "00000"), ("j", "B", None)]
+    assert bag(ops.first_values(attrs, ["flag", "s"])) == want
+    assert ops.item_form(attrs).where("item_name = 'i'").count() == 1
+    assert ops.values_of(ops.item_form(attrs, parts=7), "s").count() == 20_000
+
+
+def test_a_predicate_holds_if_any_value_passes(spark):
+    rows = [("i", "status", "A"), ("i", "status", "B"), ("j", "status", "A"), ("k", "n", "1")]
+    attrs = spark.createDataFrame(rows, LONG)
+    tests = {"b": ("status", "value = 'B'"), "n": ("n", F.col("value") > "0")}
+    assert bag(ops.matching_items(attrs, tests, "b")) == [("i",)]
+    assert bag(ops.matching_items(attrs, tests, "b or n")) == [("i",), ("k",)]
+    assert bag(ops.matching_items(attrs, tests, "not b")) == [("j",), ("k",)]
 
 
 def test_item_form_matches_a_loop(spark):
@@ -256,7 +278,8 @@ def test_few_and_many_agree_on_skewed_items(skewed, spark):
         assert bag(ops.delete_items(skewed, items, few)) == sorted(expected["items"])
         held = ops.check_conditions(skewed, asked, few).select("item_name", "holds")
         assert bag(held) == [("1", False), ("31", True), ("33", True), ("hot", True)]
-        state, rejected = ops.conditional_put(skewed, puts, asked, few)
+        failed = ops.failed_items(skewed, asked, few)
+        state, rejected = ops.conditional_put(skewed, puts, failed, few)
         assert {r["item_name"] for r in rejected.collect()} == {"1"}
         assert state.count() == 9000 + 59
 
@@ -271,10 +294,9 @@ def test_map_lookups(spark):
     item = ops.item_form(spark.createDataFrame([("i", "a", "2"), ("i", "a", "1")], LONG))
     bag_col = F.col("attributes")
     row = item.select(
-        ops.attribute(bag_col, "a"), ops.first_value(bag_col, "a"), ops.attribute(bag_col, "b"),
-        ops.first_value(bag_col, "b"),
+        ops.attribute(bag_col, "a"), ops.attribute(bag_col, "b"),
     ).first()
-    assert tuple(row) == (["1", "2"], "1", None, None)
+    assert tuple(row) == (["1", "2"], None)
 
 
 # -- statistics ------------------------------------------------------------------------------

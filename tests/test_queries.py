@@ -6,6 +6,8 @@ from pigeonhole.plans.oracles import ORACLES
 from pigeonhole.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
+# Queries that find nothing in so few rows.
+MAY_BE_EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     found = difference(spark, con, name, SF_DIR)
-    assert found in (None, "no rows on either side"), found
+    assert found is None or (name in MAY_BE_EMPTY and found == "no rows on either side"), found
 
 
 def test_every_query_has_sql():
