@@ -31,6 +31,8 @@ from pigeonhole.llm.vectors import ids, is_query, keep_best, matrix, ranked, usa
 CURVES, RANGES, REACH = 16, 40, 2
 DIRECTIONS, BITS = 6, 8
 BLOCK_ROWS = 8_192
+#: Rows of a range at least; a small table has fewer ranges, and one of few rows is searched whole.
+LEAST_ROWS = 64
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -72,6 +74,12 @@ def curve_keys(v: np.ndarray, mean: np.ndarray, scale: float) -> np.ndarray:
     return out
 
 
+def thinned(cuts: np.ndarray, rows: int) -> np.ndarray:
+    """Distinct cuts, so few that a range has about LEAST_ROWS; none if all rows are one range."""
+    ranges = max(1, min(RANGES, rows // LEAST_ROWS))
+    return np.unique(cuts[np.arange(1, ranges) * RANGES // ranges - 1])
+
+
 def _pair(k: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -122,8 +130,9 @@ def nearest(vectors: DataFrame, k: int = 10, queries: Column | None = None, bloc
 
     keyed = written(all_rows.select("vec_id", "dim", "v").mapInArrow(keys, "vec_id bigint, dim int, v array<double>, keys array<bigint>"), "curve-keys")
     along = keyed.select("dim", F.posexplode("keys").alias("curve", "key")).groupBy("dim", "curve")
-    cuts = along.agg(F.percentile_approx("key", [i / RANGES for i in range(1, RANGES)], 10_000).alias("cuts")).collect()
-    cut = {(r["dim"], r["curve"]): np.array(r["cuts"]) for r in cuts}  # RANGES - 1 numbers a curve
+    quantiles = F.percentile_approx("key", [i / RANGES for i in range(1, RANGES)], 10_000)
+    cuts = along.agg(quantiles.alias("cuts"), F.count("*").alias("n")).collect()  # RANGES - 1 numbers a curve
+    cut = {(r["dim"], r["curve"]): thinned(np.array(r["cuts"]), r["n"]) for r in cuts}
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -31,7 +31,7 @@ FEW = 0.05
 
 def statistics(v: np.ndarray, segments: int) -> np.ndarray:
     """Means and deviations of equal segments, scaled so that a product of rows bounds the inner product."""
-    width = -(-v.shape[1] // segments)
+    width = max(1, -(-v.shape[1] // segments))
     padded = np.zeros((len(v), width * segments))
     padded[:, : v.shape[1]] = v
     cut = padded.reshape(len(v), segments, width)
