@@ -19,9 +19,17 @@ from pigeonhole.sources import files
 _SHIPPED: set[str] = set()
 
 
+#: Rows and bytes of texts handed to Python at once, where the session leaves Spark's defaults.
+#: A default batch of 10,000 texts takes tens of MB in the JVM and again in every worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
+
 def ship(spark: SparkSession) -> None:
-    """Hand this library to the Python workers, once for each application."""
+    """Prepare an application for the Python steps: bounded batches, and this library for the workers."""
     app = spark.sparkContext.applicationId
+    for name, (default, value) in BATCH.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, value)
     if app in _SHIPPED or not os.path.isdir(os.path.dirname(pigeonhole.__file__)):
         return
     top = os.path.dirname(os.path.abspath(pigeonhole.__file__))
@@ -45,7 +53,7 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage."""
     path = files.scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
