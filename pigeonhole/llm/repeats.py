@@ -1,7 +1,7 @@
 """Passages that also start in a document with a smaller id: what word and byte dedup share.
 
 Items are the words or the bytes of a text; a window is ``WINDOW`` consecutive items of one
-document. Each window has an anchor, its least hashed run of ``GRAM`` items, which depends on the
+document. Each window has an anchor, its least hashed run of ``gram`` items, which depends on the
 window's content alone; consecutive windows with one anchor form a run. Equal windows
 have equal anchors, so only runs whose anchor comes more than once need a closer look.
 
@@ -34,14 +34,18 @@ from pigeonhole.llm import sketch
 from pigeonhole.llm.tables import texts, written
 from pigeonhole.llm.text import anchors, flat, mix, pieces, rolling, runs, signed, spanning, starts_within
 
-#: Items of a window and of an anchor.
-WINDOW, GRAM = 50, 20
+#: Items of a window.
+WINDOW = 50
 WHOLE_BITS = 26
 
 
 class Items(ABC):
-    """The items of a piece's texts: ``of_doc`` has where each text's begin, ``lanes`` their hashes."""
+    """The items of a piece's texts: ``of_doc`` has where each text's begin, ``lane`` their hashes.
 
+    Shorter anchors (of ``gram`` items) are fewer, but come by chance in more texts.
+    """
+
+    gram: int
     of_doc: np.ndarray
 
     @abstractmethod
@@ -60,11 +64,19 @@ def whole_hashes(column: pa.Array, normal: Normal) -> tuple[np.ndarray, list[byt
     return np.frombuffer(b"".join(digests), ">u8").astype(np.uint64).reshape(-1, 4)[:, 0].copy(), digests
 
 
+def places(spans: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every start of every span: the span it is in, the start and the span's count."""
+    starts = spans.field("starts")
+    which = np.repeat(np.arange(len(spans)), starts.value_lengths().to_numpy().astype(np.int64))
+    count = spans.field("count").to_numpy().astype(np.int64)[which]
+    return which, starts.flatten().to_numpy().astype(np.int64), count
+
+
 class Runs:
     """Runs of windows with one anchor, in all texts of a piece."""
 
     def __init__(self, items: Items):
-        gram = GRAM
+        gram = items.gram
         first = items.lane(0)
         at, doc = starts_within(items.of_doc, WINDOW)
         if len(at):
@@ -184,15 +196,22 @@ class Repeats:
                 r = Runs(items)
                 r.take(seen.value.at_least(r.anchor))
                 stops = r.start + r.count + WINDOW - 1
-                own = pa.array(r.doc)
+                d1, d2 = (spanning(items.lane(k), r.start, stops, k) for k in (0, 1))
+                # One row for all places of a content in a text, as in texts that repeat a line.
+                order = np.lexsort((d2, d1, r.doc))
+                doc, d1, d2 = r.doc[order], d1[order], d2[order]
+                new = runs(doc, d1, d2)
+                own, first = pa.array(doc[new]), order[new]
+                offsets = pa.array(np.append(new, len(order)).astype(np.int32))
+                starts = pa.array((r.start - items.of_doc[r.doc]).astype(np.int32)[order])
                 columns = [
-                    piece.column("row").take(own), piece.column("doc_id").take(own), pa.array(signed(r.anchor)),
-                    pa.array(signed(spanning(items.lane(0), r.start, stops, 0))), pa.array(signed(spanning(items.lane(1), r.start, stops, 1))),
-                    pa.array((r.start - items.of_doc[r.doc]).astype(np.int32)), pa.array(r.count.astype(np.int32)),
+                    piece.column("row").take(own), piece.column("doc_id").take(own), pa.array(signed(r.anchor[first])),
+                    pa.array(signed(d1[new])), pa.array(signed(d2[new])), pa.ListArray.from_arrays(offsets, starts),
+                    pa.array(r.count[first].astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "anchor", "d1", "d2", "start", "count"])
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "anchor", "d1", "d2", "starts", "count"])
 
-        schema = "row bigint, doc_id bigint, anchor bigint, d1 bigint, d2 bigint, start int, count int"
+        schema = "row bigint, doc_id bigint, anchor bigint, d1 bigint, d2 bigint, starts array<int>, count int"
         found = self.touched.mapInArrow(list_runs, schema)
         groups = found.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
         groups = written(groups, "run-contents")
@@ -204,10 +223,10 @@ class Repeats:
         known = groups.join(several, "anchor", "left").where("last > doc_id or contents is not null")
         known = written(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
         matched = found.join(known, ["d1", "d2"]).where("doc_id > first_id or contents is not null")
-        matched = written(matched.select("row", "doc_id", "first_id", "anchor", "start", "count", "contents"), "matched-runs")
-        #: Whole runs of later documents: row, start, count.
-        self.later = matched.where("doc_id > first_id").select("row", "start", "count")
-        #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, start, count, contents.
+        matched = written(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
+        #: Whole runs of later documents: row, starts, count.
+        self.later = matched.where("doc_id > first_id").select("row", "starts", "count")
+        #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, starts, count, contents.
         self.open = matched.where("doc_id = first_id and contents is not null").drop("first_id")
 
     def filtered(self, rows: DataFrame) -> Callable[[DataFrame, bool], DataFrame]:
@@ -236,11 +255,11 @@ class Repeats:
     def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str) -> DataFrame:
         """doc_id, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
 
-        ``removed`` has row, start and count of the windows that repeat. ``cut`` maps batches
+        ``removed`` has row, starts and count of the runs of windows that repeat. ``cut`` maps batches
         of doc_id, sha, n, text and spans to the result columns and sha.
         ``kept`` is null where nothing was removed.
         """
-        spans = removed.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
+        spans = removed.groupBy("row").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
         spans = written(spans, "removed-spans")
 
         rest = self.filtered(spans)

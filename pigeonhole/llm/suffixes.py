@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pigeonhole.llm.repeats import WINDOW, Items, Repeats
+from pigeonhole.llm.repeats import WINDOW, Items, Repeats, places
 from pigeonhole.llm.tables import written
 from pigeonhole.llm.text import binary, flat, mix, pieces, rolling, runs, signed
 
@@ -41,6 +41,8 @@ _VALUES = [mix(np.arange(256, dtype=np.uint64) + np.uint64((k + 7) << 32)) for k
 
 
 class ByteItems(Items):
+    gram = 20
+
     def __init__(self, data: np.ndarray, at: np.ndarray):
         self.data, self.of_doc = data, at
 
@@ -165,12 +167,13 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = piece.column("spans")
         doc = np.repeat(np.arange(piece.num_rows), np.diff(spans.offsets.to_numpy()))
         inner = spans.flatten()
-        start, count = inner.field("start").to_numpy().astype(np.int64), inner.field("count").to_numpy().astype(np.int64)
+        which, start, count = places(inner)
+        doc, which = doc[which], pa.array(which)
         size = count + WINDOW - 1
         begin = np.cumsum(size) - size
         take = np.arange(size.sum()) + np.repeat(start + at[doc] - begin, size)
         own = pa.array(doc)
-        columns = [piece.column("row").take(own), piece.column("doc_id").take(own), *(inner.field(c) for c in ("anchor", "contents", "start"))]
+        columns = [piece.column("row").take(own), piece.column("doc_id").take(own), *(inner.field(c).take(which) for c in ("anchor", "contents")), pa.array(start.astype(np.int32))]
         yield pa.RecordBatch.from_arrays([*columns, binary(data[take], size)], ["row", "doc_id", "anchor", "contents", "start", "bytes"])
 
 
@@ -215,7 +218,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, part = spans[k].values, data[at[k] : at[k + 1]]
             edge = np.zeros(len(part) + 1, np.int64)
             if own is not None and len(own):
-                start, count = own.field("start").to_numpy().astype(np.int64), own.field("count").to_numpy().astype(np.int64)
+                _, start, count = places(own)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + count + WINDOW - 1, -1)
             stays = np.cumsum(edge[:-1]) == 0
@@ -236,7 +239,7 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, mos
     """
     r = Repeats(docs, ByteItems, bytes, PIECE_BYTES, bits, rows)
     r.prepare()
-    spans = r.open.groupBy("row").agg(F.collect_list(F.struct("start", "count", "anchor", "contents")).alias("spans"))
+    spans = r.open.groupBy("row").agg(F.collect_list(F.struct("starts", "count", "anchor", "contents")).alias("spans"))
     spans = written(spans, "open-spans")
     texts = r.filtered(spans)(r.touched, True).join(spans, "row").select("row", "doc_id", "text", "spans")
     schema = "row bigint, doc_id bigint, anchor bigint, contents bigint, start int, bytes binary"
@@ -245,8 +248,9 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, mos
     total = small.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)).alias("n")).first()["n"]
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // BUCKET_BYTES)))).cast("int")
     found = small.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_bucket, REMOVED)
+    found = found.select("row", F.array("start").alias("starts"), "count")
     windows = large.select("row", "doc_id", "start", "bytes").mapInArrow(_hashed, "row bigint, doc_id bigint, start int, w1 bigint, w2 bigint")
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
     seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
-    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "start", F.lit(1).alias("count"))
+    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", F.array("start").alias("starts"), F.lit(1).alias("count"))
     return r.finished(r.later.unionByName(found).unionByName(single), _cut, "binary")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pigeonhole.llm.repeats import WINDOW, Items, Repeats
+from pigeonhole.llm.repeats import WINDOW, Items, Repeats, places
 from pigeonhole.llm.tables import written
 from pigeonhole.llm.text import PIECE_BYTES, Words, flat, pieces, rolling, signed
 
@@ -32,6 +32,8 @@ SKETCH_BITS, SKETCH_ROWS = 27, 2
 
 
 class WordItems(Items):
+    gram = 10
+
     def __init__(self, data: np.ndarray, at: np.ndarray):
         self.words = Words(data, at)
         self.of_doc = self.words.of_doc
@@ -54,8 +56,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = WordItems(*flat(piece.column("text")))
         spans = piece.column("spans")
         doc = np.repeat(np.arange(piece.num_rows), np.diff(spans.offsets.to_numpy()))
-        inner = spans.flatten()
-        start, count = inner.field("start").to_numpy().astype(np.int64), inner.field("count").to_numpy().astype(np.int64)
+        which, start, count = places(spans.flatten())
+        doc = doc[which]
         owner = np.repeat(doc, count)
         place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
         at, own = place + items.of_doc[owner], pa.array(owner)
@@ -76,7 +78,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if own is None or len(own) == 0:
                 gone, cuts, left = 0, 0, words
             else:
-                start, count = own.field("start").to_numpy().astype(np.int64), own.field("count").to_numpy().astype(np.int64)
+                _, start, count = places(own)
                 edge = np.zeros(len(words) + 1, np.int64)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + count + WINDOW - 1, -1)
@@ -100,11 +102,11 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) ->
     """
     r = Repeats(docs, WordItems, one_space, PIECE_BYTES, bits, rows)
     r.prepare()
-    spans = r.open.groupBy("row").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
+    spans = r.open.groupBy("row").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
     spans = written(spans, "open-spans")
     rows_ = r.filtered(spans)(r.touched, True).join(spans, "row").select("row", "doc_id", "text", "spans")
     windows = written(rows_.mapInArrow(_windows, "row bigint, doc_id bigint, start int, w1 bigint, w2 bigint"), "windows")
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
     seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
-    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "start", F.lit(1).alias("count"))
+    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", F.array("start").alias("starts"), F.lit(1).alias("count"))
     return r.finished(r.later.unionByName(single), _cut, "string")
