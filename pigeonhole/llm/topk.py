@@ -12,6 +12,10 @@ Defined cases: vectors that are null or hold null or non-finite components take
 vectors are compared with those of their own length only; ids that repeat are candidates each
 for itself, but never for a query of the same id; empty tables give no rows; other columns
 are ignored. A score that does not fit in 64 bits is an error.
+
+Every query row has its own ranks from 1. An id with several query rows has so many results, one
+after the other under the same query_id; rows with equal vectors have equal results. Equal rows
+are searched once, and as candidates count as often as they come, up to k times.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pigeonhole.llm.tables import written
 from pigeonhole.llm.vectors import ids, is_query, keep_best, matrix, ranked, usable
 
 LEVELS = (4, 8, 16)
@@ -95,30 +100,36 @@ def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids
 
 def _pair(k: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
+        names = ["query_row", "times", "query_id", "vec_id", "score"]
         if rows.num_rows == 0 or queries.num_rows == 0:
             empty = pa.array([], pa.int64())
-            return pa.Table.from_arrays([empty] * 3, names)
+            return pa.Table.from_arrays([empty] * 5, names)
         q, r = np.floor(matrix(queries) * 1024), np.floor(matrix(rows) * 1024)
         qi, ri = ids(queries), ids(rows)
         a, b, s = search(q, qi, r, ri, k)
-        return pa.Table.from_arrays([pa.array(qi[a]), pa.array(ri[b]), pa.array(s)], names)
+        of_query = [queries.column(c).combine_chunks().take(pa.array(a)) for c in ("row", "times")]
+        return pa.Table.from_arrays([*of_query, pa.array(qi[a]), pa.array(ri[b]), pa.array(s)], names)
 
     return run
 
 
 def top_k(vectors: DataFrame, k: int = 10, queries: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k largest inner products of floor(1024 x)."""
-    all_rows = usable(vectors, zero=True)
-    asked = all_rows.where(is_query() if queries is None else queries)
-    n, m = all_rows.count(), asked.count()
+    """query_id, rank, vec_id, score: each query row's k largest inner products of floor(1024 x)."""
+    distinct = usable(vectors, zero=True).groupBy("vec_id", "dim", "v").agg(F.count("*").alias("times"))
+    # Numbers of rows hold only once they are written.
+    distinct = written(distinct.withColumn("row", F.monotonically_increasing_id()), "distinct-vectors")
+    asked = distinct.where(is_query() if queries is None else queries)
+    copies = F.least("times", F.lit(k))
+    n, m = distinct.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0], asked.count()
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
+    all_rows = distinct.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
 
-    def dealt(df: DataFrame, own: str, count: int, other: str, times: int) -> DataFrame:
-        df = df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int"))
+    def dealt(df: DataFrame, by: list[str], own: str, count: int, other: str, times: int) -> DataFrame:
+        df = df.withColumn(own, F.pmod(F.xxhash64(*by), F.lit(count)).cast("int"))
         return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
 
-    c = dealt(all_rows, "c_block", blocks, "q_block", parts).groupBy("dim", "c_block", "q_block")
-    q = dealt(asked, "q_block", parts, "c_block", blocks).groupBy("dim", "c_block", "q_block")
-    found = c.cogroup(q).applyInArrow(_pair(k), "query_id bigint, vec_id bigint, score bigint")
-    return ranked(found, F.desc("score"), k)
+    c = dealt(all_rows, ["row", "copy"], "c_block", blocks, "q_block", parts).groupBy("dim", "c_block", "q_block")
+    q = dealt(asked, ["row"], "q_block", parts, "c_block", blocks).groupBy("dim", "c_block", "q_block")
+    found = c.cogroup(q).applyInArrow(_pair(k), "query_row bigint, times bigint, query_id bigint, vec_id bigint, score bigint")
+    top = ranked(found, F.desc("score"), k, "query_row", "times")
+    return top.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("time", "times")

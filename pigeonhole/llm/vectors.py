@@ -50,8 +50,8 @@ def keep_best(query: np.ndarray, value: np.ndarray, vec: np.ndarray, k: int) ->
     return order[place < k]
 
 
-def ranked(found: DataFrame, best_first: Column, k: int) -> DataFrame:
-    """Each query's k best of (query_id, vec_id, score) rows, with ranks from 1."""
-    order = Window.partitionBy("query_id").orderBy(best_first, "vec_id")
+def ranked(found: DataFrame, best_first: Column, k: int, by: str = "query_id", *also: str) -> DataFrame:
+    """Each query's k best of (query_id, vec_id, score) rows, with ranks from 1; ``by`` tells queries apart."""
+    order = Window.partitionBy(by).orderBy(best_first, "vec_id")
     top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", *also)

@@ -68,6 +68,22 @@ def test_odd_vectors(vectors_of, block_rows):
     assert topk.top_k(vectors_of([])).count() == 0 and nearest.nearest(vectors_of([])).count() == 0
 
 
+@pytest.mark.parametrize("block_rows", [8192, 16])
+def test_every_query_row_has_its_own_top_k(vectors_of, block_rows):
+    """Ids 100 and 200 come twelve times with one vector, 300 with two; id 7 comes twelve times as a candidate."""
+    r = np.random.default_rng(3)
+    rows = [(i, np.float32(r.normal(size=8)).tolist()) for i in range(301)]
+    rows += [rows[100], rows[200]] * 11 + [(300, np.float32(r.normal(size=8)).tolist())] + [(7, [9.0] * 8)] * 12
+    ids, v = np.array([i for i, _ in rows]), np.floor(1024 * np.array([x for _, x in rows])).astype(int)
+    want = []
+    for a in np.flatnonzero(ids % 100 == 0):
+        score = v @ v[a]
+        order = [j for j in np.lexsort((ids, -score)) if ids[j] != ids[a]][:10]
+        want += [(ids[a], n + 1, ids[j], score[j]) for n, j in enumerate(order)]
+    got = topk.top_k(vectors_of(rows), block_rows=block_rows).collect()
+    assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in got) == sorted(want)
+
+
 def test_many_equal_vectors(vectors_of):
     """A third of the rows share one vector: ties go to the smallest ids."""
     r = np.random.default_rng(0)
