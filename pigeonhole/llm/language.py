@@ -5,7 +5,8 @@ blank), hashed into ``CELLS`` cells, with square-root counts, weighted by invers
 frequency over all training documents and normalised. Centroids are found by spherical k-means
 within each language on a bounded sample of training documents; the vectors of that sample and
 the centroids are all the driver sees. A text gets the language of the centroid with the
-largest cosine, and is rejected as ``und`` if that is further away than allowed.
+largest cosine, and is rejected as ``und`` if that is further away than ``furthest`` allows; the
+default of 1.0, which the query has, rejects none.
 
 Defined cases: null text, empty text and text without a letter are ``und`` with score 0;
 without any training document every text is ``und``; ties go to the first language by name;
