@@ -7,7 +7,9 @@ Ranges are dealt into blocks of bounded size (by how many rows they really hold,
 that a third of all rows share is split), and each block with its queries is one cogroup, in
 which exact distances pick the best. The windows of all curves are merged and ranked.
 
-A window is a share of the rows, so recall does not fall with the number of rows. Projections
+A window is a share of the rows, so recall does not fall with the number of rows. A table of fewer
+than ``RANGES * LEAST_ROWS`` (2,560) rows has rows // ``LEAST_ROWS`` ranges, one at least, so its
+windows are larger shares and its recall says nothing of ``RANGES`` ranges. Projections
 use a scale from a bounded statistic (mean and deviation of each component over all rows).
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part;

@@ -47,6 +47,23 @@ def test_nearest_query(spark, sf_dir, given_vectors):
     assert found / total >= 0.9
 
 
+def test_nearest_with_all_ranges(vectors_of, given_vectors):
+    """3,000 rows have the 40 ranges of production; components in another order make further rows."""
+    ids, x = given_vectors
+    r = np.random.default_rng(4)
+    x = np.concatenate([x[:, r.permutation(x.shape[1])] for _ in range(-(-3_000 // len(x)))])[:3_000]
+    assert len(nearest.thinned(np.arange(nearest.RANGES - 1), len(x))) == nearest.RANGES - 1
+    rows = nearest.nearest(vectors_of(list(enumerate(x.tolist())))).toPandas()
+    hits = []
+    for a in range(0, len(x), 100):
+        distance = np.sqrt(((x - x[a]) ** 2).sum(1))
+        own = rows[rows.query_id == a].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 11))
+        hits.append(len(set(best(np.arange(len(x)), distance, a)) & set(own.vec_id)))
+    print("recall with 40 ranges:", np.mean(hits) / 10)
+    assert np.mean(hits) / 10 >= 0.9
+
+
 ODD = [
     (0, [1.0, 2.0]), (100, [1.0, 2.0]), (100, [1.0, 2.0]), (3, [1.0, 2.0]), (4, None), (5, [None, 1.0]), (200, [float("nan"), 1.0]),
     (6, [float("inf"), 1.0]), (7, [0.0, 0.0]), (8, [1.0]), (300, [2.0]), (400, []), (9, [-3.0, 0.5]), (None, [1.0, 1.0]),
