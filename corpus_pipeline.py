@@ -31,20 +31,32 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of near duplicates; documents without words stay."""
-    found = jaccard.join(docs).where(F.col("doc_id") != F.col("component_id"))
-    later = written(found.select("doc_id").distinct(), "later-duplicates")
-    return docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    """The first document of each component of near duplicates; documents without words stay.
+
+    Each row goes by its own text: it leaves if a row of a smaller id is in its component. Rows of
+    one id are equal in rank, so none of them removes another, whether their texts are equal or not.
+    """
+    # Numbers of rows hold only once they are written.
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    some = rows.where("doc_id is not null").select(F.col("_row").alias("doc_id"), "text")
+    found = jaccard.join(some).select(F.col("doc_id").alias("_row"), "component_id")
+    member = written(found.join(rows.select("_row", "doc_id"), "_row"), "component-rows")
+    ids = member.groupBy("component_id").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
+    ids = written(ids.where("last > first_id").drop("last"), "component-firsts")
+    later = written(member.join(ids, "component_id").where("doc_id > first_id").select("_row"), "later-duplicates")
+    return rows.join(later, "_row", "left_anti").select(docs.columns)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 words or more that an earlier document has.
 
-    A changed text has its words joined by one space. An id is expected to have one text.
+    A changed text has its words joined by one space. Where rows of one id have different texts,
+    each loses its own passages; rows of one id take none from each other.
     """
-    found = windows.dedup(docs).where("kept is not null").groupBy("doc_id").agg(F.first("kept").alias("kept"))
-    found = written(found.select(F.col("doc_id").alias("_changed_id"), F.col("kept").alias("_kept")), "changed-texts")
-    joined = docs.join(found, docs["doc_id"] == found["_changed_id"], "left")
+    found = windows.dedup(docs).where("kept is not null").groupBy("doc_id", "sha").agg(F.first("kept").alias("kept"))
+    found = written(found.select(F.col("doc_id").alias("_changed_id"), F.col("sha").alias("_changed_sha"), F.col("kept").alias("_kept")), "changed-texts")
+    own = windows.with_sha(docs, "_sha")
+    joined = own.join(found, (own["doc_id"] == found["_changed_id"]) & (own["_sha"] == found["_changed_sha"]), "left")
     new = {"text": F.coalesce("_kept", "text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("bigint")).otherwise(F.col("n_chars"))

@@ -253,8 +253,9 @@ class Repeats:
         return part
 
     def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str) -> DataFrame:
-        """doc_id, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
+        """doc_id, sha, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
 
+        ``sha`` is the SHA-256 of a text's normal form; what a document keeps depends on its id and that.
         ``removed`` has row, starts and count of the runs of windows that repeat. ``cut`` maps batches
         of doc_id, sha, n, text and spans to the result columns and sha.
         ``kept`` is null where nothing was removed.
@@ -278,7 +279,7 @@ class Repeats:
             }
             return done.unionByName(shut.drop("row").withColumns(unchanged))
 
-        alone = results(self.judged.where("not first")).drop("sha")
+        alone = results(self.judged.where("not first"))
         of_first = written(results(self.judged.where("first")), "first-results")
         of_first = of_first.withColumnRenamed("doc_id", "first_id")
         both = self.maybe.select("doc_id", "sha").join(of_first, "sha")
@@ -289,4 +290,4 @@ class Repeats:
             "kept_sha": F.sha2(F.lit("").cast("binary"), 256),
         }
         both = both.withColumns({c: F.when(copy, v).otherwise(F.col(c)) for c, v in all_gone.items()})
-        return alone.unionByName(both.drop("sha", "first_id"))
+        return alone.unionByName(both.drop("first_id"))

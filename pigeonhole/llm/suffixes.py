@@ -233,7 +233,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, most_contents: int = MOST_CONTENTS) -> DataFrame:
-    """doc_id, n, n_removed, n_spans, kept and kept_sha of every document.
+    """doc_id, sha, n, n_removed, n_spans, kept and kept_sha of every document.
 
     ``kept`` has the remaining bytes, and is null where nothing was removed.
     """

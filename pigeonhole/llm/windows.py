@@ -22,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pigeonhole.llm.repeats import WINDOW, Items, Repeats, places
-from pigeonhole.llm.tables import written
+from pigeonhole.llm.repeats import WINDOW, Items, Repeats, places, whole_hashes
+from pigeonhole.llm.tables import ship, written
 from pigeonhole.llm.text import PIECE_BYTES, Words, flat, pieces, rolling, signed
 
 #: Cells of each row of the sketch, as a power of two, and its rows.
@@ -95,8 +96,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "n_removed", "n_spans", "kept", "kept_sha"])
 
 
+def with_sha(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with one more column, the ``sha`` that dedup gives for their text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            digests = pa.array(whole_hashes(piece.column("text"), one_space)[1], pa.binary())
+            yield pa.RecordBatch.from_arrays([*piece.columns, digests], [*piece.schema.names, name])
+
+    ship(docs.sparkSession)
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(name, T.BinaryType())]))
+
+
 def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) -> DataFrame:
-    """doc_id, n, n_removed, n_spans, kept and kept_sha of every document.
+    """doc_id, sha, n, n_removed, n_spans, kept and kept_sha of every document.
 
     ``kept`` has the kept words joined by one space, and is null where nothing was removed.
     """

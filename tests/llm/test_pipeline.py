@@ -74,6 +74,19 @@ def test_stages_on_odd_tables(spark, sf_dir, docs_of):
     assert sorted(r["doc_id"] or 0 for r in kept) == [0, 1, 2, 3, 3]
 
 
+def test_rows_of_one_id_go_by_their_own_texts(spark, sf_dir, docs_of):
+    passage, other, own = (" ".join(f"{w}{i}" for i in range(60)) for w in "pqr")
+    docs = [(1, passage), (2, f"{passage} a"), (2, other), (2, other), (3, f"{other} b"), (4, f"{own} c"), (4, f"{own} d"), (None, passage)]
+    want = [(1, passage), (2, other), (2, other), (4, f"{own} c"), (4, f"{own} d"), (None, passage)]
+    rows = pipeline.near_duplicate_stage(spark, docs_of(docs), sf_dir).collect()
+    assert sorted((r["doc_id"] or 9, r["text"]) for r in rows) == sorted((i or 9, t) for i, t in want)
+    docs = [(1, passage), (2, f"x  y {passage} z"), (2, f"k {passage}"), (2, f"{own}\tw"), (2, passage), (2, f"{own} {own}"), (3, f"{own} v")]
+    want = [(1, passage), (2, "x y z"), (2, "k"), (2, f"{own}\tw"), (2, ""), (2, f"{own} {own}"), (3, "v")]
+    rows = pipeline.substring_stage(spark, docs_of(docs), sf_dir).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+
+
 def test_registered(spark):
     named = entry_module.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(named)
