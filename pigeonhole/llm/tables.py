@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def configured(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the plans that are made and run inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def remainder(key: str, by: int) -> Column:
     """crc32 of an id as text, modulo ``by``."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(by)
