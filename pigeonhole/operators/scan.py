@@ -7,13 +7,24 @@ before these functions, with :meth:`Scheme.where`, so Catalyst pushes them to th
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pigeonhole.columns import field, int_div, long_lit
 from pigeonhole.functions import hashing, naming
-from pigeonhole.scheme import NO_LIMIT
+from pigeonhole.scheme import NO_LIMIT, bad_key, route
+
+# A count up to this limit stops early: each task gives at most so many empty rows to the one that
+# counts. Beyond it, counting all rows where they are is the cheaper plan.
+STOP_EARLY = 1 << 20
+
+# Literal keys that a lookup puts into the scan's filter.
+FEW_KEYS = 256
 
 # Upper bound on the rows of the small "what to keep" table that balanced_limit broadcasts.
 MAX_KEEP_ROWS = 65536
@@ -25,16 +36,35 @@ def count_by_shard(df: DataFrame) -> DataFrame:
 
 
 def count_items(df: DataFrame, limit: int = NO_LIMIT) -> DataFrame:
-    """A1/A2: matching rows of the whole table, capped at ``limit`` if there is one."""
-    return df.agg(_capped(F.count("*"), limit).alias("items"))
+    """A1/A2: matching rows of the whole table, capped at ``limit`` if there is one.
+
+    With a limit, a task stops reading after so many matches, whatever is left of its files.
+    """
+    if NO_LIMIT < limit <= STOP_EARLY:
+        df = df.select(F.lit(None).alias("nothing")).limit(limit)
+    return df.agg(capped(F.count("*"), limit).alias("items"))
 
 
 def capped_count_by_shard(df: DataFrame, limit: int) -> DataFrame:
-    """A2 per shard."""
-    return df.groupBy("shard").agg(_capped(F.count("*"), limit).alias("items"))
+    """A2 per shard of rows that are not stored by shard: one pass over all of them."""
+    return df.groupBy("shard").agg(capped(F.count("*"), limit).alias("items"))
+
+
+def capped_count_of_shards(shards: Mapping[int, DataFrame], limit: int) -> DataFrame:
+    """A2 per shard of a stored table, whose shards are read apart.
+
+    Each shard's rows are counted under a limit of their own, so a shard with many matches is
+    read until it has given them and no further. Shards without a match are left out.
+    """
+    counts = [
+        count_items(rows, limit).select(F.lit(shard).alias("shard"), "items")
+        for shard, rows in sorted(shards.items())
+    ]
+    return reduce(DataFrame.unionByName, counts).where("items > 0")
 
 
-def _capped(count: Column, limit: int) -> Column:
+def capped(count: Column, limit: int) -> Column:
+    """A count, but no more than the limit, if there is one."""
     return count if limit == NO_LIMIT else F.least(count, long_lit(limit))
 
 
@@ -56,16 +86,37 @@ def item_lookup(df: DataFrame, key: str, value: str, num_shards: int) -> DataFra
     )
 
 
+def wanted_keys(keys: DataFrame, key: str, num_shards: int) -> DataFrame:
+    """Keys (one column of any name) as ``key, item_hash, shard``, each once; null and empty ones
+    are no keys."""
+    (name,) = keys.columns
+    wanted = keys.select(field(name).cast("string").alias(key)).where(~bad_key(field(key)))
+    return route(wanted.distinct(), key, num_shards)
+
+
 def items_lookup(df: DataFrame, key: str, keys: DataFrame, num_shards: int) -> DataFrame:
     """S3 for a table of keys (one column): the rows whose key is listed.
 
-    The keys are routed too and joined on shard and key, so a small key list turns into a
-    broadcast join with dynamic partition pruning on ``shard``.
+    The keys are routed too and joined on shard, hash and key, so a small key list turns into a
+    broadcast join with dynamic partition pruning on ``shard``. Where Spark makes a runtime
+    filter of a larger list, it is one over the stored hashes.
     """
-    (name,) = keys.columns
-    wanted = keys.select(field(name).cast("string").alias(key)).distinct()
-    wanted = wanted.withColumn("shard", hashing.shard_index(field(key), num_shards))
-    return df.join(wanted, ["shard", key], "left_semi").select(*[field(c) for c in df.columns])
+    wanted = wanted_keys(keys, key, num_shards)
+    found = df.join(wanted, ["shard", "item_hash", key], "left_semi")
+    return found.select(*[field(c) for c in df.columns])
+
+
+def of_hashes(hashes: Sequence[str]) -> Column:
+    """Rows of one of these item hashes, as single comparisons with literals.
+
+    Each is pushed to the files, where it is tested against the least and greatest hash of a row
+    group or page and its Bloom filter. The comparisons are combined pairwise, so the expression
+    is as deep as the logarithm of their number.
+    """
+    tests = [F.col("item_hash") == h for h in sorted(set(hashes))] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
 
 
 def shard_quotas(counts: DataFrame, num_shards: int, limit: int) -> DataFrame:

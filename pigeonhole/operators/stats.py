@@ -17,6 +17,7 @@ from pigeonhole.operators.attributes import ITEM
 
 HASH_NAME = "item_hash"
 HASH_BYTES = 11
+MODIFIED = "modified"
 
 COUNTERS = (
     "items",
@@ -102,11 +103,13 @@ def attribute_stats(attrs: DataFrame, count_hash: bool = True) -> DataFrame:
 
 
 def every_shard(stats: DataFrame, num_shards: int) -> DataFrame:
-    """Counters with a row of zeros for each shard that has no items."""
+    """Counters with a row of zeros for each shard that has no items; it has no time of change."""
     shards = stats.sparkSession.range(num_shards).select(F.col("id").cast("int").alias("shard"))
-    counters = [c for c in stats.columns if c != "shard"]
+    counters = [c for c in stats.columns if c not in ("shard", MODIFIED)]
     return shards.join(stats, "shard", "left").select(
-        "shard", *[F.coalesce(c, long_lit(0)).alias(c) for c in counters]
+        "shard",
+        *[F.coalesce(c, long_lit(0)).alias(c) for c in counters],
+        *[c for c in stats.columns if c == MODIFIED],
     )
 
 

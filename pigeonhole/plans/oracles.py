@@ -250,6 +250,15 @@ ORACLES: dict[str, str] = {
     "count_capped": f"""
         select shard, least(count(*), 700) as items from {routed(ORDERS, 'id')}
         where status <> 'P' group by shard""",
+    "count_capped_rows": f"""
+        select shard, least(count(*), 700) as items from {routed(ORDERS, 'id')}
+        where status <> 'P' group by shard""",
+    "table_count": """
+        select 'all' as asked, count(*) as items from orders
+        union all select 'all, up to 100', least(count(*), 100) from orders
+        union all select 'pending', count(*) from orders where o_orderstatus = 'P'
+        union all select 'pending, up to 50', least(count(*), 50) from orders where o_orderstatus = 'P'
+        union all select 'filled, up to 1000000', least(count(*), 1000000) from orders where o_orderstatus = 'F'""",
     "upsert": UPSERT,
     "upsert_null_deletes": upserted(
         "case when n.id is not null then n.customer else o.customer end",
@@ -347,6 +356,9 @@ ORACLES: dict[str, str] = {
             + sum(octet_length(encode(segment))))::BIGINT as attribute_values_bytes,
           22::BIGINT as attribute_names_bytes, true as modified
         from {routed(PEOPLE, 'name')} group by shard""",
+    "table_lookup_few": f"""
+        select * from {PEOPLE}
+        where name in (select printf('Customer#%09d', n_nationkey::int * 57) from nation)""",
     "table_lookup_all": f"select * from {ORDERS} where priority = '1-URGENT' and status <> 'F'",
     "table_plan": balanced(
         PENDING,
@@ -469,6 +481,23 @@ ORACLES: dict[str, str] = {
     "hash_slices": f"select id, shard, {slice_of(N, 8)} as slice from {routed(ORDERS, 'id')}",
     "slice_scan": f"""
         select id, shard from {routed(ORDERS, 'id', 4)} where shard = 1 and {slice_of(4, 3)} = 2""",
+    "sortable_doubles": """
+        with lines as (
+            select l_orderkey as id, l_linenumber as line,
+                   l_extendedprice * (case when l_linenumber % 2 = 0 then -1.0::double else 1.0::double end) / 7 as value
+            from lineitem
+        ),
+        scaled as (select *, abs(value) as x, floor(log2(abs(value)))::bigint as near from lines),
+        settled as (
+            select *, (near - (pow(2.0::double, near) > x)::bigint + (pow(2.0::double, near + 1) <= x)::bigint) as e from scaled
+        ),
+        bits as (
+            select *, (e + 1023) * 4503599627370496 + ((x / pow(2.0::double, e) - 1) * 4503599627370496)::bigint as b from settled
+        )
+        select id, line, value,
+               case when value < 0 then '0' || printf('%016X', 9223372036854775807 - b) else '1' || printf('%016X', b) end as text,
+               row_number() over (partition by id order by value, line) as place
+        from bits""",
     "sortable_encode": f"""
         select c_custkey as id,
           case when {_KEY} < 0 then '0' || {_complement(f"lpad(abs({_KEY})::varchar, 19, '0')")}

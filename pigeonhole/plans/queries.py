@@ -7,8 +7,9 @@ to a fresh path in the shared folder of the session first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -245,10 +246,31 @@ def count_total(spark, sf_dir):
 
 
 def count_capped(spark, sf_dir):
+    """A2 of a written table: each shard is read until it has given 700 matches."""
+    table = fresh_store(spark).write("orders", orders(spark, sf_dir), ORDERS, N)
+    return table.count_by_shard("status != 'P'", 700)
+
+
+def count_capped_rows(spark, sf_dir):
+    """A2 of rows that are not stored by shard."""
     found = ORDERS.where(routed(orders(spark, sf_dir), ORDERS), "status != 'P'")
     return scan.capped_count_by_shard(found, 700)
 
 
+def table_count(spark, sf_dir):
+    """A1 and A2 of a whole written table, with and without a query."""
+    table = fresh_store(spark).write("orders", orders(spark, sf_dir), ORDERS, 4)
+    asked = [
+        ("all", table.count()),
+        ("all, up to 100", table.count(limit=100)),
+        ("pending", table.count("status = 'P'")),
+        ("pending, up to 50", table.count("status = 'P'", 50)),
+        ("filled, up to 1000000", table.count("status = 'F'", 1_000_000)),
+    ]
+    counts = [c.select(F.lit(name).alias("asked"), "items") for name, c in asked]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # -- K1-K6, R5 ---------------------------------------------------------------------------
 
 
@@ -606,6 +628,15 @@ def table_stats(spark, sf_dir):
     return found.withColumn("modified", F.col("modified").isNotNull())
 
 
+def table_lookup_few(spark, sf_dir):
+    """S3 for a few keys: the customers named like a nation's number times 57, some of them there."""
+    table = fresh_store(spark).write("people", people(spark, sf_dir), PEOPLE, N)
+    keys = given(spark, sf_dir, "nation").select(
+        F.format_string("Customer#%09d", F.col("n_nationkey").cast("int") * 57).alias("wanted")
+    )
+    return table.lookup_all(keys)
+
+
 def table_lookup_all(spark, sf_dir):
     """S3 for many keys and K11 on a wide table: urgent orders after filled ones are deleted."""
     table = fresh_store(spark).write("orders", orders(spark, sf_dir), ORDERS, 4)
@@ -745,6 +776,25 @@ def sortable_encode(spark, sf_dir):
     )
 
 
+def sortable_doubles(spark, sf_dir):
+    """R3 for doubles: prices and changes of sign of them, ranked in their order by their text."""
+    lines = given(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_linenumber").alias("line"),
+        (F.col("l_extendedprice") * F.when(F.col("l_linenumber") % 2 == 0, -1.0).otherwise(1.0) / 7)
+        .alias("value"),
+    )
+    coded = lines.withColumn("text", sortable.encode_double(F.col("value")))
+    in_order = Window.partitionBy("id").orderBy("text", "line")
+    return coded.select(
+        "id",
+        "line",
+        "text",
+        sortable.decode_double(F.col("text")).alias("value"),
+        F.row_number().over(in_order).cast("bigint").alias("place"),
+    )
+
+
 _DOCS = Scheme(["id", "text", "lang", "source"], "id")
 
 
@@ -809,6 +859,8 @@ QUERIES: dict[str, Query] = {
     "count_by_shard": count_by_shard,
     "count_total": count_total,
     "count_capped": count_capped,
+    "count_capped_rows": count_capped_rows,
+    "table_count": table_count,
     "upsert": upsert_rows,
     "upsert_null_deletes": upsert_null_deletes,
     "upsert_dedup": upsert_dedup,
@@ -843,6 +895,7 @@ QUERIES: dict[str, Query] = {
     "table_items": table_items,
     "table_attribute": table_attribute,
     "table_stats": table_stats,
+    "table_lookup_few": table_lookup_few,
     "table_lookup_all": table_lookup_all,
     "table_plan": table_plan,
     "create_table": create_table,
@@ -860,6 +913,7 @@ QUERIES: dict[str, Query] = {
     "hash_slices": hash_slices,
     "slice_scan": slice_scan,
     "sortable_encode": sortable_encode,
+    "sortable_doubles": sortable_doubles,
     "capacity_check": capacity_check,
     "attribute_capacity_check": attribute_capacity_check,
     "shard_count_check": shard_count_check,

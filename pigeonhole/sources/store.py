@@ -3,6 +3,7 @@
 Layout of a table below the root of a :class:`Store`::
 
     <table>/data/v=<version>/shard=<i>/*.parquet
+    <table>/stats/v=<version>/*.parquet
     <table>/_manifests/<number>.json
 
 A write puts the new rows of the shards it touches under a new version, then creates the
@@ -13,7 +14,10 @@ touched are not rewritten. A manifest appears whole or not at all and never repl
 another: of two racing writers one fails with ``files.AlreadyThere``.
 
 Inside a shard, files are ranges of the item hash and are sorted by it, so a key lookup or
-a hash slice reads few row groups.
+a hash slice reads few row groups, and other shards are ranges of the same files.
+
+The counters of a version's shards are written beside its data. They hold for as long as the
+version does, so statistics and plain counts read them and no data.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pigeonhole.columns import field, quoted
 from pigeonhole.functions import hashing, naming
 from pigeonhole.operators import attributes as attrs_ops
 from pigeonhole.operators import maintenance, scan, shards, stats, upsert
-from pigeonhole.scheme import Scheme, bad_key, route
+from pigeonhole.scheme import NO_LIMIT, Scheme, bad_key, route
 from pigeonhole.sources import files
 
 # Incoming rows up to this size in memory are broadcast instead of shuffling the table.
@@ -48,6 +52,21 @@ PARTITION_BYTES = 64 * 1024 * 1024
 # Manifests that stay beside the newest one; older ones are deleted by later writes.
 KEEP_MANIFESTS = 16
 
+# Item hashes have a Bloom filter in each row group, as large as their number asks for.
+BLOOM = {
+    "parquet.bloom.filter.enabled#item_hash": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+# No field of a table has this name.
+MODIFIED_AT = "v"
+
+COUNTERS = T.StructType(
+    [T.StructField("version", T.StringType()), T.StructField("shard", T.IntegerType())]
+    + [T.StructField(c, T.LongType()) for c in stats.COUNTERS]
+    + [T.StructField(stats.MODIFIED, T.TimestampType())]
+)
+
 ROUTING = T.StructType(
     [T.StructField("item_hash", T.StringType()), T.StructField("shard", T.IntegerType())]
 )
@@ -210,6 +229,8 @@ class _ShardedTable:
     """Versioned shards of one table: what both layouts share."""
 
     layout: str
+    # Whether a write also writes the counters of its shards; else the first question does.
+    counted_on_write = False
 
     def __init__(self, store: Store, name: str, path: str):
         self.store, self.name, self.path = store, name, path
@@ -250,12 +271,15 @@ class _ShardedTable:
         return f"{self.path}/data/v={version}"
 
     def rows(
-        self, touched: Sequence[int] | None = None, at: Manifest | None = None
+        self,
+        touched: Sequence[int] | None = None,
+        at: Manifest | None = None,
+        extra: Sequence[Column] = (),
     ) -> DataFrame:
         """Routed rows of the table, or of some of its shards, in its state ``at``.
 
         The schema is given, never inferred; ``shard`` is a partition column, so filters
-        on it prune directories.
+        on it prune directories. ``extra`` columns may speak of the files.
         """
         manifest = at or self.manifest()
         schema = T.StructType(
@@ -269,7 +293,7 @@ class _ShardedTable:
         if not paths:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
-        return reader.parquet(*paths).select(*[quoted(f.name) for f in schema.fields])
+        return reader.parquet(*paths).select(*[quoted(f.name) for f in schema.fields], *extra)
 
     def _partitions(self, at: Manifest, touched: Sequence[int] | None = None) -> int:
         """Shuffle partitions for work on these shards: the session's number, or more where
@@ -308,8 +332,8 @@ class _ShardedTable:
         nothing = Manifest(0, at.layout, at.num_shards, at.key, at.fields, {})
         return self._merged_slices(nothing, incoming, at.key, False)
 
-    def _write_version(self, rows: DataFrame, num_shards: int, gather: bool) -> dict[str, str]:
-        """Write routed rows under a new version; returns the shards that have rows.
+    def _arranged(self, rows: DataFrame, num_shards: int, gather: bool) -> DataFrame:
+        """Routed rows in the tasks and the order in which they are written.
 
         ``gather`` brings each hash slice of a shard together first. Rebalancing lets
         adaptive execution merge small slices and split large ones into files of the
@@ -322,13 +346,13 @@ class _ShardedTable:
             rows = self._sliced(rows, num_shards, partitions)
             rows = rows.hint("rebalance", F.col("shard"), F.col("slice"))
         order = [c for c in ("shard", "slice", "item_hash") if c in rows.columns]
+        return rows.sortWithinPartitions(*order).drop("slice")
+
+    def _write_version(self, rows: DataFrame, num_shards: int, gather: bool) -> dict[str, str]:
+        """Write routed rows under a new version; returns the shards that have rows."""
         version = f"r{uuid.uuid4().hex}"
-        (
-            rows.sortWithinPartitions(*order)
-            .drop("slice")
-            .write.partitionBy("shard")
-            .parquet(self._data_path(version))
-        )
+        arranged = self._arranged(rows, num_shards, gather)
+        arranged.write.options(**BLOOM).partitionBy("shard").parquet(self._data_path(version))
         written = files.names(self.spark, self._data_path(version))
         return {n.split("=", 1)[1]: version for n in written if n.startswith("shard=")}
 
@@ -348,16 +372,17 @@ class _ShardedTable:
         if touched is not None:
             gone = {str(s) for s in touched}
             kept = {s: v for s, v in before.versions.items() if s not in gone}
-        self.publish(
-            Manifest(
-                before.number + 1,
-                self.layout,
-                count,
-                before.key,
-                list(fields or before.fields),
-                {**kept, **new},
-            )
+        state = Manifest(
+            before.number + 1,
+            self.layout,
+            count,
+            before.key,
+            list(fields or before.fields),
+            {**kept, **new},
         )
+        if self.counted_on_write and new:
+            self._note_counters(state, next(iter(new.values())))
+        self.publish(state)
 
     @staticmethod
     def _refuse_repeated(df: DataFrame, key: str) -> None:
@@ -441,13 +466,48 @@ class _ShardedTable:
         ]
         for n in stale:
             files.delete(self.spark, f"{self.path}/data/{n}")
+            files.delete(self.spark, f"{self.path}/stats/{n}")
         files.delete(self.spark, f"{self.path}/_failed")
         return stale
 
-    def _with_modified(self, counters: DataFrame, at: Manifest) -> DataFrame:
-        """M6: the counters with the time of the last change of each shard's files."""
-        changed = self.files(at).groupBy("shard").agg(F.max("modified").alias("modified"))
-        return counters.join(changed, "shard", "left")
+    # -- M6 ----------------------------------------------------------------------------
+
+    def stats(self) -> DataFrame:
+        """M6: counters and time of the last change of every shard, empty ones included.
+
+        Reads the counters written beside the data, one small row a shard.
+        """
+        at = self.manifest()
+        return stats.every_shard(self._counters(at), at.num_shards)
+
+    def _measure(self, at: Manifest) -> DataFrame:
+        """The counters of the rows in a state, and the time of their last change, by shard."""
+        raise NotImplementedError
+
+    def _counters(self, at: Manifest) -> DataFrame:
+        """The counters of the shards that have rows; versions without any are counted first."""
+        current = self.spark.createDataFrame(
+            [(v, int(s)) for s, v in at.versions.items()], "version string, shard int"
+        )
+        for version in set(at.versions.values()):
+            if not files.names(self.spark, self._stats_path(version)):
+                self._note_counters(at, version)
+        paths = [self._stats_path(v) for v in set(at.versions.values())]
+        if not paths:
+            return self.spark.createDataFrame([], COUNTERS).drop("version")
+        noted = self.spark.read.schema(COUNTERS).parquet(*paths)
+        # A version may have more shards than those that still use it.
+        return noted.join(F.broadcast(current), ["version", "shard"]).drop("version")
+
+    def _note_counters(self, at: Manifest, version: str) -> None:
+        """Count the shards of a version, of which ``at`` has the fields, and write that down."""
+        own = {s: v for s, v in at.versions.items() if v == version}
+        found = self._measure(Manifest(**asdict(at) | {"versions": own}))
+        found = found.withColumn("version", F.lit(version)).select(*COUNTERS.names)
+        found.coalesce(1).write.mode("overwrite").parquet(self._stats_path(version))
+
+    def _stats_path(self, version: str) -> str:
+        return f"{self.path}/stats/v={version}"
 
 
 @dataclass(frozen=True)
@@ -461,6 +521,7 @@ class ItemTable(_ShardedTable):
     """A table of wide rows: one row per key, one text column per field."""
 
     layout = "wide"
+    counted_on_write = True
 
     # -- source ------------------------------------------------------------------------
 
@@ -489,19 +550,44 @@ class ItemTable(_ShardedTable):
         return self.scheme(manifest).project(rows)
 
     def lookup_all(self, keys: DataFrame) -> DataFrame:
-        """S3 for a table of keys (one column): a few keys prune shards while running."""
-        manifest = self.manifest()
-        rows = scan.items_lookup(self.rows(at=manifest), manifest.key, keys, manifest.num_shards)
-        return self.scheme(manifest).project(rows)
+        """S3 for a table of keys (one column): a join on shard, item hash and key.
+
+        Up to ``scan.FEW_KEYS`` keys become literals: only their shards are listed, and row
+        groups and pages that cannot hold one of their hashes are not read. More keys prune
+        shards while running.
+        """
+        at = self.manifest()
+        wanted = scan.wanted_keys(keys, at.key, at.num_shards)
+        few = wanted.limit(scan.FEW_KEYS + 1).collect()  # bounded
+        if len(few) <= scan.FEW_KEYS:
+            wanted = self.spark.createDataFrame(few, wanted.schema)
+            rows = self.rows(sorted({r["shard"] for r in few}), at)
+            rows = rows.where(scan.of_hashes([r["item_hash"] for r in few]))
+        else:
+            rows = self.rows(at=at)
+        found = rows.join(wanted, ["shard", "item_hash", at.key], "left_semi")
+        return self.scheme(at).project(found)
 
-    def count(self, query: str | Column | None = None, limit: int = -1) -> DataFrame:
-        """A1/A2: one row ``items``."""
+    def count(self, query: str | Column | None = None, limit: int = NO_LIMIT) -> DataFrame:
+        """A1/A2: one row ``items``; without a query it is known from the counters."""
         at = self.manifest()
+        if query is None:
+            items = F.coalesce(F.sum("items"), F.lit(0).cast("bigint"))
+            return self._counters(at).agg(scan.capped(items, limit).alias("items"))
         return scan.count_items(self.scheme(at).where(self.rows(at=at), query), limit)
 
-    def count_by_shard(self, query: str | Column | None = None) -> DataFrame:
+    def count_by_shard(
+        self, query: str | Column | None = None, limit: int = NO_LIMIT
+    ) -> DataFrame:
+        """A1/A2 for each shard that has a match; a limit ends the reading of a shard early."""
         at = self.manifest()
-        return scan.count_by_shard(self.scheme(at).where(self.rows(at=at), query))
+        if query is None:
+            return self._counters(at).select("shard", scan.capped(F.col("items"), limit).alias("items"))
+        found = self.scheme(at).where(self.rows(at=at), query)
+        if limit == NO_LIMIT or not at.versions:
+            return scan.count_by_shard(found)
+        stored = sorted(int(s) for s in at.versions)
+        return scan.capped_count_of_shards({s: found.where(F.col("shard") == s) for s in stored}, limit)
 
     def plan(self, scheme: Scheme) -> DataFrame:
         """Shards with matches, and what a read with this scheme takes from each."""
@@ -509,12 +595,14 @@ class ItemTable(_ShardedTable):
         found = scheme.where(self.rows(at=at))
         return scan.shard_plan(found, at.num_shards, scheme.limit, self.name)
 
-    def stats(self) -> DataFrame:
-        """M6: counters and last change of every shard, empty ones included."""
-        at = self.manifest()
-        scheme = self.scheme(at)
-        found = stats.shard_stats(self.rows(at=at), scheme.key, scheme.attributes)
-        return self._with_modified(stats.every_shard(found, at.num_shards), at)
+    def _measure(self, at: Manifest) -> DataFrame:
+        changed = F.col("_metadata.file_modification_time").alias(MODIFIED_AT)
+        return stats.shard_stats(
+            self.rows(at=at, extra=[changed]),
+            at.key,
+            [f for f in at.fields if f != at.key],
+            modified=MODIFIED_AT,
+        )
 
     # -- sink --------------------------------------------------------------------------
 
@@ -599,11 +687,16 @@ class ItemTable(_ShardedTable):
                 self._publish_shards(before, left, staged.touched)
 
     def reshard(self, num_shards: int) -> None:
-        """The same rows over another number of shards."""
+        """The same rows over another number of shards.
+
+        Shards of either number are ranges of hashes, and so is what a task reads: it cuts its
+        range at the new borders and writes each piece where it belongs. No row changes its
+        task.
+        """
         hashing.check_num_shards(num_shards)
         before = self.manifest()
         rows = maintenance.reshard(self.rows(at=before), num_shards)
-        self._publish_shards(before, rows, None, num_shards=num_shards)
+        self._publish_shards(before, rows, None, num_shards=num_shards, gather=False)
 
     @staticmethod
     def _incoming(df, scheme, num_shards, order_by, null_deletes) -> DataFrame:
@@ -670,11 +763,9 @@ class AttributeTable(_ShardedTable):
         )
         return scan.balanced_limit(scheme.where(wide), scheme.key, at.num_shards, scheme.limit)
 
-    def stats(self) -> DataFrame:
-        """M6 for every shard."""
-        at = self.manifest()
-        found = stats.every_shard(stats.attribute_stats(self.rows(at=at)), at.num_shards)
-        return self._with_modified(found, at)
+    def _measure(self, at: Manifest) -> DataFrame:
+        changed = self.files(at).groupBy("shard").agg(F.max("modified").alias(stats.MODIFIED))
+        return stats.attribute_stats(self.rows(at=at)).join(changed, "shard", "left")
 
     def _item_rows(self, item: str) -> DataFrame:
         at = self.manifest()
