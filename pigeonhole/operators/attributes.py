@@ -19,6 +19,8 @@ ITEM = "item_name"
 LONG = (ITEM, "name", "value")
 # Fixed value: error code of a put whose condition does not hold.
 CONDITION_FAILED = "ConditionalCheckFailed"
+# What a conditional put knows of a value, one bit each; lacking is a required one not held.
+HELD, PUT, REPLACE, REQUIRED, EXCLUDED, LACKING = 1, 2, 4, 8, 16, 32
 
 
 # -- shapes ----------------------------------------------------------------------------
@@ -136,29 +138,21 @@ def attribute_lookup(attrs: DataFrame, item: str, name: str) -> DataFrame:
 # -- puts ------------------------------------------------------------------------------
 
 
-def put_attributes(
-    existing: DataFrame,
-    incoming: DataFrame,
-    few: bool = False,
-    refused: DataFrame | None = None,
-) -> DataFrame:
+def put_attributes(existing: DataFrame, incoming: DataFrame, few: bool = False) -> DataFrame:
     """Add attribute values of many items.
 
     A boolean column ``replace`` in ``incoming`` marks values that take the place of all
     present values of their item and name; unmarked ones (or all, without the column) are
     added to them. ``few`` says the caller has checked that ``incoming`` is small: it is
-    then broadcast and the existing rows are not shuffled. Incoming rows of the items listed
-    in ``refused`` are left out; that join comes after the pairs to replace are made
-    distinct, so no aggregate relies on its partitioning.
+    then broadcast and the existing rows are not shuffled.
     """
     # Beside LONG, columns that follow from the item (its hash, its shard) are carried along.
     shared = [c for c in existing.columns if c in incoming.columns]
     incoming = incoming.where("value is not null")
-    put = _without(incoming.select(*shared), refused, few)
+    put = incoming.select(*shared)
     kept = existing.select(*shared)
     if "replace" in incoming.columns:
         replaced = incoming.where("replace").select(ITEM, "name").distinct()
-        replaced = _without(replaced, refused, few)
         kept = kept.join(_hint(replaced, few), [ITEM, "name"], "left_anti")
     if not few:
         return kept.unionByName(put).distinct()
@@ -219,18 +213,67 @@ def failed_items(existing: DataFrame, conditions: DataFrame, few: bool = False)
 
 
 def conditional_put(
-    existing: DataFrame, incoming: DataFrame, failed: DataFrame, few: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """K9: put only items all of whose conditions hold; (new state, rejected rows).
+    existing: DataFrame, incoming: DataFrame, conditions: DataFrame
+) -> DataFrame:
+    """K9: the state after putting the items all of whose conditions hold, in one read of each input.
 
-    ``failed`` are the items from :func:`failed_items`, which the caller has written down, so
-    that they are decided once. Rejected incoming rows carry an ``error`` column. Items without
-    a condition are put. ``few`` says ``incoming`` and ``failed`` are small (checked).
+    State, puts and conditions become rows of one shape, and one exchange by item, name and value
+    brings together what concerns a value: whether it is held, put, replacing, required. From
+    these follows for every attribute whether a condition on it fails, hence for every item
+    whether its puts are refused, and each value then stays, goes or comes. The exchange is made
+    once and read by both steps; values are unique in it, attributes come after partial sums, and
+    the last join, by item and name, is open to splitting, so no attribute has to fit a task.
+
+    Items without a condition are put; rows without an item or a name are nothing. Columns that both ``existing`` and ``incoming`` have (the
+    item's hash, its shard) are carried along. ``replace`` as in :func:`put_attributes`.
     """
-    rejected = incoming.join(_hint(failed, few), ITEM, "left_semi").withColumn(
+    carried = [c for c in existing.columns if c in incoming.columns and c not in LONG]
+    replacing = F.coalesce(F.col("replace"), F.lit(False)) if "replace" in incoming.columns else F.lit(False)
+    same = [*LONG, *carried]
+    put = F.when(replacing, F.lit(PUT | REPLACE)).otherwise(F.lit(PUT))
+    wanted = F.when(F.col("must_exist"), F.lit(REQUIRED)).otherwise(F.lit(EXCLUDED))
+    # A required null is a value that nothing holds.
+    value = F.when(F.col("must_exist"), F.col("cond_value")).alias("value")
+    asked = conditions.select(ITEM, F.col("cond_name").alias("name"), value, wanted.alias("marks"))
+    marked = (
+        existing.select(*same, F.lit(HELD).alias("marks"))
+        .unionByName(incoming.where("value is not null").select(*same, put.alias("marks")))
+        .unionByName(asked, allowMissingColumns=True)
+        # Said here, for all, what joins below imply for one side: the exchange is then the same.
+        .where(f"{ITEM} is not null and name is not null")
+    )
+    # What follows from the item is null in conditions; the others agree on it.
+    values = marked.groupBy(*LONG).agg(
+        F.bit_or("marks").alias("marks"), *[F.max(c).alias(c) for c in carried]
+    )
+
+    lacking = F.when(_has(REQUIRED) & ~_has(HELD), F.lit(LACKING)).otherwise(F.lit(0))
+    names = values.groupBy(ITEM, "name").agg(
+        F.bit_or(F.col("marks").bitwiseOR(lacking)).alias("marks")
+    )
+    fails = _has(LACKING) | (_has(EXCLUDED) & _has(HELD))
+    refused = names.where(fails).select(ITEM).distinct().withColumn("refused", F.lit(True))
+    decided = (
+        names.where(_has(PUT))
+        .join(refused, ITEM, "left")
+        .where("refused is null")
+        .select(ITEM, "name", _has(REPLACE).alias("replaced"))
+    )
+    accepted = F.col("replaced").isNotNull()
+    stays = _has(HELD) & ~F.coalesce(F.col("replaced"), F.lit(False))
+    comes = _has(PUT) & accepted
+    return values.join(decided, [ITEM, "name"], "left").where(stays | comes).select(*same)
+
+
+def rejected(incoming: DataFrame, failed: DataFrame, few: bool = False) -> DataFrame:
+    """K9: the incoming rows of the items from :func:`failed_items`, with an ``error`` column."""
+    return incoming.join(_hint(failed, few), ITEM, "left_semi").withColumn(
         "error", F.lit(CONDITION_FAILED)
     )
-    return put_attributes(existing, incoming, few, failed), rejected
+
+
+def _has(mark: int) -> Column:
+    return F.col("marks").bitwiseAND(F.lit(mark)) != 0
 
 
 # -- deletes ---------------------------------------------------------------------------
@@ -257,9 +300,5 @@ def delete_attributes(existing: DataFrame, deletions: DataFrame, few: bool = Fal
     )
 
 
-def _without(df: DataFrame, items: DataFrame | None, few: bool) -> DataFrame:
-    return df if items is None else df.join(_hint(items, few), ITEM, "left_anti")
-
-
 def _hint(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df

@@ -520,21 +520,17 @@ def _order_conditions(spark, sf_dir):
     )
 
 
-def _conditional(spark, sf_dir):
-    attrs = order_attributes(spark, sf_dir)
-    puts = order_puts(spark, sf_dir).withColumn("replace", F.lit(True))
-    path = files.scratch_path(spark, "failed")
-    attrs_ops.failed_items(attrs, _order_conditions(spark, sf_dir)).write.parquet(path)
-    failed = spark.read.schema("item_name string").parquet(path)
-    return attrs_ops.conditional_put(attrs, puts, failed)
-
-
 def conditional_put(spark, sf_dir):
-    return _conditional(spark, sf_dir)[0]
+    puts = order_puts(spark, sf_dir).withColumn("replace", F.lit(True))
+    attrs = order_attributes(spark, sf_dir)
+    return attrs_ops.conditional_put(attrs, puts, _order_conditions(spark, sf_dir))
 
 
 def conditional_put_rejected(spark, sf_dir):
-    return _conditional(spark, sf_dir)[1].drop("replace")
+    failed = attrs_ops.failed_items(
+        order_attributes(spark, sf_dir), _order_conditions(spark, sf_dir)
+    )
+    return attrs_ops.rejected(order_puts(spark, sf_dir), failed)
 
 
 def delete_item(spark, sf_dir):

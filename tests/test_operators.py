@@ -1,3 +1,6 @@
+import random
+
+import plans
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -279,9 +282,51 @@ def test_few_and_many_agree_on_skewed_items(skewed, spark):
         held = ops.check_conditions(skewed, asked, few).select("item_name", "holds")
         assert bag(held) == [("1", False), ("31", True), ("33", True), ("hot", True)]
         failed = ops.failed_items(skewed, asked, few)
-        state, rejected = ops.conditional_put(skewed, puts, failed, few)
-        assert {r["item_name"] for r in rejected.collect()} == {"1"}
-        assert state.count() == 9000 + 59
+        assert {r["item_name"] for r in ops.rejected(puts, failed, few).collect()} == {"1"}
+    assert ops.conditional_put(skewed, puts, asked).count() == 9000 + 59
+
+
+def put_if(rows, puts, conditions):
+    """K9 plainly: the rows after the puts of the items whose conditions hold."""
+    refused = set()
+    for item, name, value, must in conditions:
+        holds = value is not None and (item, name, value) in rows if must else all(r[:2] != (item, name) for r in rows)
+        if not holds:
+            refused.add(item)
+    put = [p for p in puts if p[0] not in refused and p[2] is not None]
+    replaced = {p[:2] for p in put if p[3]}
+    return {r for r in rows if r[:2] not in replaced} | {p[:3] for p in put}
+
+
+def test_conditional_put_against_plain_rules(spark):
+    draw = random.Random(4)
+    for _ in range(6):
+        items = ["hot"] * 5 + [f"i{k}" for k in range(8)]
+        rows = {(draw.choice(items), draw.choice("ab"), f"v{draw.randrange(40)}") for _ in range(150)}
+        puts = [
+            (draw.choice(items), draw.choice("abc"), draw.choice([None, *[f"v{k}" for k in range(40)]]), draw.choice([True, False, None]))
+            for _ in range(40)
+        ]
+        asked = [
+            (draw.choice(items[4:]), draw.choice("abc"), draw.choice([None, *[f"v{k}" for k in range(40)]]), draw.random() < 0.6)
+            for _ in range(draw.randrange(1, 6))
+        ]
+        state = ops.conditional_put(
+            spark.createDataFrame(sorted(rows), LONG),
+            spark.createDataFrame(puts, f"{LONG}, replace boolean"),
+            spark.createDataFrame(asked, "item_name string, cond_name string, cond_value string, must_exist boolean"),
+        )
+        assert bag(state) == sorted(put_if(rows, puts, asked))
+
+
+def test_conditional_put_reads_each_input_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([("i", "a", "1"), ("j", "a", "2")], LONG).write.parquet(path)
+    asked = spark.createDataFrame([("i", "a", "1", True)], "item_name string, cond_name string, cond_value string, must_exist boolean")
+    puts = spark.createDataFrame([("i", "a", "9", True)], f"{LONG}, replace boolean")
+    state = ops.conditional_put(spark.read.parquet(path), puts, asked)
+    assert bag(state) == [("i", "a", "9"), ("j", "a", "2")]
+    assert sum(n.metrics().get("numOutputRows").get().value() for n in plans.scans(state)) == 2
 
 
 def test_null_values_are_not_put(spark):
