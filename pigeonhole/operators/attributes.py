@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pigeonhole.columns import field
+from pigeonhole.columns import field, int_div
+from pigeonhole.operators import ordering
 
 ITEM = "item_name"
 LONG = (ITEM, "name", "value")
@@ -62,30 +63,43 @@ def to_wide(
 
 def item_form(
     attrs: DataFrame,
-    parts: int = 1,
+    parts: int | None = None,
     is_set: bool = False,
     among: DataFrame | None = None,
+    size: int | None = None,
 ) -> DataFrame:
     """Rows ``(item_name, part, attributes)``, values sorted.
 
-    With ``parts`` of 1 every item is one row with part 0. A row holds its values in one
-    task, so a caller whose items may have too many for that asks for more parts: the values
-    of every item, whatever its size, are then dealt over up to ``parts`` rows by their
-    hash. Use :func:`values_of` and :func:`first_values`, or the long form, for answers that
-    do not depend on the number of parts.
+    With ``size``, the values of an item, in the order of name and value, are cut into parts of
+    that many: part 0 has the first ``size`` values, and so on; an item of fewer is one row. The
+    rows are sorted in ranges of item, name and value, so an item may hold any share of them and
+    no task or row more than ``size`` values of it.
+
+    With ``parts``, the values of every item are dealt over up to that many rows by their hash.
+    Without either, every item is one row with part 0, whatever it holds: only for items known to
+    be small. Use :func:`values_of` and :func:`first_values`, or the long form, for answers that
+    do not depend on the parts.
 
     ``is_set`` skips removing repeated rows, for input known to have none. ``among`` (one
     column, items listed once) restricts the result to these items.
     """
+    if size is not None and (parts is not None or size < 1):
+        raise ValueError(f"size must be positive and stand alone, got size {size}, parts {parts}")
     attrs = attrs.select(*LONG).where(f"{ITEM} is not null")
     if among is not None:
         attrs = attrs.join(among.toDF(ITEM), ITEM, "left_semi")
     if not is_set:
         attrs = attrs.distinct()
-    part = F.pmod(F.xxhash64("name", "value"), F.lit(parts)) if parts > 1 else F.lit(0)
+    if size is not None:
+        placed = ordering.ranked(attrs, [ITEM], ["name", "value"], "part")
+        placed = placed.withColumn("part", int_div(F.col("part"), size))
+    elif parts is not None and parts > 1:
+        part = F.pmod(F.xxhash64("name", "value"), F.lit(parts))
+        placed = attrs.withColumn("part", part.cast("bigint"))
+    else:
+        placed = attrs.withColumn("part", F.lit(0).cast("bigint"))
     # One shuffle serves both aggregates below.
-    placed = attrs.withColumn("part", part.cast("bigint")).repartition(ITEM, "part")
-    by_name = placed.groupBy(ITEM, "part", "name").agg(
+    by_name = placed.repartition(ITEM, "part").groupBy(ITEM, "part", "name").agg(
         F.array_sort(F.collect_set("value")).alias("values")
     )
     return by_name.groupBy(ITEM, "part").agg(

@@ -302,6 +302,14 @@ ORACLES: dict[str, str] = {
         from (select item_name, name, name || '=' || string_agg(value, ',' order by value) as pair
           from {ATTRS} group by item_name, name)
         group by item_name""",
+    "item_ranges": """
+        with l as (select distinct l_returnflag as item_name, l_linestatus as name,
+            l_shipdate || '-' || l_suppkey as value from lineitem),
+        placed as (select *, (row_number() over (partition by item_name order by name, value) - 1) // 50 as part from l)
+        select item_name, part, string_agg(pair, ';' order by name) as attributes
+        from (select item_name, part, name, name || '=' || string_agg(value, ',' order by value) as pair
+          from placed group by item_name, part, name)
+        group by item_name, part""",
     "select_items": f"""
         with a as (select * from {ATTRS}),
         f as (select item_name from a group by item_name

@@ -23,6 +23,8 @@ from pigeonhole.sources.store import Store, TableExists
 Query = Callable[[SparkSession, str], DataFrame]
 
 N = 20
+# Values of an item in one row of the item form; orders have fewer.
+VALUES = 1000
 ORDERS = Scheme(["id", "customer", "status", "priority"], "id")
 PEOPLE = Scheme(["name", "nation", "segment"], "name")
 
@@ -433,7 +435,7 @@ def _as_text(column):
 
 
 def to_item_map(spark, sf_dir):
-    items = attrs_ops.item_form(order_attributes(spark, sf_dir), is_set=True)
+    items = attrs_ops.item_form(order_attributes(spark, sf_dir), is_set=True, size=VALUES)
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 
@@ -442,7 +444,7 @@ def select_items(spark, sf_dir):
     attrs = order_attributes(spark, sf_dir)
     scheme = Scheme(["id", "flag", "state"], "id", "flag = 'A' and state != 'F'")
     found = scheme.where(attrs_ops.to_wide(attrs, scheme.key, scheme.fields)).select("id")
-    items = attrs_ops.item_form(attrs, is_set=True, among=found)
+    items = attrs_ops.item_form(attrs, is_set=True, among=found, size=VALUES)
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 
@@ -457,7 +459,18 @@ def select_any_value(spark, sf_dir):
     """Items any of whose flags is R and any of whose states is O, or with a supplier from 9 on."""
     attrs = order_attributes(spark, sf_dir)
     found = attrs_ops.matching_items(attrs, _ANY_VALUE, "(returned and open) or far")
-    items = attrs_ops.item_form(attrs, is_set=True, among=found)
+    items = attrs_ops.item_form(attrs, is_set=True, among=found, size=VALUES)
+    return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
+
+
+def item_ranges(spark, sf_dir):
+    """S2 with hot items: all lines of a return flag as one item, in parts of 50 values in order."""
+    lines = given(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("item_name"),
+        F.col("l_linestatus").alias("name"),
+        F.concat_ws("-", "l_shipdate", "l_suppkey").alias("value"),
+    )
+    items = attrs_ops.item_form(lines, size=50)
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 
@@ -606,7 +619,7 @@ def table_delete(spark, sf_dir):
 def table_items(spark, sf_dir):
     """S2 through files: bags of items with an R flag and an O state among their values."""
     table = _written_attributes(spark, sf_dir)
-    items = table.select(_ANY_VALUE, "returned and open")
+    items = table.select(_ANY_VALUE, "returned and open", size=VALUES)
     return items.select("item_name", "part", _as_text(F.col("attributes")).alias("attributes"))
 
 
@@ -873,6 +886,7 @@ QUERIES: dict[str, Query] = {
     "to_item_map": to_item_map,
     "select_items": select_items,
     "select_any_value": select_any_value,
+    "item_ranges": item_ranges,
     "item_parts": item_parts,
     "to_wide": to_wide,
     "first_value": first_value,

@@ -716,20 +716,23 @@ class AttributeTable(_ShardedTable):
         """All rows ``(item_name, name, value)``."""
         return self.rows(at=at).select(*attrs_ops.LONG)
 
-    def items(self, scheme: Scheme | None = None, parts: int = 1) -> DataFrame:
+    def items(
+        self, scheme: Scheme | None = None, parts: int | None = None, size: int | None = None
+    ) -> DataFrame:
         """Items in item form; with a scheme, those matching its query and limit.
 
-        ``parts`` as in :func:`pigeonhole.operators.attributes.item_form`.
+        ``parts`` and ``size`` as in :func:`pigeonhole.operators.attributes.item_form`.
         """
         at = self.manifest()
         among = None if scheme is None else self._wide(scheme, at).select(field(scheme.key))
-        return attrs_ops.item_form(self.attributes(at), parts, is_set=True, among=among)
+        return attrs_ops.item_form(self.attributes(at), parts, True, among, size)
 
     def select(
         self,
         conditions: Mapping[str, tuple[str, str | Column]],
         query: str | Column,
-        parts: int = 1,
+        parts: int | None = None,
+        size: int | None = None,
     ) -> DataFrame:
         """Whole items for which a query over their bags holds.
 
@@ -738,11 +741,11 @@ class AttributeTable(_ShardedTable):
         """
         attrs = self.attributes()
         found = attrs_ops.matching_items(attrs, conditions, query)
-        return attrs_ops.item_form(attrs, parts, is_set=True, among=found)
+        return attrs_ops.item_form(attrs, parts, True, found, size)
 
-    def item(self, item: str, parts: int = 1) -> DataFrame:
+    def item(self, item: str, parts: int | None = None, size: int | None = None) -> DataFrame:
         """S3: one item in item form, read from one shard."""
-        return attrs_ops.item_form(self._item_rows(item), parts, is_set=True)
+        return attrs_ops.item_form(self._item_rows(item), parts, True, size=size)
 
     def attribute(self, item: str, name: str) -> DataFrame:
         """The values of one attribute of one item, one per row."""

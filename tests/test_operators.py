@@ -286,6 +286,43 @@ def test_few_and_many_agree_on_skewed_items(skewed, spark):
     assert ops.conditional_put(skewed, puts, asked).count() == 9000 + 59
 
 
+def test_items_in_parts_of_a_stated_size(spark):
+    """An item with most rows is cut in the order of its values; others are one row."""
+    hot = spark.range(5000).select(
+        F.lit("hot").alias("item_name"),
+        F.concat(F.lit("n"), F.col("id") % 3).alias("name"),
+        F.format_string("v%05d", "id").alias("value"),
+    )
+    small = spark.createDataFrame([("s", "b", "2"), ("s", "a", "1"), ("s", "b", "2"), (None, "a", "x")], LONG)
+    items = ops.item_form(hot.unionByName(hot).unionByName(small).repartition(7), size=300)
+    rows = {(r["item_name"], r["part"]): r["attributes"] for r in items.collect()}
+    assert rows[("s", 0)] == {"a": ["1"], "b": ["2"]}
+    order = sorted((r["name"], r["value"]) for r in hot.collect())
+    for part in range(17):
+        got = rows.pop(("hot", part))
+        assert [(n, v) for n in sorted(got) for v in got[n]] == order[part * 300 : (part + 1) * 300]
+    assert list(rows) == [("s", 0)]
+    with pytest.raises(ValueError):
+        ops.item_form(hot, parts=2, size=3)
+
+
+def test_no_task_holds_a_hot_item(spark, monkeypatch):
+    """The ranges of a hot item lie in all tasks of the sort."""
+    seen = []
+    ranked = ops.ordering.ranked
+
+    def noted(df, *args):
+        rows = df.repartitionByRange(8, "item_name", "name", "value")
+        seen.extend(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+        return ranked(df, *args)
+
+    monkeypatch.setattr(ops.ordering, "ranked", noted)
+    hot = spark.range(20_000).selectExpr("'hot' as item_name", "'n' as name", "string(id) as value")
+    items = ops.item_form(hot, size=1000)
+    assert items.selectExpr("max(size(attributes['n']))", "count(*)").first()[:] == (1000, 20)
+    assert len(seen) == 8 and max(seen) < 5000
+
+
 def put_if(rows, puts, conditions):
     """K9 plainly: the rows after the puts of the items whose conditions hold."""
     refused = set()
@@ -300,7 +337,7 @@ def put_if(rows, puts, conditions):
 
 def test_conditional_put_against_plain_rules(spark):
     draw = random.Random(4)
-    for _ in range(6):
+    for _ in range(4):
         items = ["hot"] * 5 + [f"i{k}" for k in range(8)]
         rows = {(draw.choice(items), draw.choice("ab"), f"v{draw.randrange(40)}") for _ in range(150)}
         puts = [
