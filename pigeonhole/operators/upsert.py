@@ -11,11 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pigeonhole.columns import field
+from pigeonhole.columns import field, int_div, long_lit
+from pigeonhole.functions import hashing
 from pigeonhole.scheme import Scheme, route
 
 ROUTING = ("item_hash", "shard")
 SLICED = (*ROUTING, "slice")
+# Bits of the map of incoming hashes; broadcast as up to 2^20 words, some 30 MB.
+MET_BITS = 1 << 26
 
 
 def latest_by_key(
@@ -146,6 +149,27 @@ def merge_sliced(
     )
 
 
+def met(existing: DataFrame, incoming: DataFrame, bits: int = MET_BITS) -> DataFrame:
+    """Routed existing rows with ``met``: false only if no incoming row has their key.
+
+    The hash positions of the incoming rows set bits of a map of ``bits`` bits, which is kept in
+    words of 64 and broadcast: at most ``bits`` / 64 rows of two numbers, and no more than there
+    are incoming rows. A row whose bit is not set cannot be met.
+    """
+
+    def place(rows: DataFrame) -> Column:
+        return hashing.text_position(field("item_hash")) % bits
+
+    position = incoming.select(place(incoming).alias("p"))
+    words = position.groupBy(int_div(F.col("p"), 64).alias("__word")).agg(
+        F.bit_or(F.call_function("shiftleft", long_lit(1), (F.col("p") % 64).cast("int"))).alias("__bits")
+    )
+    marked = existing.withColumn("__word", int_div(place(existing), 64))
+    joined = marked.join(F.broadcast(words), "__word", "left")
+    hit = F.getbit(F.col("__bits"), (place(existing) % 64).cast("int")) == 1
+    return joined.withColumn("met", F.coalesce(hit, F.lit(False))).drop("__word", "__bits")
+
+
 def settle(
     df: DataFrame,
     scheme: Scheme,

@@ -4,7 +4,7 @@ Layout of a table below the root of a :class:`Store`::
 
     <table>/data/v=<version>/shard=<i>/*.parquet
     <table>/stats/v=<version>/*.parquet
-    <table>/_manifests/<number>.json
+    <table>/manifests/<number>.json
 
 A write puts the new rows of the shards it touches under a new version, then creates the
 next manifest, which says for every shard in which version its rows are. Readers take the
@@ -58,6 +58,10 @@ BLOOM = {
     "parquet.bloom.filter.adaptive.enabled": "true",
 }
 
+# Paths of a store: manifests, and data files.
+MANIFEST_FILE = r"([^/]+)/manifests/([0-9]+)\.json$"
+DATA_FILE = r"([^/]+)/data/v=([^/]+)/shard=([0-9]+)/[^/]+$"
+
 # No field of a table has this name.
 MODIFIED_AT = "v"
 
@@ -155,33 +159,61 @@ class Store:
     # -- M4, M7 ------------------------------------------------------------------------
 
     def tables(self) -> list[str]:
-        found = files.names(self.spark, self.root)
-        return [n for n in found if n[0] not in "._" and self._known(n)]
+        """Names of all tables, in order."""
+        rows = self._manifests().select("table_name").distinct().collect()  # one row a table
+        return sorted(r["table_name"] for r in rows)
 
     def shards(self, limit: int | None = None) -> DataFrame:
         """M4: ``name`` of every shard that is stored, of every table.
 
         A shard without rows has no files and is stored by being in the manifest; one whose
-        files are gone is not listed.
+        files are gone is not listed. Tasks list the tables' folders and read the manifests.
         """
-        known = []
-        for n in self.tables():
-            table = ItemTable(self, n, self._path(n))
-            at = table.manifest()
-            known.append((n, at.num_shards, table.lost_shards(at)))
-        listed = self.spark.createDataFrame(
-            known, "table_name string, num_shards int, lost array<int>"
+        state = F.from_json(
+            F.max_by(F.col("content").cast("string"), "number"),
+            "num_shards int, versions map<string, string>",
         )
-        numbers = F.explode(
-            F.array_except(F.sequence(F.lit(0), F.col("num_shards") - 1), F.col("lost"))
-        ).alias("shard")
-        catalog = listed.select("table_name", "num_shards", numbers).select(
-            naming.shard_name(F.col("table_name"), F.col("shard"), F.col("num_shards")).alias(
-                "name"
-            )
+        tables = self._manifests().groupBy("table_name").agg(state.alias("state"))
+        tables = tables.select("table_name", "state.*")
+        placed = tables.select(
+            "table_name", F.explode("versions").alias("shard", "version")
+        ).select("table_name", F.col("shard").cast("int").alias("shard"), "version")
+        there = self._listed("*", DATA_FILE, "table_name", "version", "shard").select(
+            "table_name", "version", F.col("shard").cast("int").alias("shard")
+        )
+        lost = placed.join(there.distinct(), ["table_name", "version", "shard"], "left_anti")
+        every = F.explode(F.sequence(F.lit(0), F.col("num_shards") - 1)).alias("shard")
+        stored = tables.select("table_name", "num_shards", every).join(
+            lost.select("table_name", "shard"), ["table_name", "shard"], "left_anti"
+        )
+        catalog = stored.select(
+            naming.shard_name(F.col("table_name"), F.col("shard"), F.col("num_shards")).alias("name")
         )
         return shards.list_shards(catalog, limit)
 
+    def _manifests(self) -> DataFrame:
+        """``table_name, number, content`` of the manifests of all tables, a few for each."""
+        found = self._listed("*.json", MANIFEST_FILE, "table_name", "number")
+        return found.withColumn("number", F.col("number").cast("bigint"))
+
+    def _listed(self, glob: str, pattern: str, *groups: str) -> DataFrame:
+        """``content`` and the named parts of the path of files of all tables.
+
+        The driver names the tables' folders; Spark lists what is in them, in tasks if there are
+        many, and reads contents only if they are asked for.
+        """
+        names = [n for n in files.names(self.spark, self.root) if n[0] not in "._"]
+        if not names:
+            fields = [T.StructField(g, T.StringType()) for g in groups]
+            schema = T.StructType([T.StructField("content", T.BinaryType()), *fields])
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        listed = reader.option("pathGlobFilter", glob).load([f"{self.root}/{n}" for n in names])
+        return listed.where(F.col("path").rlike(pattern)).select(
+            "content",
+            *[F.regexp_extract("path", pattern, i).alias(g) for i, g in enumerate(groups, 1)],
+        )
+
     def infer_num_shards(self, name: str) -> int:
         """M7: shard count of a table, 0 if it does not exist."""
         return shards.infer_num_shards(self.shards(), name)
@@ -244,7 +276,7 @@ class _ShardedTable:
         return Manifest(**json.loads(files.read_text(self.spark, self._manifest_path(found[-1]))))
 
     def manifest_names(self) -> list[str]:
-        found = files.names(self.spark, f"{self.path}/_manifests")
+        found = files.names(self.spark, f"{self.path}/manifests")
         return [n for n in found if n.endswith(".json") and n[0] not in "._"]
 
     def publish(self, manifest: Manifest) -> None:
@@ -265,7 +297,7 @@ class _ShardedTable:
         return sorted(int(s) for s, v in at.versions.items() if f"shard={s}" not in found[v])
 
     def _manifest_path(self, file_name: str) -> str:
-        return f"{self.path}/_manifests/{file_name}"
+        return f"{self.path}/manifests/{file_name}"
 
     def _data_path(self, version: str) -> str:
         return f"{self.path}/data/v={version}"
@@ -324,6 +356,23 @@ class _ShardedTable:
             partitions if partitions > configured else None,
         )
 
+    def _merged_rows_met(self, before, staged, key, null_deletes) -> DataFrame:
+        """K1 where the table is much larger than what comes in.
+
+        Only the incoming rows and the present ones that they may meet change their task, to be
+        merged by shard and slice; all others are written by the task that reads them.
+        """
+        present = upsert.met(self.rows(staged.touched, before), staged.rows)
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        merged = upsert.merge_sliced(
+            self._sliced(present.where("met").drop("met"), before.num_shards, partitions),
+            self._sliced(staged.rows, before.num_shards, partitions),
+            key,
+            null_deletes,
+        ).drop("slice")
+        others = present.where("not met").drop("met")
+        return merged.unionByName(others, allowMissingColumns=True)
+
     def _checked_slices(self, incoming: DataFrame, at: Manifest) -> DataFrame:
         """Incoming rows by shard and slice, for a first write; a repeated key is an error.
 
@@ -408,8 +457,9 @@ class _ShardedTable:
                 .agg(F.count("*").alias("rows"), F.sum(size.cast("bigint")).alias("bytes"))
                 .collect()  # one row per shard
             )
-            total = sum(r["bytes"] + ROW_OVERHEAD * r["rows"] for r in found)
-            yield _Staged(rows, sorted(r["shard"] for r in found), total <= FEW_BYTES)
+            count = sum(r["rows"] for r in found)
+            total = sum(r["bytes"] for r in found) + ROW_OVERHEAD * count
+            yield _Staged(rows, sorted(r["shard"] for r in found), total <= FEW_BYTES, count)
         finally:
             files.delete(self.spark, path)
 
@@ -515,6 +565,7 @@ class _Staged:
     rows: DataFrame
     touched: list[int]
     few: bool
+    count: int
 
 
 class ItemTable(_ShardedTable):
@@ -637,8 +688,10 @@ class ItemTable(_ShardedTable):
         """Insert new keys, set the written attributes of present ones.
 
         Only shards that receive rows are read and written. Few incoming rows (checked
-        size) are broadcast and the table is not shuffled; otherwise one shuffle of both
-        sides serves the merge and the write.
+        size) are broadcast and the table is not shuffled. More are shuffled together with the
+        present rows whose hash is among theirs, and the rest of the table stays where it is
+        read. Only if they are so many that they meet most of a table is all of it shuffled; one
+        shuffle then serves the merge and the write.
 
         ``bulk`` says the incoming rows are many and go to every shard: they are then not
         staged to learn that, but evaluated once, inside that shuffle.
@@ -666,12 +719,14 @@ class ItemTable(_ShardedTable):
                     self._refuse_repeated(staged.rows, scheme.key)
                 existing = self.rows(staged.touched, before)
                 merged = upsert.merge_few(existing, staged.rows, scheme.key, null_deletes)
+            elif staged.count <= upsert.MET_BITS // 4:
+                merged = self._merged_rows_met(before, staged, scheme.key, null_deletes)
             else:
                 merged = self._merged_slices(
                     before, staged.rows, scheme.key, null_deletes, staged.touched
                 )
-            # Merged slices are where they belong; few rows leave theirs in other tasks.
-            self._publish_shards(before, merged, staged.touched, fields, gather=staged.few)
+            # Every row is in the task that read it or in that of its slice.
+            self._publish_shards(before, merged, staged.touched, fields, gather=False)
 
     def delete_items(self, keys: DataFrame) -> None:
         """Remove the rows whose key is listed (one column)."""
@@ -684,7 +739,7 @@ class ItemTable(_ShardedTable):
                 F.broadcast(gone) if staged.few else gone, before.key, "left_anti"
             )
             if staged.touched:
-                self._publish_shards(before, left, staged.touched)
+                self._publish_shards(before, left, staged.touched, gather=not staged.few)
 
     def reshard(self, num_shards: int) -> None:
         """The same rows over another number of shards.
@@ -840,4 +895,5 @@ class AttributeTable(_ShardedTable):
         with self._stage(self._routed(change, before)) as staged:
             if staged.touched:
                 result = operation(self.rows(staged.touched, before), staged.rows, staged.few)
-                self._publish_shards(before, result, staged.touched)
+                # With a broadcast change, present rows stay in the tasks that read them.
+                self._publish_shards(before, result, staged.touched, gather=not staged.few)

@@ -135,6 +135,99 @@ def test_resharding_moves_no_row_to_another_task(store, made, old, new, monkeypa
         assert hashes == sorted(hashes)
 
 
+# -- K1 --------------------------------------------------------------------------------
+
+
+def written_plans(monkeypatch, table):
+    """The rows of each write of a table, as they are arranged for it."""
+    seen = []
+    arranged = type(table)._arranged
+
+    def noted(self, rows, num_shards, gather):
+        seen.append(arranged(self, rows, num_shards, gather))
+        return seen[-1]
+
+    monkeypatch.setattr(type(table), "_arranged", noted)
+    return seen
+
+
+def exchanged(df):
+    """Rows that went through exchanges, broadcasts aside."""
+    found = [n for n in plans.nodes(df) if n.getClass().getSimpleName() == "ShuffleExchangeExec"]
+    return sum(n.metrics().get("shuffleRecordsWritten").get().value() for n in found)
+
+
+@pytest.mark.parametrize("null_deletes", [False, True])
+def test_a_large_update_moves_what_comes_in_and_what_it_meets(store, spark, monkeypatch, null_deletes):
+    from pigeonhole.sources import store as store_module
+
+    old = spark.range(20_000).selectExpr("concat('k', id) as k", "string(id) as a", "'x' as b")
+    new = spark.range(19_800, 20_100).selectExpr(
+        "concat('k', id) as k", "if(id % 2 = 0, 'new', null) as a", "string(id) as c"
+    )
+    table = store.write("t", old, Scheme(["k", "a", "b"], "k"), 4)
+    monkeypatch.setattr(store_module, "FEW_BYTES", 0)
+    seen = written_plans(monkeypatch, table)
+    # Rows are arranged while the staged ones are there, so they are counted in the write.
+    publish = type(table)._publish_shards
+    moved = []
+
+    def counted(self, before, rows, *args, **more):
+        df = rows.select("*")
+        df.collect()
+        moved.append(exchanged(df))
+        return publish(self, before, rows, *args, **more)
+
+    monkeypatch.setattr(type(table), "_publish_shards", counted)
+    table.update(new, Scheme(["k", "a", "c"], "k"), null_deletes=null_deletes)
+    assert seen and 500 <= moved[-1] < 2000
+    got = {r["k"]: (r["a"], r["b"], r["c"]) for r in table.read().collect()}
+    for i in range(20_100):
+        put = "new" if i % 2 == 0 else None
+        if i < 19_800:
+            want = (str(i), "x", None)
+        elif i < 20_000:
+            want = (put if put or null_deletes else str(i), "x", str(i))
+        else:
+            want = (put, None, str(i))
+        assert got[f"k{i}"] == want
+    assert len(got) == 20_100
+
+
+def test_few_changes_move_no_present_row(store, spark, monkeypatch):
+    old = spark.range(20_000).selectExpr("concat('k', id) as k", "string(id) as a")
+    table = store.write("t", old, Scheme(["k", "a"], "k"), 4)
+    publish = type(table)._publish_shards
+    moved = []
+
+    def counted(self, before, rows, touched, *args, gather=True, **more):
+        df = self._arranged(rows, before.num_shards, gather)
+        df.collect()
+        moved.append(exchanged(df))
+        return publish(self, before, rows, touched, *args, gather=gather, **more)
+
+    monkeypatch.setattr(type(table), "_publish_shards", counted)
+    store.write("t", spark.createDataFrame([("k5", "y"), ("new", "z")], "k string, a string"), Scheme(["k", "a"], "k"), 4)
+    table.delete_items(spark.createDataFrame([("k6",), ("k7",)], "k string"))
+    assert len(moved) == 2 and max(moved) < 100
+    assert table.read().count() == 19_999
+    assert table.lookup("k5").first()["a"] == "y"
+
+
+def test_met_rows_are_never_missed(spark):
+    from pigeonhole.operators import upsert
+    from pigeonhole.scheme import route
+
+    rows = route(spark.range(3000).selectExpr("concat('k', id) as k"), "k", 4)
+    some = rows.where("k like '%7'")
+    found = upsert.met(rows, some, bits=1 << 10)
+    keys = {r["k"] for r in found.where("met").collect()}
+    assert {r["k"] for r in some.collect()} <= keys
+    assert upsert.met(rows, some).where("met").count() == some.count()
+    assert found.count() == 3000
+    assert upsert.met(rows, rows.where("false")).where("met").count() == 0
+
+
 # -- M6 --------------------------------------------------------------------------------
 
 
@@ -223,3 +316,43 @@ def test_slices_of_a_resharded_table(store, made):
     table.reshard(7)
     parts = [table.rows().where(maintenance.slice_filter(s, i, 7, 2)).count() for s in range(7) for i in range(2)]
     assert sum(parts) == 2000
+
+
+# -- M4 --------------------------------------------------------------------------------
+
+
+def test_many_tables_are_listed_by_tasks(store, spark, tmp_path, monkeypatch):
+    """Manifests are read by Spark; the driver lists the root only."""
+    import json
+    import os
+
+    from pigeonhole.sources import files
+
+    for i in range(300):
+        folder = os.path.join(store.root, f"t{i}", "manifests")
+        os.makedirs(folder)
+        for number in (1, 2):
+            state = {"num_shards": number + i % 3, "versions": {}}
+            with open(f"{folder}/{number:012d}.json", "w") as f:
+                json.dump(state, f)
+    os.makedirs(os.path.join(store.root, "no-table", "data"))
+    calls = []
+    for name in ("names", "read_text"):
+        call = getattr(files, name)
+        monkeypatch.setattr(files, name, lambda *a, call=call: calls.append(a) or call(*a))
+    assert len(store.tables()) == 300
+    names = {r["name"] for r in store.shards().collect()}
+    assert len(calls) == 3  # of the root, for each index that is made
+    assert len(names) == sum(2 + i % 3 for i in range(300))
+    assert "t5-4-of-4" in names and "t5-5-of-5" not in names
+
+
+def test_lost_shards_are_not_listed(store, made):
+    import shutil
+
+    table = store.write("t", made(["k", "a"], 200), Scheme(["k", "a"], "k"), 4)
+    store.create("u", Scheme(["k", "a"], "k"), 2)
+    assert store.shards().count() == 6
+    version = table.manifest().versions["2"]
+    shutil.rmtree(f"{table.path}/data/v={version}/shard=2")
+    assert sorted(r["name"] for r in store.shards().collect()) == ["t-1-of-4", "t-2-of-4", "t-4-of-4", "u-1-of-2", "u-2-of-2"]

@@ -417,7 +417,7 @@ def test_a_reshard_does_not_lose_a_write(store, made, spark, monkeypatch):
 
 def test_a_manifest_appears_whole(store, made, spark):
     table = store.write("t", made(["key", "value"], 3), KV, 2)
-    folder = f"{table.path}/_manifests"
+    folder = f"{table.path}/manifests"
     open(f"{folder}/.half-written", "w").close()
     assert table.read().count() == 3
     with pytest.raises(files.AlreadyThere):
