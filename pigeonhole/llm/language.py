@@ -29,6 +29,8 @@ from pigeonhole.llm.text import LOWER, flat, pieces
 CELLS = 4096
 #: Training documents whose vectors are clustered: a language's and all languages' at most.
 LANGUAGE_ROWS, SAMPLE_ROWS = 1_000, 6_000
+#: Shares of a language's rows that are picked from apart.
+SHARES = 64
 CENTROIDS, SWEEPS = 4, 10
 PIECE_ROWS = 1_500
 UNKNOWN = "und"
@@ -113,6 +115,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, usable: Column, furthest: float = 1.0) -> Model:
     """Learn from the text and lang of the documents for which ``usable`` (over doc_id) holds.
 
+    Rows that share an id are samples of their own, each with its text and language; equal rows
+    are one. Clusters are made of up to ``LANGUAGE_ROWS`` rows a language, ``SAMPLE_ROWS`` in all,
+    those with the least hash of their id.
+
     ``furthest`` is the largest cosine distance at which a language is still accepted.
     """
     ship(docs.sparkSession)
@@ -122,10 +128,18 @@ def fit(docs: DataFrame, usable: Column, furthest: float = 1.0) -> Model:
     for r in rows:  # one row a cell, and the number of documents
         n[r["cell"]] = r["n"]
     idf = np.log((1 + n[-1]) / (1 + n[:-1])) + 1e-3
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= LANGUAGE_ROWS)
-    picked = picked.orderBy("place", "lang", "doc_id").limit(SAMPLE_ROWS).select("doc_id", F.col("lang").alias("y"))
-    sample = known.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    own = known.select(F.col("doc_id"), F.col("text"), F.col("lang").alias("y")).withColumn("_content", F.xxhash64("text"))
+    key = ["doc_id", "_content", "y"]
+    # A language is picked from by share first, so that only SHARES times its rows meet in one task.
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("_content")]
+    shares = own.select(*key, F.pmod(F.xxhash64("doc_id", "_content"), F.lit(SHARES)).alias("share"))
+    shares = shares.withColumn("place", F.dense_rank().over(Window.partitionBy("y", "share").orderBy(*order)))
+    shares = shares.where(F.col("place") <= LANGUAGE_ROWS).groupBy("y", "share", "doc_id", "_content").agg(F.count("*"))
+    place = F.row_number().over(Window.partitionBy("y").orderBy(*order))
+    picked = shares.withColumn("place", place).where(F.col("place") <= LANGUAGE_ROWS)
+    picked = picked.orderBy("place", "y", "doc_id", "_content").limit(SAMPLE_ROWS).select(*key)
+    # Every picked row keeps its own text and language; rows that repeat are one.
+    sample = own.join(F.broadcast(picked), key).groupBy(*key).agg(F.min("text").alias("text")).drop("_content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, rows=PIECE_ROWS):
@@ -133,7 +147,7 @@ def fit(docs: DataFrame, usable: Column, furthest: float = 1.0) -> Model:
             raw = pa.array([r.tobytes() for r in v], pa.binary())
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("y"), raw], ["doc_id", "y", "v"])
 
-    found = sample.mapInArrow(run, "doc_id bigint, y string, v binary").orderBy("y", "doc_id").collect()
+    found = sample.mapInArrow(run, "doc_id bigint, y string, v binary").orderBy("y", "doc_id", "v").collect()
     names = sorted({r["y"] for r in found})
     centres, of = [], []
     for k, name in enumerate(names):

@@ -34,7 +34,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> gam.Model:
     """Learn from the labelled documents for which ``usable`` (over doc_id) holds."""
     sample = labelled(docs, labels, "quality", usable, rows)
-    found = sample.mapInArrow(_rows, "doc_id bigint, x array<double>, y int").orderBy("doc_id", "y").collect()
+    found = sample.mapInArrow(_rows, "doc_id bigint, x array<double>, y int").orderBy("doc_id", "y", "x").collect()
     x = np.array([r["x"] for r in found]).reshape(-1, len(NAMES))
     return gam.fit(x, np.array([r["y"] for r in found], float))
 

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import gam, language, quality, queries, toxicity, trees
+from pigeonhole.llm import gam, language, quality, queries, samples, toxicity, trees
 from pigeonhole.llm.tables import given, remainder
 
 SF = "/root/testdata/sf0.01"
@@ -88,3 +88,52 @@ def test_trees_and_calibration():
     xs, ys = trees.isotonic(raw, y[2000:])
     assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all()
     assert trees.isotonic(np.zeros(0), np.zeros(0))[1][0] == 0.5
+
+
+# -- repeated ids ----------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """1,500 documents, a third of which have one id, and labels, 500 of which are of that id."""
+    docs = given(spark, SF, "documents").where("doc_id < 1000").toPandas()
+    docs = pd.concat([docs, docs.iloc[:500].assign(doc_id=7, text=docs.text[:500] + " again"), docs.iloc[:10].assign(doc_id=7, text="same")])
+    labels = given(spark, SF, "labels").toPandas()
+    labels = pd.concat([labels, pd.DataFrame({"doc_id": [7] * 500, "quality": [0, 1] * 250, "toxic": [1, 0] * 250})])
+    return spark.createDataFrame(docs), spark.createDataFrame(labels)
+
+
+def test_the_labelled_sample_is_bounded_by_rows(crowded):
+    docs, labels = crowded
+    rows = samples.labelled(docs, labels, "quality", F.lit(True)).collect()
+    own = [(r["text"], r["y"]) for r in rows if r["doc_id"] == 7]
+    texts = {r["text"] for r in docs.where("doc_id = 7").select("text").collect()}
+    assert len(own) == len(texts) and {t for t, _ in own} == texts and {y for _, y in own} == {0}
+    assert len({(r["doc_id"], r["text"]) for r in rows}) == len(rows)
+    for bound in (1, 50):
+        assert samples.labelled(docs, labels, "quality", F.lit(True), bound).count() <= bound
+
+
+@pytest.mark.parametrize(("kind", "label"), [(quality, "quality"), (toxicity, "toxic")])
+def test_classifiers_learn_from_repeated_ids(crowded, monkeypatch, kind, label):
+    docs, labels = crowded
+    seen = []
+    module = gam if kind is quality else trees
+    learn = module.fit
+    monkeypatch.setattr(module, "fit", lambda x, y, *more: seen.append(len(y)) or learn(x, y, *more))
+    model = kind.fit(docs, labels, F.lit(True), 300)
+    assert seen and max(seen) <= 300
+    assert kind.score(docs, model).count() == docs.count()
+
+
+def test_languages_keep_the_texts_of_their_rows(spark, crowded):
+    docs, _ = crowded
+    model = language.fit(docs, F.lit(True))
+    whole = given(spark, SF, "documents")
+    found = language.predict(whole, model).join(whole.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang_pred = lang").count() / found.count() > 0.97
+    # One id for all rows, in two languages: 400 rows and no more are looked at.
+    one = spark.createDataFrame([(1, f"the cat and dog {i}" if i % 2 else f"der hund und katze {i}", "en" if i % 2 else "de") for i in range(400)], "doc_id bigint, text string, lang string")
+    model = language.fit(one, F.lit(True))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(spark.createDataFrame([(1, "the dog and cat"), (2, "die katze und hund")], "doc_id bigint, text string"), model).collect()}
+    assert got == {1: "en", 2: "de"}
