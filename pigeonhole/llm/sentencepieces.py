@@ -30,6 +30,13 @@ from pigeonhole.llm.text import flat, mix, pieces
 
 MARK = 0x2581
 _NONE = np.int32(2**31 - 1)
+#: After so many rounds, what is left of long words is cut where no entry can go across any more.
+ROUNDS = 16
+#: An odd base of hashes, and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Pairs of characters below this are looked up in a square table.
+_LOW = 0x250
 #: Larger pieces of a batch repeat more units; the arrays take some forty times this.
 ENCODE_BYTES = 4 << 20
 
@@ -87,6 +94,13 @@ class Model:
         self.ranks = np.array([*(pairs[k][0] for k in self.keys.tolist()), _NONE], np.int32)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], np.int32)
         self.unsafe = unsafe
+        self._list_stretches(names, plain)
+        # Characters that stand side by side in some entry; no merge goes across any others.
+        beside = {ord(a) << 21 | ord(b) for i in plain for a, b in zip(names[i], names[i][1:], strict=False)}
+        self.beside = np.array(sorted(beside), np.int64)
+        self.beside_low = np.zeros((_LOW, _LOW), bool)
+        low = self.beside[(self.beside >> 21 < _LOW) & ((self.beside & 0x1FFFFF) < _LOW)]
+        self.beside_low[low >> 21, low & 0x1FFFFF] = True
         #: A table from a key's slot to the first sorted key with that slot, so that most lookups take one step.
         self.bits = 21
         slot = (mix(self.keys.astype(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -110,6 +124,46 @@ class Model:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(values), np.uint8)
 
+    def apart(self, cps: np.ndarray) -> np.ndarray:
+        """Whether no vocabulary entry holds a character and the one before it side by side."""
+        out = np.zeros(len(cps), bool)
+        if len(cps) > 1:
+            a, b = cps[:-1], cps[1:]
+            low = (a < _LOW) & (b < _LOW)
+            out[1:] = ~self.beside_low[np.where(low, a, 0), np.where(low, b, 0)]
+            high = np.flatnonzero(~low)
+            key = a[high].astype(np.int64) << 21 | b[high]
+            at = np.minimum(np.searchsorted(self.beside, key), len(self.beside) - 1)
+            out[high + 1] = self.beside[at] != key
+        return out
+
+    def _list_stretches(self, names: list[str], plain: list[int]) -> None:
+        """Hashes of all stretches of characters that some entry holds, and of each entry."""
+        entries = [names[i] for i in plain]
+        cps = np.array([ord(c) for e in entries for c in e], np.uint64)
+        lengths = np.array([len(e) for e in entries])
+        begin = np.cumsum(lengths) - lengths
+        self.powers = np.cumprod(np.full(int(lengths.max()) + 1, _BASE, np.uint64)) * np.uint64(_INVERSE)
+        value, left = np.zeros(len(cps), np.uint64), np.repeat(begin + lengths, lengths) - np.arange(len(cps))
+        self.hash_of, self.chars = np.zeros(self.size + 1, np.uint64), np.zeros(self.size + 1, np.int64)
+        held = []
+        for n in range(1, int(lengths.max()) + 1):
+            at = np.flatnonzero(left >= n)
+            value[at] += mix(cps[at + n - 1]) * self.powers[n - 1]
+            held.append(np.unique(value[at]))
+            whole = np.flatnonzero(lengths == n)
+            self.hash_of[np.array(plain)[whole]] = value[begin[whole]]
+        self.chars[plain] = lengths
+        self.stretches = np.unique(np.concatenate(held))
+
+    def parted(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether no entry holds the characters of two symbols on end, so that none goes across."""
+        known = (a < self.size) & (b < self.size)
+        n = np.minimum(self.chars[a], len(self.powers) - 1)
+        both = self.hash_of[a] + self.powers[n] * self.hash_of[b]
+        at = np.minimum(np.searchsorted(self.stretches, both), len(self.stretches) - 1)
+        return ~known | (self.stretches[at] != both)
+
     def pair_index(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Index of each pair in ``ranks`` and ``merged``, -1 where there is none."""
         key = a.astype(np.int64) * self.size + b
@@ -140,6 +194,34 @@ class Model:
                 done[-2:] = [done[-2] + done[-1]]
         return tuple(done)
 
+    def _at_once(self, sym, last, index, rank, chosen: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Which of the choices merge together: all of a unit up to the first one whose merge
+        makes a pair that comes before the next choice.
+
+        Such a pair has no larger rank. Only ranks that some entry goes on from like that are
+        looked at, each with the symbols that will be beside it then.
+        """
+        open_ = np.flatnonzero(self.unsafe[rank[chosen]])
+        if not len(open_):
+            return np.ones(len(chosen), bool)
+        at = chosen[open_]
+        own, limit = self.merged[index[at]], rank[at]
+        after = np.minimum(at + 2, len(sym) - 1)
+        ends = last[at + 1] | (at + 2 >= len(sym))
+        soon = ~ends & (self.ranks[self.pair_index(own, sym[after])] <= limit)
+        before = np.maximum(at - 1, 0)
+        beside = sym[before]
+        # The symbol before is one just merged, if the choice before ends there.
+        follows = np.flatnonzero((open_ > 0) & (chosen[np.maximum(open_ - 1, 0)] == at - 2))
+        beside[follows] = self.merged[index[chosen[open_[follows] - 1]]]
+        starts = (at == 0) | last[before]
+        soon |= ~starts & (self.ranks[self.pair_index(beside, own)] <= limit)
+        waits = np.zeros(len(chosen), np.int64)
+        waits[open_] = soon
+        earlier = np.cumsum(waits) - waits
+        first = np.concatenate([[True], of[1:] != of[:-1]])
+        return earlier == earlier[np.maximum.accumulate(np.where(first, np.arange(len(of)), 0))]
+
     def encode_units(self, cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units on end, and how many each unit has."""
         total = len(cps)
@@ -154,7 +236,13 @@ class Model:
             index[:-1] = self.pair_index(sym[:-1], sym[1:])
         index[last] = -1
         rank = self.ranks[index]  # the entry at -1 stands for no pair
+        rounds = 0
         while len(sym):
+            rounds += 1
+            if rounds % ROUNDS == 0:
+                cut = np.flatnonzero(~last[:-1])
+                cut = cut[self.parted(sym[cut], sym[cut + 1])]
+                last[cut], index[cut], rank[cut] = True, -1, _NONE
             begins = np.flatnonzero(last[:-1]) + 1
             begins = np.concatenate([[0], begins])
             best = np.minimum.reduceat(rank, begins)
@@ -173,11 +261,12 @@ class Model:
             of = owner[chosen]
             if len(chosen) > len(best):
                 fresh = np.concatenate([[True], of[1:] != of[:-1]])
-                # Of neighbouring choices every second one from the left; of unsafe ranks the first.
+                # Of neighbouring choices every second one from the left.
                 new = fresh | np.concatenate([[True], chosen[1:] != chosen[:-1] + 1])
                 place = np.arange(len(chosen))
                 even = (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
-                chosen = chosen[np.where(self.unsafe[rank[chosen]], fresh, even)]
+                chosen, of = chosen[even], of[even]
+                chosen = chosen[self._at_once(sym, last, index, rank, chosen, of)]
             sym[chosen] = self.merged[index[chosen]]
             last[chosen] = last[chosen + 1]
             keep = np.ones(len(sym), bool)
@@ -231,6 +320,8 @@ class Model:
         new = is_mark.copy()
         new[1:] &= ~is_mark[:-1]
         new[begin[:-1][begin[:-1] < n]] = True
+        # A long word falls into stretches that merge apart from each other, many at once.
+        new |= self.apart(cps) & ~(is_mark & np.concatenate([[False], is_mark[:-1]]))
         starts = np.flatnonzero(new)
         lengths = np.diff(np.append(starts, n))
         place = np.arange(n) - np.repeat(starts, lengths)
