@@ -36,16 +36,37 @@ SWEEPS = 300
 ENCODE_BYTES = 2 << 20
 
 
+def _check(spec: dict) -> None:
+    """Raises unless the faster library would give the ids that the file asks for."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = {"dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"}
+    if model.get("type") != "BPE" or any(model.get(k) for k in plain):
+        raise ValueError("only plain byte-pair merges")
+    if spec.get("normalizer") is not None:
+        raise ValueError("only files without a normaliser")
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True):
+        raise ValueError("only the standard byte-level splitting without an added blank")
+    if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens must stand for exactly their text")
+    ids = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+    if any(a >= b for a, b in zip(ids, ids[1:], strict=False)):
+        raise ValueError("merges must come in the order of their ids")
+
+
 def byte_encoder(path: str):
     """A function from texts to id lists, equal to the tokenizer file's without added ids.
 
-    Reads vocabulary, ranks and split pattern for the faster of two public libraries that
-    implement the same byte-level merges; special tokens in a text become their ids in both.
+    Reads vocabulary and ranks for the faster of two public libraries that implement the same
+    byte-level merges; special tokens in a text become their ids in both. What the file says of
+    normalising, splitting and the order of merges is checked; a file that wants anything else
+    than the standard byte-level splitting, or merges in another order than that of the ids, is
+    an error.
     """
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    _check(spec)
     points = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(points)]
     byte_of = {chr(b): b for b in points} | {chr(256 + i): b for i, b in enumerate(rest)}

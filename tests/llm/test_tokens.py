@@ -1,8 +1,12 @@
 """Operators 2 and 10 against the public libraries."""
 
+import base64
 import collections
 import hashlib
+import json
 import random
+import string
+import time
 import zlib
 
 import numpy as np
@@ -119,3 +123,54 @@ def test_a_plan_uses_every_piece_once():
             for n in lengths:
                 used[n] += times
         assert (used == histogram).all()
+
+
+def long_words():
+    draw = random.Random(7)
+    yield base64.b64encode(draw.randbytes(750_000)).decode()
+    yield "".join(draw.choices(string.ascii_lowercase, k=300_000))
+    yield "".join(draw.choices(["the", "ing", "tion", "er", "and", "of", "in", "com", "est"], k=60_000))
+    yield from ("the" * 100_000, "a" * 200_000, "es" * 100_000, "=-" * 50_000, "日本語" * 30_000)
+
+
+def test_long_words_take_few_rounds():
+    """A million characters without a blank, in seconds and as the library has them."""
+    import sentencepiece
+
+    m, library = sentencepieces.model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in long_words():
+        begin = time.perf_counter()
+        ids, _ = m.encode(*flat(pa.array([text])))
+        assert time.perf_counter() - begin < 20
+        assert ids.tolist() == library.encode(text)
+
+
+def test_words_of_few_letters_merge_as_in_the_library():
+    import sentencepiece
+
+    m, library = sentencepieces.model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    draw = random.Random(8)
+    texts = []
+    for _ in range(1500):
+        letters = draw.choice(["ab", "the", "esti", "thei ", "aeiounst", "=-_*", " ta", "日本a語 "])
+        part = "".join(draw.choices(letters, k=draw.randrange(1, 40)))
+        texts.append(part * draw.choice([1, 1, 2, 9]))
+    ids, at = m.encode(*flat(pa.array(texts)))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == library.encode(text), text
+
+
+def test_tokenizer_files_of_another_kind_are_refused(tmp_path):
+    with open(BYTES, encoding="utf-8") as f:
+        spec = json.load(f)
+    packing._check(spec)
+    changes = {
+        "normalizer": {"type": "NFC"},
+        "pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True},
+        "model": spec["model"] | {"merges": spec["model"]["merges"][::-1]},
+    }
+    for name, value in changes.items():
+        path = tmp_path / "file.json"
+        path.write_text(json.dumps(spec | {name: value}))
+        with pytest.raises(ValueError):
+            packing.byte_encoder(str(path))
