@@ -14,8 +14,9 @@ use a scale from a bounded statistic (mean and deviation of each component over
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part;
 vectors are compared with those of their own length only; an id that repeats is a candidate
-once for each query, with its least distance, and never for a query of the same id; empty
-tables give no rows; other columns are ignored.
+once for each query, with its least distance, and never for a query of the same id; every query
+row has its own ranks, so an id with several query rows has so many lists, equal ones for equal
+vectors; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -84,15 +85,16 @@ def thinned(cuts: np.ndarray, rows: int) -> np.ndarray:
 
 def _pair(k: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
-        found: list[list[np.ndarray]] = [[], [], []]
+        names = ["query_row", "query_id", "vec_id", "score"]
+        found: list[list[np.ndarray]] = [[], [], [], []]
         if rows.num_rows and queries.num_rows:
             q, r, qi, ri = matrix(queries), matrix(rows), ids(queries), ids(rows)
+            own_row = queries.column("row").combine_chunks().to_numpy()
             order = np.argsort(ri, kind="stable")
             r, ri = r[order], ri[order]
             square = (r**2).sum(1)
             for start in range(0, len(q), 256):
-                part, own = q[start : start + 256], qi[start : start + 256]
+                part, own, number = (x[start : start + 256] for x in (q, qi, own_row))
                 rough = (part**2).sum(1)[:, None] + square[None, :] - 2 * part @ r.T
                 rough[own[:, None] == ri[None, :]] = np.inf
                 # All whose rough distance may be among the best are measured exactly.
@@ -101,9 +103,9 @@ def _pair(k: int):
                 a, b = np.nonzero(np.isfinite(rough) & (rough <= (edge + slack)[:, None]))
                 exact = np.sqrt(((part[a] - r[b]) ** 2).sum(1))
                 kept = keep_best(a, exact, ri[b], k)
-                for to, x in zip(found, (own[a[kept]], ri[b[kept]], exact[kept]), strict=True):
+                for to, x in zip(found, (number[a[kept]], own[a[kept]], ri[b[kept]], exact[kept]), strict=True):
                     to.append(x)
-        kinds = (np.int64, np.int64, float)
+        kinds = (np.int64, np.int64, np.int64, float)
         return pa.Table.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in zip(found, kinds, strict=True)], names)
 
     return run
@@ -130,7 +132,9 @@ def nearest(vectors: DataFrame, k: int = 10, queries: Column | None = None, bloc
                 columns = [own.column(c).combine_chunks() for c in ("vec_id", "dim", "v")]
                 yield pa.RecordBatch.from_arrays([*columns, lists], ["vec_id", "dim", "v", "keys"])
 
-    keyed = written(all_rows.select("vec_id", "dim", "v").mapInArrow(keys, "vec_id bigint, dim int, v array<double>, keys array<bigint>"), "curve-keys")
+    keyed = all_rows.select("vec_id", "dim", "v").mapInArrow(keys, "vec_id bigint, dim int, v array<double>, keys array<bigint>")
+    # Numbers of rows hold only once they are written.
+    keyed = written(keyed.withColumn("row", F.monotonically_increasing_id()), "curve-keys")
     along = keyed.select("dim", F.posexplode("keys").alias("curve", "key")).groupBy("dim", "curve")
     quantiles = F.percentile_approx("key", [i / RANGES for i in range(1, RANGES)], 10_000)
     cuts = along.agg(quantiles.alias("cuts"), F.count("*").alias("n")).collect()  # RANGES - 1 numbers a curve
@@ -146,21 +150,22 @@ def nearest(vectors: DataFrame, k: int = 10, queries: Column | None = None, bloc
                 for c in range(CURVES):
                     out[own, c] = np.searchsorted(cut[dim, c], key[own, c])
             made = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), CURVES).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("dim"), b.column("v"), made], ["vec_id", "dim", "v", "ranges"])
+            own = [b.column(c) for c in ("row", "vec_id", "dim", "v")]
+            yield pa.RecordBatch.from_arrays([*own, made], ["row", "vec_id", "dim", "v", "ranges"])
 
-    ranged = keyed.mapInArrow(ranges, "vec_id bigint, dim int, v array<double>, ranges array<int>")
-    rows = ranged.select("vec_id", "dim", "v", F.posexplode("ranges").alias("curve", "range"))
+    ranged = keyed.mapInArrow(ranges, "row bigint, vec_id bigint, dim int, v array<double>, ranges array<int>")
+    rows = ranged.select("row", "vec_id", "dim", "v", F.posexplode("ranges").alias("curve", "range"))
     sizes = rows.groupBy("dim", "curve", "range").agg(F.count("*").alias("n"), F.sum(asked.cast("int")).alias("m"))
     sizes = sizes.select("dim", "curve", "range", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
     sizes = F.broadcast(sizes)  # one row a range of a curve
-    salt = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
+    salt = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
     c = rows.join(sizes, ["dim", "curve", "range"]).withColumn("block", salt)
     near = F.sequence(F.greatest(F.col("range") - REACH, F.lit(0)), F.col("range") + REACH)
     q = rows.where(asked).withColumn("range", F.explode(near)).join(sizes, ["dim", "curve", "range"])
     q = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     by = ["dim", "curve", "range", "block"]
     kept = ["vec_id", "v", *by]
-    q = q.select([F.col(x).alias(x) for x in kept])  # columns of its own, as both sides come from one table
-    found = c.select(kept).groupBy(by).cogroup(q.groupBy(by)).applyInArrow(_pair(k), "query_id bigint, vec_id bigint, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    return ranked(merged, F.asc("score"), k)
+    q = q.select([F.col(x).alias(x) for x in ("row", *kept)])  # columns of its own, as both sides come from one table
+    found = c.select(kept).groupBy(by).cogroup(q.groupBy(by)).applyInArrow(_pair(k), "query_row bigint, query_id bigint, vec_id bigint, score double")
+    merged = found.groupBy("query_row", "query_id", "vec_id").agg(F.min("score").alias("score"))
+    return ranked(merged, F.asc("score"), k, "query_row")

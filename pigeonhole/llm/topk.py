@@ -11,7 +11,8 @@ are many. Both ways give the same integers.
 Defined cases: vectors that are null or hold null or non-finite components take no part;
 vectors are compared with those of their own length only; ids that repeat are candidates each
 for itself, but never for a query of the same id; empty tables give no rows; other columns
-are ignored. A score that does not fit in 64 bits is an error.
+are ignored. A score beyond 64 bits counts as the largest or least number of 64 bits, and a
+component beyond the range of doubles once scaled as the largest one; ties still go by id.
 
 Every query row has its own ranks from 1. An id with several query rows has so many results, one
 after the other under the same query_id; rows with equal vectors have equal results. Equal rows
@@ -49,11 +50,23 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if reach < 2**53:
         return np.rint(a @ b.T).astype(np.int64)
     whole = np.array([[int(x) for x in r] for r in a], object).reshape(a.shape) @ np.array([[int(x) for x in r] for r in b], object).reshape(b.shape).T
-    return whole.astype(np.int64)
+    return np.clip(whole, np.iinfo(np.int64).min, np.iinfo(np.int64).max).astype(np.int64)
+
+
+def _whole(table: pa.Table) -> np.ndarray:
+    """floor(1024 x) of all components."""
+    with np.errstate(over="ignore"):
+        v = np.floor(matrix(table) * 1024)
+    return np.clip(v, -np.finfo(float).max, np.finfo(float).max)
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """Query index, row index and score of each query's k best among the rows."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return _search(queries, query_ids, rows, row_ids, k)
+
+
+def _search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     nq = len(queries)
     best_q, best_r, best_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     limit = np.full(nq, -np.inf)
@@ -72,9 +85,10 @@ def search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids
                 q, r = np.nonzero(live)
                 own = statistics(run, n)
                 bound = (coarse[level][q] * own[r]).sum(1)
-                live[q, r] = bound + slack[q, r] >= limit[q]
+                live[q, r] = ~(bound + slack[q, r] < limit[q])
             else:
-                live &= coarse[level] @ statistics(run, n).T + slack >= limit[:, None]
+                # A bound that is no number, of components beyond all measure, drops nothing.
+                live &= ~(coarse[level] @ statistics(run, n).T + slack < limit[:, None])
         live &= query_ids[:, None] != row_ids[None, start : start + step]
         if small and live.mean() < FEW:
             q, r = np.nonzero(live)
@@ -104,7 +118,7 @@ def _pair(k: int):
         if rows.num_rows == 0 or queries.num_rows == 0:
             empty = pa.array([], pa.int64())
             return pa.Table.from_arrays([empty] * 5, names)
-        q, r = np.floor(matrix(queries) * 1024), np.floor(matrix(rows) * 1024)
+        q, r = _whole(queries), _whole(rows)
         qi, ri = ids(queries), ids(rows)
         a, b, s = search(q, qi, r, ri, k)
         of_query = [queries.column(c).combine_chunks().take(pa.array(a)) for c in ("row", "times")]

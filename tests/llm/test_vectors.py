@@ -124,3 +124,23 @@ def test_bounds_hold():
     a, b, s = topk.search(q, qi, x, xi, 10)
     for k in range(20):
         assert xi[b[a == k]].tolist() == best(xi, -exact[k], -1)
+
+
+def test_every_query_row_has_its_own_neighbours(vectors_of):
+    """Two rows of id 100 lie far from each other; each finds what is around it."""
+    rows = [(100, [0.5]), (100, [100.0]), (100, [100.0])] + [(i, [float(i)]) for i in range(1, 10)] + [(i, [90.0 + i]) for i in range(11, 20)]
+    found = nearest.nearest(vectors_of(rows), k=3).collect()
+    lists = {}
+    for r in sorted(found, key=lambda r: (r["rank"], r["score"], r["vec_id"])):
+        lists.setdefault((r["query_id"], r["rank"]), []).append((r["vec_id"], r["score"]))
+    assert lists[100, 1] == [(1, 0.5), (11, 1.0), (11, 1.0)]
+    assert lists[100, 2] == [(2, 1.5), (12, 2.0), (12, 2.0)]
+    assert len(found) == 9
+
+
+def test_scores_beyond_64_bits_are_the_largest_ones(vectors_of):
+    big = 3.0e38
+    rows = [(0, [big, 1.0]), (1, [big, 0.0]), (2, [big, 5.0]), (3, [-big, 0.0]), (4, [0.0, 1.0])]
+    found = [(r["vec_id"], r["score"]) for r in topk.top_k(vectors_of(rows)).orderBy("rank").collect()]
+    top = np.iinfo(np.int64)
+    assert found == [(1, top.max), (2, top.max), (4, 1024 * 1024), (3, top.min)]
