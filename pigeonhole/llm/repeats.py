@@ -186,7 +186,8 @@ class Repeats:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "text"])
 
         judged = distinct.map(judge, "doc_id bigint, sha binary, n bigint, text string")
-        #: All first documents of their content; text only where windows may repeat.
+        #: All first documents of their content; text only where windows may repeat. Rows are told
+        #: apart by ``row`` and ``doc_id`` together.
         self.judged = written(judged.withColumn("row", F.xxhash64("doc_id", "sha")), "judged")
         self.touched = self.judged.where("text is not null").select("row", "doc_id", "text")
 
@@ -224,8 +225,8 @@ class Repeats:
         known = written(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
         matched = found.join(known, ["d1", "d2"]).where("doc_id > first_id or contents is not null")
         matched = written(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
-        #: Whole runs of later documents: row, starts, count.
-        self.later = matched.where("doc_id > first_id").select("row", "starts", "count")
+        #: Whole runs of later documents: row, doc_id, starts, count.
+        self.later = matched.where("doc_id > first_id").select("row", "doc_id", "starts", "count")
         #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, starts, count, contents.
         self.open = matched.where("doc_id = first_id and contents is not null").drop("first_id")
 
@@ -256,11 +257,11 @@ class Repeats:
         """doc_id, sha, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
 
         ``sha`` is the SHA-256 of a text's normal form; what a document keeps depends on its id and that.
-        ``removed`` has row, starts and count of the runs of windows that repeat. ``cut`` maps batches
+        ``removed`` has row, doc_id, starts and count of the runs of windows that repeat. ``cut`` maps batches
         of doc_id, sha, n, text and spans to the result columns and sha.
         ``kept`` is null where nothing was removed.
         """
-        spans = removed.groupBy("row").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
+        spans = removed.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
         spans = written(spans, "removed-spans")
 
         rest = self.filtered(spans)
@@ -268,7 +269,7 @@ class Repeats:
 
         def results(judged: DataFrame) -> DataFrame:
             full = judged.where("text is not null").select("doc_id", "sha", "n", "text", "row")
-            open_ = rest(full, True).join(spans, "row", "left")
+            open_ = rest(full, True).join(spans, ["row", "doc_id"], "left")
             done = open_.select("doc_id", "sha", "n", "text", "spans").mapInArrow(cut, schema)
             narrow = judged.select("doc_id", "sha", "n", "row", F.col("text").isNull().alias("shut"))
             same = narrow.where("not shut").drop("shut")

@@ -1,7 +1,7 @@
 """Count-min sketches of hashes: built a partition at a time, merged by cell range, broadcast as bits.
 
 A task counts its hashes in sorted, delta-coded cell lists and ships them by slice of the cell
-range; one pass over a slice adds them with saturation. What comes back is, for each row of
+range; one pass over a slice adds them with saturation, in as many tasks as the input asks for. What comes back is, for each row of
 the sketch and each threshold, one bit a cell: at least that many. Its size is fixed by ``bits``
 and ``rows`` and not by the data, so it may be broadcast. With more distinct hashes than cells
 it tells less apart; an estimate is never below the true count, so nothing is ever lost.
@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 
 from pigeonhole.llm.text import give_back, mix
 
-SLICES = 64
+#: Slices of the cell range at most, so many for each row of the sketch.
+SLICES = 1024
 #: For thresholds after the first, cells are taken together in this power of two: fewer bits, still never too low.
 FOLD = 3
-#: Tasks that merge; each holds its share of the cells.
-MERGERS = 32
+#: Cells of a slice at least.
+LEAST_CELLS = 64
+#: Tasks that merge, each a share of the cells: so many for each task that counts, and at least this number.
+MERGERS_A_TASK, LEAST_MERGERS = 2, 32
 FLUSH = 1_000_000
 
 
@@ -65,6 +68,11 @@ def _unpack(low: bytes, high: bytes) -> np.ndarray:
     return np.cumsum(step)
 
 
+def mergers(tasks: int, slots: int) -> int:
+    """How many tasks merge what so many tasks have counted."""
+    return min(slots, max(LEAST_MERGERS, MERGERS_A_TASK * tasks))
+
+
 Hashes = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
 
@@ -75,7 +83,8 @@ def build(df: DataFrame, hashes_of: Hashes, bits: int, rows: int, thresholds: tu
 
 def merged(sources: list[tuple[DataFrame, Hashes]], bits: int, rows: int, thresholds: tuple[int, ...] = (2,)) -> Sketch:
     """The sketch of the hashes of several tables, each with its own way to get them."""
-    size = (1 << bits) // SLICES
+    slices = max(1, min(SLICES, (1 << bits) // LEAST_CELLS))
+    size = (1 << bits) // slices
 
     def counter(hashes_of: Hashes):
         return lambda batches: count(hashes_of(batches))
@@ -88,11 +97,10 @@ def merged(sources: list[tuple[DataFrame, Hashes]], bits: int, rows: int, thresh
                 new = np.flatnonzero(np.diff(cell, prepend=-1))
                 n = np.minimum(np.diff(np.append(new, len(cell))), 255).astype(np.uint8)
                 cell = cell[new]
-                ends = np.searchsorted(cell, np.arange(SLICES + 1) * size)
-                for k in range(SLICES):
+                ends = np.searchsorted(cell, np.arange(slices + 1) * size)
+                for k in np.flatnonzero(np.diff(ends)).tolist():
                     own = slice(ends[k], ends[k + 1])
-                    if ends[k] < ends[k + 1]:
-                        out.append((row * SLICES + k, *_pack(cell[own] - k * size), zlib.compress(n[own].tobytes(), 1)))
+                    out.append((row * slices + k, *_pack(cell[own] - k * size), zlib.compress(n[own].tobytes(), 1)))
             names, kinds = ["slot", "low", "high", "n"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             columns = zip(*out, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -124,13 +132,14 @@ def merged(sources: list[tuple[DataFrame, Hashes]], bits: int, rows: int, thresh
         give_back()
 
     parts = [df.mapInArrow(counter(h), "slot int, low binary, high binary, n binary") for df, h in sources]
-    sums = reduce(DataFrame.unionByName, parts).repartition(MERGERS, "slot").mapInArrow(merge, "slot int, level int, bits binary")
+    count_tasks = sum(df.rdd.getNumPartitions() for df, _ in sources)
+    sums = reduce(DataFrame.unionByName, parts).repartition(mergers(count_tasks, slices * rows), "slot").mapInArrow(merge, "slot int, level int, bits binary")
     maps = {}
     for row in range(rows):
         for level in range(len(thresholds)):
             maps[row, level] = np.zeros((1 << bits) // 8 >> (FOLD if level else 0), np.uint8)
     for r in sums.collect():  # a bounded number of bytes, whatever the data
-        row, k = divmod(r["slot"], SLICES)
+        row, k = divmod(r["slot"], slices)
         own = np.frombuffer(zlib.decompress(bytes(r["bits"])), np.uint8)
         maps[row, r["level"]][k * len(own) : (k + 1) * len(own)] = own
     return Sketch(bits, rows, thresholds, maps)

@@ -177,7 +177,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, binary(data[take], size)], ["row", "doc_id", "anchor", "contents", "start", "bytes"])
 
 
-REMOVED = "row bigint, start int, count int"
+REMOVED = "row bigint, doc_id bigint, start int, count int"
 
 
 def _bucket(table: pa.Table) -> pa.Table:
@@ -192,7 +192,8 @@ def _bucket(table: pa.Table) -> pa.Table:
     own = owner[new]
     rows, starts = table.column("row").combine_chunks().to_numpy()[own], table.column("start").combine_chunks().to_numpy()[own]
     start = starts + hit[new] - at[own]
-    return pa.Table.from_arrays([pa.array(rows), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["row", "start", "count"])
+    columns = [pa.array(x) for x in (rows, docs[own], start.astype(np.int32), count.astype(np.int32))]
+    return pa.Table.from_arrays(columns, ["row", "doc_id", "start", "count"])
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,18 +240,18 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, mos
     """
     r = Repeats(docs, ByteItems, bytes, PIECE_BYTES, bits, rows)
     r.prepare()
-    spans = r.open.groupBy("row").agg(F.collect_list(F.struct("starts", "count", "anchor", "contents")).alias("spans"))
+    spans = r.open.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count", "anchor", "contents")).alias("spans"))
     spans = written(spans, "open-spans")
-    texts = r.filtered(spans)(r.touched, True).join(spans, "row").select("row", "doc_id", "text", "spans")
+    texts = r.filtered(spans)(r.touched, True).join(spans, ["row", "doc_id"]).select("row", "doc_id", "text", "spans")
     schema = "row bigint, doc_id bigint, anchor bigint, contents bigint, start int, bytes binary"
     segments = written(texts.mapInArrow(_segments, schema), "segments")
     small, large = segments.where(F.col("contents") <= most_contents), segments.where(F.col("contents") > most_contents)
     total = small.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)).alias("n")).first()["n"]
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // BUCKET_BYTES)))).cast("int")
     found = small.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_bucket, REMOVED)
-    found = found.select("row", F.array("start").alias("starts"), "count")
+    found = found.select("row", "doc_id", F.array("start").alias("starts"), "count")
     windows = large.select("row", "doc_id", "start", "bytes").mapInArrow(_hashed, "row bigint, doc_id bigint, start int, w1 bigint, w2 bigint")
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
     seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
-    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", F.array("start").alias("starts"), F.lit(1).alias("count"))
+    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "doc_id", F.array("start").alias("starts"), F.lit(1).alias("count"))
     return r.finished(r.later.unionByName(found).unionByName(single), _cut, "binary")

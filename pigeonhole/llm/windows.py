@@ -115,11 +115,11 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) ->
     """
     r = Repeats(docs, WordItems, one_space, PIECE_BYTES, bits, rows)
     r.prepare()
-    spans = r.open.groupBy("row").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
+    spans = r.open.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
     spans = written(spans, "open-spans")
-    rows_ = r.filtered(spans)(r.touched, True).join(spans, "row").select("row", "doc_id", "text", "spans")
+    rows_ = r.filtered(spans)(r.touched, True).join(spans, ["row", "doc_id"]).select("row", "doc_id", "text", "spans")
     windows = written(rows_.mapInArrow(_windows, "row bigint, doc_id bigint, start int, w1 bigint, w2 bigint"), "windows")
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
     seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
-    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", F.array("start").alias("starts"), F.lit(1).alias("count"))
+    single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "doc_id", F.array("start").alias("starts"), F.lit(1).alias("count"))
     return r.finished(r.later.unionByName(single), _cut, "string")

@@ -168,3 +168,24 @@ def test_the_queries(spark, documents, sf_dir):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute.components(texts)
     rows = queries.QUERIES["op9_suffix_dedup"](spark, sf_dir).collect()
     check_bytes([{"doc_id": r["doc_id"], "n": r["n_bytes"], "n_removed": r["n_removed"], "n_spans": r["n_spans"], "kept_sha": r["kept_sha256"]} for r in rows], texts)
+
+
+def test_sketches_of_any_slices_and_merging_tasks(spark):
+    """Estimates are never below the counts; merging tasks grow with those that count."""
+    import numpy as np
+
+    from pigeonhole.llm import sketch
+
+    def numbers(batches):
+        for b in batches:
+            yield (b.column("id").to_numpy() % 700).astype(np.uint64)
+
+    df = spark.range(0, 3000, 1, 5)
+    for bits, rows in ((9, 1), (20, 2)):
+        built = sketch.build(df, numbers, bits, rows, (2, 5))
+        times = np.bincount(np.arange(3000) % 700)
+        for level, threshold in enumerate((2, 5)):
+            assert built.at_least(np.arange(700, dtype=np.uint64), level)[times >= threshold].all()
+        unseen = built.at_least(np.arange(10_000, 10_700, dtype=np.uint64))
+        assert unseen.mean() < (0.001 if bits == 20 else 1.1)
+    assert sketch.mergers(1, 2048) == 32 and sketch.mergers(300, 2048) == 600 and sketch.mergers(10**6, 2048) == 2048
