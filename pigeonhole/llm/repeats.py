@@ -95,6 +95,24 @@ class Runs:
         self.anchor, self.doc = self.anchor[kept], self.doc[kept]
         self.start, self.count = self.start[kept], self.count[kept]
 
+    def listed(self, texts: int) -> pa.ListArray:
+        """Each text's runs, with one entry for all places of a content, as in texts that repeat a line."""
+        items = self.items
+        stops = self.start + self.count + WINDOW - 1
+        d1, d2 = (spanning(items.lane(k), self.start, stops, k) for k in (0, 1))
+        order = np.lexsort((d2, d1, self.doc))
+        doc, d1, d2 = self.doc[order], d1[order], d2[order]
+        new = runs(doc, d1, d2)
+        first = order[new]
+        offsets = pa.array(np.append(new, len(order)).astype(np.int32))
+        starts = pa.array((self.start - items.of_doc[self.doc]).astype(np.int32)[order])
+        fields = [
+            pa.array(signed(self.anchor[first])), pa.array(signed(d1[new])), pa.array(signed(d2[new])),
+            pa.ListArray.from_arrays(offsets, starts), pa.array(self.count[first].astype(np.int32)),
+        ]
+        of_text = pa.array(np.searchsorted(doc[new], np.arange(texts + 1)).astype(np.int32))
+        return pa.ListArray.from_arrays(of_text, pa.StructArray.from_arrays(fields, ["anchor", "d1", "d2", "starts", "count"]))
+
     def per_document(self) -> np.ndarray:
         """Anchors, once for each text that has them."""
         order = np.lexsort((self.anchor, self.doc))
@@ -178,42 +196,21 @@ class Repeats:
             for piece in pieces(batches, limit=limit):
                 items = split(*flat(piece.column("text")))
                 r = Runs(items)
-                hit = np.zeros(piece.num_rows, bool)
-                hit[r.doc[seen.value.at_least(r.anchor)]] = True
-                hit &= piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                valid = piece.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                r.take(seen.value.at_least(r.anchor) & valid[r.doc])
+                hit = np.bincount(r.doc, minlength=piece.num_rows) > 0
                 text = piece.column("text").take(pa.array(np.arange(piece.num_rows), mask=~hit))
-                columns = [piece.column("doc_id"), piece.column("sha"), pa.array(np.diff(items.of_doc)), text]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "text"])
+                columns = [piece.column("doc_id"), piece.column("sha"), pa.array(np.diff(items.of_doc)), text, r.listed(piece.num_rows)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "n", "text", "runs"])
 
-        judged = distinct.map(judge, "doc_id bigint, sha binary, n bigint, text string")
-        #: All first documents of their content; text only where windows may repeat. Rows are told
+        listed = "runs array<struct<anchor:bigint,d1:bigint,d2:bigint,starts:array<int>,count:int>>"
+        judged = distinct.map(judge, f"doc_id bigint, sha binary, n bigint, text string, {listed}")
+        #: All first documents of their content; text and runs only where windows may repeat. Rows are told
         #: apart by ``row`` and ``doc_id`` together.
         self.judged = written(judged.withColumn("row", F.xxhash64("doc_id", "sha")), "judged")
         self.touched = self.judged.where("text is not null").select("row", "doc_id", "text")
 
-        def list_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for piece in pieces(batches, limit=limit):
-                items = split(*flat(piece.column("text")))
-                r = Runs(items)
-                r.take(seen.value.at_least(r.anchor))
-                stops = r.start + r.count + WINDOW - 1
-                d1, d2 = (spanning(items.lane(k), r.start, stops, k) for k in (0, 1))
-                # One row for all places of a content in a text, as in texts that repeat a line.
-                order = np.lexsort((d2, d1, r.doc))
-                doc, d1, d2 = r.doc[order], d1[order], d2[order]
-                new = runs(doc, d1, d2)
-                own, first = pa.array(doc[new]), order[new]
-                offsets = pa.array(np.append(new, len(order)).astype(np.int32))
-                starts = pa.array((r.start - items.of_doc[r.doc]).astype(np.int32)[order])
-                columns = [
-                    piece.column("row").take(own), piece.column("doc_id").take(own), pa.array(signed(r.anchor[first])),
-                    pa.array(signed(d1[new])), pa.array(signed(d2[new])), pa.ListArray.from_arrays(offsets, starts),
-                    pa.array(r.count[first].astype(np.int32)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "anchor", "d1", "d2", "starts", "count"])
-
-        schema = "row bigint, doc_id bigint, anchor bigint, d1 bigint, d2 bigint, starts array<int>, count int"
-        found = self.touched.mapInArrow(list_runs, schema)
+        found = self.judged.select("row", "doc_id", F.explode("runs").alias("run")).select("row", "doc_id", "run.*")
         groups = found.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
         groups = written(groups, "run-contents")
         several = groups.groupBy("anchor").agg(

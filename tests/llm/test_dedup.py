@@ -160,6 +160,40 @@ def test_index_of_random_segments():
         assert got.tolist() == want
 
 
+def test_streams_that_are_not_in_the_index():
+    """Matching statistics of strings that the index has in part, with symbols it lacks, or not at all."""
+    r = np.random.default_rng(1)
+    for _ in range(60):
+        base = r.integers(0, 3, 200).astype(np.uint8)
+        cut = lambda low: base[(a := r.integers(0, 120)) : a + r.integers(low, 81)].copy()
+        held, docs = [cut(50) for _ in range(r.integers(1, 12))], r.integers(0, 8, 12)
+        asked, ids = [cut(40) for _ in range(10)] + [np.full(60, 9, np.uint8)], r.integers(0, 12, 11)
+        for x in asked[:5]:
+            x[r.integers(0, len(x))] = r.integers(0, 6)
+        first = {}
+        for x, d in zip(held, docs[: len(held)].tolist(), strict=True):
+            for i in range(len(x) - 49):
+                first[x[i : i + 50].tobytes()] = min(first.get(x[i : i + 50].tobytes(), 99), d)
+        want = [i + 50 <= len(x) and first.get(x[i : i + 50].tobytes(), 99) < d for x, d in zip(asked, ids, strict=True) for i in range(len(x))]
+        sizes = lambda xs: np.array([len(x) for x in xs])
+        index = suffixes.RunIndex(np.concatenate(held), sizes(held), docs[: len(held)])
+        got = suffixes.streamed(index, np.concatenate(asked), sizes(asked), ids)
+        assert got.tolist() == want
+
+
+def test_a_line_repeated_very_often(docs_of, monkeypatch):
+    """Places of a content are many, but it is indexed once a document."""
+    small(monkeypatch)
+    line = "one line of a licence that some text repeats again and again\n"
+    other = "a text that has the line once: " + line + "and ends in words of its own, which stay"
+    texts = [(1, line * 200_000), (2, other), (3, line[:-9] + "twice more\n" + line * 3)]
+    rows = {r["doc_id"]: r for r in suffixes.dedup(docs_of(texts), BITS).collect()}
+    assert {i: r["n"] for i, r in rows.items()} == {i: len(t) for i, t in texts}
+    assert rows[1]["n_removed"] == 0 and rows[1]["n_spans"] == 0
+    want = {i: (sum(gone), brute.runs_of(gone)) for i, _, gone in brute.removed_bytes([(1, line * 5)] + texts[1:])}
+    assert all((rows[i]["n_removed"], rows[i]["n_spans"]) == want[i] for i in (2, 3))
+
+
 def test_the_queries(spark, documents, sf_dir):
     texts = list(zip(documents.doc_id.tolist(), documents.text.tolist(), strict=True))
     rows = queries.QUERIES["op3_substring_dedup"](spark, sf_dir).collect()
