@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pigeonhole.llm import sketch
-from pigeonhole.llm.tables import texts, written
+from pigeonhole.llm.tables import settled, texts, written
 from pigeonhole.llm.text import anchors, flat, mix, pieces, rolling, runs, signed, spanning, starts_within
 
 #: Items of a window.
@@ -207,21 +207,21 @@ class Repeats:
         judged = distinct.map(judge, f"doc_id bigint, sha binary, n bigint, text string, {listed}")
         #: All first documents of their content; text and runs only where windows may repeat. Rows are told
         #: apart by ``row`` and ``doc_id`` together.
-        self.judged = written(judged.withColumn("row", F.xxhash64("doc_id", "sha")), "judged")
+        self.judged = settled(judged.withColumn("row", F.xxhash64("doc_id", "sha")), "judged")
         self.touched = self.judged.where("text is not null").select("row", "doc_id", "text")
 
         found = self.judged.select("row", "doc_id", F.explode("runs").alias("run")).select("row", "doc_id", "run.*")
         groups = found.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-        groups = written(groups, "run-contents")
+        groups = settled(groups, "run-contents")
         several = groups.groupBy("anchor").agg(
             F.count("*").alias("contents"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
         )
         several = several.where("contents > 1 and low < high").select("anchor", "contents")
-        several = written(several, "shared-anchors")
+        several = settled(several, "shared-anchors")
         known = groups.join(several, "anchor", "left").where("last > doc_id or contents is not null")
-        known = written(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
+        known = settled(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
         matched = found.join(known, ["d1", "d2"]).where("doc_id > first_id or contents is not null")
-        matched = written(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
+        matched = settled(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
         #: Whole runs of later documents: row, doc_id, starts, count.
         self.later = matched.where("doc_id > first_id").select("row", "doc_id", "starts", "count")
         #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, starts, count, contents.
@@ -259,7 +259,7 @@ class Repeats:
         ``kept`` is null where nothing was removed.
         """
         spans = removed.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
-        spans = written(spans, "removed-spans")
+        spans = settled(spans, "removed-spans")
 
         rest = self.filtered(spans)
         schema = f"doc_id bigint, sha binary, n bigint, n_removed bigint, n_spans bigint, kept {kind}, kept_sha string"
@@ -278,7 +278,7 @@ class Repeats:
             return done.unionByName(shut.drop("row").withColumns(unchanged))
 
         alone = results(self.judged.where("not first"))
-        of_first = written(results(self.judged.where("first")), "first-results")
+        of_first = settled(results(self.judged.where("first")), "first-results")
         of_first = of_first.withColumnRenamed("doc_id", "first_id")
         both = self.maybe.select("doc_id", "sha").join(of_first, "sha")
         copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n") >= WINDOW)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pigeonhole.llm.repeats import WINDOW, Items, Repeats, places
-from pigeonhole.llm.tables import written
+from pigeonhole.llm.tables import settled
 from pigeonhole.llm.text import binary, flat, mix, pieces, rolling, runs, signed
 
 SKETCH_BITS, SKETCH_ROWS = 28, 2
@@ -300,11 +300,11 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, mos
     r = Repeats(docs, ByteItems, bytes, PIECE_BYTES, bits, rows)
     r.prepare()
     spans = r.open.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count", "anchor", "contents")).alias("spans"))
-    spans = written(spans, "open-spans")
+    spans = settled(spans, "open-spans")
     texts = r.filtered(spans)(r.touched, True).join(spans, ["row", "doc_id"]).select("row", "doc_id", "text", "spans")
     schema = "row bigint, doc_id bigint, anchor bigint, contents bigint, starts array<int>, bytes binary"
     segments = texts.mapInArrow(_segments, schema)
-    segments = written(segments.withColumn("size", F.length("bytes")), "segments")
+    segments = settled(segments.withColumn("size", F.length("bytes")), "segments")
     small, large = segments.where(F.col("contents") <= most_contents), segments.where(F.col("contents") > most_contents)
     total = small.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // BUCKET_BYTES)))).cast("int")
@@ -312,6 +312,6 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS, mos
     found = small.groupBy("bucket").applyInArrow(_bucket, REMOVED)
     windows = large.select("row", "doc_id", "starts", "bytes").mapInArrow(_hashed, "row bigint, doc_id bigint, starts array<int>, w1 bigint, w2 bigint")
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
-    seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
+    seen = settled(seen.where("last > first_id").drop("last"), "repeated-windows")
     single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "doc_id", "starts", F.lit(1).alias("count"))
     return r.finished(r.later.unionByName(found).unionByName(single), _cut, "binary")

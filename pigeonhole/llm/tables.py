@@ -72,6 +72,12 @@ def configured(spark: SparkSession, name: str, value: str) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``written``, and then without the shuffle files it took, which else stay until the driver's next large collection."""
+    with configured(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return written(df, label)
+
+
 def remainder(key: str, by: int) -> Column:
     """crc32 of an id as text, modulo ``by``."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(by)
