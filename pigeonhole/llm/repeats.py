@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pigeonhole.llm import sketch
-from pigeonhole.llm.tables import settled, texts, written
+from pigeonhole.llm.tables import dropped, settled, texts, written
 from pigeonhole.llm.text import anchors, flat, mix, pieces, rolling, runs, signed, spanning, starts_within
 
 #: Items of a window.
@@ -222,6 +222,7 @@ class Repeats:
         known = settled(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
         matched = found.join(known, ["d1", "d2"]).where("doc_id > first_id or contents is not null")
         matched = settled(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
+        dropped(groups, several, known)
         #: Whole runs of later documents: row, doc_id, starts, count.
         self.later = matched.where("doc_id > first_id").select("row", "doc_id", "starts", "count")
         #: Runs of first documents of contents whose anchor has several: row, doc_id, anchor, starts, count, contents.

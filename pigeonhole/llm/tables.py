@@ -55,7 +55,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage."""
     path = files.scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more: all that came of them has been written."""
+    for t in tables:
+        files.delete(t.sparkSession, t.scratch)
 
 
 @contextmanager
