@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pigeonhole.columns import field, int_div
@@ -27,6 +28,10 @@ HELD, PUT, REPLACE, REQUIRED, EXCLUDED, LACKING = 1, 2, 4, 8, 16, 32
 # -- shapes ----------------------------------------------------------------------------
 
 
+# Conditions on up to this many names read the rows of these only.
+FEW_NAMES = 256
+# What a row says in a change, in the order in which the rows of one value decide about it.
+SAYS_GONE, SAYS_DROP, SAYS_PUT, SAYS_HELD = 0, 1, 2, 3
 def to_attributes(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Wide text rows to long form; null fields and null keys give no row."""
     names = [field(f) for f in fields if f != key]
@@ -222,8 +227,23 @@ def check_conditions(
 
 
 def failed_items(existing: DataFrame, conditions: DataFrame, few: bool = False) -> DataFrame:
-    """Items of K9 with a condition that does not hold, each once."""
-    return check_conditions(existing, conditions, few).where("not holds").select(ITEM).distinct()
+    """Items of K9 with a condition that does not hold, each once.
+
+    Unless ``few``, only the present rows of attributes that are asked about (where these have
+    few names) go through the exchange, each once and as it is.
+    """
+    if few:
+        held = check_conditions(existing, conditions, few)
+        return held.where("not holds").select(ITEM).distinct()
+    names = conditions.select("cond_name").distinct().limit(FEW_NAMES + 1).collect()  # bounded
+    if len(names) <= FEW_NAMES:
+        listed = F.col("name").isin([r[0] for r in names if r[0] is not None])
+        unnamed = F.col("name").isNull() if any(r[0] is None for r in names) else F.lit(False)
+        existing = existing.where(listed | unnamed)
+    state = existing.select(*LONG, F.lit(HELD).alias("marks"))
+    marked = state.unionByName(_asked(conditions.where("must_exist is not null")))
+    values = marked.where(f"{ITEM} is not null").groupBy(*LONG).agg(F.bit_or("marks").alias("marks"))
+    return _of_names(values).where(_fails()).select(ITEM).distinct()
 
 
 def conditional_put(
@@ -245,10 +265,7 @@ def conditional_put(
     replacing = F.coalesce(F.col("replace"), F.lit(False)) if "replace" in incoming.columns else F.lit(False)
     same = [*LONG, *carried]
     put = F.when(replacing, F.lit(PUT | REPLACE)).otherwise(F.lit(PUT))
-    wanted = F.when(F.col("must_exist"), F.lit(REQUIRED)).otherwise(F.lit(EXCLUDED))
-    # A required null is a value that nothing holds.
-    value = F.when(F.col("must_exist"), F.col("cond_value")).alias("value")
-    asked = conditions.select(ITEM, F.col("cond_name").alias("name"), value, wanted.alias("marks"))
+    asked = _asked(conditions)
     marked = (
         existing.select(*same, F.lit(HELD).alias("marks"))
         .unionByName(incoming.where("value is not null").select(*same, put.alias("marks")))
@@ -261,12 +278,8 @@ def conditional_put(
         F.bit_or("marks").alias("marks"), *[F.max(c).alias(c) for c in carried]
     )
 
-    lacking = F.when(_has(REQUIRED) & ~_has(HELD), F.lit(LACKING)).otherwise(F.lit(0))
-    names = values.groupBy(ITEM, "name").agg(
-        F.bit_or(F.col("marks").bitwiseOR(lacking)).alias("marks")
-    )
-    fails = _has(LACKING) | (_has(EXCLUDED) & _has(HELD))
-    refused = names.where(fails).select(ITEM).distinct().withColumn("refused", F.lit(True))
+    names = _of_names(values)
+    refused = names.where(_fails()).select(ITEM).distinct().withColumn("refused", F.lit(True))
     decided = (
         names.where(_has(PUT))
         .join(refused, ITEM, "left")
@@ -316,3 +329,80 @@ def delete_attributes(existing: DataFrame, deletions: DataFrame, few: bool = Fal
 
 def _hint(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
+def _asked(conditions: DataFrame) -> DataFrame:
+    """Conditions as marked rows."""
+    wanted = F.when(F.col("must_exist"), F.lit(REQUIRED)).otherwise(F.lit(EXCLUDED))
+    # A required null is a value that nothing holds.
+    value = F.when(F.col("must_exist"), F.col("cond_value")).alias("value")
+    return conditions.select(ITEM, F.col("cond_name").alias("name"), value, wanted.alias("marks"))
+
+
+def _of_names(values: DataFrame) -> DataFrame:
+    """What is known of attributes, from what is known of their values."""
+    lacking = F.when(_has(REQUIRED) & ~_has(HELD), F.lit(LACKING)).otherwise(F.lit(0))
+    return values.groupBy(ITEM, "name").agg(
+        F.bit_or(F.col("marks").bitwiseOR(lacking)).alias("marks")
+    )
+
+
+def _fails() -> Column:
+    return _has(LACKING) | (_has(EXCLUDED) & _has(HELD))
+
+
+# -- many changes ----------------------------------------------------------------------
+#
+# State and change as rows of one shape, ``(item_name, name, value, says)`` and what follows from
+# the item. Where rows of an item may be in several tasks, the rows without a value, which speak of
+# a whole attribute or item, are to be in each. Each step below is without an exchange of state.
+
+
+def said_by_puts(incoming: DataFrame) -> DataFrame:
+    """K7, K8, K10, many: see :func:`put_attributes`."""
+    carried = [c for c in incoming.columns if c not in (*LONG, "replace")]
+    incoming = incoming.where("value is not null")
+    said = incoming.select(*LONG, *carried, F.lit(SAYS_PUT).alias("says"))
+    if "replace" not in incoming.columns:
+        return said
+    replaced = incoming.where("replace and name is not null").select(ITEM, "name", *carried)
+    return said.unionByName(_all_gone(replaced.distinct()))
+
+
+def said_by_item_deletions(items: DataFrame) -> DataFrame:
+    """K11, many: see :func:`delete_items`."""
+    return _all_gone(items.distinct().withColumn("name", F.lit(None).cast("string")))
+
+
+def said_by_deletions(deletions: DataFrame) -> DataFrame:
+    """K12, many: see :func:`delete_attributes`."""
+    named = deletions.where("name is not null")
+    dropped = named.where("value is not null").withColumn("says", F.lit(SAYS_DROP))
+    return dropped.unionByName(_all_gone(named.where("value is null").drop("value").distinct()))
+
+
+def _all_gone(rows: DataFrame) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return rows.withColumns({"value": nothing, "says": F.lit(SAYS_GONE)})
+
+
+def decided(said: DataFrame, dealt: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The rows that are there after a change.
+
+    The rows of an item are together in ``dealt``, by which the tasks are dealt. A row without a
+    value speaks of all present rows with its ``by``, and comes first there; of the rows of one
+    value the first decides. One sort, which a write can use, and one pass.
+    """
+    rest = [c for c in LONG if c not in by]
+    place = W.partitionBy(*dealt, *by).orderBy(*rest, "says")
+    before = F.lag(F.struct("says", "name", "value")).over(place)
+    first = F.first("says").over(place.rowsBetween(W.unboundedPreceding, W.currentRow))
+    seen = said.withColumns({"__before": before, "__first": first})
+    repeated = (
+        F.col("__before").isNotNull()
+        & F.col("__before.name").eqNullSafe(F.col("name"))
+        & F.col("__before.value").eqNullSafe(F.col("value"))
+    )
+    stays = (F.col("says") == SAYS_HELD) & (F.col("__first") != SAYS_GONE)
+    there = F.col("value").isNotNull() & ~repeated & (stays | (F.col("says") == SAYS_PUT))
+    return seen.where(there).drop("__before", "__first", "says")
+
+

@@ -148,9 +148,16 @@ def _try_cast(text: Column, data_type: T.DataType) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), value) if isinstance(data_type, T.IntegralType) else value
 
 
-def route(df: DataFrame, key: str, num_shards: int) -> DataFrame:
-    """Add ``item_hash`` and ``shard``. The hash is evaluated once and used for both."""
-    hashed = df.withColumn("__hash", hashing.unsigned_hash(field(key)))
+def route(df: DataFrame, key: str, num_shards: int, compiled: bool = False) -> DataFrame:
+    """Add ``item_hash`` and ``shard``. The hash is evaluated once and used for both.
+
+    ``compiled`` is for rows that are written or shuffled next; see
+    :func:`pigeonhole.functions.hashing.with_unsigned_hash`.
+    """
+    if compiled:
+        hashed = hashing.with_unsigned_hash(df, field(key), "__hash")
+    else:
+        hashed = df.withColumn("__hash", hashing.unsigned_hash(field(key)))
     return hashed.select(
         *[field(c) for c in df.columns],
         hashing.hash_text(F.col("__hash")).alias("item_hash"),

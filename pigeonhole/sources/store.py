@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
@@ -49,6 +50,10 @@ ROW_OVERHEAD = 200
 # Bytes on disk that one shuffle partition of a merge should hold.
 PARTITION_BYTES = 64 * 1024 * 1024
 
+# Rows that a task of a large change should get, and how many it may get however few there are.
+SLICE_ROWS = 2_000_000
+LEAST_SLICE = 10_000
+
 # Manifests that stay beside the newest one; older ones are deleted by later writes.
 KEEP_MANIFESTS = 16
 
@@ -837,7 +842,14 @@ class AttributeTable(_ShardedTable):
         """See :func:`pigeonhole.operators.attributes.put_attributes`."""
         before = at or self.manifest()
         if before.versions:
-            self._apply(puts, attrs_ops.put_attributes, before)
+            shape = [c for c in (*attrs_ops.LONG, "replace") if c in puts.columns]
+            # Copies of a put would all go to the task of their value.
+            self._apply(
+                puts.select(*shape).distinct(),
+                attrs_ops.put_attributes,
+                attrs_ops.said_by_puts,
+                at=before,
+            )
             return
         distinct = puts.select(*attrs_ops.LONG).where("value is not null").distinct()
         self._publish_shards(before, self._routed(distinct, before), None)
@@ -856,11 +868,20 @@ class AttributeTable(_ShardedTable):
 
     def delete_items(self, items: DataFrame) -> None:
         """Remove the listed items (column ``item_name``)."""
-        self._apply(items.select(attrs_ops.ITEM), attrs_ops.delete_items)
+        self._apply(
+            items.select(attrs_ops.ITEM).distinct(),
+            attrs_ops.delete_items,
+            attrs_ops.said_by_item_deletions,
+            by=(attrs_ops.ITEM,),
+        )
 
     def delete(self, deletions: DataFrame) -> None:
         """Remove attributes or single values."""
-        self._apply(deletions.select(*attrs_ops.LONG), attrs_ops.delete_attributes)
+        self._apply(
+            deletions.select(*attrs_ops.LONG).distinct(),
+            attrs_ops.delete_attributes,
+            attrs_ops.said_by_deletions,
+        )
 
     def conditional_put(self, puts: DataFrame, conditions: DataFrame) -> DataFrame:
         """K9: put the items whose conditions hold; returns the rejected rows.
@@ -887,13 +908,77 @@ class AttributeTable(_ShardedTable):
         item = field(attrs_ops.ITEM)
         message = F.lit("row without an item name")
         checked = F.when(bad_key(item), F.raise_error(message)).otherwise(item)
-        return route(df.withColumn(attrs_ops.ITEM, checked), attrs_ops.ITEM, at.num_shards)
+        df = df.withColumn(attrs_ops.ITEM, checked)
+        return route(df, attrs_ops.ITEM, at.num_shards, compiled=True)
+
+    def _apply(
+        self,
+        change: DataFrame,
+        operation,
+        said_by,
+        by: Sequence[str] = (attrs_ops.ITEM, "name"),
+        at: Manifest | None = None,
+    ) -> None:
+        """Stage the change, apply it to the shards it touches, publish them.
 
-    def _apply(self, change: DataFrame, operation, at: Manifest | None = None) -> None:
-        """Stage the change, run the operation on the shards it touches, publish them."""
+        A small change is broadcast to ``operation`` and present rows stay in the tasks that read
+        them. Otherwise present rows and what ``said_by`` makes of the change meet in one exchange,
+        which serves the write too.
+        """
         before = at or self.manifest()
         with self._stage(self._routed(change, before)) as staged:
-            if staged.touched:
-                result = operation(self.rows(staged.touched, before), staged.rows, staged.few)
-                # With a broadcast change, present rows stay in the tasks that read them.
-                self._publish_shards(before, result, staged.touched, gather=not staged.few)
+            if not staged.touched:
+                return
+            present = self.rows(staged.touched, before)
+            if staged.few:
+                result = operation(present, staged.rows, True)
+            else:
+                held = present.withColumn("says", F.lit(attrs_ops.SAYS_HELD))
+                said = held.unionByName(said_by(staged.rows))
+                places = [r.select(*ROUTING.names) for r in (present, staged.rows)]
+                dealt = self._dealt(said, reduce(DataFrame.unionByName, places), before.num_shards)
+                result = attrs_ops.decided(dealt, ["shard", "slice", "item_hash"], by)
+            self._publish_shards(before, result, staged.touched, gather=False)
+
+    def _dealt(self, said: DataFrame, places: DataFrame, num_shards: int) -> DataFrame:
+        """Rows by hash slice, a slice a task, in one exchange, with their ``slice``.
+
+        Slices are counted first. One that holds far more than its share, because of an item with
+        very many values, is dealt over several tasks by value; rows without a value go to each.
+        """
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        fine = 64
+        while fine * num_shards < 4 * partitions:
+            fine *= 2
+        found = maintenance.hash_slices(places, num_shards, fine).groupBy("shard", "slice")
+        counts = found.agg(F.count("*").alias("n")).collect()  # one row a fine slice
+        rows = sum(r["n"] for r in counts)
+        wanted = max(partitions, -(-rows // SLICE_ROWS))
+        slices = fine
+        while slices % 2 == 0 and slices // 2 * num_shards >= wanted:
+            slices //= 2
+        total = num_shards * slices
+        held: Counter[int] = Counter()
+        for r in counts:
+            # Fine slices divide coarse ones.
+            held[r["shard"] * slices + r["slice"] * slices // fine] += r["n"]
+        share = max(2 * -(-rows // total), LEAST_SLICE)
+        hot, first = {}, total
+        for at, n in sorted(held.items()):
+            if n > share:
+                hot[at] = (first, -(-n // share))
+                first += hot[at][1]
+        place = F.col("shard") * slices + F.col("slice")
+        placed = maintenance.hash_slices(said, num_shards, slices).withColumn("slice", place)
+        if hot:
+            schema = "slice int, first int, tasks int"
+            listed = [(at, *tasks) for at, tasks in hot.items()]
+            spread = F.broadcast(self.spark.createDataFrame(listed, schema))
+            one = F.pmod(F.xxhash64("name", "value"), F.col("tasks").cast("bigint")).cast("int")
+            to = F.when(F.col("tasks").isNull(), F.array("slice")).when(
+                F.col("value").isNull(),
+                F.sequence(F.col("first"), F.col("first") + F.col("tasks") - 1),
+            ).otherwise(F.array(F.col("first") + one))
+            placed = placed.join(spread, "slice", "left").withColumn("slice", F.explode(to))
+            placed = placed.drop("first", "tasks")
+        return placed.repartitionById(first, F.col("slice"))

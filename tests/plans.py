@@ -29,3 +29,9 @@ def scans(df):
 
 def rows_scanned(df):
     return sum(n.metrics().get("numOutputRows").get().value() for n in scans(df))
+
+
+def rows_exchanged(df):
+    """Rows that went through the exchanges of shuffles, an exchange that is reused once."""
+    found = [n for n in nodes(df) if n.getClass().getSimpleName() == "ShuffleExchangeExec"]
+    return [n.metrics().get("shuffleRecordsWritten").get().value() for n in found]

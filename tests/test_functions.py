@@ -40,6 +40,15 @@ def test_golden_hashes(spark):
     assert df.select(hashing.key_hash(F.lit(None).cast("string"))).first()[0] is None
 
 
+def test_compiled_hashes_are_the_same(spark):
+    keys = [None, "", "\x00", "a" * 12, "a" * 13, "\u00e9" * 6, "\u00e9" * 7, "x\U0001f600", *(g[0] for g in GOLDEN)]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    both = hashing.with_unsigned_hash(df, F.col("k"), "h").withColumn("g", hashing.unsigned_hash(F.col("k")))
+    assert both.columns == ["k", "h", "g"]
+    rows = both.collect()
+    assert len(rows) == len(keys) and all(r["h"] == r["g"] for r in rows)
+
+
 def test_last_positions_are_clamped(spark):
     df = spark.createDataFrame([("09531419",)], "k string")
     assert df.select(hashing.shard_index(F.col("k"), 100)).first()[0] == 99

@@ -306,6 +306,20 @@ def test_items_in_parts_of_a_stated_size(spark):
         ops.item_form(hot, parts=2, size=3)
 
 
+def test_conditions_read_only_what_they_ask_about(spark):
+    """Rows of other attributes take no part in the exchanges, the others take part once."""
+    rows = spark.range(3000).selectExpr("string(id div 3) as item_name", "'n' || id % 3 as name", "string(id) as value")
+    asked = spark.createDataFrame(
+        [(str(i), "n1", str(3 * i + 1 + i % 2), True) for i in range(1000)]
+        + [("5", "zz", None, False), ("7", "n1", None, False), ("9", "n1", None, True), ("no", None, None, False)],
+        "item_name string, cond_name string, cond_value string, must_exist boolean",
+    )
+    failed = ops.failed_items(rows, asked)
+    assert {r[0] for r in failed.collect()} == {str(i) for i in range(1, 1000, 2)}
+    assert max(plans.rows_exchanged(failed)) <= 1000 + asked.count()
+    assert bag(failed) == bag(ops.failed_items(rows, asked, True))
+
+
 def test_no_task_holds_a_hot_item(spark, monkeypatch):
     """The ranges of a hot item lie in all tasks of the sort."""
     seen = []
