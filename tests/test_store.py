@@ -1,3 +1,4 @@
+import plans
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -308,6 +309,57 @@ def test_attribute_table(store, spark, monkeypatch, few_bytes):
         table.put(spark.createDataFrame([(None, "a", "b")], LONG))
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """What later writes of tables moved and wrote: rows of each exchange, rows of each task."""
+    seen = []
+    write = store_module._ShardedTable._write_version
+
+    def noting(self, rows, num_shards, gather):
+        arranged = self._arranged(rows, num_shards, gather).withColumn("task", F.spark_partition_id())
+        tasks = arranged.groupBy("task").count()
+        per_task = [r["count"] for r in tasks.collect()]
+        seen.append((plans.rows_exchanged(tasks), per_task))
+        return write(self, rows, num_shards, gather)
+
+    def start(few_bytes=0):
+        monkeypatch.setattr(store_module, "FEW_BYTES", few_bytes)
+        monkeypatch.setattr(store_module._ShardedTable, "_write_version", noting)
+        return seen
+
+    return start
+
+
+def many_attributes(spark, hot=False):
+    item = "if(id % 3 = 0, 'hot', string(id % 1000))" if hot else "string(id % 1000)"
+    return spark.range(6000).selectExpr(f"{item} as item_name", "'n' || id % 2 as name", "string(id) as value")
+
+
+def times_moved(exchanges, rows):
+    return sum(1 for n in exchanges if n >= 0.9 * rows)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_large_deletes_move_present_rows_once(store, spark, written, monkeypatch, hot):
+    monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
+    table = store.create_attributes("t", 4)
+    rows = many_attributes(spark, hot)
+    table.put(rows)
+    seen = written()
+    values = rows.where("value % 7 = 0 and name = 'n0'")
+    names = rows.where("value % 11 = 0 and name = 'n1'").withColumn("value", F.lit(None).cast("string"))
+    table.delete(values.unionByName(names).unionByName(values))
+    gone, dropped = {tuple(r)[:2] for r in names.collect()}, set(map(tuple, values.collect()))
+    left = {r for r in map(tuple, rows.collect()) if r[:2] not in gone and r not in dropped}
+    assert rows_of(table) == sorted(left)
+    items = rows.where("value % 13 = 0").select("item_name")
+    table.delete_items(items)
+    gone = {r[0] for r in items.collect()}
+    assert rows_of(table) == sorted(r for r in left if r[0] not in gone)
+    (first, _), (second, _) = seen
+    assert times_moved(first, 6000) == 1 and times_moved(second, len(left)) == 1
+
+
 def test_rows_and_attributes_in_one_table(store, made, spark):
     scheme = Scheme(["key", "rank", "value"], "key")
     table = store.create_attributes("t", 5)
