@@ -339,6 +339,26 @@ def times_moved(exchanges, rows):
     return sum(1 for n in exchanges if n >= 0.9 * rows)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_large_put_moves_present_rows_once(store, spark, written, monkeypatch, hot):
+    monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
+    table = store.create_attributes("t", 4)
+    rows = many_attributes(spark, hot)
+    table.put(rows)
+    seen = written()
+    puts = rows.where("value % 5 = 0").selectExpr(
+        "item_name", "name", "if(value % 2 = 0, value, 'new') as value", "name = 'n1' as replace"
+    )
+    table.put(puts.unionByName(puts))
+    ((exchanges, tasks),) = seen
+    assert times_moved(exchanges, 6000) == 1
+    assert max(tasks) < 6000 / 3 / 2
+    put = {tuple(r) for r in puts.collect()}
+    gone = {r[:2] for r in put if r[3]}
+    left = {r for r in map(tuple, rows.collect()) if r[:2] not in gone}
+    assert rows_of(table) == sorted(left | {r[:3] for r in put})
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_large_deletes_move_present_rows_once(store, spark, written, monkeypatch, hot):
     monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
