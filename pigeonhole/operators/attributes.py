@@ -16,22 +16,27 @@ from pyspark.sql import functions as F
 
 from pigeonhole.columns import field, int_div
 from pigeonhole.operators import ordering
+from pigeonhole.sources import files
 
 ITEM = "item_name"
 LONG = (ITEM, "name", "value")
+# How many rows an item has.
+COUNT = "num_values"
+# Listed items up to this many are broadcast.
+FEW_ITEMS = 100_000
 # Fixed value: error code of a put whose condition does not hold.
 CONDITION_FAILED = "ConditionalCheckFailed"
 # What a conditional put knows of a value, one bit each; lacking is a required one not held.
 HELD, PUT, REPLACE, REQUIRED, EXCLUDED, LACKING = 1, 2, 4, 8, 16, 32
+# Conditions on up to this many names read the rows of these only.
+FEW_NAMES = 256
+# What a row says in a change, in the order in which the rows of one value decide about it.
+SAYS_GONE, SAYS_DROP, SAYS_PUT, SAYS_HELD = 0, 1, 2, 3
 
 
 # -- shapes ----------------------------------------------------------------------------
 
 
-# Conditions on up to this many names read the rows of these only.
-FEW_NAMES = 256
-# What a row says in a change, in the order in which the rows of one value decide about it.
-SAYS_GONE, SAYS_DROP, SAYS_PUT, SAYS_HELD = 0, 1, 2, 3
 def to_attributes(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Wide text rows to long form; null fields and null keys give no row."""
     names = [field(f) for f in fields if f != key]
@@ -76,9 +81,10 @@ def item_form(
     """Rows ``(item_name, part, attributes)``, values sorted.
 
     With ``size``, the values of an item, in the order of name and value, are cut into parts of
-    that many: part 0 has the first ``size`` values, and so on; an item of fewer is one row. The
-    rows are sorted in ranges of item, name and value, so an item may hold any share of them and
-    no task or row more than ``size`` values of it.
+    that many: part 0 has the first ``size`` values, and so on; an item of fewer is one row. Items
+    are counted first. Those that fit one row are gathered in one exchange; the rows of the others
+    are sorted in ranges of item, name and value, so an item may hold any share of them and no
+    task or row more than ``size`` values of it.
 
     With ``parts``, the values of every item are dealt over up to that many rows by their hash.
     Without either, every item is one row with part 0, whatever it holds: only for items known to
@@ -86,25 +92,32 @@ def item_form(
     do not depend on the parts.
 
     ``is_set`` skips removing repeated rows, for input known to have none. ``among`` (one
-    column, items listed once) restricts the result to these items.
+    column, items listed once) restricts the result to these items; beside it, a column ``COUNT``
+    may say how many rows an item has, so that they are not counted again.
     """
     if size is not None and (parts is not None or size < 1):
         raise ValueError(f"size must be positive and stand alone, got size {size}, parts {parts}")
     attrs = attrs.select(*LONG).where(f"{ITEM} is not null")
+    if size is not None:
+        if not is_set:
+            attrs = attrs.distinct()
+        return _sized_form(attrs, among, size)
     if among is not None:
         attrs = attrs.join(among.toDF(ITEM), ITEM, "left_semi")
     if not is_set:
         attrs = attrs.distinct()
-    if size is not None:
-        placed = ordering.ranked(attrs, [ITEM], ["name", "value"], "part")
-        placed = placed.withColumn("part", int_div(F.col("part"), size))
-    elif parts is not None and parts > 1:
+    if parts is not None and parts > 1:
         part = F.pmod(F.xxhash64("name", "value"), F.lit(parts))
         placed = attrs.withColumn("part", part.cast("bigint"))
     else:
         placed = attrs.withColumn("part", F.lit(0).cast("bigint"))
-    # One shuffle serves both aggregates below.
-    by_name = placed.repartition(ITEM, "part").groupBy(ITEM, "part", "name").agg(
+    # One shuffle serves both aggregates.
+    return _gathered(placed.repartition(ITEM, "part"))
+
+
+def _gathered(placed: DataFrame) -> DataFrame:
+    """Rows with their ``part``, those of an item and part in one task, to the item form."""
+    by_name = placed.groupBy(ITEM, "part", "name").agg(
         F.array_sort(F.collect_set("value")).alias("values")
     )
     return by_name.groupBy(ITEM, "part").agg(
@@ -114,6 +127,50 @@ def item_form(
     )
 
 
+def _sized_form(attrs: DataFrame, among: DataFrame | None, size: int) -> DataFrame:
+    """:func:`item_form` of unique rows with a ``size``; ``among`` as there.
+
+    What is known of the items goes to the shared folder: of all, if they are chosen, else of those
+    above ``size``. Items above it stay out of the exchange by item.
+    """
+    spark = attrs.sparkSession
+    if among is None or COUNT not in among.columns:
+        counts = attrs.groupBy(ITEM).agg(F.count("*").alias(COUNT))
+        if among is not None:
+            counts = counts.join(among.toDF(ITEM), ITEM, "left_semi")
+    else:
+        counts = among.select(ITEM, COUNT)
+    if among is None:
+        counts = counts.where(F.col(COUNT) > size)
+    path = files.scratch_path(spark, "counted-items")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    large = counts.where(F.col(COUNT) > size).select(ITEM)
+    chosen, many = counts.select(ITEM), large.count()
+    if many > FEW_ITEMS:
+        found = attrs if among is None else attrs.join(chosen, ITEM, "left_semi")
+        return _ranged(found, size)
+    small = attrs.join(F.broadcast(large), ITEM, "left_anti") if many else attrs
+    if among is not None:
+        few = counts.count() <= FEW_ITEMS
+        small = small if few else small.repartition(ITEM)
+        small = small.join(_hint(chosen, few), ITEM, "left_semi")
+    if among is None or few:
+        small = small.repartition(ITEM)
+    items = _gathered(small.withColumn("part", F.lit(0).cast("bigint")))
+    if many:
+        items = items.unionByName(
+            _ranged(attrs.join(F.broadcast(large), ITEM, "left_semi"), size)
+        )
+    return items
+
+
+def _ranged(attrs: DataFrame, size: int) -> DataFrame:
+    placed = ordering.ranked(attrs, [ITEM], ["name", "value"], "part")
+    placed = placed.withColumn("part", int_div(F.col("part"), size))
+    return _gathered(placed.repartition(ITEM, "part"))
+
+
 def attribute(attributes: Column, name: str) -> Column:
     """S4 on a row of the item form: its values of one attribute, null if absent."""
     return F.try_element_at(attributes, F.lit(name))
@@ -132,21 +189,26 @@ def first_values(attrs: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def matching_items(
-    attrs: DataFrame, conditions: Mapping[str, tuple[str, str | Column]], query: str | Column
+    attrs: DataFrame,
+    conditions: Mapping[str, tuple[str, str | Column]],
+    query: str | Column,
+    counted: bool = False,
 ) -> DataFrame:
     """E1 on bags: items (one column) for which ``query`` holds.
 
     ``conditions`` gives names to tests of single values: ``{"late": ("state", "value > 'D'")}``,
     a Spark SQL expression or a boolean column over ``value``. A test holds for an item if *any* value of the
     attribute passes it. ``query`` combines the names with and, or and not. The tests are
-    aggregated per item with partial sums, so an item of any size is one small row.
+    aggregated per item with partial sums, so an item of any size is one small row. ``counted``
+    adds how many rows it has, as ``COUNT``.
     """
     seen = [
         F.coalesce(F.bool_or((F.col("name") == name) & (F.expr(test) if isinstance(test, str) else test)), F.lit(False)).alias(label)
         for label, (name, test) in conditions.items()
     ]
-    found = attrs.where(f"{ITEM} is not null").groupBy(ITEM).agg(*seen)
-    return found.where(query).select(ITEM)
+    rows = [F.count("*").alias(COUNT)] if counted else []
+    found = attrs.where(f"{ITEM} is not null").groupBy(ITEM).agg(*seen, *rows)
+    return found.where(query).select(ITEM, *[COUNT for _ in rows])
 
 
 def attribute_lookup(attrs: DataFrame, item: str, name: str) -> DataFrame:
@@ -299,6 +361,26 @@ def rejected(incoming: DataFrame, failed: DataFrame, few: bool = False) -> DataF
     )
 
 
+def _asked(conditions: DataFrame) -> DataFrame:
+    """Conditions as marked rows."""
+    wanted = F.when(F.col("must_exist"), F.lit(REQUIRED)).otherwise(F.lit(EXCLUDED))
+    # A required null is a value that nothing holds.
+    value = F.when(F.col("must_exist"), F.col("cond_value")).alias("value")
+    return conditions.select(ITEM, F.col("cond_name").alias("name"), value, wanted.alias("marks"))
+
+
+def _of_names(values: DataFrame) -> DataFrame:
+    """What is known of attributes, from what is known of their values."""
+    lacking = F.when(_has(REQUIRED) & ~_has(HELD), F.lit(LACKING)).otherwise(F.lit(0))
+    return values.groupBy(ITEM, "name").agg(
+        F.bit_or(F.col("marks").bitwiseOR(lacking)).alias("marks")
+    )
+
+
+def _fails() -> Column:
+    return _has(LACKING) | (_has(EXCLUDED) & _has(HELD))
+
+
 def _has(mark: int) -> Column:
     return F.col("marks").bitwiseAND(F.lit(mark)) != 0
 
@@ -327,28 +409,6 @@ def delete_attributes(existing: DataFrame, deletions: DataFrame, few: bool = Fal
     )
 
 
-def _hint(df: DataFrame, few: bool) -> DataFrame:
-    return F.broadcast(df) if few else df
-def _asked(conditions: DataFrame) -> DataFrame:
-    """Conditions as marked rows."""
-    wanted = F.when(F.col("must_exist"), F.lit(REQUIRED)).otherwise(F.lit(EXCLUDED))
-    # A required null is a value that nothing holds.
-    value = F.when(F.col("must_exist"), F.col("cond_value")).alias("value")
-    return conditions.select(ITEM, F.col("cond_name").alias("name"), value, wanted.alias("marks"))
-
-
-def _of_names(values: DataFrame) -> DataFrame:
-    """What is known of attributes, from what is known of their values."""
-    lacking = F.when(_has(REQUIRED) & ~_has(HELD), F.lit(LACKING)).otherwise(F.lit(0))
-    return values.groupBy(ITEM, "name").agg(
-        F.bit_or(F.col("marks").bitwiseOR(lacking)).alias("marks")
-    )
-
-
-def _fails() -> Column:
-    return _has(LACKING) | (_has(EXCLUDED) & _has(HELD))
-
-
 # -- many changes ----------------------------------------------------------------------
 #
 # State and change as rows of one shape, ``(item_name, name, value, says)`` and what follows from
@@ -406,3 +466,5 @@ def decided(said: DataFrame, dealt: Sequence[str], by: Sequence[str]) -> DataFra
     return seen.where(there).drop("__before", "__first", "says")
 
 
+def _hint(df: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(df) if few else df

@@ -800,7 +800,7 @@ class AttributeTable(_ShardedTable):
         :func:`pigeonhole.operators.attributes.matching_items`.
         """
         attrs = self.attributes()
-        found = attrs_ops.matching_items(attrs, conditions, query)
+        found = attrs_ops.matching_items(attrs, conditions, query, counted=True)
         return attrs_ops.item_form(attrs, parts, True, found, size)
 
     def item(self, item: str, parts: int | None = None, size: int | None = None) -> DataFrame:

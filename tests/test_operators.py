@@ -320,6 +320,26 @@ def test_conditions_read_only_what_they_ask_about(spark):
     assert bag(failed) == bag(ops.failed_items(rows, asked, True))
 
 
+def test_only_large_items_are_ranked(spark, monkeypatch):
+    seen = []
+    rank = ops.ordering.ranked
+    monkeypatch.setattr(ops.ordering, "ranked", lambda df, *a: seen.append(df.count()) or rank(df, *a))
+    rows = spark.range(900).selectExpr(
+        "if(id < 100, 'large', string(id % 80)) as item_name", "'n' as name", "string(id) as value"
+    )
+    large = rows.where("item_name = 'large'")
+    for among in (None, rows.select("item_name").distinct().where("item_name != '7'")):
+        items = ops.item_form(rows, is_set=True, among=among, size=30)
+        want = 84 if among is None else 83
+        found = items.collect()
+        assert len(found) == want and seen.pop() == large.count() and not seen
+        assert sum(len(r["attributes"]["n"]) for r in found) == (900 if among is None else 890)
+    assert ops.item_form(rows, is_set=True, size=100).count() == 81 and not seen
+    monkeypatch.setattr(ops, "FEW_ITEMS", 0)
+    assert ops.item_form(rows, is_set=True, size=30).count() == 84 and seen.pop() == 900
+    assert ops.item_form(rows, is_set=True, among=among, size=100).count() == 80 and not seen
+
+
 def test_no_task_holds_a_hot_item(spark, monkeypatch):
     """The ranges of a hot item lie in all tasks of the sort."""
     seen = []
