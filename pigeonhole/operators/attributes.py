@@ -428,15 +428,15 @@ def said_by_puts(incoming: DataFrame) -> DataFrame:
 
 
 def said_by_item_deletions(items: DataFrame) -> DataFrame:
-    """K11, many: see :func:`delete_items`."""
-    return _all_gone(items.distinct().withColumn("name", F.lit(None).cast("string")))
+    """K11, many, items listed once: see :func:`delete_items`."""
+    return _all_gone(items.withColumn("name", F.lit(None).cast("string")))
 
 
 def said_by_deletions(deletions: DataFrame) -> DataFrame:
-    """K12, many: see :func:`delete_attributes`."""
+    """K12, many, deletions listed once: see :func:`delete_attributes`."""
     named = deletions.where("name is not null")
     dropped = named.where("value is not null").withColumn("says", F.lit(SAYS_DROP))
-    return dropped.unionByName(_all_gone(named.where("value is null").drop("value").distinct()))
+    return dropped.unionByName(_all_gone(named.where("value is null").drop("value")))
 
 
 def _all_gone(rows: DataFrame) -> DataFrame:

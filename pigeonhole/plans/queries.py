@@ -74,15 +74,20 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHANGES = Scheme(["id", "customer", "status"], "id")
 
 
-def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Multi-valued attributes of orders: the flags, states and suppliers of their lines."""
+def line_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flags, states and suppliers of lines as attributes of their orders, with copies."""
     lines = given(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("id"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("state"),
         F.col("l_suppkey").cast("string").alias("supplier"),
     )
-    return attrs_ops.to_attributes(lines, "id", ["id", "flag", "state", "supplier"]).distinct()
+    return attrs_ops.to_attributes(lines, "id", ["id", "flag", "state", "supplier"])
+
+
+def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-valued attributes of orders: the flags, states and suppliers of their lines."""
+    return line_attributes(spark, sf_dir).distinct()
 
 
 def order_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -577,7 +582,7 @@ def delete_value(spark, sf_dir):
 def table_put(spark, sf_dir):
     """K7/K8 through files: append, then replace flags of even orders."""
     table = fresh_store(spark).create_attributes("attrs", N)
-    table.put(order_attributes(spark, sf_dir))
+    table.put(line_attributes(spark, sf_dir))
     table.put(
         order_puts(spark, sf_dir).withColumn(
             "replace", F.col("item_name").cast("bigint") % 2 == 0
@@ -588,7 +593,7 @@ def table_put(spark, sf_dir):
 
 def _written_attributes(spark, sf_dir):
     table = fresh_store(spark).create_attributes("attrs", N)
-    table.put(order_attributes(spark, sf_dir))
+    table.put(line_attributes(spark, sf_dir))
     return table
 
 

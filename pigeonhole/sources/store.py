@@ -54,6 +54,9 @@ PARTITION_BYTES = 64 * 1024 * 1024
 SLICE_ROWS = 2_000_000
 LEAST_SLICE = 10_000
 
+# One of so many values is counted, to learn how many copies there are.
+SOME = 256
+
 # Manifests that stay beside the newest one; older ones are deleted by later writes.
 KEEP_MANIFESTS = 16
 
@@ -80,6 +83,9 @@ ROUTING = T.StructType(
     [T.StructField("item_hash", T.StringType()), T.StructField("shard", T.IntegerType())]
 )
 
+# Where a row is after an exchange by hash slice, in the order in which it is written.
+DEALT = ("shard", "slice", "item_hash")
+
 
 class NoSuchTable(LookupError):
     """The table does not exist."""
@@ -851,8 +857,25 @@ class AttributeTable(_ShardedTable):
                 at=before,
             )
             return
-        distinct = puts.select(*attrs_ops.LONG).where("value is not null").distinct()
-        self._publish_shards(before, self._routed(distinct, before), None)
+        self._publish_shards(before, self._first_rows(puts, before.num_shards), None, gather=False)
+
+    def _first_rows(self, puts: DataFrame, num_shards: int) -> DataFrame:
+        """Puts as the rows of a table that has none, by hash slice.
+
+        The puts are evaluated twice: counted by slice, then moved in one exchange, in which equal
+        ones meet. Where most of them are copies, or copies might crowd a task, they are removed by
+        value in an exchange before, which combines them first.
+        """
+        puts = puts.select(*attrs_ops.LONG).where("value is not null")
+        rows = self._placed(puts)
+        fine, counts = self._counted(rows, num_shards, F.xxhash64(*attrs_ops.LONG))
+        held = {at: r["n"] for at, r in counts.items()}
+        total = sum(held.values())
+        crowded = max(held.values(), default=0) > max(LEAST_SLICE, total // self._wanted_tasks(total))
+        copied = sum(r["some"] for r in counts.values()) > 2 * sum(r["values"] for r in counts.values())
+        if crowded or copied:
+            rows = self._placed(puts.distinct())
+        return self._dealt(rows, held, fine, num_shards, unique=True)
 
     def write(
         self, df: DataFrame, scheme: Scheme, order_by: Sequence[str] | None = None
@@ -904,12 +927,21 @@ class AttributeTable(_ShardedTable):
         return rejected.withColumn("error", F.lit(attrs_ops.CONDITION_FAILED))
 
     @staticmethod
-    def _routed(df: DataFrame, at: Manifest) -> DataFrame:
+    def _checked(df: DataFrame) -> DataFrame:
         item = field(attrs_ops.ITEM)
         message = F.lit("row without an item name")
         checked = F.when(bad_key(item), F.raise_error(message)).otherwise(item)
-        df = df.withColumn(attrs_ops.ITEM, checked)
-        return route(df, attrs_ops.ITEM, at.num_shards, compiled=True)
+        return df.withColumn(attrs_ops.ITEM, checked)
+
+    @classmethod
+    def _routed(cls, df: DataFrame, at: Manifest) -> DataFrame:
+        return route(cls._checked(df), attrs_ops.ITEM, at.num_shards, compiled=True)
+
+    @classmethod
+    def _placed(cls, df: DataFrame) -> DataFrame:
+        """Rows with the ``position`` of their item's hash."""
+        hashed = hashing.with_unsigned_hash(cls._checked(df), field(attrs_ops.ITEM), "position")
+        return hashed.withColumn("position", hashing.hash_position(F.col("position")))
 
     def _apply(
         self,
@@ -933,52 +965,110 @@ class AttributeTable(_ShardedTable):
             if staged.few:
                 result = operation(present, staged.rows, True)
             else:
+                # Numbers move in the place of what is written for them.
+                position = hashing.text_position(F.col("item_hash")).alias("position")
+                present, change = (
+                    r.select(*[c for c in r.columns if c not in ROUTING.names], position)
+                    for r in (present, staged.rows)
+                )
+                places = present.select("position").unionByName(change.select("position"))
+                fine, counts = self._counted(places, before.num_shards)
+                rows = {at: r["n"] for at, r in counts.items()}
                 held = present.withColumn("says", F.lit(attrs_ops.SAYS_HELD))
-                said = held.unionByName(said_by(staged.rows))
-                places = [r.select(*ROUTING.names) for r in (present, staged.rows)]
-                dealt = self._dealt(said, reduce(DataFrame.unionByName, places), before.num_shards)
-                result = attrs_ops.decided(dealt, ["shard", "slice", "item_hash"], by)
+                dealt = self._dealt(
+                    held.unionByName(said_by(change)), rows, fine, before.num_shards
+                )
+                result = attrs_ops.decided(dealt, DEALT, by)
             self._publish_shards(before, result, staged.touched, gather=False)
 
-    def _dealt(self, said: DataFrame, places: DataFrame, num_shards: int) -> DataFrame:
-        """Rows by hash slice, a slice a task, in one exchange, with their ``slice``.
-
-        Slices are counted first. One that holds far more than its share, because of an item with
-        very many values, is dealt over several tasks by value; rows without a value go to each.
+    @staticmethod
+    def _slice_of(num_shards: int, slices: int) -> Column:
+        """Number of the hash slice of a ``position``, over all shards."""
+        position = F.col("position")
+        shard = hashing.shard_of_position(position, num_shards)
+        return shard * slices + hashing.slice_of_position(position, shard, num_shards, slices)
+
+    def _counted(
+        self, places: DataFrame, num_shards: int, value: Column | None = None
+    ) -> tuple[int, dict]:
+        """Fine slices a shard, and by slice how many rows are there (``n``).
+
+        With the hash of a ``value``, also how many rows there are of ``SOME`` values, and ``values``,
+        how many these are.
         """
-        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         fine = 64
-        while fine * num_shards < 4 * partitions:
+        while fine * num_shards < 4 * int(self.spark.conf.get("spark.sql.shuffle.partitions")):
             fine *= 2
-        found = maintenance.hash_slices(places, num_shards, fine).groupBy("shard", "slice")
-        counts = found.agg(F.count("*").alias("n")).collect()  # one row a fine slice
-        rows = sum(r["n"] for r in counts)
-        wanted = max(partitions, -(-rows // SLICE_ROWS))
+        at = self._slice_of(num_shards, fine).alias("slice")
+        rows = [F.sum("n").alias("n")]
+        if value is None:
+            some = F.lit(None).cast("bigint")
+        else:
+            some = F.when(F.pmod(value, F.lit(SOME)) == 0, value)
+            of_some = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+            rows += [F.sum(of_some).alias("some"), F.count("value").alias("values")]
+        found = places.select(at, some.alias("value")).groupBy("slice", "value")
+        counts = found.agg(F.count("*").alias("n")).groupBy("slice").agg(*rows)
+        return fine, {r["slice"]: r for r in counts.collect()}  # one row a fine slice
+
+    def _wanted_tasks(self, rows: int) -> int:
+        """The session's number, fewer for few rows, more for very many."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(1, min(partitions, rows // LEAST_SLICE), -(-rows // SLICE_ROWS))
+
+    def _dealt(
+        self,
+        said: DataFrame,
+        counts: Mapping[int, int],
+        fine: int,
+        num_shards: int,
+        unique: bool = False,
+    ) -> DataFrame:
+        """Rows with a ``position`` by hash slice, a slice a task, in one exchange: with ``DEALT``.
+
+        ``counts`` says how many rows each of ``fine`` slices a shard has. A slice that holds far
+        more than its share, because of an item with very many values, is dealt over several
+        tasks by value; rows without a value go to each. ``unique`` leaves one of equal rows,
+        which all have a value.
+        """
+        rows = sum(counts.values())
+        wanted = self._wanted_tasks(rows)
         slices = fine
         while slices % 2 == 0 and slices // 2 * num_shards >= wanted:
             slices //= 2
         total = num_shards * slices
         held: Counter[int] = Counter()
-        for r in counts:
+        for at, n in counts.items():
             # Fine slices divide coarse ones.
-            held[r["shard"] * slices + r["slice"] * slices // fine] += r["n"]
+            held[at * slices // fine] += n
         share = max(2 * -(-rows // total), LEAST_SLICE)
         hot, first = {}, total
         for at, n in sorted(held.items()):
             if n > share:
                 hot[at] = (first, -(-n // share))
                 first += hot[at][1]
-        place = F.col("shard") * slices + F.col("slice")
-        placed = maintenance.hash_slices(said, num_shards, slices).withColumn("slice", place)
+        placed = said.withColumn("slice", self._slice_of(num_shards, slices))
         if hot:
-            schema = "slice int, first int, tasks int"
-            listed = [(at, *tasks) for at, tasks in hot.items()]
-            spread = F.broadcast(self.spark.createDataFrame(listed, schema))
-            one = F.pmod(F.xxhash64("name", "value"), F.col("tasks").cast("bigint")).cast("int")
-            to = F.when(F.col("tasks").isNull(), F.array("slice")).when(
-                F.col("value").isNull(),
-                F.sequence(F.col("first"), F.col("first") + F.col("tasks") - 1),
-            ).otherwise(F.array(F.col("first") + one))
-            placed = placed.join(spread, "slice", "left").withColumn("slice", F.explode(to))
-            placed = placed.drop("first", "tasks")
-        return placed.repartitionById(first, F.col("slice"))
+            # Looked up in arrays: a join, or a filter that follows from the generator below, would
+            # be traced through the projections of a hash, whose size it takes threefold at each.
+            to, tasks = (
+                F.get(F.array(*[F.lit(hot.get(at, (at, 1))[i]) for at in range(total)]), F.col("slice"))
+                for i in (0, 1)
+            )
+            one = F.pmod(F.xxhash64("name", "value"), tasks.cast("bigint")).cast("int")
+            if unique:
+                placed = placed.withColumn("slice", to + one)
+            else:
+                every = F.when(F.col("value").isNull(), F.sequence(to, to + tasks - 1))
+                placed = placed.withColumn("slice", F.explode(every.otherwise(F.array(to + one))))
+        position = F.col("position")
+        moved = placed.repartitionById(first, F.col("slice"))
+        if unique:
+            moved = moved.dropDuplicates()
+        return moved.withColumns(
+            {
+                "shard": hashing.shard_of_position(position, num_shards),
+                # A position's own position is the hash.
+                "item_hash": hashing.hash_text(hashing.hash_position(position)),
+            }
+        ).drop("position")

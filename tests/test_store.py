@@ -380,6 +380,18 @@ def test_large_deletes_move_present_rows_once(store, spark, written, monkeypatch
     assert times_moved(first, 6000) == 1 and times_moved(second, len(left)) == 1
 
 
+def test_large_deletes_move_what_is_deleted_once(store, spark, written):
+    table = store.create_attributes("t", 4)
+    rows = many_attributes(spark)
+    table.put(rows)
+    seen = written()
+    table.delete(rows.where("value % 2 = 0").withColumn("value", F.lit(None).cast("string")))
+    table.delete_items(rows.where("value % 1000 < 500").select("item_name"))
+    (first, _), (second, _) = seen
+    assert [sum(n for n in moved if n > 100) for moved in (first, second)] == [6000 + 500, 3000 + 500]
+    assert rows_of(table) == sorted(r for r in map(tuple, rows.collect()) if int(r[2]) % 2 and int(r[2]) % 1000 >= 500)
+
+
 def test_rows_and_attributes_in_one_table(store, made, spark):
     scheme = Scheme(["key", "rank", "value"], "key")
     table = store.create_attributes("t", 5)
