@@ -380,6 +380,33 @@ def test_large_deletes_move_present_rows_once(store, spark, written, monkeypatch
     assert times_moved(first, 6000) == 1 and times_moved(second, len(left)) == 1
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_first_put_moves_rows_once(store, spark, written, monkeypatch, hot):
+    monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
+    table = store.create_attributes("t", 4)
+    rows = many_attributes(spark, hot)
+    puts = rows.unionByName(rows.where("value % 5 = 0"))
+    seen = written()
+    table.put(puts)
+    ((exchanges, tasks),) = seen
+    # Where an item crowds a slice, copies are removed by value before.
+    assert times_moved(exchanges, 6000) == (2 if hot else 1)
+    assert sum(tasks) == 6000 and max(tasks) < 6000 / 4
+    assert rows_of(table) == sorted(map(tuple, rows.collect()))
+
+
+def test_copies_in_a_first_put_are_combined_before_they_move(store, spark, written, monkeypatch):
+    monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
+    table = store.create_attributes("t", 4)
+    rows = many_attributes(spark).where("value < 1000")
+    one = spark.range(20000).selectExpr("'7' as item_name", "'n' as name", "'v' as value")
+    seen = written()
+    table.put(rows.unionByName(one))
+    ((exchanges, _),) = seen
+    assert max(exchanges) < 2000
+    assert rows_of(table) == sorted([*map(tuple, rows.collect()), ("7", "n", "v")])
+
+
 def test_large_deletes_move_what_is_deleted_once(store, spark, written):
     table = store.create_attributes("t", 4)
     rows = many_attributes(spark)
