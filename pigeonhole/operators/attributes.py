@@ -288,6 +288,16 @@ def check_conditions(
     )
 
 
+def among_names(names: DataFrame) -> Column | None:
+    """Whether the ``name`` of a row, null too, is one of these (one column); None if they are many."""
+    found = names.distinct().limit(FEW_NAMES + 1).collect()  # bounded
+    if len(found) > FEW_NAMES:
+        return None
+    listed = F.col("name").isin([r[0] for r in found if r[0] is not None])
+    unnamed = F.lit(any(r[0] is None for r in found))
+    return F.when(F.col("name").isNull(), unnamed).otherwise(listed)
+
+
 def failed_items(existing: DataFrame, conditions: DataFrame, few: bool = False) -> DataFrame:
     """Items of K9 with a condition that does not hold, each once.
 
@@ -297,11 +307,9 @@ def failed_items(existing: DataFrame, conditions: DataFrame, few: bool = False)
     if few:
         held = check_conditions(existing, conditions, few)
         return held.where("not holds").select(ITEM).distinct()
-    names = conditions.select("cond_name").distinct().limit(FEW_NAMES + 1).collect()  # bounded
-    if len(names) <= FEW_NAMES:
-        listed = F.col("name").isin([r[0] for r in names if r[0] is not None])
-        unnamed = F.col("name").isNull() if any(r[0] is None for r in names) else F.lit(False)
-        existing = existing.where(listed | unnamed)
+    named = among_names(conditions.select("cond_name"))
+    if named is not None:
+        existing = existing.where(named)
     state = existing.select(*LONG, F.lit(HELD).alias("marks"))
     marked = state.unionByName(_asked(conditions.where("must_exist is not null")))
     values = marked.where(f"{ITEM} is not null").groupBy(*LONG).agg(F.bit_or("marks").alias("marks"))
@@ -416,15 +424,21 @@ def delete_attributes(existing: DataFrame, deletions: DataFrame, few: bool = Fal
 # a whole attribute or item, are to be in each. Each step below is without an exchange of state.
 
 
-def said_by_puts(incoming: DataFrame) -> DataFrame:
-    """K7, K8, K10, many: see :func:`put_attributes`."""
+def said_by_puts(incoming: DataFrame, dense: bool = True) -> DataFrame:
+    """K7, K8, K10, many: see :func:`put_attributes`.
+
+    Where puts are ``dense``, with many to an attribute or copies, what is equal is combined first;
+    else it is left to :func:`decided`, which takes copies as one.
+    """
     carried = [c for c in incoming.columns if c not in (*LONG, "replace")]
     incoming = incoming.where("value is not null")
+    if dense:
+        incoming = incoming.distinct()
     said = incoming.select(*LONG, *carried, F.lit(SAYS_PUT).alias("says"))
     if "replace" not in incoming.columns:
         return said
     replaced = incoming.where("replace and name is not null").select(ITEM, "name", *carried)
-    return said.unionByName(_all_gone(replaced.distinct()))
+    return said.unionByName(_all_gone(replaced.distinct() if dense else replaced))
 
 
 def said_by_item_deletions(items: DataFrame) -> DataFrame:

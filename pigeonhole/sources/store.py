@@ -14,7 +14,8 @@ touched are not rewritten. A manifest appears whole or not at all and never repl
 another: of two racing writers one fails with ``files.AlreadyThere``.
 
 Inside a shard, files are ranges of the item hash and are sorted by it, so a key lookup or
-a hash slice reads few row groups, and other shards are ranges of the same files.
+a hash slice reads few row groups, and other shards are ranges of the same files. Where a change
+leaves rows aside, a file may hold several such ranges, one after another.
 
 The counters of a version's shards are written beside its data. They hold for as long as the
 version does, so statistics and plain counts read them and no data.
@@ -57,6 +58,9 @@ LEAST_SLICE = 10_000
 # One of so many values is counted, to learn how many copies there are.
 SOME = 256
 
+# Files that a task which sorts nothing may write at a time.
+OPEN_FILES = 32
+
 # Manifests that stay beside the newest one; older ones are deleted by later writes.
 KEEP_MANIFESTS = 16
 
@@ -413,9 +417,31 @@ class _ShardedTable:
         version = f"r{uuid.uuid4().hex}"
         arranged = self._arranged(rows, num_shards, gather)
         arranged.write.options(**BLOOM).partitionBy("shard").parquet(self._data_path(version))
+        return self._placed_in(version)
+
+    def _write_beside(self, rows: DataFrame, new: Mapping[str, str]) -> dict[str, str]:
+        """Write rows of a table to a version that is not published yet, as they are read."""
+        version = next(iter(new.values()), f"r{uuid.uuid4().hex}")
+        with self._unsorted():
+            added = rows.write.mode("append").options(**BLOOM).partitionBy("shard")
+            added.parquet(self._data_path(version))
+        return self._placed_in(version)
+
+    def _placed_in(self, version: str) -> dict[str, str]:
         written = files.names(self.spark, self._data_path(version))
         return {n.split("=", 1)[1]: version for n in written if n.startswith("shard=")}
 
+    @contextmanager
+    def _unsorted(self) -> Iterator[None]:
+        """Writes keep a file open for each shard they meet, so that a task need not sort its rows."""
+        name = "spark.sql.maxConcurrentOutputFileWriters"
+        was = self.spark.conf.get(name)
+        self.spark.conf.set(name, OPEN_FILES)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, was)
+
     def _publish_shards(
         self,
         before: Manifest,
@@ -424,10 +450,16 @@ class _ShardedTable:
         fields: Sequence[str] | None = None,
         num_shards: int | None = None,
         gather: bool = True,
+        beside: DataFrame | None = None,
     ) -> None:
-        """New version of the touched shards (all if None), then the next manifest."""
+        """New version of the touched shards (all if None), then the next manifest.
+
+        Rows ``beside`` the others are written as they are read.
+        """
         count = num_shards or before.num_shards
         new = self._write_version(rows, count, gather)
+        if beside is not None:
+            new = self._write_beside(beside, new)
         kept = {}
         if touched is not None:
             gone = {str(s) for s in touched}
@@ -849,12 +881,12 @@ class AttributeTable(_ShardedTable):
         before = at or self.manifest()
         if before.versions:
             shape = [c for c in (*attrs_ops.LONG, "replace") if c in puts.columns]
-            # Copies of a put would all go to the task of their value.
             self._apply(
-                puts.select(*shape).distinct(),
+                puts.select(*shape),
                 attrs_ops.put_attributes,
                 attrs_ops.said_by_puts,
                 at=before,
+                once=False,
             )
             return
         self._publish_shards(before, self._first_rows(puts, before.num_shards), None, gather=False)
@@ -870,13 +902,17 @@ class AttributeTable(_ShardedTable):
         rows = self._placed(puts)
         fine, counts = self._counted(rows, num_shards, F.xxhash64(*attrs_ops.LONG))
         held = {at: r["n"] for at, r in counts.items()}
-        total = sum(held.values())
-        crowded = max(held.values(), default=0) > max(LEAST_SLICE, total // self._wanted_tasks(total))
-        copied = sum(r["some"] for r in counts.values()) > 2 * sum(r["values"] for r in counts.values())
-        if crowded or copied:
+        if self._dense(counts, held):
             rows = self._placed(puts.distinct())
         return self._dealt(rows, held, fine, num_shards, unique=True)
 
+    def _dense(self, counts: Mapping, rows: Mapping[int, int]) -> bool:
+        """Whether values occur more than twice on average, or a slice has more rows than a task should."""
+        total = sum(rows.values())
+        crowded = max(rows.values(), default=0) > max(LEAST_SLICE, total // self._wanted_tasks(total))
+        copied = sum(r["some"] for r in counts.values()) > 2 * sum(r["values"] for r in counts.values())
+        return crowded or copied
+
     def write(
         self, df: DataFrame, scheme: Scheme, order_by: Sequence[str] | None = None
     ) -> None:
@@ -950,18 +986,21 @@ class AttributeTable(_ShardedTable):
         said_by,
         by: Sequence[str] = (attrs_ops.ITEM, "name"),
         at: Manifest | None = None,
+        once: bool = True,
     ) -> None:
         """Stage the change, apply it to the shards it touches, publish them.
 
         A small change is broadcast to ``operation`` and present rows stay in the tasks that read
         them. Otherwise present rows and what ``said_by`` makes of the change meet in one exchange,
-        which serves the write too.
+        which serves the write too; if the change speaks of few names and most present rows have
+        others, these stay where they are read. Without ``once`` the change may list things again,
+        and ``said_by`` is told whether it does so much.
         """
         before = at or self.manifest()
         with self._stage(self._routed(change, before)) as staged:
             if not staged.touched:
                 return
-            present = self.rows(staged.touched, before)
+            present, beside = self.rows(staged.touched, before), None
             if staged.few:
                 result = operation(present, staged.rows, True)
             else:
@@ -971,15 +1010,26 @@ class AttributeTable(_ShardedTable):
                     r.select(*[c for c in r.columns if c not in ROUTING.names], position)
                     for r in (present, staged.rows)
                 )
-                places = present.select("position").unionByName(change.select("position"))
-                fine, counts = self._counted(places, before.num_shards)
+                named = attrs_ops.among_names(change.select("name")) if "name" in by else None
+                spoken_of = F.lit(True) if named is None else named
+                about = F.lit(None).cast("bigint") if once else F.xxhash64(attrs_ops.ITEM, "name")
+                places = present.select(
+                    "position", spoken_of.alias("moves"), F.lit(None).cast("bigint").alias("about")
+                ).unionByName(
+                    change.select("position", F.lit(True).alias("moves"), about.alias("about"))
+                )
+                fine, counts = self._counted(places, before.num_shards, F.col("about"), F.col("moves"))
                 rows = {at: r["n"] for at, r in counts.items()}
+                moving = {at: r["moves"] for at, r in counts.items()}
+                staying = sum(rows.values()) - sum(moving.values())
                 held = present.withColumn("says", F.lit(attrs_ops.SAYS_HELD))
-                dealt = self._dealt(
-                    held.unionByName(said_by(change)), rows, fine, before.num_shards
-                )
+                if 2 * staying > sum(rows.values()) - staged.count:
+                    beside = self.rows(staged.touched, before).where(~spoken_of)
+                    held, rows = held.where(spoken_of), moving
+                said = said_by(change) if once else said_by(change, self._dense(counts, rows))
+                dealt = self._dealt(held.unionByName(said), rows, fine, before.num_shards)
                 result = attrs_ops.decided(dealt, DEALT, by)
-            self._publish_shards(before, result, staged.touched, gather=False)
+            self._publish_shards(before, result, staged.touched, gather=False, beside=beside)
 
     @staticmethod
     def _slice_of(num_shards: int, slices: int) -> Column:
@@ -989,27 +1039,33 @@ class AttributeTable(_ShardedTable):
         return shard * slices + hashing.slice_of_position(position, shard, num_shards, slices)
 
     def _counted(
-        self, places: DataFrame, num_shards: int, value: Column | None = None
+        self,
+        places: DataFrame,
+        num_shards: int,
+        value: Column,
+        moves: Column | None = None,
     ) -> tuple[int, dict]:
-        """Fine slices a shard, and by slice how many rows are there (``n``).
+        """Fine slices a shard, and by slice how many rows are there (``n``) and how many of them move.
 
-        With the hash of a ``value``, also how many rows there are of ``SOME`` values, and ``values``,
-        how many these are.
+        Of the hash of a ``value`` (null: none) also how many rows there are of ``some`` values, one of
+        ``SOME``, and ``values``, how many these are.
         """
         fine = 64
         while fine * num_shards < 4 * int(self.spark.conf.get("spark.sql.shuffle.partitions")):
             fine *= 2
         at = self._slice_of(num_shards, fine).alias("slice")
-        rows = [F.sum("n").alias("n")]
-        if value is None:
-            some = F.lit(None).cast("bigint")
-        else:
-            some = F.when(F.pmod(value, F.lit(SOME)) == 0, value)
-            of_some = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
-            rows += [F.sum(of_some).alias("some"), F.count("value").alias("values")]
-        found = places.select(at, some.alias("value")).groupBy("slice", "value")
-        counts = found.agg(F.count("*").alias("n")).groupBy("slice").agg(*rows)
-        return fine, {r["slice"]: r for r in counts.collect()}  # one row a fine slice
+        some = F.when(F.pmod(value, F.lit(SOME)) == 0, value)
+        of_some = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+        moving = (F.lit(True) if moves is None else moves).alias("moves")
+        found = places.select(at, some.alias("value"), moving).groupBy("slice", "value")
+        counts = found.agg(F.count("*").alias("n"), F.count_if("moves").alias("moves"))
+        counts = counts.groupBy("slice").agg(
+            *[F.sum(c).alias(c) for c in ("n", "moves")],
+            F.sum(of_some).alias("some"),
+            F.count("value").alias("values"),
+        )
+        counts = counts.collect()  # one row a fine slice
+        return fine, {r["slice"]: r for r in counts}
 
     def _wanted_tasks(self, rows: int) -> int:
         """The session's number, fewer for few rows, more for very many."""

@@ -359,6 +359,53 @@ def test_a_large_put_moves_present_rows_once(store, spark, written, monkeypatch,
     assert rows_of(table) == sorted(left | {r[:3] for r in put})
 
 
+@pytest.mark.parametrize("most", [False, True])
+def test_a_large_put_moves_rows_of_its_names_only(store, spark, written, monkeypatch, most):
+    monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
+    table = store.create_attributes("t", 4)
+    rows = spark.range(6000).selectExpr(
+        "string(id % 1000) as item_name", "'n' || id % 3 as name", "string(id) as value"
+    )
+    table.put(rows)
+    seen = written()
+    names = "name <> 'n0'" if most else "name = 'n0'"
+    puts = rows.where(f"{names} and value % 5 = 0").selectExpr(
+        "item_name", "name", "if(value % 2 = 0, value, 'new') as value", "item_name % 20 = 0 as replace"
+    )
+    with_null = puts.unionByName(spark.createDataFrame([("7", None, "v", False)], puts.schema))
+    table.put(with_null)
+    ((exchanges, tasks),) = seen
+    put = {tuple(r) for r in puts.collect()}
+    replaced = puts.where("replace").count()
+    # Rows of other names stay where they are if they are most rows; puts go through one exchange.
+    moved = 6000 if most else 2000
+    assert sum(n for n in exchanges if n > 100) == moved + puts.count() + 1 + replaced
+    gone = {r[:2] for r in put if r[3]}
+    left = {r for r in map(tuple, rows.collect()) if r[:2] not in gone}
+    expected = left | {r[:3] for r in put}
+    assert set(map(tuple, table.attributes().where("name is not null").collect())) == expected
+    assert table.attributes().count() == len(expected) + 1
+    assert as_set(table.attribute("7", "n1")) == sorted(r for r in expected if r[:2] == ("7", "n1"))
+    assert total(table.stats(), "items") == 1000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_dense_puts_are_combined_before_they_move(store, spark, written):
+    table = store.create_attributes("t", 4)
+    rows = many_attributes(spark).where("value < 2000")
+    table.put(rows)
+    seen = written()
+    new = spark.range(20000).selectExpr(
+        "string(id % 1000) as item_name", "'n0' as name", "string(id % 2) as value", "true as replace"
+    )
+    table.put(new)
+    ((exchanges, _),) = seen
+    # Twenty copies of each put: present rows, puts and what they replace move once combined.
+    assert sum(exchanges) < 2000 + 8 * 3000
+    left = [r for r in map(tuple, rows.collect()) if r[1] != "n0"]
+    assert rows_of(table) == sorted(left + [tuple(r)[:3] for r in new.distinct().collect()])
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_large_deletes_move_present_rows_once(store, spark, written, monkeypatch, hot):
     monkeypatch.setattr(store_module, "LEAST_SLICE", 100)
