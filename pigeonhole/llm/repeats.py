@@ -155,13 +155,22 @@ class DistinctTexts:
         self.docs, self._single = docs, classes(False)
         self.maybe = written(docs.mapInArrow(classes(True), "doc_id bigint, text string, sha binary"), "maybe-copied")
         firsts = self.maybe.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"))
-        self.firsts = written(firsts.select("doc_id", "text", "sha"), "first-texts")
+        self.firsts = settled(firsts.select("doc_id", "text", "sha"), "first-texts")
 
-    def map(self, work: Mapped, schema: str) -> DataFrame:
-        """``work`` on batches of doc_id, text and sha of all distinct texts; ``first`` says which kind."""
+    def map(self, work: Mapped, schema: str, only: Callable[[pa.Array], np.ndarray] | None = None) -> DataFrame:
+        """``work`` on batches of doc_id, text and sha of all distinct texts; ``first`` says which kind.
+
+        ``only`` tells by id which texts to take; the others are not even hashed.
+        """
         single, inner = self._single, work
-        alone = self.docs.mapInArrow(lambda batches: inner(single(batches)), schema)
-        return alone.withColumn("first", F.lit(False)).unionByName(self.firsts.mapInArrow(work, schema).withColumn("first", F.lit(True)))
+
+        def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch if only is None else batch.filter(pa.array(only(batch.column("doc_id"))))
+
+        alone = self.docs.mapInArrow(lambda batches: inner(single(taken(batches))), schema)
+        firsts = self.firsts.mapInArrow(lambda batches: inner(taken(batches)), schema)
+        return alone.withColumn("first", F.lit(False)).unionByName(firsts.withColumn("first", F.lit(True)))
 
     def sketch(self, hashes_of: sketch.Hashes, bits: int, rows: int, thresholds: tuple[int, ...] = (2,)) -> sketch.Sketch:
         single, inner = self._single, hashes_of

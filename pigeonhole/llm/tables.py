@@ -80,9 +80,14 @@ def configured(spark: SparkSession, name: str, value: str) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def cleaned(spark: SparkSession):
+    """Inside, shuffle files go once what they were for has run; else they stay until the driver's next large collection."""
+    return configured(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """``written``, and then without the shuffle files it took, which else stay until the driver's next large collection."""
-    with configured(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    """``written``, and then without the shuffle files it took."""
+    with cleaned(df.sparkSession):
         return written(df, label)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pigeonhole.llm import jaccard, queries, suffixes, windows
+from pigeonhole.llm import jaccard, queries, shared, suffixes, windows
 from pigeonhole.llm.graphs import components
 
 BITS = 16
@@ -223,3 +223,51 @@ def test_sketches_of_any_slices_and_merging_tasks(spark):
         unseen = built.at_least(np.arange(10_000, 10_700, dtype=np.uint64))
         assert unseen.mean() < (0.001 if bits == 20 else 1.1)
     assert sketch.mergers(1, 2048) == 32 and sketch.mergers(300, 2048) == 600 and sketch.mergers(10**6, 2048) == 2048
+
+
+def unlike_texts(count, words, seed):
+    r = random.Random(seed)
+    return [(k, " ".join(f"v{r.randrange(1 << 40)}" for _ in range(words))) for k in range(count)]
+
+
+def test_texts_that_may_link_are_told_by_slice(docs_of, monkeypatch):
+    """Every text that links is let through whatever the chunks, and texts of words of their own are not."""
+    small(monkeypatch)
+    monkeypatch.setattr(shared, "CHUNK_TOKENS", 300)
+    monkeypatch.setattr(shared, "CHUNK_TEXTS", 5)
+    texts = made_texts(13) + unlike_texts(30, 60, 4)
+    texts = [(k, t) for k, (_, t) in enumerate(texts)] + [(None, texts[0][1]), (None, "of no id " * 3)]
+    docs = jaccard.texts(docs_of(texts))
+    distinct = jaccard.DistinctTexts(docs, jaccard._plain, 1 << 20)
+    rows = shared.judged(distinct, jaccard.token_sets, shared.text_bytes(docs)).collect()
+    sets = {k: brute.shingles(t) for k, t in texts if k is not None}
+    contents = {s: min(k for k in sets if sets[k] == s) for s in sets.values()}
+    linked = {a for s, a in contents.items() if any(s is not u and 7 * len(s & u) >= 3 * (len(s) + len(u)) for u in contents if s and u)}
+    live = {r["doc_id"] for r in rows if r["live"]}
+    assert linked <= live and len(linked) > 10
+    assert not live & set(range(len(texts) - 32, len(texts) - 2)) and None not in live
+    assert sorted((r["n"] for r in rows if r["doc_id"] is None), reverse=True)[0] == len(brute.shingles(texts[-2][1]))
+    assert all(r["n"] == len(sets[r["doc_id"]]) for r in rows if r["doc_id"] is not None)
+
+
+def test_scratch_tables_of_a_crowded_sketch_stay_small(docs_of, spark, monkeypatch, tmp_path):
+    """Sets are written of texts that may link only, however full the sketch is, and go when they have been used."""
+    from pigeonhole.sources import files
+
+    small(monkeypatch)
+    most = []
+
+    def held():
+        return sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+
+    def path(_, label):
+        most.append(held())
+        return f"file://{tmp_path}/{len(most)}-{label}"
+
+    monkeypatch.setattr(files, "scratch_path", path)
+    near = [(1_000 + k, " ".join(f"n{j}" for j in range(60) if j != 5 * k)) for k in range(4)]
+    texts = unlike_texts(300, 400, 6) + near
+    rows = jaccard.join(docs_of(texts), 9).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {k: min(k, 1_000) for k, _ in texts}
+    assert max(most) < 0.2 * sum(len(t) for _, t in texts)
+    assert held() < 0.1 * sum(len(t) for _, t in texts)
