@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pigeonhole.llm import jaccard, packing, quality, toxicity, windows
 from pigeonhole.llm.features import dense
 from pigeonhole.llm.queries import tokenizer
-from pigeonhole.llm.tables import given, kept, remainder, written
+from pigeonhole.llm.tables import dropped, given, kept, remainder, settled, written
 
 QUALITY_LEAST, TOXIC_LEAST = 0.5, 0.3
 
@@ -37,13 +37,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     one id are equal in rank, so none of them removes another, whether their texts are equal or not.
     """
     # Numbers of rows hold only once they are written.
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    rows = settled(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
     some = rows.where("doc_id is not null").select(F.col("_row").alias("doc_id"), "text")
     found = jaccard.join(some).select(F.col("doc_id").alias("_row"), "component_id")
-    member = written(found.join(rows.select("_row", "doc_id"), "_row"), "component-rows")
+    member = settled(found.join(rows.select("_row", "doc_id"), "_row"), "component-rows")
     ids = member.groupBy("component_id").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
-    ids = written(ids.where("last > first_id").drop("last"), "component-firsts")
-    later = written(member.join(ids, "component_id").where("doc_id > first_id").select("_row"), "later-duplicates")
+    ids = settled(ids.where("last > first_id").drop("last"), "component-firsts")
+    later = settled(member.join(ids, "component_id").where("doc_id > first_id").select("_row"), "later-duplicates")
+    dropped(member, ids)
     return rows.join(later, "_row", "left_anti").select(docs.columns)
 
 
@@ -54,7 +55,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     each loses its own passages; rows of one id take none from each other.
     """
     found = windows.dedup(docs).where("kept is not null").groupBy("doc_id", "sha").agg(F.first("kept").alias("kept"))
-    found = written(found.select(F.col("doc_id").alias("_changed_id"), F.col("sha").alias("_changed_sha"), F.col("kept").alias("_kept")), "changed-texts")
+    found = settled(found.select(F.col("doc_id").alias("_changed_id"), F.col("sha").alias("_changed_sha"), F.col("kept").alias("_kept")), "changed-texts")
     own = windows.with_sha(docs, "_sha")
     joined = own.join(found, (own["doc_id"] == found["_changed_id"]) & (own["_sha"] == found["_changed_sha"]), "left")
     new = {"text": F.coalesce("_kept", "text")}

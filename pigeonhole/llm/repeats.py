@@ -230,7 +230,7 @@ class Repeats:
         known = groups.join(several, "anchor", "left").where("last > doc_id or contents is not null")
         known = settled(known.select("d1", "d2", F.col("doc_id").alias("first_id"), "contents"), "known-contents")
         matched = found.join(known, ["d1", "d2"]).where("doc_id > first_id or contents is not null")
-        matched = settled(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
+        self.matched = matched = settled(matched.select("row", "doc_id", "first_id", "anchor", "starts", "count", "contents"), "matched-runs")
         dropped(groups, several, known)
         #: Whole runs of later documents: row, doc_id, starts, count.
         self.later = matched.where("doc_id > first_id").select("row", "doc_id", "starts", "count")
@@ -260,16 +260,17 @@ class Repeats:
 
         return part
 
-    def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str) -> DataFrame:
+    def finished(self, removed: DataFrame, cut: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kind: str, *used: DataFrame) -> DataFrame:
         """doc_id, sha, n, n_removed, n_spans, kept (of that kind) and kept_sha of every document.
 
         ``sha`` is the SHA-256 of a text's normal form; what a document keeps depends on its id and that.
         ``removed`` has row, doc_id, starts and count of the runs of windows that repeat. ``cut`` maps batches
-        of doc_id, sha, n, text and spans to the result columns and sha.
+        of doc_id, sha, n, text and spans to the result columns and sha. Tables ``used`` for ``removed`` go once it is written.
         ``kept`` is null where nothing was removed.
         """
         spans = removed.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
         spans = settled(spans, "removed-spans")
+        dropped(*used)
 
         rest = self.filtered(spans)
         schema = f"doc_id bigint, sha binary, n bigint, n_removed bigint, n_spans bigint, kept {kind}, kept_sha string"

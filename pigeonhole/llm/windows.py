@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pigeonhole.llm.repeats import WINDOW, Items, Repeats, places, whole_hashes
-from pigeonhole.llm.tables import ship, written
+from pigeonhole.llm.tables import settled, ship
 from pigeonhole.llm.text import PIECE_BYTES, Words, flat, pieces, rolling, signed
 
 #: Cells of each row of the sketch, as a power of two, and its rows.
@@ -116,10 +116,10 @@ def dedup(docs: DataFrame, bits: int = SKETCH_BITS, rows: int = SKETCH_ROWS) ->
     r = Repeats(docs, WordItems, one_space, PIECE_BYTES, bits, rows)
     r.prepare()
     spans = r.open.groupBy("row", "doc_id").agg(F.collect_list(F.struct("starts", "count")).alias("spans"))
-    spans = written(spans, "open-spans")
+    spans = settled(spans, "open-spans")
     rows_ = r.filtered(spans)(r.touched, True).join(spans, ["row", "doc_id"]).select("row", "doc_id", "text", "spans")
-    windows = written(rows_.mapInArrow(_windows, "row bigint, doc_id bigint, start int, w1 bigint, w2 bigint"), "windows")
+    windows = settled(rows_.mapInArrow(_windows, "row bigint, doc_id bigint, start int, w1 bigint, w2 bigint"), "windows")
     seen = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last"))
-    seen = written(seen.where("last > first_id").drop("last"), "repeated-windows")
+    seen = settled(seen.where("last > first_id").drop("last"), "repeated-windows")
     single = windows.join(seen, ["w1", "w2"]).where("doc_id > first_id").select("row", "doc_id", F.array("start").alias("starts"), F.lit(1).alias("count"))
-    return r.finished(r.later.unionByName(single), _cut, "string")
+    return r.finished(r.later.unionByName(single), _cut, "string", r.matched, spans, windows, seen)

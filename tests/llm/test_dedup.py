@@ -271,3 +271,16 @@ def test_scratch_tables_of_a_crowded_sketch_stay_small(docs_of, spark, monkeypat
     assert {r["doc_id"]: r["component_id"] for r in rows} == {k: min(k, 1_000) for k, _ in texts}
     assert max(most) < 0.2 * sum(len(t) for _, t in texts)
     assert held() < 0.1 * sum(len(t) for _, t in texts)
+
+
+def test_tables_of_windows_go_when_used(docs_of, monkeypatch, tmp_path):
+    """What decides single windows is deleted once the removed spans are written."""
+    from pigeonhole.sources import files
+
+    small(monkeypatch)
+    count = iter(range(1_000))
+    monkeypatch.setattr(files, "scratch_path", lambda _, label: f"file://{tmp_path}/{next(count)}-{label}")
+    texts = made_texts(3)
+    check_words(windows.dedup(docs_of(texts), BITS).collect(), texts)
+    left = {p.name.partition("-")[2] for p in tmp_path.iterdir()}
+    assert "judged" in left and not left & {"matched-runs", "open-spans", "windows", "repeated-windows"}

@@ -102,3 +102,30 @@ def test_sql_of_top_k(spark, sf_dir):
     rows = queries.QUERIES["op4_top_k"](spark, sf_dir).toPandas()
     key = ["query_id", "rank"]
     assert found.sort_values(key)[[*key, "vec_id", "score"]].to_numpy().tolist() == rows.sort_values(key)[[*key, "vec_id", "score"]].to_numpy().tolist()
+
+
+def test_near_duplicates_need_little_disk_with_a_crowded_sketch(spark, docs_of, monkeypatch, tmp_path):
+    """Beside the numbered rows, scratch tables stay small where the sketch is full."""
+    import random
+    from functools import partial
+
+    from pigeonhole.llm import jaccard
+    from pigeonhole.sources import files
+
+    sizes = []
+
+    def held():
+        return sum(p.stat().st_size for p in tmp_path.rglob("*.parquet") if "numbered-rows" not in str(p))
+
+    def path(_, label):
+        sizes.append(held())
+        return f"file://{tmp_path}/{len(sizes)}-{label}"
+
+    monkeypatch.setattr(files, "scratch_path", path)
+    monkeypatch.setattr(jaccard, "join", partial(jaccard.join, bits=9))
+    r = random.Random(6)
+    texts = [(k, " ".join(f"v{r.randrange(1 << 40)}" for _ in range(400))) for k in range(300)]
+    texts += [(1_000 + k, " ".join(f"n{j}" for j in range(60) if j != 5 * k)) for k in range(4)]
+    rows = pipeline.near_duplicate_stage(spark, docs_of(texts), "").collect()
+    assert sorted(x["doc_id"] for x in rows) == [*range(300), 1_000]
+    assert max(sizes) < 0.2 * sum(len(t) for _, t in texts)
